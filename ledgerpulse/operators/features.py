@@ -30,8 +30,7 @@ def features(txn: DataFrame, profile: str = "trailing", keep: list[str] | None =
     inputs = txn.columns
     keyed = slice_accounts(txn, LOOK_BACK, counted, max_rows)
     build = {"trailing": _trailing, "expanding": _expanding, "value_frame": _value_frame}[profile]
-    return Keyed(build(keyed, wanted), keyed.part, keyed.order, keyed.sliced).own().select(
-        *inputs, *wanted)
+    return keyed.own(build(keyed, wanted)).select(*inputs, *wanted)
 
 
 def hour_pair() -> dict[str, Column]:
@@ -123,7 +122,7 @@ def _running_counts(keyed: Keyed, df: DataFrame, ranks: bool) -> DataFrame:
     return df
 
 
-def _row_count(keyed: Keyed) -> Column:
+def running_rows(keyed: Keyed) -> Column:
     """Rows of the account so far."""
     if not keyed.sliced:
         return F.row_number().over(keyed.window())
@@ -146,7 +145,7 @@ def _expanding(keyed: Keyed, wanted: list[str]) -> DataFrame:
         "_micros": epoch_micros(), **hour_pair()})
     full = F.count("_finite").over(roll) == WINDOW_ROWS
     df = df.withColumns({
-        "_all": _row_count(keyed),
+        "_all": running_rows(keyed),
         "MovingAvg": F.when(full, F.avg("_finite").over(roll)),
         "MovingStd": F.when(full, F.stddev_samp("_finite").over(roll)),
         "_gap": F.col("_micros") - F.lag("_micros", 1).over(w)})
@@ -202,7 +201,7 @@ def _value_frame(keyed: Keyed, wanted: list[str]) -> DataFrame:
         "LogAmount": F.when(amount > 0, F.log(amount)),
         "_seconds": F.unix_timestamp("Time"), **hour_pair()})
     df = df.withColumns({
-        "_all": _row_count(keyed),
+        "_all": running_rows(keyed),
         "MovingAvg": F.avg("LogAmount").over(roll),
         "MovingStd": F.stddev_samp("LogAmount").over(roll),
         "_gap": F.col("_seconds") - F.lag("_seconds", 1).over(w)})

@@ -24,6 +24,17 @@ BROADCAST_ROWS = 1_000_000    # rows of a key list that may be broadcast
 CARRIED, HALO, OWN = 0, 1, 2
 
 
+@dataclass
+class HotKeys:
+    table: DataFrame    # key, n
+    keys: int
+    rows: int
+
+    def sized(self) -> DataFrame:
+        """The table, marked for broadcast only while it is known to be small."""
+        return F.broadcast(self.table) if self.keys <= BROADCAST_ROWS else self.table
+
+
 @dataclass
 class Keyed:
     """Rows ready for per-account windows: partition by ``part``, order by ``order``."""
@@ -31,26 +42,18 @@ class Keyed:
     df: DataFrame
     part: list[str] = field(default_factory=lambda: [KEY])
     order: list = field(default_factory=lambda: list(ORDER))
-    sliced: bool = False
+    hot: HotKeys | None = None
+
+    @property
+    def sliced(self) -> bool:
+        return self.hot is not None
 
     def window(self, *extra: str):
         return Window.partitionBy(*self.part, *extra).orderBy(*self.order)
 
-    def own(self) -> DataFrame:
+    def own(self, df: DataFrame) -> DataFrame:
         """The input rows only, without what was put in front of the slices."""
-        if not self.sliced:
-            return self.df
-        return self.df.filter(F.col("_kind") == OWN).drop("_kind", "_slice", "_cat", "_n")
-
-
-@dataclass
-class HotKeys:
-    table: DataFrame    # key, n
-    keys: int
-    rows: int
-
-    def sized(self) -> DataFrame:
-        return F.broadcast(self.table) if self.keys <= BROADCAST_ROWS else self.table
+        return df.filter(F.col("_kind") == OWN) if self.sliced else df
 
 
 def hot_keys(df: DataFrame, key: str, max_rows: int = HOT_ROWS) -> HotKeys | None:
@@ -79,7 +82,7 @@ def slice_accounts(txn: DataFrame, halo: int, totals: bool, max_rows: int = HOT_
     ranged = materialize(
         hot_rows.repartitionByRange(n_slices, KEY, *ORDER)
                 .withColumn("_slice", F.spark_partition_id()), "slices")
-    before = _rows_before(ranged, halo)
+    before = _rows_before(ranged, halo) if halo else ranged.limit(0)
     rows = (cold_rows.withColumns({"_slice": F.lit(-1), "_kind": F.lit(OWN)})
             .unionByName(ranged.withColumn("_kind", F.lit(OWN)))
             .unionByName(before.withColumn("_kind", F.lit(HALO))))
@@ -87,7 +90,7 @@ def slice_accounts(txn: DataFrame, halo: int, totals: bool, max_rows: int = HOT_
         rows = rows.unionByName(_totals_before(ranged, before), allowMissingColumns=True)
     else:
         rows = rows.withColumns({"_cat": F.lit(None).cast("int"), "_n": F.lit(None).cast("long")})
-    return Keyed(rows, [KEY, "_slice"], [F.col("_kind") > CARRIED, *ORDER], True)
+    return Keyed(rows, [KEY, "_slice"], [F.col("_kind") > CARRIED, *ORDER], hot)
 
 
 def _rows_before(ranged: DataFrame, halo: int) -> DataFrame:
