@@ -76,9 +76,8 @@ class Scaler:
                 df.groupBy(self.key).agg(*self._stats(self.client_cols)), "client-scale")
         return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        if self.method == "none":
-            return df
+    def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
+        """Scaled columns in place of the raw ones, or beside them under ``name + suffix``."""
         out = {c: (F.col(c) - F.lit(a).cast("double")) / F.lit(b).cast("double")
                for c, (a, b) in self.centers.items()}
         rows = df
@@ -86,7 +85,8 @@ class Scaler:
             rows = attach(df, self.clients, self.key, "left", self.max_rows)
             out |= {c: (F.col(c) - F.col(f"{c}__center")) / F.col(f"{c}__divisor")
                     for c in self.client_cols}
-        return rows.withColumns(out).select(*df.columns)
+        out = {f"{c}{suffix}": e for c, e in out.items()}
+        return rows.withColumns(out).select(*dict.fromkeys([*df.columns, *out])) if out else df
 
 
 def minmax_columns(df: DataFrame, columns: list[str]) -> DataFrame:

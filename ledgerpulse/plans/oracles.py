@@ -346,3 +346,34 @@ TOTAL = " + ".join(FREQ_COLS)
 ORACLES["explain_fact"] = f"WITH {FEAT.strip()}\n" + "\nUNION ALL ".join(
     f"SELECT TransactionID, Time, '{c}' AS FeatureName, {r6(f'{c} / ({TOTAL})', 'FeatureValue')} FROM feat"
     for c in FREQ_COLS)
+
+# --- streams and tables -------------------------------------------------------------------
+
+ORACLES["stream_features_trailing"] = ORACLES["features_trailing"]
+ORACLES["stream_medallion"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", {n} * count(*) AS rows, count(*) AS keys FROM events" for t, n in (
+        ("bronze.transactions", 1), ("silver.features", 1), ("gold.TransactionFact", 1),
+        ("gold.ExplainFact", len(FEATURE_COLS))))
+ORACLES["stream_resume"] = """WITH span AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events),
+parts AS (SELECT ts, CAST(floor((epoch_us(ts) - a) * 3 / (b - a + 1)) AS BIGINT) AS batch_id FROM events, span)
+SELECT batch_id, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM parts GROUP BY 1"""
+ORACLES["dim_overwrite"] = ORACLES["client_dim"]
+
+# --- map of the embeddings: prototypes are the label means, grid of 5 x 2 -----------------
+
+MAP = """v AS (SELECT vec_id, label, unnest(range(64)) AS j, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+book AS (SELECT dense_rank() OVER (ORDER BY label) - 1 AS u, j, w FROM (
+    SELECT label, j, avg(x) AS w FROM v GROUP BY 1, 2)),
+dist AS (SELECT vec_id, u, sqrt(sum((x - w) * (x - w))) AS d FROM v JOIN book USING (j) GROUP BY 1, 2),
+bmu AS (SELECT vec_id, u, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, u) AS rn FROM dist)
+    WHERE rn = 1)"""
+add("som_score", MAP, ["vec_id", r6("d", "score")], "bmu")
+add("som_explain", MAP + """, dev AS (SELECT vec_id, j, abs(x - w) AS a FROM bmu JOIN v USING (vec_id) JOIN book USING (u, j))""",
+    ["vec_id", "'e' || CAST(j AS VARCHAR) AS feature",
+     r6("a / (sum(a) OVER (PARTITION BY vec_id) + 1e-8)", "value")], "dev")
+add("som_epoch", MAP + """, won AS (SELECT u AS b, j, sum(x) AS s, count(*) AS n FROM bmu JOIN v USING (vec_id) GROUP BY 1, 2),
+near AS (SELECT p.u, q.u AS b, exp(-((p.u // 2 - q.u // 2) * (p.u // 2 - q.u // 2)
+    + (p.u % 2 - q.u % 2) * (p.u % 2 - q.u % 2)) / (2 * 0.8 * 0.8)) AS h
+  FROM (SELECT DISTINCT u FROM book) p, (SELECT DISTINCT u FROM book) q)""",
+    ["CAST(u AS INT) AS unit", "CAST(j AS INT) AS position", r6("sum(h * s) / sum(h * n)", "weight")],
+    "near JOIN won USING (b)", "GROUP BY u, j")
