@@ -12,9 +12,25 @@ def _frames(values: np.ndarray, filler) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, WINDOW_ROWS)
 
 
-def trailing_block(seconds: np.ndarray, logs: np.ndarray, cats: list[np.ndarray],
-                   hours: np.ndarray) -> dict[str, np.ndarray]:
-    """Feature columns for every row; earlier rows given first serve as context."""
+CHUNK = 100_000
+
+
+def trailing_rows(seconds: np.ndarray, logs: np.ndarray, cats: list[np.ndarray],
+                  hours: np.ndarray) -> dict[str, np.ndarray]:
+    """Feature columns for every row; earlier rows given first serve as context.
+
+    Works through long histories in chunks that overlap by one window, to bound its arrays.
+    """
+    parts = []
+    for start in range(0, len(seconds), CHUNK):
+        context = min(start, WINDOW_ROWS)
+        at = slice(start - context, start + CHUNK)
+        part = _trailing_block(seconds[at], logs[at], [c[at] for c in cats], hours[at])
+        parts.append({name: values[context:] for name, values in part.items()})
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+def _trailing_block(seconds, logs, cats, hours) -> dict[str, np.ndarray]:
     n = len(seconds)
     size = np.minimum(np.arange(1, n + 1), WINDOW_ROWS).astype(float)
     present = np.arange(WINDOW_ROWS)[None, :] >= (WINDOW_ROWS - size)[:, None]

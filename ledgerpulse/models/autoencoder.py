@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.models.base import Detector, inputs, share
-from ledgerpulse.storage import materialize
 
 HIDDEN = 12
 PATIENCE = 10
@@ -74,11 +73,11 @@ class Autoencoder(Detector):
         self.weights = self.network.start(seed)
         self.losses: list[float] = []
 
-    def fit(self, df, id_col="TransactionID"):
+    def fit(self, df, id_col="TransactionID", written=False):
         p = self.params
-        held_out = F.pmod(F.xxhash64(F.col(id_col), F.lit(p["seed"])), F.lit(10_000)) \
+        held_out = F.pmod(F.xxhash64("_id", F.lit(p["seed"])), F.lit(10_000)) \
             < int(10_000 * p["validation_split"])
-        rows = materialize(df.select(held_out.alias("_held_out"), *inputs(df, self.columns)), "ae-rows")
+        rows = self.training_rows(df, id_col, written).select(held_out.alias("_held_out"), *self.columns)
         state = np.stack([self.weights, np.zeros(self.network.size), np.zeros(self.network.size)])
         best, best_loss, waited, steps = state[0], float("inf"), 0, 0.0
         for epoch in range(p["epochs"] + 1):

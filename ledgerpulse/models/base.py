@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerpulse.functions.clean import finite
 from ledgerpulse.schema import FEATURE_COLS
+from ledgerpulse.storage import materialize
 
 
 class Detector(ABC):
@@ -29,8 +30,13 @@ class Detector(ABC):
         self.params = params
 
     @abstractmethod
-    def fit(self, df: DataFrame, id_col: str = "TransactionID") -> "Detector":
-        """Learn from all rows of ``df``."""
+    def fit(self, df: DataFrame, id_col: str = "TransactionID", written: bool = False) -> "Detector":
+        """Learn from all rows of ``df``; ``written`` says that reading it again costs only a scan."""
+
+    def training_rows(self, df: DataFrame, id_col: str, written: bool) -> DataFrame:
+        """``_id`` and the model inputs, in a form that many passes can read."""
+        rows = df.select(F.col(id_col).alias("_id"), *inputs(df, self.columns))
+        return rows if written else materialize(rows, f"{self.name}-rows")
 
     @abstractmethod
     def explain_block(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -99,8 +99,8 @@ class IsolationForest(Detector):
         return (picked.withColumn("place", F.row_number().over(w))
                 .filter(F.col("place") <= self.samples))
 
-    def fit(self, df, id_col="TransactionID"):
-        rows = materialize(df.select(F.col(id_col).alias("_id"), *inputs(df, self.columns)), "forest-rows")
+    def fit(self, df, id_col="TransactionID", written=False):
+        rows = self.training_rows(df, id_col, written)
         total = rows.count()
         self.samples = self._sample_size(total)
         columns, seed = self.columns, self.params["random_state"]

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.models.base import Detector, inputs, share
-from ledgerpulse.storage import materialize
 
 
 def winners(x: np.ndarray, codebook: np.ndarray) -> np.ndarray:
@@ -76,9 +75,9 @@ class SelfOrganizingMap(Detector):
                          seed=seed)
         self.codebook: np.ndarray | None = None
 
-    def fit(self, df, id_col="TransactionID"):
+    def fit(self, df, id_col="TransactionID", written=False):
         p = self.params
-        rows = materialize(df.select(F.col(id_col).alias("_id"), *inputs(df, self.columns)), "som-rows")
+        rows = self.training_rows(df, id_col, written)
         ticket = F.xxhash64("_id", F.lit(p["seed"]))
         start = rows.orderBy(ticket, "_id").limit(p["x"] * p["y"]).select(*self.columns).toPandas()
         # with fewer rows than units the first rows are used again

@@ -12,6 +12,7 @@ from ledgerpulse.models.base import Detector, score_all
 from ledgerpulse.models.iforest import IsolationForest
 from ledgerpulse.models.som import SelfOrganizingMap
 from ledgerpulse.operators.scale import Scaler
+from ledgerpulse.storage import materialize
 
 DETECTORS = {c.name: c for c in (IsolationForest, SelfOrganizingMap, Autoencoder)}
 SCALED = "__scaled"
@@ -36,9 +37,11 @@ class ScoringModel:
     detectors: dict[str, Detector] = field(default_factory=dict)
 
     def fit(self, df: DataFrame, id_col: str = "TransactionID") -> "ScoringModel":
-        scaled = self.scaler.fit(df).transform(df)
+        columns = dict.fromkeys(c for d in self.detectors.values() for c in d.columns)
+        scaled = self.scaler.fit(df).transform(df).select(id_col, *columns)
+        rows = materialize(scaled, "training-rows")
         for detector in self.detectors.values():
-            detector.fit(scaled, id_col)
+            detector.fit(rows, id_col, written=True)
         return self
 
     def transform(self, df: DataFrame, explain: bool = True) -> DataFrame:

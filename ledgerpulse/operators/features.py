@@ -7,7 +7,9 @@
 Rows are ordered by (Time, TransactionID); a missing category counts as a value of its own.
 """
 
+import json
 import math
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,27 +74,77 @@ def _trailing(keyed: Keyed, wanted: list[str]) -> DataFrame:
             F.log(F.greatest(F.col("_gap") / F.lit(3600.0), F.lit(EPS)))),
     })
     if _needs(wanted, *FREQ_COLS, *ENTROPY_COLS):
-        df = _trailing_categories(df, roll)
+        df = _trailing_categories(df, keyed.over)
     return df
 
 
-def _trailing_categories(df: DataFrame, roll) -> DataFrame:
-    """Share of the current value and normalised entropy in the list of the last 7 rows."""
-    df = df.withColumn("_last", F.collect_list(F.struct(*CAT_COLS)).over(roll))
-    df = df.withColumns({"_size": F.size("_last").cast("double"),
-                         **{f"_v{i}": F.col("_last")[c] for i, c in enumerate(CAT_COLS)}})
+def _trailing_categories(df: DataFrame, over: str) -> DataFrame:
+    """Share and entropy of the last 7 rows without building a list per row.
+
+    Each row keeps, per category, its link: how many rows back the same value occurred last (0 if
+    not within 6). The links of the seven rows of a frame say which of them are equal, so their
+    combination is an index into a table of all 7! cases. Six links are packed into one long, and
+    only that long is read back with ``lag``.
+    """
+    back = range(1, WINDOW_ROWS)
+    links = {}
+    for i, c in enumerate(CAT_COLS):
+        cases = " ".join(f"WHEN _row > {j} AND {c} <=> lag({c}, {j}) {over} THEN {j}" for j in back)
+        links[f"_l{i}"] = F.expr(f"CASE {cases} ELSE 0 END")
+    packed = " + ".join(f"shiftleft(cast(_l{i} AS bigint), {3 * i})" for i in range(len(CAT_COLS)))
+    df = df.withColumns(links).withColumn("_p0", F.expr(packed))
+    df = df.withColumns({f"_p{j}": F.expr(f"lag(_p0, {j}, 0L) {over}") for j in back})
+
+    cases = []
+    for i in range(len(CAT_COLS)):
+        digits = []
+        for j, radix in enumerate(_radices()):
+            link = f"(shiftright(_p{j}, {3 * i}) & 7)"
+            digits.append(f"if({link} <= {LOOK_BACK - j}, {link} * {radix}, 0)")
+        cases.append(f"cast({' + '.join(digits)} AS int)")
+    df = df.withColumn("_case", F.expr(f"array({', '.join(cases)})"))
+    tables = _frame_tables()
+    df = df.withColumns({
+        "_size": F.expr(f"cast(least(_row, {WINDOW_ROWS}) AS double)"),
+        **{name: F.expr(f"transform(_case, c -> get(from_json('{json.dumps(values)}', 'array<{kind}>'), c))")
+           for name, kind, values in tables}})
     out = {}
-    for i, (c, freq, entropy) in enumerate(zip(CAT_COLS, FREQ_COLS, ENTROPY_COLS)):
-        share = f"size(filter(_v{i}, x -> x <=> v)) / _size"
-        out[freq] = F.expr(f"size(filter(_v{i}, x -> x <=> {c})) / _size")
-        out[entropy] = F.expr(
-            f"""CASE WHEN size(array_distinct(_v{i})) > 1
-                THEN aggregate(array_distinct(_v{i}), 0D, (h, v) -> h - {share} * ln({share}))
-                     / ln(size(array_distinct(_v{i})))
-                ELSE 0D END""")
+    for i, (freq, entropy) in enumerate(zip(FREQ_COLS, ENTROPY_COLS)):
+        # rows missing from a short frame look like further distinct values
+        distinct = f"(_distinct[{i}] - {WINDOW_ROWS} + _size)"
+        out[freq] = F.expr(f"_equal[{i}] / _size")
+        out[entropy] = F.expr(f"CASE WHEN {distinct} > 1 THEN "
+                              f"greatest(ln(_size) - _weight[{i}] / _size, 0D) / ln({distinct}) ELSE 0D END")
     return df.withColumns(out)
 
 
+def _radices() -> list[int]:
+    """Place values of the links: the row j places back has 7 - j possible links."""
+    out = [1]
+    for j in range(LOOK_BACK - 1):
+        out.append(out[-1] * (WINDOW_ROWS - j))
+    return out
+
+
+@cache
+def _frame_tables() -> list[tuple[str, str, list]]:
+    """Per combination of links: sum of c ln c over the values, distinct values, equals of the last."""
+    weight, distinct, equal = [], [], []
+    for case in range(math.factorial(WINDOW_ROWS)):
+        seen = [0] * WINDOW_ROWS          # occurrences up to each row, newest row first
+        for j in reversed(range(WINDOW_ROWS)):
+            link = case // _radices()[j] % (WINDOW_ROWS - j) if j < LOOK_BACK else 0
+            seen[j] = seen[j + link] + 1 if link else 1
+        weight.append(sum(_n_log_n_of(k) - _n_log_n_of(k - 1) for k in seen))
+        distinct.append(seen.count(1))
+        equal.append(seen[0])
+    return [("_weight", "double", weight), ("_distinct", "int", distinct), ("_equal", "int", equal)]
+
+
+def _n_log_n_of(n: int) -> float:
+    return n * math.log(n) if n else 0.0
+
+
 # --- running counts, shared by expanding and value_frame -----------------------------------
 
 def _running_counts(keyed: Keyed, df: DataFrame, ranks: bool) -> DataFrame:

@@ -41,7 +41,7 @@ class Keyed:
 
     df: DataFrame
     part: list[str] = field(default_factory=lambda: [KEY])
-    order: list = field(default_factory=lambda: list(ORDER))
+    order: list[str] = field(default_factory=lambda: list(ORDER))
     hot: HotKeys | None = None
 
     @property
@@ -51,6 +51,11 @@ class Keyed:
     def window(self, *extra: str):
         return Window.partitionBy(*self.part, *extra).orderBy(*self.order)
 
+    @property
+    def over(self) -> str:
+        """The account window as SQL text."""
+        return f"OVER (PARTITION BY {', '.join(self.part)} ORDER BY {', '.join(self.order)})"
+
     def own(self, df: DataFrame) -> DataFrame:
         """The input rows only, without what was put in front of the slices."""
         return df.filter(F.col("_kind") == OWN) if self.sliced else df
@@ -90,7 +95,9 @@ def slice_accounts(txn: DataFrame, halo: int, totals: bool, max_rows: int = HOT_
         rows = rows.unionByName(_totals_before(ranged, before), allowMissingColumns=True)
     else:
         rows = rows.withColumns({"_cat": F.lit(None).cast("int"), "_n": F.lit(None).cast("long")})
-    return Keyed(rows, [KEY, "_slice"], [F.col("_kind") > CARRIED, *ORDER], hot)
+    # carried totals come before every row of their slice
+    rows = rows.withColumn("_follows", F.col("_kind") > CARRIED)
+    return Keyed(rows, [KEY, "_slice"], ["_follows", *ORDER], hot)
 
 
 def _rows_before(ranged: DataFrame, halo: int) -> DataFrame:

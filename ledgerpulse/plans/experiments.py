@@ -16,6 +16,8 @@ from ledgerpulse.models.base import Detector, score_all
 from ledgerpulse.models.iforest import IsolationForest
 from ledgerpulse.models.som import SelfOrganizingMap
 from ledgerpulse.operators.evaluate import curve, curve_metrics
+from ledgerpulse.operators.features import features
+from ledgerpulse.operators.ranking import time_split
 from ledgerpulse.operators.scale import METHODS, Scaler
 from ledgerpulse.operators.stats import score_distribution
 from ledgerpulse.schema import FEATURE_COLS
@@ -48,9 +50,9 @@ def _scores(rows: DataFrame, model: Detector) -> tuple[DataFrame, float]:
 
 
 def train_run(model: Detector, train: DataFrame) -> dict:
-    """Fit, then the score distribution on the training rows."""
+    """Fit, then the score distribution on the training rows (a written table)."""
     start = time.time()
-    model.fit(train, ID)
+    model.fit(train, ID, written=True)
     seconds = time.time() - start
     stats = score_distribution(_scores(train, model)[0], "m_score").first().asDict()
     return {"fit_seconds": seconds, **{f"train_{k}": v for k, v in stats.items()}}
@@ -65,6 +67,14 @@ def eval_run(model: Detector, val: DataFrame) -> dict:
             **{f"val_{k}": v for k, v in stats.items()}}
 
 
+def split_features(txn: DataFrame, profile: str = "expanding", share: float = 0.8,
+                   split_first: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(train, validation) features. ``split_first`` lets every window start anew at the split."""
+    if split_first:
+        return tuple(features(part, profile) for part in time_split(txn, share))
+    return time_split(materialize(features(txn, profile), "engineered"), share)
+
+
 def scale_pair(method: str, train: DataFrame, val: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Whole-table scaling learns on train; scaling with client statistics learns on each part."""
     on_train = Scaler(method).fit(train)
@@ -87,7 +97,7 @@ def experiment_grid(train: DataFrame, val: DataFrame, scalings: list[str] | None
     for scaling in scalings or list(METHODS):
         x_train, x_val = scale_pair(scaling, train, val)
         encoder = Autoencoder(**params.get(Autoencoder, {}))
-        encoder.fit(x_train, ID)
+        encoder.fit(x_train, ID, written=True)
         coded = [materialize(encoder.encode(x).select(ID, LABEL, *encoder.latent_columns()), "latent")
                  for x in (x_train, x_val)]
         for name, (detector, latent) in PIPELINES.items():

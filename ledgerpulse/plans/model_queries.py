@@ -11,7 +11,6 @@ from ledgerpulse.models.som import SelfOrganizingMap, neighbourhood, som_pass
 from ledgerpulse.models.store import ScoringModel
 from ledgerpulse.operators.evaluate import blend
 from ledgerpulse.operators.features import features
-from ledgerpulse.operators.ranking import time_split
 from ledgerpulse.operators.scale import Scaler, minmax_columns
 from ledgerpulse.plans import experiments
 from ledgerpulse.plans.queries import ID, query
@@ -31,7 +30,7 @@ CODER = {"latent": 4, "epochs": 3}
 
 
 def engineered(spark, sf_dir, scaling: str = "global_standard") -> DataFrame:
-    df = features(read_events(spark, sf_dir), "trailing")
+    df = materialize(features(read_events(spark, sf_dir), "trailing"), "engineered")
     return materialize(Scaler(scaling).fit(df).transform(df), "model-input")
 
 
@@ -87,7 +86,7 @@ def som_epoch(spark, sf_dir):
 
 @query
 def som_fit(spark, sf_dir):
-    book = SelfOrganizingMap(**MAP).fit(engineered(spark, sf_dir)).codebook
+    book = SelfOrganizingMap(**MAP).fit(engineered(spark, sf_dir), written=True).codebook
     return spark.createDataFrame([(u, c, float(v)) for u, row in enumerate(book)
                                   for c, v in zip(FEATURE_COLS, row)],
                                  "unit int, feature string, weight double")
@@ -95,7 +94,7 @@ def som_fit(spark, sf_dir):
 
 @query
 def iforest_fit(spark, sf_dir):
-    trees = IsolationForest(**FOREST).fit(engineered(spark, sf_dir)).trees
+    trees = IsolationForest(**FOREST).fit(engineered(spark, sf_dir), written=True).trees
     return spark.createDataFrame([(i, len(t), int(t[0, 4]), int((t[:, 0] < 0).sum()))
                                   for i, t in enumerate(trees)],
                                  "tree int, nodes int, samples int, leaves int")
@@ -103,7 +102,7 @@ def iforest_fit(spark, sf_dir):
 
 def _fitted(spark, sf_dir, model):
     rows = engineered(spark, sf_dir)
-    return model.fit(rows).transform(rows, "m")
+    return model.fit(rows, written=True).transform(rows, "m")
 
 
 @query
@@ -118,7 +117,7 @@ def iforest_explain(spark, sf_dir):
 
 @query
 def ae_fit(spark, sf_dir):
-    losses = Autoencoder(**CODER).fit(engineered(spark, sf_dir)).losses
+    losses = Autoencoder(**CODER).fit(engineered(spark, sf_dir), written=True).losses
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(losses)],
                                  "epoch int, validation_loss double")
 
@@ -136,19 +135,19 @@ def ae_explain(spark, sf_dir):
 @query
 def ae_encode(spark, sf_dir):
     rows = engineered(spark, sf_dir)
-    coder = Autoencoder(**CODER).fit(rows)
+    coder = Autoencoder(**CODER).fit(rows, written=True)
     return coder.encode(rows).select(ID, *coder.latent_columns())
 
 
 @query
 def meta_detector(spark, sf_dir):
     rows = engineered(spark, sf_dir)
-    coder = Autoencoder(**CODER).fit(rows)
+    coder = Autoencoder(**CODER).fit(rows, written=True)
     coded = materialize(coder.encode(rows).select(ID, *coder.latent_columns()), "latent")
     models = {"ae_if": IsolationForest(coder.latent_columns(), **FOREST),
               "ae_som": SelfOrganizingMap(coder.latent_columns(), **MAP)}
     for model in models.values():
-        model.fit(coded)
+        model.fit(coded, written=True)
     return score_all(coded, models, explain=False).select(ID, "ae_if_score", "ae_som_score")
 
 
@@ -184,8 +183,7 @@ def model_roundtrip(spark, sf_dir):
 
 @query
 def experiment_grid(spark, sf_dir):
-    df = features(read_events(spark, sf_dir), "trailing")
-    train, val = time_split(materialize(df, "engineered"), 0.8)
+    train, val = experiments.split_features(read_events(spark, sf_dir), "trailing")
     runs = experiments.experiment_grid(
         train, val, ["none", "global_standard_client_standard"],
         {IsolationForest: FOREST, SelfOrganizingMap: MAP, Autoencoder: CODER})

@@ -13,7 +13,7 @@ from ledgerpulse.schema import (CAT_COLS, CLIENT_COLS, ENGINEERED_COLS, ENTROPY_
 from ledgerpulse.sources import feeds
 from ledgerpulse.sources.events import CHANNELS, read_events
 from ledgerpulse.sources.tables import write_csv
-from ledgerpulse.storage import scratch_path
+from ledgerpulse.storage import materialize, scratch_path
 
 QUERIES = {}
 ID = "TransactionID"
@@ -142,7 +142,7 @@ def fill_zero(spark, sf_dir):
 @query
 def impute_mean(spark, sf_dir):
     columns = MOVING + ["LogTimeDiff"]
-    df = features(read_events(spark, sf_dir), "expanding", columns)
+    df = materialize(features(read_events(spark, sf_dir), "expanding", columns), "engineered")
     return clean.MeanImputer(columns).fit(df).transform(df).select(ID, *columns)
 
 
@@ -338,7 +338,7 @@ _feature_query("hour_cyclic", "trailing", ["HourSin", "HourCos"])
 
 def _scale_query(name: str, method: str, columns: list[str]):
     def run(spark, sf_dir):
-        df = features(read_events(spark, sf_dir), "trailing")
+        df = materialize(features(read_events(spark, sf_dir), "trailing"), "engineered")
         return Scaler(method).fit(df).transform(df).select(ID, *columns)
     query(run, name)
 

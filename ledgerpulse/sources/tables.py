@@ -1,6 +1,6 @@
 """Lakehouse tables as Parquet folders, partitioned by calendar day where they hold events."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,19 +35,29 @@ def create_tables(spark: SparkSession, root: str, prefix: str = "", reset: bool
     return names
 
 
-def append_rows(df: DataFrame, root: str, table: str, batch_id: int) -> None:
-    """Append one batch. Its files live under its own folder, so a repeated batch replaces itself."""
+def append_rows(df: DataFrame, root: str, table: str, batch_id: int) -> int:
+    """Append one batch and return its row count, observed while writing.
+
+    The batch's files live under its own folder, so a repeated batch replaces itself.
+    """
     schema, daily = TABLES[table]
     if not daily:
         raise ValueError(f"{table} is replaced as a whole, use overwrite_table")
+    written = Observation()
     (df.select(*schema.fieldNames()).withColumn("date", F.to_date("Time"))
+     .observe(written, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").partitionBy("date")
      .parquet(f"{table_path(root, table)}/{BATCH}={batch_id}"))
+    return written.get["rows"]
 
 
-def overwrite_table(df: DataFrame, root: str, table: str) -> None:
+def overwrite_table(df: DataFrame, root: str, table: str) -> int:
+    """Replace the whole table and return its row count."""
     schema, _ = TABLES[table]
-    df.select(*schema.fieldNames()).write.mode("overwrite").parquet(table_path(root, table))
+    written = Observation()
+    (df.select(*schema.fieldNames()).observe(written, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").parquet(table_path(root, table)))
+    return written.get["rows"]
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

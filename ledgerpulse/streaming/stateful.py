@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ledgerpulse.functions.trailing import category_arrays, trailing_block
+from ledgerpulse.functions.trailing import category_arrays, trailing_rows
 from ledgerpulse.schema import (CAT_COLS, ENGINEERED_COLS, EPS, KEY, TXN_COLS, TXN_SCHEMA,
                                 WINDOW_ROWS)
 
@@ -50,7 +50,7 @@ def stateful_features(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame
             seconds = np.concatenate([np.array(kept[0], dtype=np.int64), seconds])
             logs = np.concatenate([np.array(kept[1], dtype=float), logs])
             cats = [np.concatenate([np.array(k, dtype=object), c]) for k, c in zip(kept[2:], cats)]
-        features = trailing_block(seconds, logs, cats, seconds // 3600 % 24)
+        features = trailing_rows(seconds, logs, cats, seconds // 3600 % 24)
         state.update((seconds[-WINDOW_ROWS:].tolist(), logs[-WINDOW_ROWS:].tolist(),
                       *[[None if pd.isna(v) else v for v in c[-WINDOW_ROWS:]] for c in cats]))
         if ttl_ms:
