@@ -96,7 +96,7 @@ def experiment_grid(train: DataFrame, val: DataFrame, scalings: list[str] | None
     cells = []
     for scaling in scalings or list(METHODS):
         x_train, x_val = scale_pair(scaling, train, val)
-        encoder = Autoencoder(**params.get(Autoencoder, {}))
+        encoder = Autoencoder(columns=FEATURE_COLS, **params.get(Autoencoder, {}))
         encoder.fit(x_train, ID, written=True)
         coded = [materialize(encoder.encode(x).select(ID, LABEL, *encoder.latent_columns()), "latent")
                  for x in (x_train, x_val)]
