@@ -123,27 +123,33 @@ class IsolationForest(Detector):
         self.offset = cut
         return self
 
-    def explain_block(self, x):
-        n, width = x.shape
-        depth_sum, weight = np.zeros(n), np.zeros((n, width))
-        row = np.arange(n)
+    def _walk(self, x: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+        """Scores of a block; on request adds 1 / (depth + 1) to ``weight`` at every split passed."""
+        depth_sum, row = np.zeros(len(x)), np.arange(len(x))
         for tree in self.trees:
             feature, left, right = (tree[:, j].astype(int) for j in (0, 2, 3))
+            # path length if a walk ends in this node, counted from the node on
             ends = unsuccessful_path(tree[:, 4])
-            node, depth = np.zeros(n, dtype=int), 0
-            active = feature[node] >= 0
-            while active.any():
-                at, who = node[active], row[active]
-                weight[who, feature[at]] += 1.0 / (depth + 1)
-                goes_left = x[who, feature[at]] <= tree[at, 1]
-                node[active] = np.where(goes_left, left[at], right[at])
+            node, depth, who = np.zeros(len(x), dtype=int), 0, row[:len(x) if feature[0] >= 0 else 0]
+            while len(who):
+                at = node[who]
+                split = feature[at]
+                if weight is not None:
+                    weight[who, split] += 1.0 / (depth + 1)
+                node[who] = np.where(x[who, split] <= tree[at, 1], left[at], right[at])
                 depth_sum[who] += 1.0
                 depth += 1
-                active = feature[node] >= 0
+                who = who[feature[node[who]] >= 0]
             depth_sum += ends[node]
         usual = float(unsuccessful_path(np.array([self.samples]))[0]) * len(self.trees)
-        scores = 2.0 ** (-depth_sum / usual) if usual else np.ones(n)
-        return scores + self.offset, share(weight)
+        return (2.0 ** (-depth_sum / usual) if usual else np.ones(len(x))) + self.offset
+
+    def score_block(self, x):
+        return self._walk(x)
+
+    def explain_block(self, x):
+        weight = np.zeros(x.shape)
+        return self._walk(x, weight), share(weight)
 
     def arrays(self):
         numbered = [np.column_stack([np.full(len(t), i), t]) for i, t in enumerate(self.trees)]

@@ -36,13 +36,13 @@ def stateful_features(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame
             state.remove()
             return
         rows = pd.concat(list(blocks), ignore_index=True)
-        time = pd.to_datetime(rows["Time"]).fillna(pd.Timestamp(0))
-        rows = rows.assign(_time=time).sort_values(["_time", "TransactionID"], kind="stable")
-        stamp = rows["_time"].to_numpy().astype("datetime64[us]").astype(np.int64)
-        seconds = stamp // 1_000_000
-        amount = rows["TransactionAmount"].astype(float).fillna(EPS).to_numpy()
-        logs = np.log(np.maximum(amount, EPS))
-        cats = category_arrays(rows)
+        stamp = rows["Time"].to_numpy().astype("datetime64[us]")
+        stamp = np.where(np.isnat(stamp), np.datetime64(0, "us"), stamp).astype(np.int64)
+        order = np.lexsort((rows["TransactionID"].to_numpy(dtype=object).astype(str), stamp))
+        seconds = stamp[order] // 1_000_000
+        amount = rows["TransactionAmount"].to_numpy(dtype=float)[order]
+        logs = np.log(np.where(amount > EPS, amount, EPS))
+        cats = [c[order] for c in category_arrays(rows)]
         before = 0
         if state.exists:
             kept = state.get
@@ -55,7 +55,9 @@ def stateful_features(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame
                       *[[None if pd.isna(v) else v for v in c[-WINDOW_ROWS:]] for c in cats]))
         if ttl_ms:
             state.setTimeoutDuration(ttl_ms)
-        yield rows[TXN_COLS].assign(**{c: features[c][before:] for c in ENGINEERED_COLS})
+        # one constructor call: adding columns one by one costs more than computing them
+        yield pd.DataFrame({**{c: rows[c].to_numpy()[order] for c in TXN_COLS},
+                            **{c: features[c][before:] for c in ENGINEERED_COLS}})
 
     return (stream.select(*TXN_COLS).groupBy(KEY)
             .applyInPandasWithState(advance, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout))
