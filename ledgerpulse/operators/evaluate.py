@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.operators.prefix import running_totals
-from ledgerpulse.operators.quantiles import exact_quantiles
+from ledgerpulse.operators.quantiles import exact_quantiles, number
 
 
 def curve(scored: DataFrame, score: str, label: str) -> DataFrame:
@@ -71,8 +71,11 @@ def _precision_recall_f1() -> list:
 
 def blend(df: DataFrame, weights: dict[str, float], name: str = "ensemble") -> DataFrame:
     """Weighted sum of score columns."""
-    total = " + ".join(f"({w!r}D * `{c}`)" for c, w in weights.items())
-    return df.withColumn(name, F.expr(total))
+    return df.withColumn(name, F.expr(weighted(weights)))
+
+
+def weighted(weights: dict[str, float]) -> str:
+    return " + ".join(f"({w!r}D * `{c}`)" for c, w in weights.items())
 
 
 def weight_grid(step: float) -> list[tuple[float, float, float]]:
@@ -89,17 +92,16 @@ def ensemble_search(scored: DataFrame, scores: tuple[str, str, str], label: str,
     All blends are columns of the same passes: the rows are never multiplied by the grid.
     """
     grid = weight_grid(step)
-    blends = {f"b{k}": F.expr(" + ".join(f"({w!r}D * `{c}`)" for w, c in zip(ws, scores)))
-              for k, ws in enumerate(grid)}
-    at = exact_quantiles(scored, blends, [prob])
-    checks = [F.count_if(F.col(label) == 1).alias("positives")]
-    for name, value in blends.items():
-        above = value > at[name, prob]
-        checks += [F.count_if(above & (F.col(label) == 1)).alias(f"tp_{name}"),
-                   F.count_if(above).alias(f"flagged_{name}")]
+    sums = {f"b{k}": weighted(dict(zip(scores, ws))) for k, ws in enumerate(grid)}
+    at = exact_quantiles(scored, {name: F.expr(s) for name, s in sums.items()}, [prob])
+    checks = [F.expr(f"count_if({label} = 1)").alias("positives")]
+    for name, s in sums.items():
+        above = f"({s}) > {number(at[name, prob])}"
+        checks += [F.expr(f"count_if({above} AND {label} = 1)").alias(f"tp_{name}"),
+                   F.expr(f"count_if({above})").alias(f"flagged_{name}")]
     counts = scored.agg(*checks).first()
     rows, best = [], None
-    for name, ws in zip(blends, grid):
+    for name, ws in zip(sums, grid):
         tp, flagged, positives = (counts[f"tp_{name}"], counts[f"flagged_{name}"], counts["positives"])
         row = dict(zip(("w1", "w2", "w3"), ws), threshold=at[name, prob],
                    precision=tp / flagged if flagged else 0.0,

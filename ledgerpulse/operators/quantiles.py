@@ -32,13 +32,13 @@ class _Target:
         self.first = math.floor(self.position)
         self.last = math.ceil(self.position)
 
-    @property
-    def within(self) -> Column:
-        return F.col(self.name).between(self.low, self.high)
+    def within(self) -> str:
+        return f"`{self.name}` BETWEEN {number(self.low)} AND {number(self.high)}"
 
-    def covers(self, rank: int) -> Column:
-        """Does this row (``n`` equal values, ``upto`` values so far) hold the 0-based rank?"""
-        return (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+
+def number(x: float) -> str:
+    """SQL text of a double, exact."""
+    return f"{x!r}D" if math.isfinite(x) else f"double('{'-' if x < 0 else ''}Infinity')"
 
 
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float],
@@ -60,19 +60,18 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
 
 
 def _narrow(slim: DataFrame, targets: list[_Target]) -> None:
-    def around(t):
-        left = (t.first - t.below) / t.inside - MARGIN
-        right = (t.last + 1 - t.below) / t.inside + MARGIN
-        probs = F.array(F.lit(max(0.0, left)), F.lit(min(1.0, right)))
-        return F.percentile_approx(F.when(t.within, F.col(t.name)), probs, F.lit(ACCURACY))
+    def around(t: _Target) -> str:
+        left = max(0.0, (t.first - t.below) / t.inside - MARGIN)
+        right = min(1.0, (t.last + 1 - t.below) / t.inside + MARGIN)
+        return (f"percentile_approx(CASE WHEN {t.within()} THEN `{t.name}` END, "
+                f"array({left!r}D, {right!r}D), {ACCURACY})")
 
-    bounds = slim.agg(*[around(t).alias(str(i)) for i, t in enumerate(targets)]).first()
+    bounds = slim.agg(*[F.expr(around(t)).alias(f"q{i}") for i, t in enumerate(targets)]).first()
     checks = []
     for i, t in enumerate(targets):
-        low, high = bounds[i]
-        value = F.col(t.name)
-        checks += [F.count_if(t.within & (value < low)).alias(f"b{i}"),
-                   F.count_if(value.between(low, high)).alias(f"i{i}")]
+        low, high = map(number, bounds[i])
+        checks += [F.expr(f"count_if({t.within()} AND `{t.name}` < {low})").alias(f"b{i}"),
+                   F.expr(f"count_if(`{t.name}` BETWEEN {low} AND {high})").alias(f"i{i}")]
     counts = slim.agg(*checks).first()
     for i, t in enumerate(targets):
         low, high = bounds[i]
@@ -85,21 +84,23 @@ def _narrow(slim: DataFrame, targets: list[_Target]) -> None:
 
 
 def _rank(slim: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:
-    picks = [F.when(t.within, F.struct(F.lit(i).alias("t"), F.col(t.name).alias("v")))
+    picks = [f"CASE WHEN {t.within()} THEN struct({i} AS t, `{t.name}` AS v) END"
              for i, t in enumerate(targets)]
-    counts = (slim.select(F.explode(F.array_compact(F.array(*picks))).alias("x")).select("x.*")
+    counts = (slim.select(F.expr(f"inline(array_compact(array({', '.join(picks)})))"))
               .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
-    below = F.element_at(F.array(*[F.lit(t.below) for t in targets]), F.col("t") + 1)
+
+    def of_target(values: list[int]) -> Column:
+        return F.expr(f"element_at(array({', '.join(f'{v}L' for v in values)}), t + 1)")
+
     upto = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("upto", F.sum("n").over(upto) + below)
+    ranked = counts.withColumn("upto", F.sum("n").over(upto) + of_target([t.below for t in targets]))
 
-    def at(rank):
-        hit = F.lit(False)
-        for i, t in enumerate(targets):
-            hit = F.when(F.col("t") == i, t.covers(getattr(t, rank))).otherwise(hit)
-        return F.max(F.when(hit, F.col("v")))
+    def at(ranks: list[int]) -> Column:
+        rank = of_target(ranks)
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("v")))
 
-    rows = ranked.groupBy("t").agg(at("first").alias("a"), at("last").alias("b")).collect()
+    rows = ranked.groupBy("t").agg(at([t.first for t in targets]).alias("a"),
+                                   at([t.last for t in targets]).alias("b")).collect()
     out = {}
     for r in rows:
         t = targets[r["t"]]

@@ -403,7 +403,8 @@ def ensemble_blend(spark, sf_dir):
 
 @query
 def ensemble_search(spark, sf_dir):
-    rows = evaluate.ensemble_search(_unit_scores(spark, sf_dir), SCORES, "isAnomaly", step=0.25)
+    unit = materialize(_unit_scores(spark, sf_dir), "unit-scores")
+    rows = evaluate.ensemble_search(unit, SCORES, "isAnomaly", step=0.25)
     return spark.createDataFrame(rows, "w1 double, w2 double, w3 double, threshold double, "
                                        "precision double, recall double, f1 double, best boolean")
 
