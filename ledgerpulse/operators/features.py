@@ -20,6 +20,7 @@ from ledgerpulse.schema import (CAT_COLS, ENGINEERED_COLS, ENTROPY_COLS, EPS, FR
 
 LOOK_BACK = WINDOW_ROWS - 1
 PROFILES = ("trailing", "expanding", "value_frame")
+ROW_COLS = {"LogAmount", "HourSin", "HourCos"}
 
 
 def features(txn: DataFrame, profile: str = "trailing", keep: list[str] | None = None,
@@ -30,7 +31,9 @@ def features(txn: DataFrame, profile: str = "trailing", keep: list[str] | None =
     wanted = ENGINEERED_COLS if keep is None else keep
     counted = profile != "trailing" and any(c in FREQ_COLS + ENTROPY_COLS for c in wanted)
     inputs = txn.columns
-    keyed = slice_accounts(txn, LOOK_BACK, counted, max_rows)
+    # columns of the row alone need no look at the accounts: their unused windows are pruned
+    keyed = (Keyed(txn) if set(wanted) <= ROW_COLS
+             else slice_accounts(txn, LOOK_BACK, counted, max_rows))
     build = {"trailing": _trailing, "expanding": _expanding, "value_frame": _value_frame}[profile]
     return keyed.own(build(keyed, wanted)).select(*inputs, *wanted)
 
