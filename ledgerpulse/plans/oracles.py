@@ -1,7 +1,7 @@
 """The registered queries as plain SQL over the same tables, written independently of the code."""
 
-from ledgerpulse.schema import (CAT_COLS, CATEGORIES, CLIENT_COLS, ENGINEERED_COLS, ENTROPY_COLS,
-                                FEATURE_COLS, FREQ_COLS, GLOBAL_COLS, TIME_COLS, TXN_COLS)
+from ledgerpulse.schema import (CAT_COLS, CLIENT_COLS, ENGINEERED_COLS, ENTROPY_COLS,
+                                FEATURE_COLS, FREQ_COLS, GLOBAL_COLS, TABLES, TXN_COLS)
 
 ORACLES: dict[str, str] = {}
 ACC = "AccountNumber"
@@ -377,3 +377,53 @@ near AS (SELECT p.u, q.u AS b, exp(-((p.u // 2 - q.u // 2) * (p.u // 2 - q.u //
   FROM (SELECT DISTINCT u FROM book) p, (SELECT DISTINCT u FROM book) q)""",
     ["CAST(u AS INT) AS unit", "CAST(j AS INT) AS position", r6("sum(h * s) / sum(h * n)", "weight")],
     "near JOIN won USING (b)", "GROUP BY u, j")
+
+# --- detectors with weights given by a rule -----------------------------------------------
+
+
+def _layer(source: str, width: int, layer: int, relu: bool) -> str:
+    z = (f"sum(x * ((31 * j + 17 * o.range + {7 * layer}) % 13 - 6) / 20.0) + (o.range % 5 - 2) / 10.0")
+    return (f"SELECT vec_id, o.range AS j, {f'greatest({z}, 0.0)' if relu else z} AS x "
+            f"FROM {source}, range({width}) o GROUP BY vec_id, o.range")
+
+
+CODER = MAP + f""",
+x0 AS (SELECT vec_id, j, x FROM v),
+x1 AS ({_layer('x0', 12, 0, True)}), x2 AS ({_layer('x1', 6, 1, True)}),
+x3 AS ({_layer('x2', 12, 2, True)}), x4 AS ({_layer('x3', 64, 3, False)}),
+missed AS (SELECT vec_id, j, (x0.x - x4.x) * (x0.x - x4.x) AS e FROM x0 JOIN x4 USING (vec_id, j)),
+ae AS (SELECT vec_id, avg(e) AS ae_score FROM missed GROUP BY 1)"""
+PATH = "CASE WHEN {n} = 1 THEN 0 ELSE 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / CAST({n} AS DOUBLE) END"
+FOREST = f"""
+cells AS (SELECT vec_id, t.range AS t, CAST(embedding[3 * t.range % 64 + 1] AS DOUBLE) AS a,
+    CAST(embedding[(3 * t.range + 1) % 64 + 1] AS DOUBLE) AS b,
+    CAST(embedding[(3 * t.range + 2) % 64 + 1] AS DOUBLE) AS c FROM embeddings, range(5) t),
+walks AS (SELECT vec_id, t, a <= 0 AS goes_left, CASE WHEN a <= 0 THEN CASE WHEN b <= 0.05 THEN 100 ELSE 60 END
+    ELSE CASE WHEN c <= -0.05 THEN 1 ELSE 95 END END AS n FROM cells),
+forest AS (SELECT vec_id, pow(2, -avg(2 + {PATH.format(n='n')}) / ({PATH.format(n='256')})) - 0.5 AS if_score
+  FROM walks GROUP BY 1),
+passed AS (SELECT vec_id, 3 * t % 64 AS j, 1.0 AS w FROM walks UNION ALL
+    SELECT vec_id, CASE WHEN goes_left THEN 3 * t + 1 ELSE 3 * t + 2 END % 64, 0.5 FROM walks)"""
+add("ae_encode_rule", CODER, ["vec_id", *[r6(f"max(CASE WHEN j = {i} THEN x END)", f"z{i}") for i in range(6)]],
+    "x2", "GROUP BY vec_id")
+add("ae_explain_rule", CODER, ["vec_id", "'e' || CAST(j AS VARCHAR) AS feature",
+                               r6("e / (sum(e) OVER (PARTITION BY vec_id) + 1e-8)", "value")], "missed")
+add("iforest_explain_rule", FOREST, [
+    "vec_id", "'e' || CAST(c.range AS VARCHAR) AS feature",
+    r6("coalesce((SELECT sum(w) FROM passed p WHERE p.vec_id = m.vec_id AND p.j = c.range), 0) / (7.5 + 1e-8)",
+       "value")], "embeddings m, range(64) c")
+add("ensemble_score_rule", f"{CODER}, {FOREST}", ["vec_id", r6("if_score"), r6("ae_score"), r6("d", "som_score")],
+    "forest JOIN ae USING (vec_id) JOIN bmu USING (vec_id)")
+ORACLES["model_roundtrip"] = f"WITH {TXN.strip()} SELECT TransactionID, TRUE AS same FROM txn"
+
+TABLE_ROWS = {
+    "bronze.transactions": "count(*)", "silver.features": "count(*)", "gold.TransactionFact": "count(*)",
+    "gold.ExplainFact": f"{len(FEATURE_COLS)} * count(*)", "gold.ClientDim": "count(DISTINCT user_id)",
+    "gold.MerchandDim": "count(DISTINCT props->>'k')",
+    "gold.TimeDim": "CAST(date_diff('minute', date_trunc('year', min(ts)), date_trunc('year', max(ts)) "
+                    "+ INTERVAL 1 YEAR) AS BIGINT)",
+}
+ORACLES["table_schemas"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", (SELECT {TABLE_ROWS[t]} FROM events) AS rows, CAST({i} AS INT) AS position, "
+    f"'{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type"
+    for t, (schema, _) in TABLES.items() for i, f in enumerate(schema))
