@@ -34,7 +34,14 @@ def medallion_sink(root: str, model: ScoringModel, prefix: str,
                    **thresholds) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function. ``engineer`` adds features where the stream has none yet."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(engineer(batch) if engineer else batch, batch_id, root, model, prefix, **thresholds)
+        if engineer is None:
+            write_batch(batch, batch_id, root, model, prefix, **thresholds)
+            return
+        batch.persist()      # features look at the batch more than once
+        try:
+            write_batch(engineer(batch), batch_id, root, model, prefix, **thresholds)
+        finally:
+            batch.unpersist()
     return write
 
 
