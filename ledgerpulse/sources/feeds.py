@@ -67,14 +67,12 @@ def load_train(spark: SparkSession, path: str) -> DataFrame:
 def load_labeled(spark: SparkSession, path: str) -> DataFrame:
     """Validation file: client columns dropped, label ``isAnomaly`` kept as an integer."""
     df = _read_csv(spark, path).drop(*LABELED_EXTRA)
-    df = df.withColumnRenamed("TranasctionID", "TransactionID")
     return date_hour(rank_pct(_typed(df).withColumn("isAnomaly", F.col("isAnomaly").cast("int"))))
 
 
 def anomaly_types(spark: SparkSession, path: str) -> DataFrame:
     """TransactionID and AnomalyType of the validation file, to join back after scoring."""
-    return (_read_csv(spark, path).withColumnRenamed("TranasctionID", "TransactionID")
-            .select("TransactionID", "AnomalyType"))
+    return _read_csv(spark, path).select("TransactionID", "AnomalyType")
 
 
 def csv_to_events(spark: SparkSession, path: str) -> DataFrame:

@@ -57,7 +57,7 @@ def test_training_file(spark, tmp_path):
 
 
 def test_labeled_file_drops_client_columns(spark, tmp_path):
-    lines = ["ClientID,ClientName,AnomalyType,TranasctionID,Time,Account Number,Transaction Amount,Age,isAnomaly",
+    lines = ["ClientID,ClientName,AnomalyType,TransactionID,Time,Account Number,Transaction Amount,Age,isAnomaly",
              "9,N,big,1,2024-01-01 00:00:00,A,5,40,1"]
     (tmp_path / "v.csv").write_text("\n".join(lines))
     row = feeds.load_labeled(spark, str(tmp_path / "v.csv")).first().asDict()
