@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import quality, token_counts, url_filter
+from ledgerpulse.llm import order_minhash, quality, simhash, token_counts, url_filter
 from ledgerpulse.llm.common import fold, table
 
 QUERIES, ORACLES = {}, {}
@@ -40,6 +40,17 @@ def op3_quality(spark, sf_dir):
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
+@query
+def op4_simhash(spark, sf_dir):
+    return simhash.classes(documents(spark, sf_dir)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_order_minhash(spark, sf_dir):
+    return order_minhash.with_next(documents(spark, sf_dir))
+
+
 @query
 def op5_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
