@@ -39,7 +39,7 @@ def numbered_kmers(data: bytes) -> np.ndarray:
     """One hash for each k-mer together with its occurrence number, in text order."""
     data = data + bytes(K - len(data)) if len(data) < K else data
     windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), K)
-    kmers = np.ascontiguousarray(windows).view(np.uint64).ravel()
+    kmers = windows.copy().view(np.uint64).ravel()
     order = np.argsort(kmers, kind="stable")
     ranked = kmers[order]
     again = np.flatnonzero(ranked[1:] == ranked[:-1]) + 1   # second and later occurrences
