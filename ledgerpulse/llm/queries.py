@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import order_minhash, quality, simhash, token_counts, url_filter
+from ledgerpulse.llm import decontaminate, license_scan, order_minhash, quality, simhash, token_counts, url_filter
 from ledgerpulse.llm.common import fold, table
 
 QUERIES, ORACLES = {}, {}
@@ -46,6 +46,16 @@ def op4_simhash(spark, sf_dir):
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("h")
+
+
+@query
+def op8_license_scan(spark, sf_dir):
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 @query
 def op9_order_minhash(spark, sf_dir):
     return order_minhash.with_next(documents(spark, sf_dir))
