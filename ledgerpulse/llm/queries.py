@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import decontaminate, license_scan, order_minhash, quality, simhash, token_counts, url_filter
+from ledgerpulse.llm import decontaminate, license_scan, line_dedup, order_minhash, quality, simhash, token_counts, url_filter
 from ledgerpulse.llm.common import fold, table
 
 QUERIES, ORACLES = {}, {}
@@ -25,6 +25,11 @@ def documents(spark, sf_dir, *more):
     return table(spark, sf_dir, "documents").select("doc_id", "text", *more)
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
