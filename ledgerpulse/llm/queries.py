@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import decontaminate, license_scan, line_dedup, order_minhash, quality, simhash, token_counts, url_filter
+from ledgerpulse.llm import (class_lm, decontaminate, license_scan, line_dedup, order_minhash, quality, simhash,
+                             token_counts, url_filter)
 from ledgerpulse.llm.common import fold, table
 
 QUERIES, ORACLES = {}, {}
@@ -51,6 +52,13 @@ def op4_simhash(spark, sf_dir):
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op6_class_lm(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = class_lm.score(docs, docs.where(fold("doc_id", 7) != 2))
+    return scored.withColumn("held_out", fold("doc_id", 7) == 2)
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("h")
