@@ -7,8 +7,9 @@ tests compare each stage with a brute-force version.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import quality
+from ledgerpulse.llm import decontaminate, line_dedup, quality, sentence_pieces, simhash
 from ledgerpulse.llm.common import table
+from ledgerpulse.llm.queries import tokenizer_path
 from ledgerpulse.storage import materialize
 
 ORACLE_SQL = None
@@ -20,7 +21,41 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, weights, out="_score").where(F.col("_score") >= 0.5).drop("_score")
 
 
-STAGES = [("quality classifier", good_quality)]
+def no_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of line runs; one that consisted of copies alone goes."""
+    cut = line_dedup.dedup_lines(docs)
+    emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    return cut.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("bigint")).select(
+        *docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: the one with the smallest id, of equal rows one."""
+    classes = materialize(simhash.classes(docs.select("doc_id", "text")), "near-duplicates")
+    stay = classes.groupBy("root").agg(F.min(F.struct("doc_id", "h")).alias("k")).select(
+        F.col("k.doc_id").alias("_id"), F.col("k.h").alias("_h"))
+    rows = docs.withColumn("_own", F.xxhash64("text"))
+    kept = rows.join(stay, rows["doc_id"].eqNullSafe(stay["_id"]) & (rows["_own"] == stay["_h"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+
+
+def no_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    hits = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    hits = hits.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    rows = docs.withColumn("_own", F.xxhash64("text"))
+    return rows.join(hits, rows["doc_id"].eqNullSafe(hits["_id"]) & (rows["_own"] == hits["_h"]), "left_anti").select(
+        *docs.columns)
+
+
+def as_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document in place of its text."""
+    return sentence_pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+STAGES = [("quality classifier", good_quality), ("line dedup", no_repeated_lines),
+          ("SimHash near-dedup", one_of_each_group), ("benchmark decontamination", no_benchmark_text),
+          ("SentencePiece encoding", as_ids)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

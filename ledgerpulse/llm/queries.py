@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import (class_lm, decontaminate, license_scan, line_dedup, order_minhash, quality, simhash,
-                             token_counts, url_filter)
+from ledgerpulse.llm import (class_lm, decontaminate, license_scan, line_dedup, order_minhash, quality,
+                             sentence_pieces, simhash, token_counts, url_filter)
 from ledgerpulse.llm.common import fold, table
 
 QUERIES, ORACLES = {}, {}
@@ -102,3 +102,11 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict
 FROM url LEFT JOIN (SELECT * FROM fit WHERE k = 1) f USING (rid)
 """
+
+
+@query
+def op10_sentence_pieces(spark, sf_dir):
+    path = tokenizer_path("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(documents(spark, sf_dir), path)
+    back = sentence_pieces.decode(encoded, path)
+    return back.select("doc_id", "n_tokens", "ids", F.sha2("text", 256).alias("decoded_sha256"))

@@ -188,13 +188,15 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def classes(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, h, component_id) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, fp, h, root, component_id) for every row of ``docs`` (doc_id, text).
+
+    ``root`` is a fingerprint that names the class, ``component_id`` its smallest id, ``h`` a hash of the text.
+    """
     marks = materialize(fingerprints(docs), "simhash")
     least = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = components(links(marks.select("fp").distinct(), radius))
     rooted = (least.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     rooted = materialize(rooted, "simhash-roots")
-    named = (rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-             .select("fp", "component_id"))
-    return marks.join(named, "fp").select("doc_id", "fp", "h", "component_id")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").drop("least")
+    return marks.join(named, "fp").select("doc_id", "fp", "h", "root", "component_id")
