@@ -34,8 +34,9 @@ def hashed(text: str, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     Index 0 is the intercept.
     """
     tokens = TOKEN.findall(text)
-    for t in set(tokens) - known.keys():
-        known[t] = zlib.crc32(t.encode("utf-8", "surrogatepass"))
+    for t in set(tokens):
+        if t not in known:
+            known[t] = zlib.crc32(t.encode("utf-8", "surrogatepass"))
     one = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
     two = one[:-1] * STEP + one[1:] + np.uint64(1 << 33)
     slot = (np.concatenate([one, two]) * MIX) >> np.uint64(64 - BITS)
