@@ -37,8 +37,9 @@ def rolling(text: str, known: dict[str, int]) -> np.ndarray:
     words = WORD.findall(text.lower())
     if len(words) < SEED:
         return np.zeros(0, np.int64)
-    for w in set(words) - known.keys():
-        known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+    for w in set(words):
+        if w not in known:
+            known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
     code = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     total = np.zeros(len(words) - SEED + 1, np.uint64)
     for k in range(SEED):
