@@ -11,8 +11,8 @@ HEAD squared numbers) and the ``LOOKUP`` words whose counts every scoring task h
 words reach the texts by a join, so every word counts in every score.
 
 Null and empty texts consist of the end alone; texts of any length are read whole. Rows are scored one by
-one, also repeated ones. Without training texts every count is zero. An empty table gives an empty table,
-columns other than the id and text are ignored.
+one, also repeated ones. Without training texts every count is zero. An empty table gives an empty table;
+other columns are kept unless their names clash with the added ones.
 """
 
 from collections import Counter
@@ -31,6 +31,8 @@ LENGTHS, RULES = 5, 10          # rule classes: five lengths, ending in a letter
 END = b""                       # words are never empty
 FLUSH = 300_000
 PRIOR = 20.0                    # weight of the class frequencies in a transition
+PARTS = ["n_tokens", "held", "logs", "chain", "rare", "rare_n"]
+ADDED = [*PARTS, "n_known", "train_tokens", "base_score", "score", "perplexity", "_row"]
 
 
 def words_of(text: str) -> list[bytes]:
@@ -233,9 +235,8 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD, classes: int =
             types[rule(w)] -= 1
     model = spark.sparkContext.broadcast(ClassModel(
         pairs.reshape(lex.size, lex.size), lex.head, min(classes, max(lex.head, 1)), lex.head_counts, types))
-    keep = [c for c in docs.columns if c != "text"]
+    keep = [c for c in docs.columns if c != "text" and c not in ADDED]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    parts = ["n_tokens", "held", "logs", "chain", "rare", "rare_n"]
 
     def read(batches):
         lx, m = shared.value, model.value
@@ -257,7 +258,7 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD, classes: int =
                 [*(batch.column(c) for c in keep), pa.array(n.astype(np.int64)), pa.array(found.astype(np.int64)),
                  pa.array(sums), pa.array(chain),
                  pa.array([[w.decode() for w in r] for r in rare], pa.list_(pa.string())),
-                 pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))], [*keep, *parts])
+                 pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))], [*keep, *PARTS])
 
     local = materialize(docs.select(*[F.col(f"`{c}`") for c in keep], "text").mapInArrow(
         read, (kinds + ", " if kinds else "") + "n_tokens bigint, held bigint, logs double, chain double, rare array<string>, "

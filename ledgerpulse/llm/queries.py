@@ -110,3 +110,42 @@ def op10_sentence_pieces(spark, sf_dir):
     encoded = sentence_pieces.encode(documents(spark, sf_dir), path)
     back = sentence_pieces.decode(encoded, path)
     return back.select("doc_id", "n_tokens", "ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def _license_sql() -> str:
+    values = ", ".join(f"({k}, '{label}', string_split('{t}', ' '))"
+                       for k, (label, t) in enumerate(license_scan.TEMPLATES))
+    hits, tags = [], []
+    for p, label in license_scan.PHRASES:
+        parts = p.split(" ")
+        same = " AND ".join(f"words[i + {k + 1}] = '{w}'" for k, w in enumerate(parts))
+        hit = f"list_filter(range(0, len(words) - {len(parts) - 1}), lambda i: {same})"
+        hits.append(hit)
+        tags.append(f"CASE WHEN len({hit}) > 0 THEN ['{label}'] ELSE [] END")
+    return rf"""
+WITH plain AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g') AS lines FROM documents),
+doc AS (
+  SELECT doc_id, rid, list_filter(string_split(replace(lines, chr(10), ' '), ' '), lambda w: w <> '') AS words FROM plain),
+base AS (
+  SELECT doc_id, rid, len(words) AS n_words, list_concat({', '.join(hits)}) AS places,
+         list_concat({', '.join(tags)}) AS tags FROM doc),
+template AS (
+  SELECT k, label, list_distinct(t) AS t, len(list_distinct(t)) AS size FROM (VALUES {values}) v(k, label, t)),
+block AS (SELECT rid, string_split(unnest(string_split(lines, chr(10))), ' ') AS words FROM plain),
+met AS (
+  SELECT rid, label, len(list_intersect(t, words)) / size AS share FROM block, template
+  WHERE len(list_intersect(t, words)) >= ceil(size * {license_scan.THRESHOLD})),
+more AS (SELECT rid, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY rid)
+SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base,
+       list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
+       array_to_string(list_sort(list_distinct(tags)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(tags, coalesce(labels, [])))), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(round(share, 6), 0.0)::DOUBLE END AS score
+FROM base LEFT JOIN more USING (rid)
+"""
+
+
+ORACLES["op8_license_scan"] = _license_sql()
