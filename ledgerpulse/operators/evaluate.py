@@ -1,10 +1,16 @@
 """Labelled evaluation of anomaly scores: ROC and precision-recall curves, F1, ensembles."""
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.operators.prefix import running_totals
-from ledgerpulse.operators.quantiles import exact_quantiles, number
+from ledgerpulse.operators.quantiles import exact_quantiles
+from ledgerpulse.storage import materialize
 
 
 def curve(scored: DataFrame, score: str, label: str) -> DataFrame:
@@ -85,31 +91,115 @@ def weight_grid(step: float) -> list[tuple[float, float, float]]:
             for i in range(n + 1) for j in range(n + 1 - i)]
 
 
+THRESHOLDS = 1000      # equal parts of [0, 1] that an ensemble's curves are drawn with
+SEARCH_SCHEMA = ("w1 double, w2 double, w3 double, threshold double, precision double, recall double, f1 double, "
+                 "roc_auc double, pr_auc double, best boolean")
+
+
+def blend_counts(scored: DataFrame, scores: tuple[str, str, str], label: str, grid: list[tuple],
+                 parts: int = THRESHOLDS) -> DataFrame:
+    """(b, part, rows, pos): rows and positives of blend ``b`` in each part of [0, 1].
+
+    A task adds up its rows in one array of blends x parts; rows are never multiplied by the grid.
+    """
+    weights = np.array(grid)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, len(weights) * parts), np.int64)
+        for batch in batches:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in scores]
+            hit = batch.column("_hit").to_numpy(zero_copy_only=False).astype(bool)
+            for b, w in enumerate(weights):
+                value = w[0] * columns[0] + w[1] * columns[1] + w[2] * columns[2]
+                at = b * parts + np.clip(np.floor(value * parts), 0, parts - 1).astype(np.int64)
+                total[0] += np.bincount(at, minlength=total.shape[1])
+                total[1] += np.bincount(at[hit], minlength=total.shape[1])
+        at = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((at // parts).astype(np.int32)), pa.array((at % parts).astype(np.int32)),
+             pa.array(total[0, at]), pa.array(total[1, at])], ["b", "part", "rows", "pos"])
+
+    slim = scored.select(*[F.col(c).cast("double").alias(c) for c in scores],
+                         F.coalesce(F.col(label) == 1, F.lit(False)).alias("_hit")).dropna()
+    return (slim.mapInArrow(count, "b int, part int, rows bigint, pos bigint").groupBy("b", "part")
+            .agg(F.sum("rows").alias("rows"), F.sum("pos").alias("pos")))
+
+
+def values_in_parts(scored: DataFrame, scores: tuple[str, str, str], label: str, grid: list[tuple],
+                    wanted: dict[int, list[int]], parts: int = THRESHOLDS) -> DataFrame:
+    """(b, v, n, pos): the blend values that lie in a wanted part of their blend, counted."""
+    weights = np.array(grid)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in scores]
+            hit = batch.column("_hit").to_numpy(zero_copy_only=False).astype(np.int64)
+            for b, w in enumerate(weights):
+                value = w[0] * columns[0] + w[1] * columns[1] + w[2] * columns[2]
+                at = np.flatnonzero(np.isin(np.clip(np.floor(value * parts), 0, parts - 1), wanted[b]))
+                if len(at):
+                    v, place = np.unique(value[at], return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(v), b, np.int32)), pa.array(v), pa.array(np.bincount(place)),
+                         pa.array(np.bincount(place, hit[at]).astype(np.int64))], ["b", "v", "n", "pos"])
+
+    slim = scored.select(*[F.col(c).cast("double").alias(c) for c in scores],
+                         F.coalesce(F.col(label) == 1, F.lit(False)).alias("_hit")).dropna()
+    return (slim.mapInArrow(pick, "b int, v double, n bigint, pos bigint").groupBy("b", "v")
+            .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")))
+
+
 def ensemble_search(scored: DataFrame, scores: tuple[str, str, str], label: str,
-                    step: float = 0.05, prob: float = 0.95) -> list[dict]:
-    """F1 at the percentile threshold for every weight triple; ``best`` marks the first maximum.
+                    step: float = 0.05, prob: float = 0.95) -> DataFrame:
+    """One row per weight triple: F1 at the exact percentile threshold, ROC-AUC and PR-AUC.
 
-    All blends are columns of the same passes: the rows are never multiplied by the grid.
+    Scores are expected in [0, 1]. The curves take the borders of ``THRESHOLDS`` equal parts as
+    thresholds; the percentile is ranked exactly among the values of the one or two parts that hold it.
+    ``best`` marks the first maximum of F1. Rows without all scores are left out.
     """
-    grid = weight_grid(step)
-    sums = {f"b{k}": weighted(dict(zip(scores, ws))) for k, ws in enumerate(grid)}
-    at = exact_quantiles(scored, {name: F.expr(s) for name, s in sums.items()}, [prob])
-    checks = [F.expr(f"count_if({label} = 1)").alias("positives")]
-    for name, s in sums.items():
-        above = f"({s}) > {number(at[name, prob])}"
-        checks += [F.expr(f"count_if({above} AND {label} = 1)").alias(f"tp_{name}"),
-                   F.expr(f"count_if({above})").alias(f"flagged_{name}")]
-    counts = scored.agg(*checks).first()
-    rows, best = [], None
-    for name, ws in zip(sums, grid):
-        tp, flagged, positives = (counts[f"tp_{name}"], counts[f"flagged_{name}"], counts["positives"])
-        row = dict(zip(("w1", "w2", "w3"), ws), threshold=at[name, prob],
-                   precision=tp / flagged if flagged else 0.0,
-                   recall=tp / positives if positives else 0.0,
-                   f1=2 * tp / (flagged + positives) if flagged + positives else 0.0, best=False)
-        rows.append(row)
-        if row["f1"] > (best["f1"] if best else 0.0):
-            best = row
-    if best:
-        best["best"] = True
-    return rows
+    spark, grid = scored.sparkSession, weight_grid(step)
+    counts = materialize(blend_counts(scored, scores, label, grid), "blend-counts")
+    # blends x parts rows at most, whatever the table's size
+    frame = counts.toPandas().sort_values(["b", "part"])
+    if frame.empty:
+        return spark.createDataFrame([(*w, None, 0.0, 0.0, 0.0, None, None, False) for w in grid], SEARCH_SCHEMA)
+    shape = (len(grid), THRESHOLDS)
+    rows, pos = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+    rows[frame["b"], frame["part"]], pos[frame["b"], frame["part"]] = frame["rows"], frame["pos"]
+    n, positives = int(rows[0].sum()), int(pos[0].sum())
+    position = prob * (n - 1)
+    first, last = math.floor(position), math.ceil(position)
+    upto = rows.cumsum(axis=1)
+    wanted = {b: sorted({int(np.searchsorted(upto[b], r, "right")) for r in (first, last)}) for b in range(len(grid))}
+    below = [int(upto[b, w[0]] - rows[b, w[0]]) for b, w in wanted.items()]
+    values = values_in_parts(scored, scores, label, grid, wanted)
+    ranked = running_totals(values, ["b"], ["v"], ["n", "pos"], "blend-values")
+    start = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in below]), F.col("b") + 1)
+    ranked = ranked.withColumn("to", F.col("n_upto") + start)
+
+    def at(rank: int):
+        return F.max(F.when((F.col("to") > rank) & (F.col("to") - F.col("n") <= rank), F.col("v")))
+
+    # of the rows above the lower neighbour only those up to the upper one may lie below the threshold
+    found = {r["b"]: r for r in ranked.groupBy("b").agg(
+        at(first).alias("low"), at(last).alias("high"), F.collect_list(F.when(
+            (F.col("to") > first) & (F.col("to") - F.col("n") <= last), F.struct("v", "n", "pos", "to", "pos_upto"))
+        ).alias("near")).collect()}
+    out = []
+    for b, w in enumerate(grid):
+        low, high = found[b]["low"], found[b]["high"]
+        cut = low + (high - low) * (position - first)
+        kept = [x for x in found[b]["near"] if x["v"] <= cut]
+        last_kept = max(kept, key=lambda x: x["v"])
+        flagged = n - last_kept["to"]
+        tp = positives - (int(pos[b, :wanted[b][0]].sum()) + last_kept["pos_upto"])
+        r, p = rows[b, ::-1], pos[b, ::-1]
+        tps, seen, negatives = p.cumsum(), r.cumsum(), n - positives
+        roc = ((r - p) * (2 * tps - p) / 2.0).sum() / (positives * negatives) if positives and negatives else None
+        pr = (p / positives * (tps / np.maximum(seen, 1))).sum() if positives else None
+        out.append([*w, cut, tp / flagged if flagged else 0.0, tp / positives if positives else 0.0,
+                    2 * tp / (flagged + positives) if flagged + positives else 0.0,
+                    None if roc is None else float(roc), None if pr is None else float(pr), False])
+    best = max(out, key=lambda x: x[6])   # the first of equal ones
+    best[9] = best[6] > 0
+    return spark.createDataFrame([tuple(float(x) if isinstance(x, np.floating) else x for x in o) for o in out], SEARCH_SCHEMA)

@@ -1,6 +1,7 @@
 """Exact interpolated quantiles (linear between neighbours) of large columns."""
 
 import math
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,8 +10,7 @@ from pyspark.sql import functions as F
 from ledgerpulse.operators.prefix import running_totals
 
 VALUES = 2_000_000     # values looked at one by one, over all requested quantiles
-ACCURACY = 10_000      # sketch accuracy: rank error at most rows / ACCURACY
-MARGIN = 3.0 / ACCURACY
+BINS = 4096            # parts a bracket is cut into by one pass
 
 
 @dataclass
@@ -20,11 +20,10 @@ class _Target:
     name: str
     prob: float
     rows: int
-    low: float = float("-inf")
-    high: float = float("inf")
+    low: float
+    high: float
     below: int = 0
     inside: int = 0
-    fixed: bool = False
 
     def __post_init__(self):
         self.inside = self.rows
@@ -35,6 +34,13 @@ class _Target:
     def within(self) -> str:
         return f"`{self.name}` BETWEEN {number(self.low)} AND {number(self.high)}"
 
+    def bin(self) -> str:
+        """Part of the bracket a value lies in; infinite values have parts of their own."""
+        low, high = (max(min(x, sys.float_info.max), -sys.float_info.max) for x in (self.low, self.high))
+        share = f"(`{self.name}` * 0.5D - {number(low * 0.5)}) / {number(high * 0.5 - low * 0.5)}"
+        return (f"CASE WHEN `{self.name}` = {number(math.inf)} THEN {BINS} WHEN `{self.name}` = {number(-math.inf)} THEN -1 "
+                f"ELSE least({BINS - 1}, CAST(floor({share} * {BINS}D) AS INT)) END")
+
 
 def number(x: float) -> str:
     """SQL text of a double, exact."""
@@ -45,45 +51,51 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
                     values: int = VALUES) -> dict[tuple[str, float], float | None]:
     """{(column name, prob): quantile}, like ``numpy.percentile``; null and NaN are left out.
 
-    A mergeable sketch brackets each quantile, one count proves that the bracket holds it, and
-    this repeats until few values are left to rank. Only scalars reach the driver; every pass
-    over ``df`` is one aggregation without a shuffle of its rows.
+    Each pass counts the values in equal parts of every bracket, by part over many reducers, and goes
+    on with the values between the smallest and largest one of the parts that hold the two neighbouring
+    ranks. That ends with few values to rank, or with a single one however often it occurs.
     """
-    slim = df.select(*[F.when(~F.isnan(c), c).alias(n) for n, c in columns.items()])
-    rows = slim.agg(*[F.count(n).alias(n) for n in columns]).first()
-    targets = [_Target(n, p, rows[n]) for n in columns for p in probs if rows[n]]
+    slim = df.select(*[F.when(~F.isnan(c), c.cast("double")).alias(n) for n, c in columns.items()])
+    ends = slim.agg(*[f(n).alias(f"{t}_{n}") for n in columns
+                      for t, f in (("n", F.count), ("low", F.min), ("high", F.max))]).first()
+    targets = [_Target(n, p, ends[f"n_{n}"], ends[f"low_{n}"], ends[f"high_{n}"])
+               for n in columns for p in probs if ends[f"n_{n}"]]
     share = max(1000, values // max(1, len(targets)))
-    while wide := [t for t in targets if t.inside > share and not t.fixed]:
+    while wide := [t for t in targets if t.inside > share and t.low < t.high]:
         _narrow(slim, wide)
-    found = _rank(slim, targets) if targets else {}
+    found = _rank(slim, [t for t in targets if t.low < t.high])
+    found |= {(t.name, t.prob): t.low for t in targets if t.low == t.high}
     return {(n, p): found.get((n, p)) for n in columns for p in probs}
 
 
 def _narrow(slim: DataFrame, targets: list[_Target]) -> None:
-    def around(t: _Target) -> str:
-        left = max(0.0, (t.first - t.below) / t.inside - MARGIN)
-        right = min(1.0, (t.last + 1 - t.below) / t.inside + MARGIN)
-        return (f"percentile_approx(CASE WHEN {t.within()} THEN `{t.name}` END, "
-                f"array({left!r}D, {right!r}D), {ACCURACY})")
-
-    bounds = slim.agg(*[F.expr(around(t)).alias(f"q{i}") for i, t in enumerate(targets)]).first()
-    checks = []
-    for i, t in enumerate(targets):
-        low, high = map(number, bounds[i])
-        checks += [F.expr(f"count_if({t.within()} AND `{t.name}` < {low})").alias(f"b{i}"),
-                   F.expr(f"count_if(`{t.name}` BETWEEN {low} AND {high})").alias(f"i{i}")]
-    counts = slim.agg(*checks).first()
-    for i, t in enumerate(targets):
-        low, high = bounds[i]
-        below, inside = t.below + counts[f"b{i}"], counts[f"i{i}"]
-        holds = below <= t.first and t.last < below + inside
-        # a bracket that hardly shrinks holds few distinct values, often repeated
-        t.fixed = not holds or low == high or inside > t.inside / 2
-        if holds and inside < t.inside:
-            t.low, t.high, t.below, t.inside = low, high, below, inside
+    """Shrinks the targets' brackets; targets with the same bracket are counted once."""
+    shared: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        shared.setdefault((t.name, t.low, t.high), []).append(t)
+    groups = list(shared.values())
+    picks = [f"CASE WHEN {g[0].within()} THEN struct({i} AS g, {g[0].bin()} AS bin, `{g[0].name}` AS v) END"
+             for i, g in enumerate(groups)]
+    counts = (slim.select(F.expr(f"inline(array_compact(array({', '.join(picks)})))")).groupBy("g", "bin")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+              .collect())   # at most BINS + 2 rows for each bracket
+    for i, group in enumerate(groups):
+        parts = sorted((r for r in counts if r["g"] == i), key=lambda r: r["bin"])
+        for t in group:
+            before, held = t.below, []
+            for r in parts:
+                if before <= t.last and before + r["n"] > t.first:
+                    if not held:
+                        t.below = before
+                    held.append(r)
+                before += r["n"]
+            t.low, t.high, t.inside = held[0]["low"], held[-1]["high"], sum(r["n"] for r in held)
 
 
 def _rank(slim: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:
+    """The quantiles of brackets that hold few values."""
+    if not targets:
+        return {}
     picks = [f"CASE WHEN {t.within()} THEN struct({i} AS t, `{t.name}` AS v) END"
              for i, t in enumerate(targets)]
     counts = (slim.select(F.expr(f"inline(array_compact(array({', '.join(picks)})))"))
@@ -104,7 +116,7 @@ def _rank(slim: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], fl
     out = {}
     for r in rows:
         t = targets[r["t"]]
-        out[t.name, t.prob] = r["a"] + (r["b"] - r["a"]) * (t.position - t.first)
+        out[t.name, t.prob] = r["a"] if r["a"] == r["b"] else r["a"] + (r["b"] - r["a"]) * (t.position - t.first)
     return out
 
 

@@ -214,10 +214,10 @@ add("client_stats", LOGGED, [ACC, *[e for c in ("LogAmount", "TransactionAmount"
 add("account_activity", BUCKETS, [ACC, "activity"], "activity")
 DAILY = LOGGED + ", daily AS (SELECT AccountNumber, CAST(Time AS DATE) AS date, avg(LogAmount) AS m FROM logged GROUP BY 1, 2)"
 add("daily_mean", DAILY, [ACC, "date", r6("m", "mean_LogAmount")], "daily")
-add("pivot_daily", DAILY + """, busiest AS (SELECT AccountNumber, row_number() OVER (ORDER BY count(*) DESC,
-    AccountNumber) AS place FROM txn GROUP BY 1)""",
-    ["date", *[r6(f"max(CASE WHEN place = {i} THEN m END)", f"top{i}") for i in range(1, 6)]],
-    "daily JOIN busiest USING (AccountNumber)", "WHERE place <= 5 GROUP BY date")
+add("pivot_daily", SAMPLE + DAILY[len(TXN):] + """, places AS (
+    SELECT AccountNumber, row_number() OVER (ORDER BY AccountNumber) AS place FROM sample)""",
+    ["date", *[r6(f"max(CASE WHEN place = {i} THEN m END)", f"top{i}") for i in range(1, 16)]],
+    "daily JOIN places USING (AccountNumber)", "GROUP BY date")
 FIVE = ["TransactionType", "Channel", "CardType", "MerchandGroup", "Country"]
 ORACLES["crosstab_share"] = f"WITH {TXN.strip()}\n" + "\nUNION ALL ".join(
     f"SELECT AccountNumber, '{c}' AS category, {c} AS value, "
@@ -326,14 +326,19 @@ UNIT = SCORED + """, unit AS (SELECT TransactionID, isAnomaly, """ + ", ".join(
     f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) AS {c}" for c in ("s1", "s2", "s3")) + " FROM scored)"
 add("ensemble_blend", UNIT, [ID, r6("0.65 * s3 + 0.35 * s2 + 0.0 * s1", "ensemble")], "unit")
 add("ensemble_search", UNIT + f""",
-weights AS (SELECT i * 0.25 AS w1, j * 0.25 AS w2, 1.0 - i * 0.25 - j * 0.25 AS w3
-  FROM range(5) a(i), range(5) b(j) WHERE i + j <= 4),
-blended AS (SELECT w1, w2, w3, isAnomaly, CAST(w1 AS DOUBLE) * s1 + CAST(w2 AS DOUBLE) * s2 + CAST(w3 AS DOUBLE) * s3 AS s FROM unit, weights),
-cut AS (SELECT w1, w2, quantile_cont(s, 0.95) AS t FROM blended GROUP BY 1, 2),
-hits AS (SELECT w1, w2, max(w3) AS w3, max(t) AS t, {FLAGGED.format(s='s')} FROM blended JOIN cut USING (w1, w2) GROUP BY 1, 2),
-rated AS (SELECT *, 2 * tp / CAST(flagged + positives AS DOUBLE) AS f FROM hits)""",
-    [r6("CAST(w1 AS DOUBLE)", "w1"), r6("CAST(w2 AS DOUBLE)", "w2"), r6("CAST(w3 AS DOUBLE)", "w3"),
-     r6("t", "threshold"), *RATIOS, "row_number() OVER (ORDER BY f DESC, w1, w2) = 1 AS best"], "rated")
+weights AS (SELECT i, j, i * CAST(0.05 AS DOUBLE) AS w1, j * CAST(0.05 AS DOUBLE) AS w2,
+    greatest(0.0, CAST(1.0 AS DOUBLE) - i * CAST(0.05 AS DOUBLE) - j * CAST(0.05 AS DOUBLE)) AS w3
+  FROM range(21) a(i), range(21) b(j) WHERE i + j <= 20),
+blended AS (SELECT i, j, isAnomaly, w1 * s1 + w2 * s2 + w3 * s3 AS s FROM unit, weights),
+cut AS (SELECT i, j, quantile_cont(s, 0.95) AS t FROM blended GROUP BY 1, 2),
+hits AS (SELECT i, j, max(t) AS t, {FLAGGED.format(s='s')} FROM blended JOIN cut USING (i, j) GROUP BY 1, 2),
+part AS (SELECT i, j, least(999, floor(s * 1000)) AS part, count(*) AS n, sum(isAnomaly) AS pos FROM blended GROUP BY 1, 2, 3),
+run AS (SELECT *, sum(n) OVER w AS seen, sum(pos) OVER w AS tps FROM part WINDOW w AS (PARTITION BY i, j ORDER BY part DESC)),
+drawn AS (SELECT i, j, sum((n - pos) * (2 * tps - pos) / 2.0) / (sum(pos) * CAST(sum(n - pos) AS DOUBLE)) AS roc,
+    sum(pos * (tps / CAST(seen AS DOUBLE))) / sum(pos) AS pr FROM run GROUP BY 1, 2),
+rated AS (SELECT *, 2 * tp / CAST(flagged + positives AS DOUBLE) AS f FROM hits JOIN drawn USING (i, j) JOIN weights USING (i, j))""",
+    [r6("w1"), r6("w2"), r6("w3"), r6("t", "threshold"), *RATIOS, r6("roc", "roc_auc"), r6("pr", "pr_auc"),
+     "row_number() OVER (ORDER BY f DESC, i, j) = 1 AS best"], "rated")
 
 # --- table rows ---------------------------------------------------------------------------
 

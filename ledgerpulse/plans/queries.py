@@ -252,9 +252,9 @@ def daily_mean(spark, sf_dir):
 
 @query
 def pivot_daily(spark, sf_dir):
+    """A column for each account of the stratified sample, in the accounts' order."""
     df = _with_log(spark, sf_dir)
-    busiest = stats.account_activity(df).orderBy(F.desc("activity"), KEY).limit(5).collect()
-    accounts = [r[KEY] for r in busiest]
+    accounts = [r[KEY] for r in stats.stratified_sample(stats.activity_buckets(df)).select(KEY).orderBy(KEY).collect()]
     names = [f"top{i}" for i in range(1, len(accounts) + 1)]
     return stats.pivot_daily(stats.daily_mean(df, "LogAmount"), accounts, "mean_LogAmount", names)
 
@@ -404,9 +404,7 @@ def ensemble_blend(spark, sf_dir):
 @query
 def ensemble_search(spark, sf_dir):
     unit = materialize(_unit_scores(spark, sf_dir), "unit-scores")
-    rows = evaluate.ensemble_search(unit, SCORES, "isAnomaly", step=0.25)
-    return spark.createDataFrame(rows, "w1 double, w2 double, w3 double, threshold double, "
-                                       "precision double, recall double, f1 double, best boolean")
+    return evaluate.ensemble_search(unit, SCORES, "isAnomaly")
 
 
 @query

@@ -33,6 +33,21 @@ def test_exact_quantiles(spark, values):
             assert got[c, p] == pytest.approx(np.percentile(x, 100 * p), abs=1e-12), (c, p)
 
 
+def test_quantiles_of_heavy_columns(spark):
+    rng = np.random.default_rng(7)
+    cols = {"sixty": np.where(rng.random(20_000) < 0.6, 0.0, rng.normal(size=20_000)),
+            "tail": np.exp(rng.normal(0, 40, 20_000)), "wide": rng.choice([-1.7e308, -1.0, 0.5, 1.7e308], 20_000),
+            "endless": np.where(rng.random(20_000) < 0.3, -np.inf, rng.exponential(size=20_000))}
+    df = frame(spark, **cols).repartition(4)
+    probs = [0.0, 0.31, 0.5, 0.6, 0.97]
+    got = exact_quantiles(df, {c: F.col(c) for c in cols}, probs, values=1)
+    for c, x in cols.items():
+        for p in probs:
+            below = np.sort(x)[int(p * (len(x) - 1))]
+            want = below if np.isinf(below) else np.percentile(x, 100 * p)
+            assert got[c, p] == pytest.approx(want, rel=1e-12), (c, p)
+
+
 def test_quantiles_skip_missing_values(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "x double")
     assert exact_quantiles(df, {"x": F.col("x")}, [0.5])["x", 0.5] == 2.0
@@ -97,7 +112,8 @@ def test_weight_grid_and_search(spark):
     rng = np.random.default_rng(8)
     y = (rng.random(2000) < 0.05).astype(int)
     a, b, c = rng.random(2000), rng.random(2000) + y, rng.random(2000) + 0.3 * y
-    rows = ensemble_search(frame(spark, a=a, b=b, c=c, y=y), ("a", "b", "c"), "y", step=0.2)
+    a, b, c = ((x - x.min()) / (x.max() - x.min()) for x in (a, b, c))
+    rows = ensemble_search(frame(spark, a=a, b=b, c=c, y=y), ("a", "b", "c"), "y", step=0.2).collect()
     want = []
     for w1, w2, w3 in weight_grid(0.2):
         s = w1 * a + w2 * b + w3 * c
@@ -105,6 +121,12 @@ def test_weight_grid_and_search(spark):
         want.append(2 * (flag & (y == 1)).sum() / (flag.sum() + y.sum()))
     assert [r["f1"] for r in rows] == pytest.approx(want)
     assert [r["best"] for r in rows].index(True) == int(np.argmax(want))
+    for r, (w1, w2, w3) in zip(rows, weight_grid(0.2)):
+        part = np.floor((w1 * a + w2 * b + w3 * c) * 1000)   # the curves' thresholds
+        auc, ap = brute_metrics(part, y)[:2]
+        assert (r["roc_auc"], r["pr_auc"]) == (pytest.approx(auc), pytest.approx(ap))
+    none = ensemble_search(frame(spark, a=a, b=b, c=c, y=y).limit(0), ("a", "b", "c"), "y", step=0.5).collect()
+    assert len(none) == 6 and not any(r["best"] for r in none)
 
 
 def test_histogram_and_box(spark):
