@@ -1,5 +1,6 @@
 """Autoencoder trained data-parallel: tasks run Adam on their rows, the results are averaged."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,7 +85,11 @@ class Autoencoder(Detector):
             # the pass measures the weights it starts from, then trains; the last only measures
             after, loss, steps = self._pass(rows, state, steps, epoch, train=epoch < p["epochs"])
             self.losses.append(loss)
-            if epoch and loss < best_loss:
+            if math.isnan(loss):
+                if not np.isfinite(state[0]).all():
+                    raise ValueError("the weights diverged; choose a lower learning rate")
+                best = state[0]      # no held-out rows to choose an epoch by: keep the last state
+            elif epoch and loss < best_loss:
                 best, best_loss, waited = state[0], loss, 0
             elif epoch:
                 waited += 1

@@ -1,10 +1,12 @@
-"""Isolation forest: rows choose their trees by hash, trees grow in parallel."""
+"""Isolation forest: rows choose their trees by hash, nodes their splits, trees grow in parallel."""
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.models.base import Detector, inputs, score_all, share
@@ -12,9 +14,10 @@ from ledgerpulse.operators.quantiles import exact_quantiles
 from ledgerpulse.storage import materialize
 
 AUTO_SAMPLES = 256
-MAX_SAMPLES = 65_536      # rows of one tree are grown in one task
+GROWN_ALONE = 65_536      # rows below a node from which on one task grows its subtree
 RANGE = 1 << 40           # hash range that sampling tickets are drawn from
 LEAF = -1
+NODE = "tree int, node bigint, feature int, threshold double, n bigint"
 
 
 def unsuccessful_path(n: np.ndarray) -> np.ndarray:
@@ -26,96 +29,146 @@ def unsuccessful_path(n: np.ndarray) -> np.ndarray:
     return np.where(big, 2.0 * (np.log(m - 1.0) + np.euler_gamma) - 2.0 * (m - 1.0) / m, out)
 
 
-def grow(x: np.ndarray, rng: np.random.Generator) -> list[list[float]]:
-    """One random tree as rows (feature, threshold, left, right, n); children follow parents."""
-    limit = math.ceil(math.log2(max(len(x), 2)))
-    nodes, todo = [], [(np.arange(len(x)), 0, None, 0)]
+def _mixed(*parts: int) -> int:
+    """64 bits that depend on all parts alike."""
+    x = 0
+    for part in parts:
+        x = (x + part + 0x9E3779B97F4A7C15) % 2**64
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        x ^= x >> 31
+    return x
+
+
+def chosen_split(seed: int, tree: int, node: int, low: np.ndarray, high: np.ndarray) -> tuple[int, float] | None:
+    """Feature and threshold of a node, by hash of its place and from the range of its rows alone."""
+    splittable = np.flatnonzero(high > low)
+    if not len(splittable):
+        return None
+    feature = int(splittable[_mixed(seed, tree, node, 1) % len(splittable)])
+    part = (_mixed(seed, tree, node, 2) >> 11) / 2**53
+    threshold = float(low[feature] + part * (high[feature] - low[feature]))
+    return (feature, threshold) if threshold < high[feature] else None
+
+
+def grow(x: np.ndarray, seed: int, tree: int, top: int, limit: int) -> list[tuple[int, int, float, int]]:
+    """The subtree below node ``top`` as (node, feature, threshold, n). Node k has the children 2k and 2k + 1."""
+    nodes, todo = [], [(top, np.arange(len(x)))]
     while todo:
-        rows, depth, parent, side = todo.pop()
-        at = len(nodes)
-        nodes.append([LEAF, 0.0, LEAF, LEAF, len(rows)])
-        if parent is not None:
-            nodes[parent][2 + side] = at
-        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
-        splittable = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or not len(splittable):
-            continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        left = x[rows, feature] <= threshold
-        if left.all():
+        node, rows = todo.pop()
+        split = None
+        if len(rows) > 1 and node.bit_length() - 1 < limit:
+            split = chosen_split(seed, tree, node, x[rows].min(axis=0), x[rows].max(axis=0))
+        if split is None:
+            nodes.append((node, LEAF, 0.0, len(rows)))
             continue
-        nodes[at][:2] = [feature, threshold]
-        todo.append((rows[~left], depth + 1, at, 1))
-        todo.append((rows[left], depth + 1, at, 0))
+        nodes.append((node, *split, len(rows)))
+        left = x[rows, split[0]] <= split[1]
+        todo += [(2 * node, rows[left]), (2 * node + 1, rows[~left])]
     return nodes
 
 
+def linked(nodes: pd.DataFrame) -> np.ndarray:
+    """One tree's nodes as rows (feature, threshold, left, right, n), children by row number."""
+    nodes = nodes.sort_values("node")
+    ids = nodes["node"].to_numpy()
+    inner = nodes["feature"].to_numpy() >= 0
+    out = np.full((len(nodes), 5), float(LEAF))
+    out[:, 0], out[:, 1], out[:, 4] = nodes["feature"], nodes["threshold"], nodes["n"]
+    for side in (0, 1):
+        out[inner, 2 + side] = np.searchsorted(ids, 2 * ids[inner] + side)
+    return out
+
+
 class IsolationForest(Detector):
     """Score above 0 for the ``contamination`` share that is isolated fastest.
 
-    Explanation: features met on the paths, weighted by 1 / (depth + 1).
+    Explanation: features met on the paths, weighted by 1 / (depth + 1). The trees are shipped to the
+    scoring tasks, which hold ``max_nodes`` nodes at most; more raise an error, nothing is cut.
     """
 
     name = "if"
 
     def __init__(self, columns=None, n_estimators: int = 100, max_samples: int | float | str = "auto",
-                 contamination: float = 0.001, random_state: int = 42):
+                 contamination: float = 0.001, random_state: int = 42, max_nodes: int = 20_000_000):
         kwargs = {} if columns is None else {"columns": columns}
         super().__init__(**kwargs, n_estimators=n_estimators, max_samples=max_samples,
-                         contamination=contamination, random_state=random_state)
+                         contamination=contamination, random_state=random_state, max_nodes=max_nodes)
         self.trees: list[np.ndarray] = []
         self.samples = 0
         self.offset = 0.0
 
     def _sample_size(self, rows: int) -> int:
-        """A fraction refers to the rows one task may grow a tree on, a number is taken as it is."""
+        """Rows a tree is expected to draw; a fraction refers to all rows."""
         asked = self.params["max_samples"]
         size = (min(AUTO_SAMPLES, rows) if asked == "auto"
-                else int(asked * min(rows, MAX_SAMPLES)) if isinstance(asked, float) else min(asked, rows))
-        if size > MAX_SAMPLES:
-            raise ValueError(f"max_samples means {size} rows per tree; at most {MAX_SAMPLES} fit one task")
+                else int(asked * rows) if isinstance(asked, float) else min(asked, rows))
         return max(size, 1)
 
     def samples_per_tree(self, rows: DataFrame, total: int) -> DataFrame:
-        """(tree, row) pairs: per tree the rows with the smallest tickets, whatever the partitioning.
+        """(tree, row) pairs: a row joins every tree for which its ticket, a hash, lies below a bound.
 
-        A ticket threshold keeps about four times the sample before the exact cut, so the shuffle
-        holds a multiple of the samples, never rows x trees. On large tables the trees draw from a
-        hash sample several times larger than all their samples together.
+        The bound alone decides, at any size and for any partitioning, so a tree's sample has about the
+        asked size, and exactly all rows where all are asked for.
         """
         trees, seed = self.params["n_estimators"], self.params["random_state"]
-        pool = 8 * trees * self.samples
-        if total > 2 * pool:
-            rows = rows.filter(F.pmod(F.xxhash64("_id", F.lit(f"pool{seed}")), F.lit(RANGE))
-                               < int(RANGE * pool / total))
-            total = pool
-        keep = min(RANGE, int(RANGE * (4 * self.samples + 64) / total))
-        tickets = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-            t.alias("tree"), F.pmod(F.xxhash64("_id", F.lit(seed), t), F.lit(RANGE)).alias("ticket")))
-        picked = (rows.withColumn("_t", F.explode(F.filter(tickets, lambda t: t["ticket"] < keep)))
-                  .select("_t.tree", "_t.ticket", "_id", *self.columns))
-        w = Window.partitionBy("tree").orderBy("ticket", "_id")
-        return (picked.withColumn("place", F.row_number().over(w))
-                .filter(F.col("place") <= self.samples))
+        keep = RANGE if self.samples >= total else int(RANGE * self.samples / total)
+        member = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(
+            F.xxhash64("_id", F.lit(seed), t), F.lit(RANGE)) < keep)
+        return rows.select(F.explode(member).alias("tree"), *self.columns)
+
+    def tree_nodes(self, pairs: DataFrame) -> DataFrame:
+        """(tree, node, feature, threshold, n) of all trees.
+
+        Nodes with more than ``GROWN_ALONE`` rows are split level by level over all tasks; subtrees below
+        are grown in one task each, by the same rule, so that bound changes no tree.
+        """
+        columns, seed, limit = self.columns, self.params["random_state"], self.limit
+        settled = []
+        pairs = pairs.withColumn("node", F.lit(1).cast("bigint"))
+
+        def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for block in batches:
+                out = []
+                for r in block.itertuples(index=False):
+                    values = np.array(r[3:], dtype=float).reshape(2, -1)
+                    found = chosen_split(seed, r.tree, r.node, *values) if r.node.bit_length() - 1 < limit else None
+                    out.append((r.tree, r.node, *(found or (LEAF, 0.0)), r.n))
+                yield pd.DataFrame(out, columns=["tree", "node", "feature", "threshold", "n"])
+
+        while True:
+            large = (pairs.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), *[
+                f(c).alias(f"{side}{i}") for side, f in (("low", F.min), ("high", F.max)) for i, c in enumerate(columns)])
+                .where(F.col("n") > GROWN_ALONE))
+            cut = materialize(large.mapInPandas(split, NODE), "forest-level")
+            if cut.isEmpty():
+                break
+            settled.append(cut)
+            chosen = cut.select("tree", "node", "feature", "threshold")
+            value = F.element_at(F.array(*columns), F.col("feature") + 1)
+            below = F.when(F.col("feature").isNull(), F.col("node")).otherwise(
+                2 * F.col("node") + F.when(value <= F.col("threshold"), 0).otherwise(1))
+            pairs = materialize(pairs.join(chosen, ["tree", "node"], "left").where("feature IS NULL OR feature >= 0")
+                                .select("tree", *columns, below.alias("node")), "forest-rows")
+
+        def subtree(sample: pd.DataFrame) -> pd.DataFrame:
+            tree, top = int(sample["tree"].iloc[0]), int(sample["node"].iloc[0])
+            nodes = grow(sample[columns].to_numpy(dtype=float), seed, tree, top, limit)
+            return pd.DataFrame([(tree, *n) for n in nodes], columns=["tree", "node", "feature", "threshold", "n"])
+
+        small = pairs.groupBy("tree", "node").applyInPandas(subtree, NODE)
+        return reduce(DataFrame.unionByName, [*settled, small])
 
     def fit(self, df, id_col="TransactionID", written=False):
         rows = self.training_rows(df, id_col, written)
         total = rows.count()
         self.samples = self._sample_size(total)
-        columns, seed = self.columns, self.params["random_state"]
-
-        def build(sample: pd.DataFrame) -> pd.DataFrame:
-            sample = sample.sort_values("place")
-            tree = int(sample["tree"].iloc[0])
-            nodes = grow(sample[columns].to_numpy(dtype=float), np.random.default_rng([seed, tree]))
-            return pd.DataFrame([[tree, i, *n] for i, n in enumerate(nodes)],
-                                columns=["tree", "node", "feature", "threshold", "left", "right", "n"])
-
-        table = (self.samples_per_tree(rows, total).groupBy("tree").applyInPandas(
-            build, "tree int, node int, feature double, threshold double, left double, right double, n double")
-            .toPandas().sort_values(["tree", "node"]))
-        self.trees = [g.iloc[:, 2:].to_numpy() for _, g in table.groupby("tree")]
+        nodes = materialize(self.tree_nodes(self.samples_per_tree(rows, total)), "forest-nodes")
+        size = nodes.count()
+        if size > self.params["max_nodes"]:
+            raise ValueError(f"the trees have {size} nodes; scoring tasks are set to hold {self.params['max_nodes']}")
+        table = nodes.toPandas()
+        self.trees = [linked(g) for _, g in table.groupby("tree")]
         self.offset = 0.0
         raw = materialize(score_all(rows, {"raw": self}, explain=False).select("raw_score"), "forest-scores")
         share_below = self.params["contamination"]
@@ -123,6 +176,11 @@ class IsolationForest(Detector):
         self.offset = cut
         return self
 
+    @property
+    def limit(self) -> int:
+        """Depth at which a tree ends."""
+        return math.ceil(math.log2(max(self.samples, 2)))
+
     def _walk(self, x: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
         """Scores of a block; on request adds 1 / (depth + 1) to ``weight`` at every split passed."""
         depth_sum, row = np.zeros(len(x)), np.arange(len(x))

@@ -1,6 +1,7 @@
 """Experiments: scaling x detector grid, run records, hyper-parameter sweep."""
 
 import json
+import math
 import random
 import time
 from collections.abc import Callable
@@ -96,19 +97,25 @@ def experiment_grid(train: DataFrame, val: DataFrame, scalings: list[str] | None
     cells = []
     for scaling in scalings or list(METHODS):
         x_train, x_val = scale_pair(scaling, train, val)
-        encoder = Autoencoder(columns=FEATURE_COLS, **params.get(Autoencoder, {}))
-        encoder.fit(x_train, ID, written=True)
-        coded = [materialize(encoder.encode(x).select(ID, LABEL, *encoder.latent_columns()), "latent")
-                 for x in (x_train, x_val)]
+        encoder, coded, failure = None, (x_train, x_val), None
+        try:
+            encoder = Autoencoder(columns=FEATURE_COLS, **params.get(Autoencoder, {}))
+            encoder.fit(x_train, ID, written=True)
+            coded = [materialize(encoder.encode(x).select(ID, LABEL, *encoder.latent_columns()), "latent")
+                     for x in (x_train, x_val)]
+        except Exception as e:      # the cells that read its columns record it
+            failure = e
         for name, (detector, latent) in PIPELINES.items():
-            columns = encoder.latent_columns() if latent else FEATURE_COLS
+            columns = encoder.latent_columns() if latent and not failure else FEATURE_COLS
             parts = coded if latent else (x_train, x_val)
-            cells.append((scaling, name, detector, columns, parts, encoder if latent else None))
+            cells.append((scaling, name, detector, columns, parts, encoder if latent else None, failure if latent else None))
 
     def run(cell) -> dict:
-        scaling, name, detector, columns, (a, b), extractor = cell
+        scaling, name, detector, columns, (a, b), extractor, failure = cell
         row = {"Scaling": METHODS[scaling], "Pipeline": name}
         try:
+            if failure:
+                raise failure
             model = detector(columns=columns, **params.get(detector, {}))
             logged = {**model.params, **({"feature_extractor": extractor.params} if extractor else {})}
             row["params"] = json.dumps(logged)
@@ -156,15 +163,22 @@ def draw(space: dict, rng: random.Random) -> dict:
 def sweep(detector: type, train: DataFrame, target: str, direction: str = "maximize", trials: int = 20,
           seed: int = 42, columns: list[str] = FEATURE_COLS, space: dict | None = None,
           fixed: dict | None = None, report: Callable[[dict], None] = lambda row: None) -> list[dict]:
-    """Seeded random search for the best value of one score-distribution statistic."""
+    """Seeded random search for the best value of one score-distribution statistic.
+
+    A trial that fails keeps its error and no value; it and a value that is no number cannot be the best.
+    """
     rng = random.Random(seed)
     rows = []
     for trial in range(trials):
         params = {**draw(space or SPACES[detector], rng), **(fixed or {})}
-        stats = train_run(detector(columns=columns, **params), train)
-        row = {"trial": trial, "params": json.dumps(params), "value": stats[f"train_{target}"]}
+        row = {"trial": trial, "params": json.dumps(params), "value": None}
+        try:
+            row["value"] = train_run(detector(columns=columns, **params), train)[f"train_{target}"]
+        except Exception as e:
+            row["params"] = json.dumps({**params, "error": f"{type(e).__name__}: {e}"[:500]})
         report(row)
         rows.append(row)
+    valid = [r for r in rows if r["value"] is not None and not math.isnan(r["value"])]
     pick = max if direction == "maximize" else min
-    best = pick(rows, key=lambda r: r["value"])
+    best = pick(valid, key=lambda r: r["value"], default=None)
     return [{**r, "best": r is best} for r in rows]

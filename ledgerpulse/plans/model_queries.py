@@ -147,10 +147,12 @@ def som_fit(spark, sf_dir):
 
 @query
 def iforest_fit(spark, sf_dir):
+    """The learned trees, a row for each node."""
     trees = IsolationForest(**FOREST).fit(engineered(spark, sf_dir), written=True).trees
-    return spark.createDataFrame([(i, len(t), int(t[0, 4]), int((t[:, 0] < 0).sum()))
-                                  for i, t in enumerate(trees)],
-                                 "tree int, nodes int, samples int, leaves int")
+    return spark.createDataFrame(
+        [(i, k, int(n[0]), float(n[1]), int(n[2]), int(n[3]), int(n[4])) for i, t in enumerate(trees)
+         for k, n in enumerate(t)],
+        "tree int, node int, feature int, threshold double, left int, right int, n int")
 
 
 def _fitted(spark, sf_dir, model):
@@ -236,10 +238,10 @@ def model_roundtrip(spark, sf_dir):
 
 @query
 def experiment_grid(spark, sf_dir):
-    train, val = experiments.split_features(read_events(spark, sf_dir), "trailing")
+    """All five scalings with all five pipelines."""
+    train, val = experiments.split_features(read_events(spark, sf_dir), "expanding")
     runs = experiments.experiment_grid(
-        train, val, ["none", "global_standard_client_standard"],
-        {IsolationForest: FOREST, SelfOrganizingMap: MAP, Autoencoder: CODER})
+        train, val, None, {IsolationForest: FOREST, SelfOrganizingMap: MAP, Autoencoder: CODER})
     return experiments.runs_frame(spark, runs).drop("fit_seconds", "score_seconds")
 
 

@@ -355,6 +355,7 @@ ORACLES["explain_fact"] = f"WITH {FEAT.strip()}\n" + "\nUNION ALL ".join(
 # --- streams and tables -------------------------------------------------------------------
 
 ORACLES["stream_features_trailing"] = ORACLES["features_trailing"]
+ORACLES["stream_memoryless"] = ORACLES["features_value_frame"]
 ORACLES["stream_medallion"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", {n} * count(*) AS rows, count(*) AS keys FROM events" for t, n in (
         ("bronze.transactions", 1), ("silver.features", 1), ("gold.TransactionFact", 1),

@@ -21,7 +21,7 @@ from ledgerpulse.streaming import medallion
 from ledgerpulse.streaming.stateful import stateful_features
 
 ONCE = {"availableNow": True}
-ALL_FILES = 1_000_000
+FILES = 64      # of one micro-batch
 
 
 def time_parts(txn: DataFrame, parts: int) -> list[DataFrame]:
@@ -43,7 +43,7 @@ class Feed:
         _messages(txn).write.mode("append").text(self.path)
 
     def stream(self) -> DataFrame:
-        return read_json_files(self.spark, self.path, ALL_FILES)
+        return read_json_files(self.spark, self.path, FILES)
 
 
 @query
@@ -84,6 +84,16 @@ def stream_medallion(spark, sf_dir):
     return reduce(DataFrame.unionByName, [_count(spark, root, t) for t in medallion.BATCH_TABLES])
 
 
+@query
+def stream_memoryless(spark, sf_dir):
+    """Silver rows of one micro-batch that holds all messages, with features within it."""
+    feed, root, checkpoint = Feed(spark), scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
+    feed.add(read_events(spark, sf_dir))
+    medallion.start_memoryless(feed.stream(), root, checkpoint, _model(spark, sf_dir), "som",
+                               trigger=ONCE).awaitTermination()
+    return read_table(spark, root, "silver.features").select(ID, KEY, "Time", *ENGINEERED_COLS)
+
+
 @query
 def stream_resume(spark, sf_dir):
     root = _run(spark, sf_dir, 3)
@@ -93,7 +103,7 @@ def stream_resume(spark, sf_dir):
 
 
 def _batch_lake(spark, sf_dir) -> str:
-    """All tables filled by one batch write; the score is the model-free LogAmount."""
+    """All tables filled by one batch write; a fitted map scores it."""
     root = scratch_path(spark, "lake")
     medallion.write_batch(features(read_events(spark, sf_dir), "trailing"), 0, root,
                           _model(spark, sf_dir), "som")

@@ -47,6 +47,15 @@ def valid_events(events: DataFrame) -> DataFrame:
     return events.filter(F.col(KEY).isNotNull())
 
 
+def rejected(messages: DataFrame) -> DataFrame:
+    """(value, reason, seen) of messages that are malformed or name no account."""
+    text = F.col("value").cast("string")
+    data = F.from_json(text, _JSON_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    reason = F.when(data.isNull() | data[CORRUPT].isNotNull(), "malformed").when(data[KEY].isNull(), "no account")
+    return (messages.select(text.alias("value"), reason.alias("reason"), F.current_timestamp().alias("seen"))
+            .where("reason IS NOT NULL"))
+
+
 def _read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text, named without spaces ('Account Number' -> AccountNumber)."""
     raw = spark.read.option("header", True).csv(path)

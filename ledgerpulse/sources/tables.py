@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerpulse.schema import TABLES
+from ledgerpulse.storage import delete_folder
 
 BATCH = "batch_id"
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def table_path(root: str, table: str) -> str:
@@ -16,7 +18,7 @@ def table_path(root: str, table: str) -> str:
 def create_tables(spark: SparkSession, root: str, prefix: str = "", reset: bool = False) -> list[str]:
     """Databases bronze, silver, gold and their seven tables over ``root``, if not there yet.
 
-    ``reset`` drops the catalog entries first; the files stay.
+    ``reset`` drops the catalog entries and deletes the tables' folders first.
     """
     names = []
     for table, (schema, daily) in TABLES.items():
@@ -25,46 +27,72 @@ def create_tables(spark: SparkSession, root: str, prefix: str = "", reset: bool
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{layer}'")
         if reset:
             spark.sql(f"DROP TABLE IF EXISTS {db}.{short}")
-        columns = schema.fields + ([T.StructField(BATCH, T.LongType()), T.StructField("date", T.DateType())]
+            delete_folder(spark, table_path(root, table), root)
+        columns = schema.fields + ([T.StructField("date", T.DateType()), T.StructField(BATCH, T.LongType())]
                                    if daily else [])
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-        parts = f"PARTITIONED BY ({BATCH}, date)" if daily else ""
+        parts = f"PARTITIONED BY (date, {BATCH})" if daily else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{short} ({ddl}) USING parquet {parts} "
                   f"LOCATION '{table_path(root, table)}'")
         names.append(f"{db}.{short}")
     return names
 
 
-def append_rows(df: DataFrame, root: str, table: str, batch_id: int) -> int:
+def append_rows(df: DataFrame, root: str, table: str, batch_id: int, catalog: str | None = None) -> int:
     """Append one batch and return its row count, observed while writing.
 
-    The batch's files live under its own folder, so a repeated batch replaces itself.
+    Folders go by day, then batch: a day is found without listing every batch, and a repeated batch
+    replaces its own folders. With ``catalog``, the prefix given to ``create_tables``, the rows go through
+    the catalog table, which registers new folders.
     """
     schema, daily = TABLES[table]
     if not daily:
         raise ValueError(f"{table} is replaced as a whole, use overwrite_table")
-    written = Observation()
-    (df.select(*schema.fieldNames()).withColumn("date", F.to_date("Time"))
-     .observe(written, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").partitionBy("date")
-     .parquet(f"{table_path(root, table)}/{BATCH}={batch_id}"))
+    written, spark = Observation(), df.sparkSession
+    writer = (df.select(*schema.fieldNames(), F.to_date("Time").alias("date"),
+                        F.lit(batch_id).cast("bigint").alias(BATCH))
+              .observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
+    if catalog is None:
+        writer.option(OVERWRITE.rsplit(".", 1)[1], "dynamic").partitionBy("date", BATCH).parquet(table_path(root, table))
+        return written.get["rows"]
+    before = spark.conf.get(OVERWRITE)       # a table insert takes the mode from the session only
+    spark.conf.set(OVERWRITE, "dynamic")
+    try:
+        writer.insertInto(catalog + table)
+    finally:
+        spark.conf.set(OVERWRITE, before)
     return written.get["rows"]
 
 
-def overwrite_table(df: DataFrame, root: str, table: str) -> int:
+def overwrite_table(df: DataFrame, root: str, table: str, catalog: str | None = None) -> int:
     """Replace the whole table and return its row count."""
     schema, _ = TABLES[table]
     written = Observation()
     (df.select(*schema.fieldNames()).observe(written, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").parquet(table_path(root, table)))
+    if catalog is not None:
+        df.sparkSession.catalog.refreshTable(catalog + table)
     return written.get["rows"]
 
 
+def compact_day(spark: SparkSession, root: str, table: str, day: str, batch_id: int = -1) -> None:
+    """Merge one day's batches into a single one, ``batch_id``; for days that no batch writes any more."""
+    rows = read_table(spark, root, table).where(F.col("date") == F.lit(day).cast("date"))
+    old = [r[BATCH] for r in rows.select(BATCH).distinct().collect()]   # folders of one day
+    merged = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    if old and old != [batch_id]:
+        (merged.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date", BATCH).parquet(table_path(root, table)))
+        for b in old:
+            if b != batch_id:
+                delete_folder(spark, f"{table_path(root, table)}/date={day}/{BATCH}={b}", table_path(root, table))
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema, daily = TABLES[table]
     if daily:
-        schema = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType()),
-                               T.StructField("date", T.DateType())])
+        schema = T.StructType([*schema.fields, T.StructField("date", T.DateType()),
+                               T.StructField(BATCH, T.LongType())])
     return spark.read.schema(schema).parquet(table_path(root, table))
 
 

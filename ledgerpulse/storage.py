@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,29 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str, below: str) -> None:
+    """Delete a folder that lies below another one, on whatever storage holds it."""
+    root = below.rstrip("/") + "/"
+    if not path.startswith(root) or ".." in path:
+        raise ValueError(f"{path} does not lie below {below}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator:
+    """A ``materialize`` whose tables are deleted at the end of the block, when their readers are done."""
+    paths = []
+
+    def write(df: DataFrame, tag: str) -> DataFrame:
+        paths.append(scratch_path(spark, tag))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield write
+    finally:
+        for path in paths:
+            delete_folder(spark, path, f"{shared_root(spark)}/ledgerpulse")

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ledgerpulse.models.autoencoder import Autoencoder, Network
 from ledgerpulse.models.base import score_all
-from ledgerpulse.models.iforest import MAX_SAMPLES, IsolationForest, unsuccessful_path
+from ledgerpulse.models import iforest
+from ledgerpulse.models.iforest import IsolationForest, unsuccessful_path
 from ledgerpulse.models.som import SelfOrganizingMap, neighbourhood, som_pass, winners
 from ledgerpulse.models.store import ScoringModel
 from ledgerpulse.operators.scale import Scaler
@@ -77,7 +78,9 @@ def test_forest_scores_against_walking_the_trees(data):
         np.testing.assert_allclose(shares[i], weight / (weight.sum() + 1e-8))
     assert (score > 0).sum() == pytest.approx(0.01 * len(x), abs=1)
     assert score[1200:].mean() > score[:1200].mean()
-    assert all(t[0, 4] == 64 for t in m.trees) and len(m.trees) == 20
+    assert len(m.trees) == 20 and 40 < np.mean([t[0, 4] for t in m.trees]) < 90
+    inner = [t[t[:, 0] >= 0] for t in m.trees]
+    assert all((t[i[:, 2].astype(int), 4] + t[i[:, 3].astype(int), 4] == i[:, 4]).all() for t, i in zip(m.trees, inner))
 
 
 def test_forest_does_not_depend_on_partitions(data):
@@ -90,9 +93,19 @@ def test_forest_sample_sizes():
     m = IsolationForest(COLS)
     assert m._sample_size(10) == 10 and m._sample_size(10 ** 9) == 256
     assert IsolationForest(COLS, max_samples=0.5)._sample_size(1000) == 500
-    assert IsolationForest(COLS, max_samples=1.0)._sample_size(10 ** 12) == MAX_SAMPLES
-    with pytest.raises(ValueError):
-        IsolationForest(COLS, max_samples=MAX_SAMPLES + 1)._sample_size(10 ** 9)
+    assert IsolationForest(COLS, max_samples=1.0)._sample_size(10 ** 12) == 10 ** 12
+    assert IsolationForest(COLS, max_samples=70_000)._sample_size(10 ** 9) == 70_000
+
+
+def test_forest_trees_do_not_depend_on_where_they_grow(data, monkeypatch):
+    fit = lambda: IsolationForest(COLS, n_estimators=3, max_samples=1.0).fit(data).trees
+    alone = fit()
+    monkeypatch.setattr(iforest, "GROWN_ALONE", 200)     # the upper levels are split over all tasks
+    for a, b in zip(alone, fit(), strict=True):
+        np.testing.assert_array_equal(a, b)
+    assert all(t[0, 4] == 1212 for t in alone)
+    with pytest.raises(ValueError, match="nodes"):
+        IsolationForest(COLS, n_estimators=3, max_nodes=10).fit(data)
 
 
 def test_forest_samples_from_a_large_table(spark):
@@ -101,7 +114,7 @@ def test_forest_samples_from_a_large_table(spark):
     m = IsolationForest(COLS, n_estimators=10, max_samples=100)
     m.samples = 100
     sizes = m.samples_per_tree(rows, 400_000).groupBy("tree").count().collect()
-    assert sorted(r["tree"] for r in sizes) == list(range(10)) and {r["count"] for r in sizes} == {100}
+    assert sorted(r["tree"] for r in sizes) == list(range(10)) and all(60 < r["count"] < 145 for r in sizes)
 
 
 def test_autoencoder_gradient_against_differences():
@@ -129,6 +142,16 @@ def test_autoencoder_learns_and_encodes(data):
     np.testing.assert_allclose(coded, hidden[2])
 
 
+def test_autoencoder_without_held_out_rows_keeps_what_it_learned(data):
+    m = Autoencoder(COLS, latent=2, epochs=4, lr=0.01, validation_split=0.0).fit(data)
+    start = m.network.start(42)
+    x = matrix(data)
+    error = lambda w: ((m.network.forward(w, x)[-1] - x) ** 2).mean()
+    assert all(np.isnan(v) for v in m.losses) and error(m.weights) < error(start)
+    with pytest.raises(ValueError, match="diverged"):
+        Autoencoder(COLS, latent=2, epochs=2, lr=1e200, validation_split=0.0).fit(data)
+
+
 def test_explanations_add_up(data):
     models = {"s": SelfOrganizingMap(COLS, x=2, y=2, passes=1).fit(data),
               "f": IsolationForest(COLS, n_estimators=5).fit(data),

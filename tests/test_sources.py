@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,8 @@ from ledgerpulse.operators import dims
 from ledgerpulse.schema import TABLES, TXN_COLS
 from ledgerpulse.sources import feeds
 from ledgerpulse.sources.events import read_events
-from ledgerpulse.sources.tables import append_rows, create_tables, overwrite_table, write_csv
-from ledgerpulse.storage import materialize, shared_root
+from ledgerpulse.sources.tables import append_rows, compact_day, create_tables, overwrite_table, read_table, write_csv
+from ledgerpulse.storage import delete_folder, materialize, owned, shared_root
 
 
 def test_json_messages(spark):
@@ -70,15 +71,19 @@ def test_tables_are_created_once_and_reset_on_request(spark, tmp_path):
     names = create_tables(spark, root, "t_")
     assert len(names) == len(TABLES) == 7
     txn = read_events(spark, SF_DIR).withColumn("bronzetimestamp", F.current_timestamp())
-    assert append_rows(txn, root, "bronze.transactions", 0) == txn.count()
-    spark.sql("MSCK REPAIR TABLE t_bronze.transactions")
-    assert spark.table("t_bronze.transactions").count() == txn.count()
+    for batch in (0, 1, 0):
+        assert append_rows(txn, root, "bronze.transactions", batch, "t_") == txn.count()
+    assert spark.table("t_bronze.transactions").count() == 2 * txn.count()
     plan = spark.table("t_bronze.transactions").filter("date = DATE'2024-01-03'")
     assert "PartitionFilters: [isnotnull(date" in plan._jdf.queryExecution().executedPlan().toString()
     create_tables(spark, root, "t_")
-    assert spark.table("t_bronze.transactions").count() == txn.count()
+    assert spark.table("t_bronze.transactions").count() == 2 * txn.count()
+    compact_day(spark, root, "bronze.transactions", "2024-01-03")
+    rows = read_table(spark, root, "bronze.transactions")
+    assert rows.count() == 2 * txn.count()
+    assert [r[0] for r in rows.where("date = DATE'2024-01-03'").select("batch_id").distinct().collect()] == [-1]
     create_tables(spark, root, "t_", reset=True)
-    assert spark.table("t_bronze.transactions").count() == 0
+    assert spark.table("t_bronze.transactions").count() == 0 and not (tmp_path / "lake/bronze/transactions").exists()
     for n in names:
         spark.sql(f"DROP TABLE {n}")
     for layer in ("bronze", "silver", "gold"):
@@ -118,3 +123,20 @@ def test_calendar(spark):
     row = df.filter("Time = TIMESTAMP_NTZ'2024-02-29 23:59:00'").first()
     assert (row["Year"], row["Quarter"], row["Month"], row["Day"], row["Hour"], row["Minute"], row["Second"]) \
         == (2024, 1, 2, 29, 23, 59, 0)
+
+
+def test_owned_tables_are_deleted_at_the_end(spark):
+    with owned(spark) as write:
+        df = write(spark.range(3), "owned")
+        path = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert df.count() == 3 and os.path.isdir(path)
+    assert not os.path.exists(path)
+    with pytest.raises(ValueError, match="below"):
+        delete_folder(spark, "/elsewhere/x", shared_root(spark))
+
+
+def test_rejected_messages(spark):
+    rows = spark.createDataFrame([('{"TransactionID": "1", "AccountNumber": "A"}',), ('{"TransactionID": "2"}',),
+                                  ("{broken",), (None,)], "value string")
+    assert sorted((r["value"] or "", r["reason"]) for r in feeds.rejected(rows).collect()) == [
+        ("", "malformed"), ('{"TransactionID": "2"}', "no account"), ("{broken", "malformed")]
