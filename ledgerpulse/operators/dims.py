@@ -37,13 +37,17 @@ def client_dim(silver: DataFrame) -> DataFrame:
     from those partial rows.
     """
     newest = F.struct(*ORDER)
+    # the decimal part of a sum does not depend on the rows' order; what decimals cannot hold is added apart
+    exact = F.expr("try_cast(TransactionAmount AS DECIMAL(28, 8))")
+    rest = F.col("TransactionAmount") - F.coalesce(exact.cast("double"), F.lit(0.0))
     parts = silver.groupBy(KEY, "Channel").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("TransactionAmount").alias("amount"),
+        F.count(F.lit(1)).alias("n"), F.sum(exact).alias("amount"), F.sum(rest).alias("rest"),
         F.count("TransactionAmount").alias("amounts"),
         F.max_by(F.struct(*PROFILE_COLS), newest).alias("profile"), F.max(newest).alias("newest"))
     return (parts.groupBy(KEY)
             .agg(F.max_by("profile", "newest").alias("profile"),
-                 F.try_divide(F.sum("amount"), F.sum("amounts")).alias("AvgTxnAmount"),
+                 F.try_divide(F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)) + F.sum("rest"),
+                              F.sum("amounts")).alias("AvgTxnAmount"),
                  F.max_by("Channel", F.struct("n", "Channel")).alias("UsualChannel"))
             .select(KEY, *[f"profile.{c}" for c in PROFILE_COLS], "AvgTxnAmount", "UsualChannel"))
 
