@@ -166,8 +166,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                  "last_line int"))
     runs = materialize(runs, "line-runs")
     interval = ["m", "r1", "r2"]
-    copies = (runs.groupBy(*interval).agg(F.min(F.struct(*DOC, "i")).alias("source"), F.count("*").alias("n"))
-              .where("n > 1").drop("n"))
+    # written, so that the join deals its rows anew and can split an interval with very many copies
+    copies = materialize(runs.groupBy(*interval).agg(F.min(F.struct(*DOC, "i")).alias("source"), F.count("*").alias("n"))
+                         .where("n > 1").drop("n"), "line-intervals")
     return (runs.join(copies, interval).where(~F.struct(*DOC, "i").eqNullSafe(F.col("source")))
             .select(*DOC, "first_line", "last_line", "source", "m"))
 
