@@ -24,15 +24,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     A large star hangs every larger neighbour of a node, a small star every smaller one, under the
     smallest; both keep components whole and end in stars. The rounds grow with the logarithm of a
-    component's width, each is written to shared storage, and minima are combined before a shuffle.
+    component's width, each is written to shared storage, and minima are combined before a shuffle. They are
+    written before they are joined, so that the join deals its rows anew and can split a node of many edges.
     """
     now = materialize(_oriented(edges), "edges")
     while not _is_forest(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialize(least, "least-neighbours")
         large = _oriented(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = materialize(large, "edges")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least-neighbours")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
