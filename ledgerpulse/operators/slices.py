@@ -155,12 +155,14 @@ def attach(rows: DataFrame, per_key: DataFrame, key: str, how: str = "left",
     if hot is None:
         return rows.join(per_key, key, how)
     salts = 2 * math.ceil(hot.rows / max_rows)
-    marks = hot.sized().select(key, F.lit(salts).alias("_salts"))
+    marks = hot.sized().select(F.col(key).alias("_hot"), F.lit(salts).alias("_salts"))
     salt = F.pmod(F.xxhash64(spread_by), F.coalesce("_salts", F.lit(1))).cast("int")
-    left = rows.join(marks, key, "left").withColumn("_salt", salt).drop("_salts")
-    right = (per_key.join(marks, key, "left")
+    # a missing key may be the hot one: it is salted too, though it meets no values
+    left = (rows.join(marks, F.col(key).eqNullSafe(F.col("_hot")), "left")
+            .withColumn("_salt", salt).drop("_salts", "_hot"))
+    right = (per_key.join(marks, F.col(key) == F.col("_hot"), "left")
              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
-             .drop("_salts"))
+             .drop("_salts", "_hot"))
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
