@@ -65,7 +65,7 @@ def _trailing(keyed: Keyed, wanted: list[str]) -> DataFrame:
     roll = w.rowsBetween(-LOOK_BACK, Window.currentRow)
     seconds = F.coalesce(F.unix_timestamp("Time"), F.lit(0))
     df = (keyed.df
-          .withColumns({"LogAmount": F.log(F.greatest("TransactionAmount", F.lit(EPS))),
+          .withColumns({"LogAmount": F.log(F.greatest(F.nanvl("TransactionAmount", F.lit(None)), F.lit(EPS))),
                         "_seconds": seconds, **hour_pair()})
           .withColumns({"_row": F.row_number().over(w),
                         "MovingAvg": F.avg("LogAmount").over(roll),

@@ -162,3 +162,9 @@ def test_one_shuffle_for_all_windows(spark):
 def test_unknown_profile(txn):
     with pytest.raises(ValueError):
         features(txn([{}]), "other")
+
+
+def test_an_amount_that_is_no_number_counts_as_missing(txn):
+    """As in the stream."""
+    rows = features(txn([{"TransactionAmount": float("nan")}, {"TransactionAmount": None}]), "trailing").collect()
+    assert {r["LogAmount"] for r in rows} == {pytest.approx(math.log(1e-6))}
