@@ -11,9 +11,11 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BLANK = "▁"
-CACHE = 500_000      # distinct units and piece pairs a worker remembers; no effect on results
+CACHE = 250_000      # distinct units and piece pairs a worker remembers; no effect on results
 NEVER = -np.inf
 State = tuple[int, int, int]
 
@@ -48,8 +50,9 @@ class Pieces:
         self.lines_part = not any("\n" in p for p in self.ids)
         line = "\n" if self.lines_part else ""
         self.unit = re.compile(f"{BLANK}*[^{BLANK}{line}]+|{BLANK}+|\n" if self.blanks_lead else r"(?s).+")
-        self.raw = {k: p.replace(BLANK, " ").encode() for p, k in self.ids.items()}
-        self.raw |= {k: bytes([b]) for b, k in self.bytes.items()}
+        raw = {k: p.replace(BLANK, " ").encode() for p, k in self.ids.items()}
+        raw |= {k: bytes([b]) for b, k in self.bytes.items()}
+        self.raw = pa.array([raw.get(k, b"") for k in range(self.width)], pa.binary())
         self.pairs: dict[int, bool] = {}
         self.units: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
@@ -82,13 +85,15 @@ class Pieces:
 
     def at(self, s: str, j: int) -> list[tuple[int, int]]:
         """Pieces that start at ``j`` with their end; a character without a piece stands for itself."""
-        out, node, k = [], self.tree.get(s[j]), j + 1
+        out, node, k, n = [], self.tree.get(s[j]), j + 1, len(s)
         if node is None or "" not in node:
             out.append((self.width + ord(s[j]), k))
         while node is not None:
             if "" in node:
                 out.append((node[""], k))
-            node = node.get(s[k]) if k < len(s) else None
+            if k == n:
+                break
+            node = node.get(s[k])
             k += 1
         return out
 
@@ -134,12 +139,41 @@ class Pieces:
 
     def numbers(self, pieces: list[int]) -> tuple[int, ...]:
         """Ids of pieces, bytes for characters without one."""
+        if max(pieces, default=0) < self.width:
+            return tuple(pieces)
         return tuple(k for p in pieces for k in (
             (p,) if p < self.width else [self.bytes[b] for b in chr(p - self.width).encode("utf-8", "surrogatepass")]))
 
     def path(self, s: str) -> tuple[int, ...]:
-        """Ids of a text between two breaks."""
-        return self.numbers(self.walk(self.scan(s, 0, len(s)), 0, len(s)))
+        """Ids of a text between two breaks.
+
+        Follows the one path of weight 0, longest pieces first. As all paths of weight 0 that reach a
+        position end in the same piece there, a position that leads no further is left for good.
+        """
+        n, ends, taken, options, dead = len(s), [0], [], [self.at(s, 0)], set()
+        pairs, x, j = self.pairs, -1, 0
+        while j < n:
+            here = options[-1]
+            while here:
+                y, end = here.pop()
+                if end in dead:
+                    continue
+                if x >= 0:
+                    free = pairs.get(x << 32 | y)
+                    if not (self.step(x, y) if free is None else free):
+                        continue
+                x, j = y, end
+                taken.append(y)
+                ends.append(end)
+                options.append(self.at(s, j) if j < n else [])
+                break
+            else:
+                dead.add(j)
+                options.pop()
+                taken.pop()
+                ends.pop()
+                j, x = ends[-1], taken[-1] if taken else -1
+        return self.numbers(taken)
 
     def encode(self, s: str) -> np.ndarray:
         """Ids of an escaped text, or of a part of one between two breaks."""
@@ -170,9 +204,13 @@ class Pieces:
                 known[w] = self.path(BLANK + w) if w[0] != "\n" else self.path("\n") + (self.path(w[1:]) if w[1:] else ())
         return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def decode(self, ids: pa.ListArray) -> list[str]:
+        """Texts of lists of ids; ids of control pieces stand for nothing, a null list for no ids."""
+        size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.r_[0, np.cumsum(size)].astype(np.int32))
+        parts = pa.ListArray.from_arrays(offsets, self.raw.take(ids.flatten()))
+        found = (t.decode("utf-8", "replace") for t in pc.binary_join(parts, b"").to_pylist())
+        return [t[1:] if t.startswith(" ") else t for t in found]
 
     # --- chunks ------------------------------------------------------------------------------
 

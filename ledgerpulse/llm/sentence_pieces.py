@@ -176,7 +176,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -
     def apply(batches):
         model = load(path)
         for batch in slices(batches):
-            back = [model.decode(i or []) for i in batch.column(ids).to_pylist()]
+            back = model.decode(batch.column(ids))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(back, pa.string())], [*keep, out])
 
     return encoded.select(*keep).mapInArrow(apply, f"{_kinds(encoded, keep)}, {out} string")
