@@ -75,8 +75,12 @@ def signature(text: str) -> np.ndarray:
     return (entry >> np.uint64(32)).astype(np.uint32)
 
 
+def as_bytes(entries: np.ndarray) -> bytes:
+    return entries.astype(">u4").tobytes()
+
+
 def as_text(entries: np.ndarray) -> str:
-    return entries.astype(">u4").tobytes().hex()
+    return as_bytes(entries).hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -97,10 +101,11 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in [*keep, text]]).mapInArrow(apply, schema)
 
 
-FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-          ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
+# digests travel as bytes and are spelled out in the result
+FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.binary()),
+          ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()),
           ("near_next", pa.float64())]
-RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
           "near_edited double, near_next double")
 EDGES = [("part", pa.int32()), ("edge", pa.string()), ("text", pa.string())]
 
@@ -115,8 +120,8 @@ def compared(doc_id, text: str, mark: np.ndarray, following: str, next_mark: np.
     change = edited(text, following)
     edited_mark = signature(change)
     return {"doc_id": doc_id, "n_chars": len(text),
-            "edited_sha256": hashlib.sha256(change.encode("utf-8", "surrogatepass")).hexdigest(),
-            "fingerprint": as_text(mark), "edited_fingerprint": as_text(edited_mark),
+            "edited_sha256": hashlib.sha256(change.encode("utf-8", "surrogatepass")).digest(),
+            "fingerprint": as_bytes(mark), "edited_fingerprint": as_bytes(edited_mark),
             "near_edited": likeness(mark, edited_mark), "near_next": likeness(mark, next_mark)}
 
 
@@ -161,5 +166,6 @@ def with_next(docs: DataFrame) -> DataFrame:
                 batch.column("doc_id").to_pylist(), texts(batch), texts(batch, "next_text"), strict=True)]
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(FIELDS))
 
-    names = [n for n, _ in FIELDS]
-    return walked.where("edge IS NULL").select(*names).unionByName(pairs.mapInArrow(finish, RESULT))
+    names = [F.lower(F.hex(n)).alias(n) if kind == pa.binary() else n for n, kind in FIELDS]
+    found = walked.where("edge IS NULL").select(*[n for n, _ in FIELDS])
+    return found.unionByName(pairs.mapInArrow(finish, RESULT)).select(*names)
