@@ -247,8 +247,7 @@ def experiment_grid(spark, sf_dir):
 
 @query
 def sweep(spark, sf_dir):
-    rows = experiments.sweep(SelfOrganizingMap, engineered(spark, sf_dir), "tailsep", trials=3,
-                             fixed={"passes": 2})
+    rows = experiments.sweep(SelfOrganizingMap, engineered(spark, sf_dir), "tailsep", trials=3)
     return spark.createDataFrame(rows, "trial int, params string, value double, best boolean")
 
 
