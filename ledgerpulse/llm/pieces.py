@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLANK = "▁"
-CACHE = 250_000      # distinct units and piece pairs a worker remembers; no effect on results
+CACHE = 180_000      # distinct units and piece pairs a worker remembers; no effect on results
 NEVER = -np.inf
 State = tuple[int, int, int]
 
@@ -50,9 +50,6 @@ class Pieces:
         self.lines_part = not any("\n" in p for p in self.ids)
         line = "\n" if self.lines_part else ""
         self.unit = re.compile(f"{BLANK}*[^{BLANK}{line}]+|{BLANK}+|\n" if self.blanks_lead else r"(?s).+")
-        raw = {k: p.replace(BLANK, " ").encode() for p, k in self.ids.items()}
-        raw |= {k: bytes([b]) for b, k in self.bytes.items()}
-        self.raw = pa.array([raw.get(k, b"") for k in range(self.width)], pa.binary())
         self.pairs: dict[int, bool] = {}
         self.units: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
@@ -204,14 +201,6 @@ class Pieces:
                 known[w] = self.path(BLANK + w) if w[0] != "\n" else self.path("\n") + (self.path(w[1:]) if w[1:] else ())
         return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
 
-    def decode(self, ids: pa.ListArray) -> list[str]:
-        """Texts of lists of ids; ids of control pieces stand for nothing, a null list for no ids."""
-        size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array(np.r_[0, np.cumsum(size)].astype(np.int32))
-        parts = pa.ListArray.from_arrays(offsets, self.raw.take(ids.flatten()))
-        found = (t.decode("utf-8", "replace") for t in pc.binary_join(parts, b"").to_pylist())
-        return [t[1:] if t.startswith(" ") else t for t in found]
-
     # --- chunks ------------------------------------------------------------------------------
 
     def states(self, s: str, cut: int) -> list[State]:
@@ -269,6 +258,26 @@ class Pieces:
         return np.concatenate([np.array(head, np.int32), self.encode(s[first:last]), np.array(tail, np.int32)])
 
 
+class PieceTexts:
+    """What decoding needs: the bytes of every piece."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+        model = sentencepiece.SentencePieceProcessor(model_file=path)   # only its table is read
+        self.raw = pa.array([
+            bytes([int(model.id_to_piece(k)[3:5], 16)]) if model.is_byte(k)
+            else b"" if model.is_control(k) or model.is_unknown(k)
+            else model.id_to_piece(k).replace(BLANK, " ").encode() for k in range(model.get_piece_size())], pa.binary())
+
+    def decode(self, ids: pa.ListArray) -> list[str]:
+        """Texts of lists of ids; ids of control pieces stand for nothing, a null list for no ids."""
+        size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.r_[0, np.cumsum(size)].astype(np.int32))
+        parts = pa.ListArray.from_arrays(offsets, self.raw.take(ids.flatten()))
+        found = (t.decode("utf-8", "replace") for t in pc.binary_join(parts, b"").to_pylist())
+        return [t[1:] if t.startswith(" ") else t for t in found]
+
+
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Max-plus product; associative, so chunks may be combined in any grouping."""
     return (a[:, :, None] + b[None, :, :]).max(axis=1, initial=NEVER)
@@ -281,3 +290,8 @@ def escaped(text: str) -> str:
 @lru_cache(maxsize=2)
 def load(path: str) -> Pieces:
     return Pieces(path)
+
+
+@lru_cache(maxsize=2)
+def load_texts(path: str) -> PieceTexts:
+    return PieceTexts(path)

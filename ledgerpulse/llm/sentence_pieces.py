@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.llm.common import slices, texts, whole_groups
-from ledgerpulse.llm.pieces import NEVER, escaped, load, product
+from ledgerpulse.llm.pieces import NEVER, escaped, load, load_texts, product
 from ledgerpulse.storage import materialize
 
 CHUNK = 1 << 15
@@ -174,7 +174,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -
     keep = [c for c in encoded.columns if c != out]
 
     def apply(batches):
-        model = load(path)
+        model = load_texts(path)
         for batch in slices(batches):
             back = model.decode(batch.column(ids))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(back, pa.string())], [*keep, out])
