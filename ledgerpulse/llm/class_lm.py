@@ -1,14 +1,18 @@
 """Operator 6: class-based n-gram language model with exchange clustering.
 
-Word counts cover every training text. The ``HEAD`` most frequent words are moved between ``CLASSES``
-classes, one word at a time, to the class that raises the likelihood of the class bigrams most, until a
-pass moves none. All other words belong to classes by rule (length and last character). A text's log10
-probability adds class transitions, smoothed towards class frequencies, and word emissions with one count
-added to every word of a class and to one unseen word.
-
-Sizes that do not follow the corpus: the bigram table over head words, rule classes and the end (about
-HEAD squared numbers) and the ``LOOKUP`` words whose counts every scoring task holds. Counts of all other
-words reach the texts by a join, so every word counts in every score.
+Word and bigram counts cover every training text, and every word of them is exchanged between ``CLASSES``
+classes: it moves to the class that raises the likelihood of the class bigrams most. The ``head`` most frequent
+words start from an exchange of their own, one word at a time; then all words choose at once, round after
+round, each from its own bigrams and the table of class bigrams; half of those that gain move, and when few gain,
+they move one after the other. A round counts only if the likelihood rises; if it falls, fewer words move, at last
+the one that gains most. This ends when no word gains by moving. A text's log10 probability adds class transitions, smoothed towards class frequencies, and
+word emissions with one count added to every word of a class and to one unseen word. A word that no training
+text holds has no class: it counts as in the base, and the word after it by its class frequency.
+
+Bigrams lie in packs of about ``PACK`` entries, each word's in one pack; words of more than a ``HUBS``-th of all
+tokens are spread over packs and their sums added up. Of every word the driver and the tasks hold one byte, its
+class, and the ``LOOKUP`` most frequent words; all other words are numbered and scored by joins. Packs of up to
+``LOCAL`` entries in all are exchanged on the driver by the same functions.
 
 Null and empty texts consist of the end alone; texts of any length are read whole. Rows are scored one by
 one, also repeated ones. Without training texts every count is zero. An empty table gives an empty table;
@@ -20,19 +24,24 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import slices, texts
-from ledgerpulse.storage import materialize
+from ledgerpulse.llm.common import column, slices, starts, texts, whole_groups
+from ledgerpulse.storage import materialize, scratch_path
 
 HEAD, CLASSES, LOOKUP = 1024, 48, 200_000
-LENGTHS, RULES = 5, 10          # rule classes: five lengths, ending in a letter or digit or not
 END = b""                       # words are never empty
-FLUSH = 300_000
+FLUSH, TOKENS = 300_000, 1_000_000
+PACK, HUBS, LOCAL = 200_000, 5_000, 3_000_000
+FILE = 4                        # packs in a file
+TURNS = 4096                    # words moved one by one in a round, once no more want to move
+BLOCK, TABLED = 256, 64         # words rated at a time; counts whose gains are tabled
+TOLERANCE = 1e-6                # gains below it are none
 PRIOR = 20.0                    # weight of the class frequencies in a transition
-PARTS = ["n_tokens", "held", "logs", "chain", "rare", "rare_n"]
-ADDED = [*PARTS, "n_known", "train_tokens", "base_score", "score", "perplexity", "_row"]
+PARTS = ["n_tokens", "held", "logs", "chain", "rare", "rare_n", "before", "now"]
+ADDED = [*PARTS, "n_known", "train_tokens", "base_score", "score", "perplexity", "_row", "_k", "_c", "_id"]
 
 
 def words_of(text: str) -> list[bytes]:
@@ -40,17 +49,13 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def rule(word: bytes) -> int:
-    last = word[-1]
-    plain = last >= 128 or 48 <= last <= 57 or 97 <= last <= 122
-    return min(len(word) // 3, LENGTHS - 1) + (0 if plain else LENGTHS)
+def key_of(word: bytes) -> int:
+    """Negative number of a word outside the dictionary."""
+    return (xxhash.xxh64_intdigest(word, 42) | 1 << 63) - (1 << 64)
 
 
-def rule_column(word: Column) -> Column:
-    last = F.ascii(F.right(word, F.lit(1)))
-    plain = (last >= 128) | last.between(48, 57) | last.between(97, 122)
-    return (F.least(F.floor(F.octet_length(word) / 3).cast("int"), F.lit(LENGTHS - 1))
-            + F.when(plain, 0).otherwise(LENGTHS))
+def key_column(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63)))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -75,10 +80,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return (docs.select("text").mapInArrow(count, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c")))
 
 
-def frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """Counts of the words above the lowest count that no more than ``most`` words reach, most frequent first.
+def bound(counts: DataFrame, most: int) -> Column:
+    """Whether a word's count is above the lowest one that no more than ``most`` words reach.
 
-    A histogram in steps of a sixteenth of a doubling picks the bound, so only the result is collected.
+    A histogram in steps of a sixteenth of a doubling picks the bound.
     """
     step = F.floor(F.log2("c") * 16).cast("int")
     bins = counts.groupBy(step.alias("b")).agg(F.count("*").alias("n")).orderBy(F.desc("b")).collect()
@@ -88,36 +93,19 @@ def frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
         if total > most:
             break
         low = b["b"]
-    if low is None:
-        return {}
-    frame = counts.where(step >= low).toPandas().sort_values(["c", "word"], ascending=[False, True])
-    return {w.encode(): int(c) for w, c in zip(frame["word"], frame["c"], strict=True)}
+    return F.lit(False) if low is None else step >= low
 
 
 class Lexicon:
-    """Symbols of words: head words have their own, other words that of their rule class."""
-
-    def __init__(self, known: dict[bytes, int], head: int):
-        self.index = {w: k for k, w in enumerate(known)}
-        chosen = [w for w in known if w != END][:head]
-        place = {w: k for k, w in enumerate(chosen)}
-        self.head, self.size = len(chosen), len(chosen) + RULES + 1
-        self.end = self.size - 1
-        self.symbol = np.array([self.end if w == END else place[w] if w in place else self.head + rule(w)
-                                for w in known] + [0], np.int64)
-        self.count = np.array([*known.values(), 0], np.int64)   # the last entry stands for words not held here
-        self.head_counts = np.array([known[w] for w in chosen], np.int64)
-
-    def read(self, rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Index and symbol of every word of the rows, one after the other; -1 for words not held."""
-        total = sum(map(len, rows))
-        at = np.fromiter((k for r in rows for k in map(self.index.get, r, repeat(-1))), np.int64, total)
-        symbol = self.symbol[at]
-        rest = np.flatnonzero(at < 0)
-        if len(rest):
-            flat = [w for r in rows for w in r]
-            symbol[rest] = [self.head + rule(flat[k]) for k in rest.tolist()]
-        return at, symbol
+    """Number of the words that tasks hold, the most frequent first."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray):
+        self.index = {w: k for k, w in enumerate(words)}
+        self.count = np.append(counts, 0).astype(np.int64)   # the last entry stands for words not held here
+
+    def read(self, rows: list[list[bytes]]) -> np.ndarray:
+        """Index of every word of the rows, one after the other; -1 for words not held."""
+        return np.fromiter((k for r in rows for k in map(self.index.get, r, repeat(-1))), np.int64, sum(map(len, rows)))
 
 
 def chained(rows: list[list[bytes]], symbol: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,27 +118,44 @@ def chained(rows: list[list[bytes]], symbol: np.ndarray, end: int) -> tuple[np.n
 
 
 def bigrams(docs: DataFrame, lexicon) -> DataFrame:
-    """(pair, n) of adjacent symbols over all texts, as previous * size + current."""
+    """(u, v, n) of adjacent words over all texts: 0 is the end, words of the lexicon count from 1, others are keys."""
     def count(batches):
         lex: Lexicon = lexicon.value
-        total = np.zeros(lex.size ** 2, np.int64)
+        local, keys, held, size = {}, [0], [], 0
+
+        def out():
+            pair, n = np.unique(np.concatenate(held), return_counts=True)
+            key = np.array(keys, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(key[pair >> 32]), pa.array(key[pair & 0xFFFFFFFF]), pa.array(n)],
+                                              ["u", "v", "n"])
+
         for batch in slices(batches):
             rows = [words_of(t) for t in texts(batch)]
-            _, before, now = chained(rows, lex.read(rows)[1], lex.end)
-            pair, n = np.unique(before * lex.size + now, return_counts=True)
-            total[pair] += n
-        pair = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(pair.astype(np.int32)), pa.array(total[pair])], ["pair", "n"])
+            for w in set().union(*rows).difference(local):
+                local[w] = len(keys)
+                k = lex.index.get(w)
+                keys.append(key_of(w) if k is None else k + 1)
+            symbol = np.fromiter((k for r in rows for k in map(local.__getitem__, r)), np.int64, sum(map(len, rows)))
+            _, before, now = chained(rows, symbol, 0)
+            held.append(before << 32 | now)
+            size += len(now)
+            if size > TOKENS or len(keys) > FLUSH:
+                yield out()
+                local, keys, held, size = {}, [0], [], 0
+        if held:
+            yield out()
 
-    return docs.select("text").mapInArrow(count, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    return (docs.select("text").mapInArrow(count, "u bigint, v bigint, n bigint").groupBy("u", "v")
+            .agg(F.sum("n").alias("n")))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(pairs: np.ndarray, head: int, classes: int, passes: int = 10) -> np.ndarray:
-    """Class of every symbol. Head symbols move between ``classes`` classes, the others keep one each."""
+def exchange(pairs: np.ndarray, head: int, classes: int) -> np.ndarray:
+    """Class of every symbol. Head symbols move between ``classes`` classes until a pass moves none, the others keep
+    one each."""
     symbols = len(pairs)
     label = np.r_[np.arange(head) % classes, classes + np.arange(symbols - head)]
     total = classes + symbols - head
@@ -160,7 +165,7 @@ def exchange(pairs: np.ndarray, head: int, classes: int, passes: int = 10) -> np
     joint = one.T @ right
     use = pairs.sum(axis=1)
     weight = one.T @ use
-    for _ in range(passes):
+    while True:
         moved = 0
         for w in range(head):
             a, own = label[w], pairs[w, w]
@@ -180,7 +185,7 @@ def exchange(pairs: np.ndarray, head: int, classes: int, passes: int = 10) -> np
                     + _xlogx(corner + r[:classes] + c[:classes] + own) - _xlogx(corner)
                     - 2 * (_xlogx(weight[:classes] + use[w]) - _xlogx(weight[:classes])))
             b = int(gain.argmax())
-            if gain[b] <= gain[a] + 1e-9:
+            if gain[b] <= gain[a] + TOLERANCE:
                 b = a
             joint[b] += r
             joint[:, b] += c
@@ -194,84 +199,460 @@ def exchange(pairs: np.ndarray, head: int, classes: int, passes: int = 10) -> np
                 left[:, a] -= pairs[w]
                 left[:, b] += pairs[w]
         if not moved:
-            break
+            return label
+
+
+def _grown(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """(x + n) log(x + n) - x log x, precise also where n is small beside x."""
+    x = x.astype(np.float64)
+    return n * np.log(np.maximum(x + n, 1)) + x * np.log1p(n / np.maximum(x, 1))
+
+
+def small_steps(joint: np.ndarray) -> list[np.ndarray]:
+    """What up to ``TABLED`` more bigrams add to each cell, for either side."""
+    return [_grown(table[None], np.arange(TABLED + 1)[:, None, None]) for table in (joint.T, joint)]
+
+
+def gains(sums: np.ndarray, own: np.ndarray, label: np.ndarray, joint: np.ndarray,
+          steps: list[np.ndarray] | None = None) -> np.ndarray:
+    """Words x classes: what the likelihood gains if a word, taken out of its class ``label``, joins a class.
+
+    ``sums`` (words x 2 x classes) counts the classes after and before each word without ``own``, its bigrams with
+    itself; ``joint`` counts the class bigrams, the words in their present classes; ``steps`` saves time.
+    """
+    words, total = len(sums), len(joint)
+    use = sums[:, 0].sum(axis=1) + own
+    at = np.arange(words)
+    gain = np.zeros((words, total))
+    for side, table in ((0, joint.T), (1, joint)):     # table[c]: bigrams of c with each class on the word's side
+        mine, other = sums[:, side], sums[:, 1 - side]
+        i, c = np.nonzero(mine)
+        if not len(i):
+            continue
+        x, a = mine[i, c], label[i]
+        if steps:
+            g = steps[side][np.minimum(x, TABLED), c]
+            big = np.flatnonzero(x > TABLED)
+            g[big] = _grown(table[c[big]], x[big, None])
+        else:
+            g = _grown(table[c], x[:, None])
+        g[np.arange(len(i)), a] = _grown(table[c, a] - x, x)
+        k = np.flatnonzero(c == a)                     # bigrams with the class the word has left
+        g[k] = _grown(table[c[k]] - other[i[k]], x[k, None])
+        g[np.arange(len(i)), c] = 0.0                  # of a class with itself: below
+        head = starts(i)
+        gain[i[head]] += np.add.reduceat(g, head, axis=0)
+    both = sums[:, 0] + sums[:, 1] + own[:, None]
+    corner = np.repeat(np.diag(joint)[None], words, axis=0)
+    corner[at, label] -= both[at, label]
+    weight = np.repeat(joint.sum(axis=1)[None], words, axis=0)
+    weight[at, label] -= use
+    return gain + _grown(corner, both) - 2 * _grown(weight, use[:, None])
+
+
+def choose(sums: np.ndarray, own: np.ndarray, label: np.ndarray, joint: np.ndarray,
+           classes: int, steps: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Class each word wants and what it gains by it; words of no class (the last one) must choose one."""
+    gain = gains(sums, own, label, joint, steps)
+    want = gain[:, :classes].argmax(axis=1)
+    more = gain[np.arange(len(want)), want] - gain[np.arange(len(want)), label]
+    move = (more > TOLERANCE) | (label > classes)
+    return np.where(move, want, label), np.where(move & (want != label), more, 0.0)
+
+
+class Pack:
+    """Bigrams of some words: ``nbr`` stands after (``side`` 0) or before ``word``. Packs below 0 share their words."""
+
+    def __init__(self, p: int, blob: bytes | pa.Buffer):
+        self.p = p
+        n = memoryview(blob).nbytes // 17
+        self.n = np.frombuffer(blob, np.int64, n)
+        self.word = np.frombuffer(blob, np.int32, n, 8 * n)
+        self.nbr = np.frombuffer(blob, np.int32, n, 12 * n)
+        self.side = np.frombuffer(blob, np.int8, n, 16 * n)
+
+    def bigrams(self, label: np.ndarray, total: int) -> np.ndarray:
+        right = self.side == 0
+        return np.bincount(label[self.word[right]].astype(np.int64) * total + label[self.nbr[right]], self.n[right],
+                           total * total).astype(np.int64)
+
+    def shared(self, label: np.ndarray, total: int, hubs: int) -> np.ndarray:
+        other = self.word != self.nbr
+        return np.bincount((self.word[other].astype(np.int64) * 2 + self.side[other]) * total + label[self.nbr[other]],
+                           self.n[other], hubs * 2 * total).astype(np.int64)
+
+    def wanted(self, label: np.ndarray, joint: np.ndarray, classes: int, first: int, last: int):
+        """Wanted class of the words from ``first`` to before ``last``, and those that gain by it as (gain, word, own, sums)."""
+        total, out, found, steps = len(joint), label[first:last].copy(), [], small_steps(joint)
+        for low in range(first, last, BLOCK):
+            high = min(low + BLOCK, last)
+            a, b = np.searchsorted(self.word, (low, high))
+            word, nbr, side, n = (x[a:b] for x in (self.word, self.nbr, self.side, self.n))
+            word = word.astype(np.int64) - low
+            self_ = nbr == word + low
+            own = np.bincount(word[self_ & (side == 0)], n[self_ & (side == 0)], high - low).astype(np.int64)
+            sums = np.bincount((word[~self_] * 2 + side[~self_]) * total + label[nbr[~self_]], n[~self_],
+                               (high - low) * 2 * total).astype(np.int64).reshape(-1, 2, total)
+            want, gain = choose(sums, own, label[low:high].astype(np.int64), joint, classes, steps)
+            out[low - first:high - first] = want
+            k = np.flatnonzero(gain)
+            found.append((gain[k], low + k, own[k], sums[k]))
+        return out, found
+
+
+class Packs:
+    """The bigrams of all words in packs, and the two passes of a round over them."""
+
+    def __init__(self, spark, table: DataFrame, first: np.ndarray, hubs: int, own: np.ndarray, local: bool):
+        self.spark, self.table, self.first, self.hubs, self.own = spark, table, first, hubs, own
+        self.local = [Pack(r["p"], bytes(r["blob"])) for r in table.orderBy("p").collect()] if local else None
+
+    def measure(self, label: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Class bigrams, and the classes around each hub."""
+        hubs, cells = self.hubs, total * total
+
+        def add(packs, label):
+            out = np.zeros(cells + hubs * 2 * total, np.int64)
+            for pack in packs:
+                out[:cells] += pack.bigrams(label, total)
+                if pack.p < 0:
+                    out[cells:] += pack.shared(label, total, hubs)
+            return out
+
+        if self.local is not None:
+            out = add(self.local, label)
+        else:
+            shared = self.spark.sparkContext.broadcast(label)
+
+            def apply(batches):
+                out = add(_packs(batches), shared.value)
+                at = np.flatnonzero(out)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["at", "n"])
+
+            found = (self.table.mapInArrow(apply, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+                     .toPandas())   # at most HUBS words' and the class bigrams
+            out = np.zeros(cells + hubs * 2 * total, np.int64)
+            out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+            shared.destroy()
+        return out[:cells].reshape(total, total), out[cells:].reshape(hubs, 2, total)
+
+    def wanted(self, label: np.ndarray, joint: np.ndarray, hub_sums: np.ndarray, classes: int):
+        """Class every word wants, and of the words that gain most by it (gain, word, own, sums)."""
+        out, first, total, most = label.copy(), self.first, len(joint), max(1, TURNS // (len(self.first) - 1 or 1))
+        own, hubs = self.own[1:], hub_sums[1:]
+        out[1:self.hubs], gain = choose(hubs, own, label[1:self.hubs].astype(np.int64), joint, classes)
+        k = np.flatnonzero(gain)
+        found = [_most([(gain[k], k + 1, own[k], hubs[k])], TURNS)]
+        if self.local is not None:
+            for pack in self.local:
+                if pack.p >= 0:
+                    low, high = first[pack.p], first[pack.p + 1]
+                    out[low:high], rows = pack.wanted(label, joint, classes, low, high)
+                    found.append(_most(rows, most))
+        else:
+            shared = self.spark.sparkContext.broadcast((label, joint, first))
+
+            def apply(batches):
+                label, joint, first = shared.value
+                for pack in _packs(batches):
+                    want, rows = pack.wanted(label, joint, classes, int(first[pack.p]), int(first[pack.p + 1]))
+                    blobs = [x.tobytes() for x in _most(rows, most)] if rows else [b""] * 4
+                    yield pa.RecordBatch.from_arrays([pa.array([pack.p]), pa.array([want.tobytes()]),
+                                                      *(pa.array([x]) for x in blobs)], ["p", "want", "gain", "word", "own", "sums"])
+
+            rows = self.table.where("p >= 0").mapInArrow(
+                apply, "p bigint, want binary, gain binary, word binary, own binary, sums binary")
+            for r in rows.collect():   # one byte for each word, and the sums of about TURNS words
+                out[first[r["p"]]:first[r["p"] + 1]] = np.frombuffer(bytes(r["want"]), np.int8)
+                found.append((np.frombuffer(bytes(r["gain"])), *(np.frombuffer(bytes(r[c]), np.int64) for c in ("word", "own")),
+                              np.frombuffer(bytes(r["sums"]), np.int64).reshape(-1, 2, total)))
+            shared.destroy()
+        return out, _most(found, TURNS)
+
+
+def _most(rows: list[tuple], most: int) -> tuple:
+    """Of rows of (gain, word, own, sums) the ``most`` of highest gain, in that order."""
+    gain, word, own, sums = (np.concatenate(x) for x in zip(*rows, strict=True)) if rows else [np.zeros(0)] * 4
+    at = np.lexsort((word, -gain))[:most]
+    return gain[at], word[at], own[at], sums[at]
+
+
+def in_turn(rows: tuple, label: np.ndarray, joint: np.ndarray, classes: int) -> np.ndarray:
+    """Labels after the words of ``rows`` moved one by one, each by the class bigrams that those before it left."""
+    label, joint = label.copy(), joint.copy()
+    for _, word, own, sums in zip(*rows, strict=True):
+        a = label[word]
+        want, gain = choose(sums[None], own[None], np.array([a], np.int64), joint, classes)
+        if gain[0] > 0:
+            for k, sign in ((a, -1), (want[0], 1)):
+                joint[k] += sign * sums[0]
+                joint[:, k] += sign * sums[1]
+                joint[k, k] += sign * own
+            label[word] = want[0]
     return label
 
 
+def _packs(batches):
+    for batch in batches:
+        for p, blob in zip(batch.column("p").to_pylist(), batch.column("blob"), strict=True):
+            yield Pack(p, blob.as_buffer())
+
+
+def packed(edges: DataFrame, first: np.ndarray, hubs: int, shares: int) -> DataFrame:
+    """(p, blob): both ends of the bigrams (u, v, n) by pack; hubs' ones lie in ``shares`` packs below 0."""
+    def both(batches):
+        for batch in batches:
+            u, v, n = (column(batch, c) for c in "uvn")
+            word, nbr = np.r_[u, v], np.r_[v, u]
+            side = np.repeat(np.array([0, 1], np.int8), len(u))
+            mix = ((nbr * 2 + side).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64)
+            p = np.where(word < hubs, -1 - (mix + word) % shares, np.searchsorted(first, word, "right") - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(word.astype(np.int32)),
+                                              pa.array(nbr.astype(np.int32)), pa.array(side), pa.array(np.r_[n, n])],
+                                             ["p", "word", "nbr", "side", "n"])
+
+    def pack(batches):
+        for group in whole_groups(batches, ["p"]):
+            p, *parts = (column(group, c) for c in ("p", "n", "word", "nbr", "side"))
+            head = starts(p)
+            for low, high in zip(head, [*head[1:], len(p)], strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(p[low:low + 1]), pa.array(
+                    [b"".join(x[low:high].tobytes() for x in parts)])], ["p", "blob"])
+
+    return (edges.mapInArrow(both, "p int, word int, nbr int, side tinyint, n bigint").repartition("p")
+            .sortWithinPartitions("p", "word").mapInArrow(pack, "p int, blob binary"))
+
+
+def likelihood(joint: np.ndarray) -> float:
+    def total(x):
+        x = x.astype(np.longdouble)
+        return (x * np.log(np.maximum(x, 1))).sum()
+    return total(joint) - 2 * total(joint.sum(axis=1))
+
+
+def exchange_all(packs: Packs, label: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all words and the class bigrams after exchange rounds until no word gains by a move."""
+    total, share, rounds = classes + 2, 0.5, 0
+    joint, around = packs.measure(label, total)
+    while True:
+        want, most = packs.wanted(label, joint, around, classes)
+        movers = np.flatnonzero(want != label)
+        if not len(movers):
+            return label, joint
+        placing = bool((label > classes).any())
+        turns = len(movers) <= 2 * len(most[0])   # then they move one by one
+        n = len(most[0])
+        while True:
+            rounds += 1
+            if turns and not placing:
+                trial = in_turn([x[:n] for x in most], label, joint, classes)
+            else:
+                mix = (movers + rounds * 7919).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                some = movers if placing else movers[(mix >> np.uint64(11)).astype(np.float64) < share * 2.0 ** 53]
+                trial = label.copy()
+                trial[some] = want[some]
+            next_joint, next_around = packs.measure(trial, total)
+            if placing or likelihood(next_joint) > likelihood(joint):
+                label, joint, around, share = trial, next_joint, next_around, min(0.5, share * 1.25)
+                break
+            if turns and n == 1:
+                return label, joint   # no gain beyond rounding is left
+            n, share = max(1, n // 4), share / 2
+            turns = turns or share * len(movers) < 1
+
+
+def tables(joint: np.ndarray, tokens: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log10 transition table between classes and log10 emission totals."""
+    use = joint.sum(axis=1)
+    prior = (use + 1) / (use.sum() + len(joint))
+    return np.log10((joint + PRIOR * prior) / (use[:, None] + PRIOR)), np.log10(tokens + types + 1)
+
+
 class ClassModel:
-    """Log10 transition table between classes and log10 emission totals, per symbol."""
+    """Classes and tables of a bigram table that fits into memory, by the sequential exchange."""
 
     def __init__(self, pairs: np.ndarray, head: int, classes: int, head_counts: np.ndarray, rule_types: np.ndarray):
         self.label = exchange(pairs.astype(np.float64), head, classes)
-        total = int(self.label.max()) + 1
-        one = np.zeros((len(pairs), total))
+        one = np.zeros((len(pairs), int(self.label.max()) + 1))
         one[np.arange(len(pairs)), self.label] = 1
-        joint = one.T @ pairs @ one
-        use = joint.sum(axis=1)
-        prior = (use + 1) / (use.sum() + total)
-        self.transition = np.log10((joint + PRIOR * prior) / (use[:, None] + PRIOR))
         tokens = np.r_[head_counts, pairs.sum(axis=0)[head:]]
         types = np.r_[np.ones(head), rule_types, 1]
-        self.emission = np.log10(one.T @ tokens + one.T @ types + 1)
+        self.transition, self.emission = tables(one.T @ pairs @ one, one.T @ tokens, one.T @ types)
+
+
+class Clusters:
+    """What ``cluster`` learns: the dictionary, the other words with their numbers, classes and class bigrams."""
+
+
+def cluster(training: DataFrame, head: int, classes: int, dictionary: int) -> Clusters:
+    """Exchange clustering of all words of ``training``. The end is word 0, dictionary words follow by frequency."""
+    spark, out = training.sparkSession, Clusters()
+    counts = materialize(word_counts(training), "word-counts")
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
+                      F.coalesce(F.sum(F.when(F.col("word") == "", F.col("c"))), F.lit(0)).alias("ends")).first()
+    out.tokens, out.types, out.ends = sums["n"], sums["v"], sums["ends"]
+    words = counts.where("word <> ''")
+    frequent = bound(words, dictionary)
+    frame = words.where(frequent).toPandas().sort_values(["c", "word"], ascending=[False, True])
+    out.words, out.counts = [w.encode() for w in frame["word"]], frame["c"].to_numpy(np.int64)
+    known = len(out.words)
+    lexicon = spark.sparkContext.broadcast(Lexicon(out.words, out.counts))
+    hubs = 1 + int((out.counts > max(out.tokens // HUBS, PACK // 4)).sum())
+
+    # packs: known words by their share of the bigrams, others by key
+    load = np.cumsum(2 * out.counts[hubs - 1:]) // PACK
+    head_of = hubs + starts(load) if len(load) else np.zeros(0, np.int64)
+    rare = words.where(~frequent)
+    rare_tokens = out.tokens - out.ends - int(out.counts.sum())
+    rare_packs = max(1, -(-2 * rare_tokens // PACK))
+    keys = (rare.select(key_column(F.col("word")).alias("key")).distinct()
+            .withColumn("p", F.pmod("key", F.lit(rare_packs)).cast("int"))
+            .withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("key"))))
+    keys = materialize(keys, "word-keys")
+    size = np.zeros(rare_packs, np.int64)
+    for r in keys.groupBy("p").agg(F.count("*").alias("n")).collect():
+        size[r["p"]] = r["n"]
+    offset = known + 1 + np.cumsum(size) - size
+    first = np.r_[head_of, offset, known + 1 + size.sum()].astype(np.int64)
+    offsets = spark.createDataFrame([(p, int(o)) for p, o in enumerate(offset)], "p int, o bigint")
+    ids = keys.join(F.broadcast(offsets), "p").select("key", (F.col("o") + F.col("k") - 1).alias("id"))   # one row a pack
+    out.rare = materialize(rare.withColumn("key", key_column(F.col("word"))).join(ids, "key")
+                           .select("word", "c", "id"), "rare-words")
+
+    edges = materialize(bigrams(training, lexicon), "bigrams")
+
+    def numbered(df, c):
+        return df.where(F.col(c) >= 0).unionByName(
+            df.where(F.col(c) < 0).join(ids.withColumnRenamed("key", c), c).drop(c).withColumnRenamed("id", c))
+
+    head = min(head, known)
+    own = np.zeros(hubs, np.int64)
+    for r in edges.where(f"u = v AND u BETWEEN 0 AND {hubs - 1}").collect():
+        own[r["u"]] = r["n"]
+    hub_tokens = out.ends + int(out.counts[:hubs - 1].sum())
+    table, path = packed(numbered(numbered(edges, "u"), "v"), first, hubs, max(1, -(-2 * hub_tokens // PACK))), scratch_path(spark, "packs")
+    table.write.option("maxRecordsPerFile", FILE).parquet(path)   # a task reads few files, so few packs, at a time
+    table = spark.read.schema(table.schema).parquet(path)
+    packs = Packs(spark, table, first, hubs, own, 2 * edges.count() <= LOCAL)
+
+    # start: the head words by themselves, the end in a class of its own, all others in none
+    symbol = lambda c: F.when(F.col(c).between(1, head), F.col(c) - 1).when(F.col(c) == 0, head + 1).otherwise(head)
+    near = edges.groupBy(symbol("u").alias("u"), symbol("v").alias("v")).agg(F.sum("n").alias("n")).toPandas()
+    pairs = np.zeros((head + 2, head + 2))
+    pairs[near["u"].to_numpy(np.int64), near["v"].to_numpy(np.int64)] = near["n"].to_numpy()
+    classes = min(classes, max(head, 1))
+    label = np.full(first[-1], classes + 1, np.int8)
+    label[0] = classes
+    label[1:head + 1] = exchange(pairs, head, classes)[:head]
+    out.label, joint = exchange_all(packs, label, classes)
+    types = np.bincount(out.label, minlength=classes + 2)
+    out.transition, out.emission = (x[..., :classes + 1] for x in tables(
+        joint[:classes + 1, :classes + 1], joint.sum(axis=0)[:classes + 1], types[:classes + 1]))
+    # an unseen word has its base probability, the word after it that of its class
+    after = np.log10((joint.sum(axis=1) + 1) / (out.tokens + classes + 1))[:classes + 1]
+    out.transition = np.block([[out.transition, np.zeros((classes + 1, 1))], [after[None], np.zeros((1, 1))]])
+    out.emission = np.append(out.emission, np.log10(out.tokens + out.types + 1))
+    return out
 
 
 def score(docs: DataFrame, training: DataFrame, head: int = HEAD, classes: int = CLASSES,
           lookup: int = LOOKUP) -> DataFrame:
-    """``docs`` (any columns, text) with n_tokens, n_known, train_tokens, base_score, score and perplexity."""
+    """``docs`` (any columns, text) with n_tokens, n_known, train_tokens, base_score, score and perplexity.
+
+    ``head`` words start the clustering; scoring tasks hold the counts of ``lookup`` words.
+    """
     spark = docs.sparkSession
-    counts = materialize(word_counts(training), "word-counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    known = frequent(counts, lookup)
-    lex = Lexicon(known, head)
-    shared = spark.sparkContext.broadcast(lex)     # at most ``lookup`` words
-    table = bigrams(training, shared).toPandas()   # at most the square of the symbols
-    pairs = np.zeros(lex.size ** 2, np.int64)
-    pairs[table["pair"].to_numpy(np.int64)] = table["n"].to_numpy()
-    types = np.zeros(RULES)
-    for r in counts.where("word <> ''").groupBy(rule_column(F.col("word")).alias("r")).agg(F.count("*").alias("n")).collect():
-        types[r["r"]] = r["n"]
-    for w in list(known)[:head + 1]:
-        if w in lex.index and lex.symbol[lex.index[w]] < lex.head:
-            types[rule(w)] -= 1
-    model = spark.sparkContext.broadcast(ClassModel(
-        pairs.reshape(lex.size, lex.size), lex.head, min(classes, max(lex.head, 1)), lex.head_counts, types))
+    learned = cluster(training, head, classes, LOOKUP)
+    lookup = min(lookup, len(learned.words))
+    end = learned.transition.shape[0] - 2   # the last one stands for unseen words
+    shared = spark.sparkContext.broadcast(Lexicon(learned.words[:lookup], learned.counts[:lookup]))
+    model = spark.sparkContext.broadcast((np.append(learned.label[1:lookup + 1], 0).astype(np.int64), learned.transition,
+                                          learned.emission, learned.ends))
+    every = spark.sparkContext.broadcast(learned.label)   # one byte for each word
+    others = learned.rare
+    if lookup < len(learned.words):
+        others = others.unionByName(spark.createDataFrame(
+            [(w.decode(), int(c), k + 1) for k, (w, c) in enumerate(zip(learned.words, learned.counts, strict=True))
+             if k >= lookup], "word string, c bigint, id bigint"))
     keep = [c for c in docs.columns if c != "text" and c not in ADDED]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
 
     def read(batches):
-        lx, m = shared.value, model.value
+        lx, (label, transition, emission, ends) = shared.value, model.value
+        gain = np.log10(lx.count + 1.0) - emission[label]
         logs = np.log10(lx.count + 1.0)
-        close = lx.index.get(END, -1)
         for batch in slices(batches):
             rows = [words_of(t) for t in texts(batch)]
-            at, symbol = lx.read(rows)
-            row, before, now = chained(rows, symbol, lx.end)
-            a, b = m.label[before], m.label[now]
-            n = np.bincount(row, minlength=len(rows))
-            chain = np.bincount(row, m.transition[a, b] - m.emission[b], len(rows))
-            word_row = row[np.insert(np.ones(len(at), bool), np.cumsum(n - 1), False)]
-            found = np.bincount(word_row, at >= 0, len(rows)) + (lx.count[close] > 0)
-            sums = np.bincount(word_row, logs[at] * (at >= 0), len(rows)) + logs[close]
-            cut = np.r_[0, np.cumsum(n - 1)]
-            rare = [Counter(rows[k][j] for j in np.flatnonzero(at[cut[k]:cut[k + 1]] < 0).tolist()) for k in range(len(rows))]
+            at = lx.read(rows)
+            size = np.fromiter(map(len, rows), np.int64, len(rows))
+            word_row = np.repeat(np.arange(len(rows)), size)
+            first = np.r_[0, np.cumsum(size)]
+            ref, rare, times = label[at], [], []
+            missing = np.flatnonzero(at < 0)
+            cut = np.searchsorted(missing, first)
+            for k, r in enumerate(rows):
+                places: dict[bytes, int] = {}
+                count: Counter = Counter()
+                for j in missing[cut[k]:cut[k + 1]].tolist():
+                    w = r[j - first[k]]
+                    ref[j] = -1 - places.setdefault(w, len(places))
+                    count[w] += 1
+                rare.append([w.decode() for w in places])
+                times.append([count[w] for w in places])
+            row, a, b = chained(rows, ref, end)
+            open_ = (a < 0) | (b < 0)
+            chain = np.bincount(row[~open_], transition[a[~open_], b[~open_]], len(rows))
+            chain = chain + np.bincount(word_row, gain[at] * (at >= 0), len(rows)) + np.log10(ends + 1.0) - emission[end]
+            held = np.bincount(word_row, at >= 0, len(rows)) + (ends > 0)
+            sums = np.bincount(word_row, logs[at] * (at >= 0), len(rows)) + np.log10(ends + 1.0)
+            part = np.searchsorted(row[open_], np.arange(len(rows) + 1))
+            steps = [pa.ListArray.from_arrays(pa.array(part, pa.int32()), pa.array(x[open_], pa.int32())) for x in (a, b)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(n.astype(np.int64)), pa.array(found.astype(np.int64)),
-                 pa.array(sums), pa.array(chain),
-                 pa.array([[w.decode() for w in r] for r in rare], pa.list_(pa.string())),
-                 pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))], [*keep, *PARTS])
+                [*(batch.column(c) for c in keep), pa.array(size + 1), pa.array(held.astype(np.int64)), pa.array(sums),
+                 pa.array(chain), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64())), *steps],
+                [*keep, *PARTS])
 
     local = materialize(docs.select(*[F.col(f"`{c}`") for c in keep], "text").mapInArrow(
-        read, (kinds + ", " if kinds else "") + "n_tokens bigint, held bigint, logs double, chain double, rare array<string>, "
-              "rare_n array<bigint>").withColumn("_row", F.monotonically_increasing_id()), "class-scores")
-    rare = (local.select("_row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r"))
-            .select("_row", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("times"))
-            .join(counts, "word").groupBy("_row")
-            .agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("seen")))
-    logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
-    return (local.drop("rare", "rare_n").join(rare, "_row", "left")
-            .select(*[F.col(f"`{c}`") for c in keep], "n_tokens",
-                    (F.col("held") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-                    F.lit(total["n"]).cast("bigint").alias("train_tokens"),
-                    (logs - F.col("n_tokens") * float(np.log10(total["n"] + total["v"] + 1))).alias("base_score"),
-                    (logs + F.col("chain")).alias("score"))
+        read, kinds + "n_tokens bigint, held bigint, logs double, chain double, rare array<string>, rare_n array<bigint>, "
+                      "before array<int>, now array<int>").withColumn("_row", F.monotonically_increasing_id()), "class-scores")
+    found = (local.select("_row", F.posexplode("rare").alias("_k", "word")).join(others, "word").groupBy("_row")
+             .agg(F.collect_list(F.struct("_k", "c", "id")).alias("f"))
+             .select("_row", F.col("f._k").alias("_k"), F.col("f.c").alias("_c"), F.col("f.id").alias("_id")))
+
+    def finish(batches):
+        _, transition, emission, _ = model.value
+        for batch in slices(batches, 1024):
+            def flat(name, batch=batch):
+                lists = batch.column(name)
+                return (lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
+                        lists.flatten())
+
+            n_rows = batch.num_rows
+            size, words = flat("rare")
+            first = np.cumsum(size) - size
+            label, c = np.full(len(words), end + 1, np.int64), np.zeros(len(words))
+            seen, place = flat("_k")
+            place = np.repeat(first, seen) + place.to_numpy(zero_copy_only=False).astype(np.int64)
+            c[place] = flat("_c")[1].to_numpy(zero_copy_only=False)
+            label[place] = every.value[flat("_id")[1].to_numpy(zero_copy_only=False).astype(np.int64)]
+            times = flat("rare_n")[1].to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(n_rows), size)
+            more = np.bincount(row, times * np.log10(c + 1), n_rows)
+            steps, a = flat("before")
+            step_row = np.repeat(np.arange(n_rows), steps)
+            classes_of = lambda x: np.where(x < 0, label[np.where(x < 0, first[step_row] - 1 - x, 0)] if len(label) else 0, x)
+            a, b = (classes_of(x.to_numpy(zero_copy_only=False).astype(np.int64)) for x in (a, flat("now")[1]))
+            chain = (column(batch, "chain") + np.bincount(row, times * (np.log10(c + 1) - emission[label]), n_rows)
+                     + np.bincount(step_row, transition[a, b], n_rows))
+            held = column(batch, "held") + np.bincount(row, times * (c > 0), n_rows)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in keep), batch.column("n_tokens"), pa.array(held.astype(np.int64)),
+                 pa.array(column(batch, "logs") + more), pa.array(chain)], [*keep, "n_tokens", "n_known", "logs", "score"])
+
+    done = local.join(found, "_row", "left").select(*[F.col(f"`{c}`") for c in keep], *PARTS, "_k", "_c", "_id")
+    return (done.mapInArrow(finish, kinds + "n_tokens bigint, n_known bigint, logs double, score double")
+            .select(*[F.col(f"`{c}`") for c in keep], "n_tokens", "n_known",
+                    F.lit(learned.tokens).cast("bigint").alias("train_tokens"),
+                    (F.col("logs") - F.col("n_tokens") * float(np.log10(learned.tokens + learned.types + 1))).alias("base_score"),
+                    "score")
             .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))))
