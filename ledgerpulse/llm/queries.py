@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm import (class_lm, decontaminate, license_scan, line_dedup, order_minhash, quality,
-                             sentence_pieces, simhash, token_counts, url_filter)
+from ledgerpulse.llm import (class_lm, decontaminate, importance, license_scan, line_dedup, order_minhash, periodic,
+                             quality, recompress, sentence_pieces, simhash, token_counts, url_filter)
 from ledgerpulse.llm.common import fold, table
 
 QUERIES, ORACLES = {}, {}
@@ -112,6 +112,47 @@ def op10_sentence_pieces(spark, sf_dir):
     return back.select("doc_id", "n_tokens", "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@query
+def op11_recompression(spark, sf_dir):
+    return recompress.removed_windows(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op11_recompression"] = r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+place AS (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc),
+win AS (SELECT rid, doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM place),
+least AS (SELECT k, min(doc_id) AS first_id FROM win GROUP BY k),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (k) WHERE first_id < doc_id),
+word AS (SELECT rid, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (SELECT rid, string_agg(t, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid),
+lost AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (rid) LEFT JOIN lost USING (rid)
+"""
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic.periodic_runs(periodic.with_planted_runs(documents(spark, sf_dir)))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    length, start, period = (F.col("longest")[c] for c in ("col1", "col2", "col3"))
+    names = "struct<col1:bigint,col2:bigint,col3:bigint>"
+    return found.withColumn("longest", longest.cast(names)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-start).alias("start"), length.alias("length"),
+        (-period).alias("period"), F.expr("-1000 * longest.col1 DIV longest.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_importance(spark, sf_dir):
+    drawn = importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def _license_sql() -> str:
     values = ", ".join(f"({k}, '{label}', string_split('{t}', ' '))"
                        for k, (label, t) in enumerate(license_scan.TEMPLATES))
