@@ -68,7 +68,8 @@ class Symbols:
         self.a, self.b, self.s, self.e, self.ds, self.de, self.doc = parts
 
     def take(self, at: np.ndarray) -> "Symbols":
-        return Symbols(*(getattr(self, f)[at] for f in self.FIELDS))
+        a, b, s, e, doc = (x[at] for x in (self.a, self.b, self.s, self.e, self.doc))
+        return Symbols(a, b, s, e, *((s, e) if self.ds is self.s else (self.ds[at], self.de[at])), doc)
 
 
 def _beside(x: np.ndarray, doc: np.ndarray, step: int, edge: int) -> np.ndarray:
@@ -91,7 +92,9 @@ def runs_named(z: Symbols, word: np.ndarray, depend: bool) -> tuple[Symbols, np.
     head = starts(z.doc, z.a)
     size = np.diff(np.r_[head, len(z.a)])
     out, last = z.take(head), head + size - 1
-    out.e, out.de = z.e[last], z.de[last]
+    if depend:
+        out.de = z.de[last]
+    out.e = z.e[last]
     long = np.flatnonzero(size > 1)
     for name, salt in (("a", 0), ("b", 1)):
         x = getattr(out, name)
@@ -114,11 +117,12 @@ def pairs_named(z: Symbols, turn: int, depend: bool) -> tuple[Symbols, np.ndarra
     first = np.flatnonzero(~right_side[:-1] & right_side[1:] & (z.doc[1:] == z.doc[:-1]))
     keep = np.ones(len(z.a), bool)
     keep[first + 1] = False
-    out, new = z.take(np.arange(len(z.a))), np.zeros(len(z.a), bool)
+    new = np.zeros(len(z.a), bool)
+    new[first] = True
+    out = Symbols(z.a.copy(), z.b.copy(), z.s, z.e.copy(), z.ds, z.de, z.doc)
     out.a[first] = named(z.a[first], z.a[first + 1], 0)
     out.b[first] = named(z.b[first], z.b[first + 1], 1)
     out.e[first] = z.e[first + 1]
-    new[first] = True
     if depend:
         # a pair depends on its two symbols; one that is left alone also on the neighbour it could have joined
         reach_r, low_r = _beside(z.de, z.doc, 1, FAR), _beside(z.ds, z.doc, 1, FAR)
@@ -142,22 +146,21 @@ class Block:
         self.first = np.cumsum([0, *map(len, self.words)])
         size = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(size)), size)
-        number = {w: k for k, w in enumerate(set(chain.from_iterable(self.words)))}
-        self.word = np.fromiter(map(number.__getitem__, chain.from_iterable(self.words)), np.int64, self.first[-1])
-        code = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, number)), np.uint64).reshape(-1, 2)
-        self.name = [code[self.word, 0], code[self.word, 1]] if len(number) else [np.zeros(0, np.uint64)] * 2
+        code = b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(self.words)))
+        self.name = np.frombuffer(code, np.uint64).reshape(-1, 2).T.copy()
         self.parse()
 
     def parse(self) -> None:
         """Sets ``small``, the symbols after ``PRUNE`` rounds, and ``large``, all of ``window`` words or more."""
-        at = np.arange(len(self.word))
+        at = np.arange(len(self.doc))
         z, large = Symbols(*self.name, at, at + 1, at, at + 1, self.doc), []
         for turn in range(ROUNDS):
             for step in (runs_named, pairs_named):
-                z, new = step(z, self.word, turn < PRUNE) if step is runs_named else step(z, turn, turn < PRUNE)
+                z, new = step(z, self.name[0], turn < PRUNE) if step is runs_named else step(z, turn, turn < PRUNE)
                 large.append(z.take(np.flatnonzero(new & (z.e - z.s >= self.window))))
             if turn == PRUNE - 1:
                 self.small = z.take(np.flatnonzero(z.de - z.ds <= self.window))
+                z.ds, z.de = z.s, z.e       # not followed any further
         self.large = Symbols(*(np.concatenate([getattr(p, f) for p in large]) for f in Symbols.FIELDS))
 
     # --- questions and answers --------------------------------------------------------------
@@ -186,7 +189,7 @@ class Block:
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Windows that may repeat and cover a word that the large symbols leave, and the words these remove."""
-        n, k = len(self.word), self.window
+        n, k = len(self.doc), self.window
         x, z = self.large, self.small
         hit = self.earlier(LARGE, x.a, x.b, x.doc)
         gone, alone = covered(n, x.s[hit], x.e[hit]), ~self.shared()
