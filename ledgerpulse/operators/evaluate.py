@@ -91,115 +91,211 @@ def weight_grid(step: float) -> list[tuple[float, float, float]]:
             for i in range(n + 1) for j in range(n + 1 - i)]
 
 
-THRESHOLDS = 1000      # equal parts of [0, 1] that an ensemble's curves are drawn with
+PARTS, FEW = 256, 512      # parts a bracket is counted in; rows at which its values are listed
+CELLS = 4_000_000          # counters of a pass over the rows, for each task and on the driver
+CHUNK = 1024               # counters in a row of sums
+ROWS = 2_000_000           # rows a task blends
 SEARCH_SCHEMA = ("w1 double, w2 double, w3 double, threshold double, precision double, recall double, f1 double, "
                  "roc_auc double, pr_auc double, best boolean")
 
 
-def blend_counts(scored: DataFrame, scores: tuple[str, str, str], label: str, grid: list[tuple],
-                 parts: int = THRESHOLDS) -> DataFrame:
-    """(b, part, rows, pos): rows and positives of blend ``b`` in each part of [0, 1].
+def _blended(weights: np.ndarray, columns: list[np.ndarray]) -> Iterator[np.ndarray]:
+    for w in weights:
+        yield w[0] * columns[0] + w[1] * columns[1] + w[2] * columns[2]
 
-    A task adds up its rows in one array of blends x parts; rows are never multiplied by the grid.
-    """
-    weights = np.array(grid)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, len(weights) * parts), np.int64)
+def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in ("s1", "s2", "s3")]
+
+
+def _summed(rows: DataFrame, width: int) -> np.ndarray:
+    """Sums of the tasks' counters, given as (k, blob): chunk ``k`` of ``CHUNK`` counters. At most ``width`` reach the driver."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None
         for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in scores]
-            hit = batch.column("_hit").to_numpy(zero_copy_only=False).astype(bool)
-            for b, w in enumerate(weights):
-                value = w[0] * columns[0] + w[1] * columns[1] + w[2] * columns[2]
-                at = b * parts + np.clip(np.floor(value * parts), 0, parts - 1).astype(np.int64)
-                total[0] += np.bincount(at, minlength=total.shape[1])
-                total[1] += np.bincount(at[hit], minlength=total.shape[1])
-        at = np.flatnonzero(total[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((at // parts).astype(np.int32)), pa.array((at % parts).astype(np.int32)),
-             pa.array(total[0, at]), pa.array(total[1, at])], ["b", "part", "rows", "pos"])
-
-    slim = scored.select(*[F.col(c).cast("double").alias(c) for c in scores],
-                         F.coalesce(F.col(label) == 1, F.lit(False)).alias("_hit")).dropna()
-    return (slim.mapInArrow(count, "b int, part int, rows bigint, pos bigint").groupBy("b", "part")
-            .agg(F.sum("rows").alias("rows"), F.sum("pos").alias("pos")))
-
-
-def values_in_parts(scored: DataFrame, scores: tuple[str, str, str], label: str, grid: list[tuple],
-                    wanted: dict[int, list[int]], parts: int = THRESHOLDS) -> DataFrame:
-    """(b, v, n, pos): the blend values that lie in a wanted part of their blend, counted."""
-    weights = np.array(grid)
+            for k, blob in zip(batch.column("k").to_pylist(), batch.column("blob"), strict=True):
+                part = np.frombuffer(blob.as_buffer(), np.int64)
+                if k == key:
+                    total = total + part
+                    continue
+                if key is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([total.tobytes()])], ["k", "blob"])
+                key, total = k, part
+        if key is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([total.tobytes()])], ["k", "blob"])
+
+    out = np.zeros(-(-width // CHUNK) * CHUNK, np.int64)
+    for r in rows.repartition("k").sortWithinPartitions("k").mapInArrow(add, "k bigint, blob binary").collect():
+        out[r["k"] * CHUNK:(r["k"] + 1) * CHUNK] = np.frombuffer(bytes(r["blob"]), np.int64)
+    return out[:width]
+
+
+def blend_sums(slim: DataFrame, width: int, count) -> np.ndarray:
+    """Sum of ``count(batch, total)`` over all rows: each task adds into one array of ``width`` counters."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(-(-width // CHUNK) * CHUNK, np.int64)
+        for batch in batches:
+            count(batch, total)
+        for k, part in enumerate(total.reshape(-1, CHUNK)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([part.tobytes()])], ["k", "blob"])
+
+    return _summed(slim.mapInArrow(run, "k bigint, blob binary"), width)
+
+
+def blend_ranks(slim: DataFrame, grid: list[tuple], ranks: list[int]) -> np.ndarray:
+    """Blends x ranks: the value of each rank (from 0) of each blend.
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each has a bracket of its own, counted in ``PARTS`` parts of equal width between its least and its greatest value; the
+    part with the rank is the next bracket, until it holds ``FEW`` rows or a single value. Then its values are listed.
+    """
+    weights, shape = np.array(grid), (len(grid), len(ranks))
+    low, high = np.zeros(shape), np.zeros(shape)
+    ends = np.stack([np.full(shape, -np.inf), np.full(shape, np.inf)], axis=-1)     # a bracket holds ends[0] <= x < ends[1]
+    below, held = np.zeros(shape, np.int64), np.full(shape, FEW + 1)
+
+    def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least, most = np.full(shape, np.inf), np.full(shape, -np.inf)
         for batch in batches:
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in scores]
-            hit = batch.column("_hit").to_numpy(zero_copy_only=False).astype(np.int64)
-            for b, w in enumerate(weights):
-                value = w[0] * columns[0] + w[1] * columns[1] + w[2] * columns[2]
-                at = np.flatnonzero(np.isin(np.clip(np.floor(value * parts), 0, parts - 1), wanted[b]))
-                if len(at):
-                    v, place = np.unique(value[at], return_inverse=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(v), b, np.int32)), pa.array(v), pa.array(np.bincount(place)),
-                         pa.array(np.bincount(place, hit[at]).astype(np.int64))], ["b", "v", "n", "pos"])
-
-    slim = scored.select(*[F.col(c).cast("double").alias(c) for c in scores],
-                         F.coalesce(F.col(label) == 1, F.lit(False)).alias("_hit")).dropna()
-    return (slim.mapInArrow(pick, "b int, v double, n bigint, pos bigint").groupBy("b", "v")
-            .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")))
+            for b, x in enumerate(_blended(weights, _columns(batch))):
+                for r in np.flatnonzero(held[b] > FEW):
+                    own = x[(x >= ends[b, r, 0]) & (x < ends[b, r, 1])]
+                    if len(own):
+                        least[b, r], most[b, r] = min(least[b, r], own.min()), max(most[b, r], own.max())
+        q = np.flatnonzero(least.ravel() < np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(least.ravel()[q]), pa.array(most.ravel()[q])], ["q", "low", "high"])
+
+    while (held > FEW).any():
+        found = slim.mapInArrow(extremes, "q bigint, low double, high double").groupBy("q").agg(
+            F.min("low").alias("low"), F.max("high").alias("high")).collect()      # a row for each bracket
+        for q, a, b in found:
+            low.flat[q], high.flat[q] = a, b
+        held[low >= high] = 0                                                      # of a single value
+        open_ = held > FEW
+        if not open_.any():
+            break
+        edges = np.linspace(low, high, PARTS + 1, axis=-1)
+        edges[..., 0], edges[..., -1] = ends[..., 0], ends[..., 1]
+
+        def count(batch, total, edges=edges, open_=open_):
+            total = total[:open_.size * PARTS].reshape(*shape, PARTS)
+            for b, x in enumerate(_blended(weights, _columns(batch))):
+                for r in np.flatnonzero(open_[b]):
+                    if r and (edges[b, r] == edges[b, r - 1]).all():
+                        total[b, r] = total[b, r - 1]
+                        continue
+                    at = np.searchsorted(edges[b, r], x, "right") - 1
+                    at = at[(at >= 0) & (at < PARTS)]
+                    total[b, r] += np.bincount(at, minlength=PARTS)
+
+        counts = blend_sums(slim, below.size * PARTS, count).reshape(*shape, PARTS)
+        for b, r in zip(*np.nonzero(open_), strict=True):
+            upto = below[b, r] + counts[b, r].cumsum()
+            k = int(np.searchsorted(upto, ranks[r], "right"))
+            held[b, r], below[b, r] = counts[b, r, k], upto[k] - counts[b, r, k]
+            ends[b, r] = edges[b, r, k:k + 2]
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, x in enumerate(_blended(weights, _columns(batch))):
+                for r in range(len(ranks)):
+                    v, n = np.unique(x[(x >= ends[b, r, 0]) & (x < ends[b, r, 1])], return_counts=True)
+                    if len(v):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), b * len(ranks) + r)), pa.array(v), pa.array(n)],
+                                                         ["q", "v", "n"])
+
+    listed = slim.mapInArrow(values, "q bigint, v double, n bigint").groupBy("q", "v").agg(F.sum("n").alias("n"))
+    frame = listed.toPandas().sort_values(["q", "v"])      # a few values of each bracket
+    out = np.zeros(shape)
+    for q, part in frame.groupby("q"):
+        b, r = divmod(int(q), len(ranks))
+        at = np.searchsorted(below[b, r] + part["n"].to_numpy().cumsum(), ranks[r], "right")
+        out[b, r] = part["v"].to_numpy()[at]
+    return out
+
+
+def exact_areas(slim: DataFrame, grid: list[tuple], cells: int | None = None) -> list[tuple[float | None, float | None]]:
+    """ROC-AUC and PR-AUC (step form) of each blend over its own distinct values.
+
+    Both areas change only at the values of positives, so a blend needs the rows at each of these values and
+    between two of them. Tasks hold the distinct positives and ``cells`` such counters; with more of them, the blends are
+    counted in several passes, and where one blend alone has more, each blend's curve is sorted by Spark.
+    """
+    cells = cells or CELLS
+    spark, weights = slim.sparkSession, np.array(grid)
+    some = slim.where("hit").groupBy("s1", "s2", "s3").agg(F.count("*").alias("n"))
+    if some.limit(cells // 2 + 1).count() > cells // 2:
+        out = []
+        for w in grid:
+            value = " + ".join(f"{x!r}D * {c}" for x, c in zip(w, ("s1", "s2", "s3"), strict=True))
+            row = curve_metrics(curve(slim.select(F.expr(value).alias("v"), F.col("hit").cast("int").alias("y")), "v", "y")).first()
+            out.append((row["roc_auc"], row["pr_auc"]))
+        return out
+    frame = some.toPandas()
+    times = frame["n"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast([frame[c].to_numpy(np.float64) for c in ("s1", "s2", "s3")])
+    width, positives = 2 * len(frame) + 1, int(times.sum())
+    out = []
+    for first in range(0, len(grid), max(1, cells // width)):
+        part = weights[first:first + max(1, cells // width)]
+
+        def count(batch, total, part=part, own=[]):  # noqa: B006  the sorted values, made once in a task
+            if not own:
+                own.extend(np.unique(u) for u in _blended(part, shared.value))
+            for b, x in enumerate(_blended(part, _columns(batch))):
+                u = own[b]
+                at = np.searchsorted(u, x)
+                tied = u[np.minimum(at, len(u) - 1)] == x if len(u) else np.zeros(len(x), bool)
+                total[b * width:(b + 1) * width] += np.bincount(2 * at + tied, minlength=width)
+
+        counts = blend_sums(slim, len(part) * width, count).reshape(len(part), width)
+        for c, x in zip(counts, _blended(part, shared.value), strict=True):
+            u, place = np.unique(x, return_inverse=True)
+            pos = np.bincount(place, times, len(u)).astype(np.int64)
+            n, here = int(c.sum()), c[1:2 * len(u):2]
+            under = c[:2 * len(u)].cumsum()[::2]                       # rows below each value
+            tp = positives - pos.cumsum() + pos
+            negatives = n - positives
+            lower = under - (positives - tp)                          # negatives below
+            roc = float((pos * (lower + (here - pos) / 2.0)).sum() / (positives * negatives)) if positives and negatives else None
+            out.append((roc, float((pos / positives * (tp / np.maximum(n - under, 1))).sum()) if positives else None))
+    shared.unpersist()
+    return out
 
 
 def ensemble_search(scored: DataFrame, scores: tuple[str, str, str], label: str,
                     step: float = 0.05, prob: float = 0.95) -> DataFrame:
-    """One row per weight triple: F1 at the exact percentile threshold, ROC-AUC and PR-AUC.
+    """One row per weight triple: F1 at the exact percentile threshold, exact ROC-AUC and PR-AUC.
 
-    Scores are expected in [0, 1]. The curves take the borders of ``THRESHOLDS`` equal parts as
-    thresholds; the percentile is ranked exactly among the values of the one or two parts that hold it.
-    ``best`` marks the first maximum of F1. Rows without all scores are left out.
+    Every pass adds up its counters for all blends in a task's array, so rows are never multiplied by the grid.
+    ``best`` marks the first maximum of F1. Rows without all scores are left out; scores are finite.
     """
     spark, grid = scored.sparkSession, weight_grid(step)
-    counts = materialize(blend_counts(scored, scores, label, grid), "blend-counts")
-    # blends x parts rows at most, whatever the table's size
-    frame = counts.toPandas().sort_values(["b", "part"])
-    if frame.empty:
+    weights = np.array(grid)
+    slim = scored.select(*[F.col(c).cast("double").alias(f"s{k}") for k, c in enumerate(scores, 1)],
+                         F.coalesce(F.col(label) == 1, F.lit(False)).alias("hit")).dropna()
+    every = slim.agg(F.count("*").alias("n"), F.count_if("hit").alias("positives")).first()
+    n, positives = every["n"], every["positives"]
+    if not n:
         return spark.createDataFrame([(*w, None, 0.0, 0.0, 0.0, None, None, False) for w in grid], SEARCH_SCHEMA)
-    shape = (len(grid), THRESHOLDS)
-    rows, pos = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
-    rows[frame["b"], frame["part"]], pos[frame["b"], frame["part"]] = frame["rows"], frame["pos"]
-    n, positives = int(rows[0].sum()), int(pos[0].sum())
+    # three numbers a row, spread over all cores for the passes of all blends
+    slim = materialize(slim.repartition(max(spark.sparkContext.defaultParallelism, n // ROWS)), "blend-rows")
     position = prob * (n - 1)
-    first, last = math.floor(position), math.ceil(position)
-    upto = rows.cumsum(axis=1)
-    wanted = {b: sorted({int(np.searchsorted(upto[b], r, "right")) for r in (first, last)}) for b in range(len(grid))}
-    below = [int(upto[b, w[0]] - rows[b, w[0]]) for b, w in wanted.items()]
-    values = values_in_parts(scored, scores, label, grid, wanted)
-    ranked = running_totals(values, ["b"], ["v"], ["n", "pos"], "blend-values")
-    start = F.element_at(F.array(*[F.lit(x).cast("bigint") for x in below]), F.col("b") + 1)
-    ranked = ranked.withColumn("to", F.col("n_upto") + start)
-
-    def at(rank: int):
-        return F.max(F.when((F.col("to") > rank) & (F.col("to") - F.col("n") <= rank), F.col("v")))
-
-    # of the rows above the lower neighbour only those up to the upper one may lie below the threshold
-    found = {r["b"]: r for r in ranked.groupBy("b").agg(
-        at(first).alias("low"), at(last).alias("high"), F.collect_list(F.when(
-            (F.col("to") > first) & (F.col("to") - F.col("n") <= last), F.struct("v", "n", "pos", "to", "pos_upto"))
-        ).alias("near")).collect()}
+    near = blend_ranks(slim, grid, [math.floor(position), math.ceil(position)])
+    cut = near[:, 0] + (near[:, 1] - near[:, 0]) * (position - math.floor(position))
+
+    def above(batch, total):
+        hit = batch.column("hit").to_numpy(zero_copy_only=False).astype(bool)
+        for b, x in enumerate(_blended(weights, _columns(batch))):
+            flag = x > cut[b]
+            total[2 * b] += flag.sum()
+            total[2 * b + 1] += (flag & hit).sum()
+
+    flags = blend_sums(slim, 2 * len(grid), above).reshape(-1, 2).tolist()
     out = []
-    for b, w in enumerate(grid):
-        low, high = found[b]["low"], found[b]["high"]
-        cut = low + (high - low) * (position - first)
-        kept = [x for x in found[b]["near"] if x["v"] <= cut]
-        last_kept = max(kept, key=lambda x: x["v"])
-        flagged = n - last_kept["to"]
-        tp = positives - (int(pos[b, :wanted[b][0]].sum()) + last_kept["pos_upto"])
-        r, p = rows[b, ::-1], pos[b, ::-1]
-        tps, seen, negatives = p.cumsum(), r.cumsum(), n - positives
-        roc = ((r - p) * (2 * tps - p) / 2.0).sum() / (positives * negatives) if positives and negatives else None
-        pr = (p / positives * (tps / np.maximum(seen, 1))).sum() if positives else None
-        out.append([*w, cut, tp / flagged if flagged else 0.0, tp / positives if positives else 0.0,
-                    2 * tp / (flagged + positives) if flagged + positives else 0.0,
-                    None if roc is None else float(roc), None if pr is None else float(pr), False])
+    for w, c, (flagged, tp), areas in zip(grid, cut.tolist(), flags, exact_areas(slim, grid), strict=True):
+        out.append([*w, c, tp / flagged if flagged else 0.0, tp / positives if positives else 0.0,
+                    2 * tp / (flagged + positives) if flagged + positives else 0.0, *areas, False])
     best = max(out, key=lambda x: x[6])   # the first of equal ones
     best[9] = best[6] > 0
-    return spark.createDataFrame([tuple(float(x) if isinstance(x, np.floating) else x for x in o) for o in out], SEARCH_SCHEMA)
+    return spark.createDataFrame([tuple(o) for o in out], SEARCH_SCHEMA)

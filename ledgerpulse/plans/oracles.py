@@ -332,7 +332,7 @@ weights AS (SELECT i, j, i * CAST(0.05 AS DOUBLE) AS w1, j * CAST(0.05 AS DOUBLE
 blended AS (SELECT i, j, isAnomaly, w1 * s1 + w2 * s2 + w3 * s3 AS s FROM unit, weights),
 cut AS (SELECT i, j, quantile_cont(s, 0.95) AS t FROM blended GROUP BY 1, 2),
 hits AS (SELECT i, j, max(t) AS t, {FLAGGED.format(s='s')} FROM blended JOIN cut USING (i, j) GROUP BY 1, 2),
-part AS (SELECT i, j, least(999, floor(s * 1000)) AS part, count(*) AS n, sum(isAnomaly) AS pos FROM blended GROUP BY 1, 2, 3),
+part AS (SELECT i, j, s AS part, count(*) AS n, sum(isAnomaly) AS pos FROM blended GROUP BY 1, 2, 3),
 run AS (SELECT *, sum(n) OVER w AS seen, sum(pos) OVER w AS tps FROM part WINDOW w AS (PARTITION BY i, j ORDER BY part DESC)),
 drawn AS (SELECT i, j, sum((n - pos) * (2 * tps - pos) / 2.0) / (sum(pos) * CAST(sum(n - pos) AS DOUBLE)) AS roc,
     sum(pos * (tps / CAST(seen AS DOUBLE))) / sum(pos) AS pr FROM run GROUP BY 1, 2),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions.clean import MeanImputer, fill_zero
-from ledgerpulse.operators.evaluate import (curve, curve_metrics, ensemble_search, percentile_metrics,
+from ledgerpulse.operators.evaluate import (curve, curve_metrics, ensemble_search, exact_areas, percentile_metrics,
                                             weight_grid)
 from ledgerpulse.operators.prefix import running_totals
 from ledgerpulse.operators.quantiles import exact_quantiles, group_quantiles, value_ranks
@@ -122,13 +122,33 @@ def test_weight_grid_and_search(spark):
     assert [r["f1"] for r in rows] == pytest.approx(want)
     assert [r["best"] for r in rows].index(True) == int(np.argmax(want))
     for r, (w1, w2, w3) in zip(rows, weight_grid(0.2)):
-        part = np.floor((w1 * a + w2 * b + w3 * c) * 1000)   # the curves' thresholds
-        auc, ap = brute_metrics(part, y)[:2]
+        auc, ap = brute_metrics(w1 * a + w2 * b + w3 * c, y)[:2]
         assert (r["roc_auc"], r["pr_auc"]) == (pytest.approx(auc), pytest.approx(ap))
     none = ensemble_search(frame(spark, a=a, b=b, c=c, y=y).limit(0), ("a", "b", "c"), "y", step=0.5).collect()
     assert len(none) == 6 and not any(r["best"] for r in none)
 
 
+def test_search_with_an_outlier_is_exact(spark):
+    """One extreme row squeezes all others into a sliver of [0, 1]; the ranking is still perfect."""
+    y = np.r_[np.zeros(3800), np.ones(200)].astype(int)
+    x = np.r_[np.arange(4000.0), [1e15]]
+    x = (x - x.min()) / (x.max() - x.min())
+    rows = ensemble_search(frame(spark, a=x, b=x, c=x, y=np.r_[y, 1]), ("a", "b", "c"), "y", step=0.5).collect()
+    assert all((r["roc_auc"], r["pr_auc"]) == (pytest.approx(1.0), pytest.approx(1.0)) for r in rows)
+    assert [r["threshold"] for r in rows] == pytest.approx([float(np.percentile(x, 95))] * 6, rel=1e-9)
+
+
+@pytest.mark.parametrize("cells", [4_000_000, 700, 100])
+def test_areas_are_exact_with_ties_in_any_number_of_passes(spark, cells):
+    rng = np.random.default_rng(11)
+    y = (rng.random(1500) < 0.1).astype(int)
+    a, b, c = (np.floor(rng.random(1500) * 12 + 3 * y) / 16 for _ in range(3))
+    slim = frame(spark, s1=a, s2=b, s3=c, y=y).selectExpr("s1", "s2", "s3", "y = 1 AS hit")
+    for (w1, w2, w3), got in zip(weight_grid(0.5), exact_areas(slim, weight_grid(0.5), cells)):
+        assert got == pytest.approx(brute_metrics(w1 * a + w2 * b + w3 * c, y)[:2])
+    assert exact_areas(slim.where("NOT hit"), weight_grid(0.5), cells) == [(None, None)] * 6
+
+
 def test_histogram_and_box(spark):
     rng = np.random.default_rng(9)
     x = rng.exponential(size=2000)
