@@ -1,17 +1,27 @@
-"""Autoencoder trained data-parallel: tasks run Adam on their rows, the results are averaged."""
+"""Autoencoder trained as one model: tasks sum their gradients of every mini-batch and take the same Adam step.
 
+Batches are dealt by a hash of the row's id and the epoch, so they do not depend on partitions. All tasks of an
+epoch run at once (a barrier stage) and go through the batches together: each adds up the gradient of its rows,
+the sums are exchanged, and every task moves its copy of the weights alike. A step costs one exchange of the network's
+size; a larger ``batch_size`` means fewer of them. If a task is lost, Spark repeats the epoch.
+"""
+
+import base64
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerpulse.models.base import Detector, inputs, share
+from ledgerpulse.storage import materialize
 
 HIDDEN = 12
 PATIENCE = 10
+TASK_ROWS = 100_000      # rows of a training task, as far as there are cores
 # The usual Adam decay rates and epsilon.
 BETA1, BETA2, ADAM_EPS = 0.9, 0.999, 1e-7
 
@@ -50,8 +60,12 @@ class Network:
 
     def gradient(self, flat: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Gradient of the mean squared reconstruction error."""
+        return self.gradient_sum(flat, x) / len(x)
+
+    def gradient_sum(self, flat: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Sum of the rows' gradients."""
         seen, layers = self.forward(flat, x), self.layers(flat)
-        delta = 2.0 * (seen[-1] - x) / x.size
+        delta = 2.0 * (seen[-1] - x) / x.shape[1]
         parts = []
         for i in reversed(range(len(layers))):
             parts += [delta.sum(axis=0), (seen[i].T @ delta).ravel()]
@@ -78,12 +92,16 @@ class Autoencoder(Detector):
         p = self.params
         held_out = F.pmod(F.xxhash64("_id", F.lit(p["seed"])), F.lit(10_000)) \
             < int(10_000 * p["validation_split"])
-        rows = self.training_rows(df, id_col, written).select(held_out.alias("_held_out"), *self.columns)
+        rows = self.training_rows(df, id_col, written).select("_id", held_out.alias("_held_out"), *self.columns)
+        n = rows.where("NOT _held_out").count()
+        tasks = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, n // TASK_ROWS))
+        rows = materialize(rows.repartition(tasks, "_id"), "training-rows")
+        batches = max(1, -(-n // p["batch_size"]))
         state = np.stack([self.weights, np.zeros(self.network.size), np.zeros(self.network.size)])
-        best, best_loss, waited, steps = state[0], float("inf"), 0, 0.0
+        best, best_loss, waited = state[0], float("inf"), 0
         for epoch in range(p["epochs"] + 1):
             # the pass measures the weights it starts from, then trains; the last only measures
-            after, loss, steps = self._pass(rows, state, steps, epoch, train=epoch < p["epochs"])
+            after, loss = self._pass(rows, state, epoch, batches, tasks, train=epoch < p["epochs"])
             self.losses.append(loss)
             if math.isnan(loss):
                 if not np.isfinite(state[0]).all():
@@ -99,44 +117,56 @@ class Autoencoder(Detector):
         self.weights = best
         return self
 
-    def _pass(self, rows: DataFrame, state: np.ndarray, steps: float, epoch: int, train: bool):
-        """(averaged state, validation loss, mean steps) after one pass over all rows.
-
-        A task returns one row per parameter; they are averaged by group, so the driver sees a
-        number of rows that depends on the network only.
-        """
-        shipped = rows.sparkSession.sparkContext.broadcast((state, steps))
+    def _pass(self, rows: DataFrame, state: np.ndarray, epoch: int, batches: int, tasks: int, train: bool):
+        """(state, validation loss) after one pass over all rows; the driver sees one state and a loss of each task."""
+        shipped = rows.sparkSession.sparkContext.broadcast(state)
         network, p = self.network, self.params
+        dealt = F.when(F.col("_held_out"), F.lit(-1)).otherwise(
+            F.pmod(F.xxhash64("_id", F.lit(p["seed"]), F.lit(epoch)), F.lit(batches)))
 
         def work(blocks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            (w, m, v), step = (shipped.value[0].copy(), shipped.value[1])
-            start, seen, loss, held = w.copy(), 0, 0.0, 0
-            rng = np.random.default_rng([p["seed"], epoch])
-            for block in blocks:
-                mask = block["_held_out"].to_numpy(dtype=bool)
-                x = block.drop(columns="_held_out").to_numpy(dtype=float)
-                if mask.any():
-                    loss += float(((network.forward(start, x[mask])[-1] - x[mask]) ** 2).mean(axis=1).sum())
-                    held += int(mask.sum())
-                x = rng.permutation(x[~mask])
-                seen += len(x)
-                for at in range(0, len(x) if train else 0, p["batch_size"]):
-                    g = network.gradient(w, x[at:at + p["batch_size"]])
-                    step += 1
+            context = BarrierTaskContext.get() if tasks > 1 else None
+            (w, m, v), now, loss, held = shipped.value.copy(), 0, 0.0, 0
+            start, own = w.copy(), np.zeros(network.size + 1)      # gradient sum and rows of the batch at hand
+
+            def step() -> None:
+                nonlocal w, m, v, now, own
+                if context:
+                    sums = context.allGather(base64.b64encode(own.tobytes()).decode())
+                    own = np.sum([np.frombuffer(base64.b64decode(x)) for x in sums], axis=0)
+                now += 1
+                if own[-1]:          # a batch may be empty by its hash
+                    g, t = own[:-1] / own[-1], epoch * batches + now
                     m = BETA1 * m + (1 - BETA1) * g
                     v = BETA2 * v + (1 - BETA2) * g * g
-                    scale = np.sqrt(1 - BETA2 ** step) / (1 - BETA1 ** step)
+                    scale = np.sqrt(1 - BETA2 ** t) / (1 - BETA1 ** t)
                     w = w - p["lr"] * scale * m / (np.sqrt(v) + ADAM_EPS)
-            if seen or held:
-                values = np.vstack([np.column_stack([w, m, v]) * seen, [[step * seen, loss, held]]])
-                yield pd.DataFrame({"i": np.arange(len(values)), "a": values[:, 0], "b": values[:, 1],
-                                    "c": values[:, 2], "n": float(seen)})
-
-        sums = (rows.mapInPandas(work, "i int, a double, b double, c double, n double").groupBy("i")
-                .agg(*[F.sum(c).alias(c) for c in "abcn"]).toPandas().sort_values("i"))
-        values, seen = sums[["a", "b", "c"]].to_numpy(), max(float(sums["n"].iloc[0]), 1.0)
-        loss = values[-1, 1] / values[-1, 2] if values[-1, 2] else float("nan")
-        return values[:-1].T / seen, loss, values[-1, 0] / seen
+                own = np.zeros(network.size + 1)
+
+            for block in blocks:
+                batch = block["_batch"].to_numpy()
+                x = block.drop(columns="_batch").to_numpy(dtype=float)
+                cut = np.r_[0, np.flatnonzero(np.diff(batch)) + 1, len(x)]
+                for low, high in zip(cut, cut[1:]):
+                    if batch[low] < 0:
+                        loss += float(((network.forward(start, x[low:high])[-1] - x[low:high]) ** 2).mean(axis=1).sum())
+                        held += int(high - low)
+                    elif train:
+                        while now < batch[low]:
+                            step()
+                        own += np.r_[network.gradient_sum(w, x[low:high]), high - low]
+            while train and now < batches:
+                step()
+            first = not context or context.partitionId() == 0
+            yield pd.DataFrame({"state": [np.stack([w, m, v]).tobytes() if first else None], "loss": [loss], "held": [held]})
+
+        spread = (rows.withColumn("_batch", dealt).drop("_held_out").repartition(tasks, "_id")
+                  .sortWithinPartitions("_batch", "_id").select("_batch", *self.columns))
+        found = spread.mapInPandas(work, "state binary, loss double, held bigint", barrier=tasks > 1).collect()
+        held = sum(r["held"] for r in found)
+        state = next(bytes(r["state"]) for r in found if r["state"] is not None)
+        return (np.frombuffer(state).reshape(3, -1).copy(),
+                sum(r["loss"] for r in found) / held if held else float("nan"))
 
     def explain_block(self, x):
         squared = (x - self.network.forward(self.weights, x)[-1]) ** 2

@@ -172,9 +172,8 @@ def iforest_explain(spark, sf_dir):
 
 @query
 def ae_fit(spark, sf_dir):
-    losses = Autoencoder(**CODER).fit(engineered(spark, sf_dir), written=True).losses
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(losses)],
-                                 "epoch int, validation_loss double")
+    weights = Autoencoder(**CODER).fit(engineered(spark, sf_dir), written=True).weights
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(weights)], "i int, weight double")
 
 
 @query

@@ -75,17 +75,35 @@ def overwrite_table(df: DataFrame, root: str, table: str, catalog: str | None =
     return written.get["rows"]
 
 
-def compact_day(spark: SparkSession, root: str, table: str, day: str, batch_id: int = -1) -> None:
-    """Merge one day's batches into a single one, ``batch_id``; for days that no batch writes any more."""
-    rows = read_table(spark, root, table).where(F.col("date") == F.lit(day).cast("date"))
-    old = [r[BATCH] for r in rows.select(BATCH).distinct().collect()]   # folders of one day
-    merged = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    if old and old != [batch_id]:
-        (merged.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", BATCH).parquet(table_path(root, table)))
+def compact_day(spark: SparkSession, root: str, table: str, day: str, batch_id: int = -1, catalog: str | None = None) -> None:
+    """Merge one day's batches into a single one, ``batch_id``; for days that no batch writes any more.
+
+    The merged rows are written to a folder no reader sees, then the old folders go and it takes their place, so no
+    row is ever read twice. A call that was interrupted is finished by the next one. With ``catalog``, the prefix given to
+    ``create_tables``, the table's partitions are changed as well.
+    """
+    folder = f"{table_path(root, table)}/date={day}"
+    hidden, path = f"{folder}/_merged", spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(folder)):
+        return
+    old = [int(f.getPath().getName().split("=")[1]) for f in fs.listStatus(path(folder))
+           if f.getPath().getName().startswith(f"{BATCH}=")]        # folders of one day
+    if not fs.exists(path(f"{hidden}/_SUCCESS")):
+        if not old or old == [batch_id]:
+            return
+        rows = read_table(spark, root, table).where(F.col("date") == F.lit(day).cast("date"))
+        rows.drop("date", BATCH).repartition(max(1, len(old) // 8)).write.mode("overwrite").parquet(hidden)
+    for b in old:
+        delete_folder(spark, f"{folder}/{BATCH}={b}", table_path(root, table))
+    fs.rename(path(hidden), path(f"{folder}/{BATCH}={batch_id}"))
+    if catalog is not None:
+        name = catalog + table
         for b in old:
-            if b != batch_id:
-                delete_folder(spark, f"{table_path(root, table)}/date={day}/{BATCH}={b}", table_path(root, table))
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (date = DATE'{day}', {BATCH} = {b})")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (date = DATE'{day}', {BATCH} = {batch_id}) "
+                  f"LOCATION '{folder}/{BATCH}={batch_id}'")
+        spark.catalog.refreshTable(name)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:

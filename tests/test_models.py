@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerpulse.models import autoencoder
 from ledgerpulse.models.autoencoder import Autoencoder, Network
 from ledgerpulse.models.base import score_all
 from ledgerpulse.models import iforest
@@ -142,6 +143,17 @@ def test_autoencoder_learns_and_encodes(data):
     np.testing.assert_allclose(coded, hidden[2])
 
 
+def test_autoencoder_is_one_model_on_any_number_of_tasks(data, monkeypatch):
+    """One task and six, and other input partitions, give the same weights and losses."""
+    one = Autoencoder(COLS, latent=2, epochs=2, lr=0.01, batch_size=32).fit(data.repartition(1))
+    n = data.count()
+    monkeypatch.setattr(autoencoder, "TASK_ROWS", n // 8)
+    many = Autoencoder(COLS, latent=2, epochs=2, lr=0.01, batch_size=32).fit(data.repartition(6))
+    assert n > 100 and not np.array_equal(one.weights, Network(len(COLS), 2).start(42))
+    np.testing.assert_allclose(many.weights, one.weights, rtol=1e-6, atol=1e-9)
+    np.testing.assert_allclose(many.losses, one.losses, rtol=1e-6)
+
+
 def test_autoencoder_without_held_out_rows_keeps_what_it_learned(data):
     m = Autoencoder(COLS, latent=2, epochs=4, lr=0.01, validation_split=0.0).fit(data)
     start = m.network.start(42)

@@ -78,10 +78,20 @@ def test_tables_are_created_once_and_reset_on_request(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan._jdf.queryExecution().executedPlan().toString()
     create_tables(spark, root, "t_")
     assert spark.table("t_bronze.transactions").count() == 2 * txn.count()
-    compact_day(spark, root, "bronze.transactions", "2024-01-03")
+    compact_day(spark, root, "bronze.transactions", "2024-01-03", catalog="t_")
+    assert spark.table("t_bronze.transactions").count() == 2 * txn.count()
+    assert {r[0] for r in spark.table("t_bronze.transactions").where("date = DATE'2024-01-03'")
+            .select("batch_id").distinct().collect()} == {-1}
     rows = read_table(spark, root, "bronze.transactions")
     assert rows.count() == 2 * txn.count()
     assert [r[0] for r in rows.where("date = DATE'2024-01-03'").select("batch_id").distinct().collect()] == [-1]
+    # interrupted between the deletes and the rename: nothing is doubled, and the next call finishes it
+    day = tmp_path / "lake/bronze/transactions/date=2024-01-03"
+    (day / "batch_id=-1").rename(day / "_merged")
+    assert read_table(spark, root, "bronze.transactions").where("date = DATE'2024-01-03'").count() == 0
+    compact_day(spark, root, "bronze.transactions", "2024-01-03", catalog="t_")
+    assert read_table(spark, root, "bronze.transactions").count() == 2 * txn.count()
+    assert spark.table("t_bronze.transactions").count() == 2 * txn.count()
     create_tables(spark, root, "t_", reset=True)
     assert spark.table("t_bronze.transactions").count() == 0 and not (tmp_path / "lake/bronze/transactions").exists()
     for n in names:
