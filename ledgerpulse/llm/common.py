@@ -23,6 +23,16 @@ def fold(col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def packed(names: list[str]) -> Column:
+    """The named columns as one struct ``kept``, whose fields have numbers: no name can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)] or [F.lit(0).alias("none")]).alias("kept")
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    """The columns of ``packed`` under their own names again."""
+    return [F.col("kept").getField(f"c{k}").alias(c) for k, c in enumerate(names)]
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches into small ones, so that Python holds few texts at a time."""
     for batch in batches:

@@ -17,7 +17,7 @@ and over in one place the first stays.
 Lines are compared without blanks at their ends. Blank lines are not compared; those after a removed line
 go with it. Null texts stay null, empty ones empty, and texts of any length are read whole. Rows equal in
 id and text are one document and get one result each. An empty table gives an empty table. Other columns
-are kept unless their names clash with the added ones.
+are kept, whatever their names, but those named as the added ones.
 """
 
 import numpy as np
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import column, slices, starts, texts, whole_groups
+from ledgerpulse.llm.common import column, packed, slices, starts, texts, unpacked, whole_groups
 from ledgerpulse.storage import materialize
 
 MIN_WORDS = 25
@@ -190,21 +190,22 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated runs cut from ``text``, and n_lines, n_removed and the removed line spans."""
     kept = [c for c in docs.columns if c not in ADDED]
     spans = (repeated_runs(docs.select("doc_id", "text"), min_words).groupBy(*DOC)
-             .agg(F.collect_set(F.struct("first_line", "last_line")).alias("_spans"))
-             .withColumnsRenamed({"doc_id": "_doc", "h": "_h"}))
-    rows = docs.select(*kept, F.xxhash64("text").alias("_own"))
-    joined = (rows.join(spans, rows["doc_id"].eqNullSafe(spans["_doc"]) & (rows["_own"] == spans["_h"]), "left")
-              .select(*kept, "_spans"))
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept),
-                        "n_lines int", "n_removed int", "removed string"])
+             .agg(F.collect_set(F.struct("first_line", "last_line")).alias("spans"))
+             .withColumnsRenamed({"doc_id": "s_id", "h": "s_h"}))
+    others = [c for c in kept if c != "text"]
+    rows = docs.select(packed(others), "doc_id", "text", F.xxhash64("text").alias("h"))
+    joined = (rows.join(spans, rows["doc_id"].eqNullSafe(spans["s_id"]) & (rows["h"] == spans["s_h"]), "left")
+              .select("kept", "text", "spans"))
+    schema = f"kept {joined.schema['kept'].dataType.simpleString()}, text string, n_lines int, n_removed int, removed string"
 
     def cut(batches):
         for batch in slices(batches):
             found = [without(t, s or []) if t is not None else (None, 0, 0, "") for t, s in zip(
-                batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
+                batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             text, n, gone, merged = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(text, pa.string()) if c == "text" else batch.column(c) for c in kept),
-                 pa.array(n, pa.int32()), pa.array(gone, pa.int32()), pa.array(merged, pa.string())], [*kept, *ADDED])
+                [batch.column("kept"), pa.array(text, pa.string()), pa.array(n, pa.int32()), pa.array(gone, pa.int32()),
+                 pa.array(merged, pa.string())], ["kept", "text", *ADDED])
 
-    return joined.mapInArrow(cut, schema)
+    found = joined.mapInArrow(cut, schema).select(*unpacked(others), F.col("text").alias("text"), *ADDED)
+    return found.select(*[F.col(f"`{c}`") for c in [*kept, *ADDED]])

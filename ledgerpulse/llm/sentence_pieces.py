@@ -8,8 +8,8 @@ borders known each chunk is traced back on its own. Ids equal those of the model
 
 Null and empty texts have no ids; decoding no ids, or null, gives the empty text. A text that holds the
 blank mark itself comes back with blanks in its place. Repeated rows are encoded row by row; a giant text
-that repeats under one id is scanned once. An empty table gives an empty table; other columns are kept
-unless their names clash with the added ones.
+that repeats under one id is scanned once. An empty table gives an empty table; other columns are kept,
+whatever their names, but those named as the added ones.
 """
 
 import numpy as np
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import slices, texts, whole_groups
+from ledgerpulse.llm.common import packed, slices, texts, unpacked, whole_groups
 from ledgerpulse.llm.pieces import NEVER, escaped, load, load_texts, product
 from ledgerpulse.storage import materialize
 
@@ -158,15 +158,14 @@ def giant_texts(docs: DataFrame, path: str, size: int) -> DataFrame:
 def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_tokens and ids in place of the text."""
     keep = [c for c in docs.columns if c != "text" and c not in ADDED]
-    rows = docs.select(*keep, "text")
+    rows = docs.select(packed(keep), "doc_id", "text")
     size = F.coalesce(F.length("text"), F.lit(0))
-    short = whole_texts(rows.where(size <= chunk), path)
+    short = whole_texts(rows.where(size <= chunk).select("kept", "text"), path)
     long = rows.where(size > chunk).withColumn("h", F.xxhash64("text"))
     found = giant_texts(long.select(*DOC, "text"), path, chunk)
-    kept = long.select(*[F.col(c).alias(f"k_{c}") for c in keep], *DOC)
-    giant = kept.join(found, _equal(kept, found, DOC, "g_")).select(
-        *[F.col(f"k_{c}").alias(c) for c in keep], "ids")
-    return short.unionByName(giant).select(*keep, F.size("ids").alias("n_tokens"), "ids")
+    kept = long.select("kept", *DOC)
+    giant = kept.join(found, _equal(kept, found, DOC, "g_")).select("kept", "ids")
+    return short.unionByName(giant).select(*unpacked(keep), F.size("ids").alias("n_tokens"), "ids")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:

@@ -10,6 +10,11 @@ the links it finds, not every pair, and the components of all forests are the cl
 Buckets with more than ``TILE`` different fingerprints are cut into tiles, every pair of which meets in
 some task. Null and empty texts have fingerprint zero and link like any other. Texts of any length are
 hashed whole, repeated rows share a class, an empty table gives an empty table, other columns are ignored.
+
+``near_duplicates`` is the search for a similarity of shingle sets rather than for a radius. A Jaccard similarity of 0.8
+moves about ten of 64 bits, more than agreeing blocks can index, so there the buckets are bands of least
+hashes of the shingle set; the bit-sliced comparison within them gives candidates, whose components meet in tiles,
+where every link is confirmed on the shingle sets themselves.
 """
 
 from itertools import combinations
@@ -165,26 +170,34 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     keys = masks(fps.count(), radius)
     keyed = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
-        for k, m in enumerate(keys)])).alias("b")).select("b.t", "b.key", "fp")
-    size = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    cuts = F.ceil(F.col("n") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")
-    tiled = (keyed.join(size, ["t", "key"]).withColumn("cuts", cuts).withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-             .where("cuts = 1 OR own <> other")   # a pair of tiles also compares each with itself
-             .select("t", "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "fp"))
+        for k, m in enumerate(keys)])).alias("b")).select("b.t", "b.key", "fp", F.col("fp").alias("node"))
+    return bucket_links(keyed, radius)
+
+
+def tiled(keyed: DataFrame, by: list[str], node: str, tile: int) -> DataFrame:
+    """Rows of each key in pairs of tiles (a, b) of about ``tile`` rows; keys of a single row leave."""
+    size = keyed.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1")
+    cuts = F.ceil(F.col("n") / tile).cast("int")
+    own = F.pmod(F.xxhash64(node), F.col("cuts")).cast("int")
+    return (keyed.join(size, by).withColumn("cuts", cuts).withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+            .where("cuts = 1 OR own <> other")   # a pair of tiles also compares each with itself
+            .select(*keyed.columns, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")))
+
+
+def bucket_links(keyed: DataFrame, radius: int) -> DataFrame:
+    """Edges (u, v) between nodes that span what lies within ``radius`` in a bucket of ``keyed`` (t, key, fp, node)."""
     by = ["t", "key", "a", "b"]
 
     def compare(batches):
         for group in whole_groups(batches, by):
-            fp = column(group, "fp").view(np.uint64)
+            fp, node = column(group, "fp").view(np.uint64), column(group, "node")
             label = forest(fp, starts(*(column(group, k) for k in by)), radius)
             at = np.flatnonzero(label != np.arange(len(label)))
-            yield pa.RecordBatch.from_arrays([pa.array(fp[at].view(np.int64)), pa.array(fp[label[at]].view(np.int64))],
-                                             ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[label[at]])], ["u", "v"])
 
-    return (tiled.repartition(*by).sortWithinPartitions(*by, "fp").mapInArrow(compare, "u bigint, v bigint")
-            .distinct())
+    return (tiled(keyed, ["t", "key"], "node", TILE).repartition(*by).sortWithinPartitions(*by, "fp", "node")
+            .mapInArrow(compare, "u bigint, v bigint").distinct())
 
 
 def classes(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -200,3 +213,107 @@ def classes(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     rooted = materialize(rooted, "simhash-roots")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").drop("least")
     return marks.join(named, "fp").select("doc_id", "fp", "h", "root", "component_id")
+
+
+# --- similarity of shingle sets ----------------------------------------------------------------
+
+WORDS, SIMILARITY, WIDE = 5, 0.8, 17     # bits two fingerprints of that similarity stay within, but for about one in a hundred
+BANDS, ROWS = 10, 4                      # 1 - (1 - 0.8 ** 4) ** 10: all but 0.5 % of the pairs at 0.8 share a band
+SETS = 512                               # shingle sets in a tile
+
+
+def shingle_set(text: str, size: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, size), np.uint64))
+
+
+def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
+    """Sets x bands: a hash of ``rows`` least hashes each; of an empty set 0."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    some = np.flatnonzero(size)
+    out = np.zeros((len(sets), bands), np.uint64)
+    if len(some):
+        flat = np.concatenate(sets)
+        head = (np.cumsum(size) - size)[some]
+        rng = np.random.default_rng(SEED)
+        for k in range(bands * rows):
+            step, add = (np.uint64(x | 1) for x in rng.integers(0, 1 << 63, 2).tolist())
+            x = flat * step + add
+            least = np.minimum.reduceat(x ^ x >> np.uint64(29), head)
+            out[some, k // rows] = (out[some, k // rows] ^ least) * np.uint64(0x9E3779B97F4A7C15)
+    return out
+
+
+def shingled(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, h, g, fp, keys): ``g`` is a hash of the shingle set, equal for texts of equal sets."""
+    def apply(batches):
+        for batch in slices(batches):
+            sets = [shingle_set(t, words) for t in texts(batch)]
+            g = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets))
+            keys = band_keys(sets, BANDS, ROWS).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("h"), pa.array(g.view(np.int64)),
+                 pa.array(majority(sets).view(np.int64)), pa.array(list(keys), pa.list_(pa.int64()))],
+                ["doc_id", "h", "g", "fp", "keys"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(
+        apply, f"doc_id {kind}, h bigint, g bigint, fp bigint, keys array<bigint>")
+
+
+def confirmed(sets: list[np.ndarray], fp: np.ndarray, radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Pairs that span all pairs of sets within ``radius`` and of ``similarity`` or more."""
+    label, out = np.arange(len(sets)), []
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    for i in range(len(sets) - 1):
+        near = np.flatnonzero(np.bitwise_count(fp[i + 1:] ^ fp[i]) <= radius) + i + 1
+        least, most = np.minimum(size[near], size[i]), np.maximum(size[near], size[i])
+        for j in near[least >= similarity * most].tolist():
+            if label[i] == label[j]:
+                continue
+            both = np.isin(sets[i], sets[j], assume_unique=True).sum()
+            if both >= similarity * (size[i] + size[j] - both):
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, radius: int = WIDE) -> DataFrame:
+    """(doc_id, h, root) for every row of ``docs`` (doc_id, text): rows of one ``root`` are linked by pairs of shingle sets
+    with a Jaccard similarity of ``similarity`` or more, ``h`` is a hash of the text.
+
+    Null and empty texts have an empty set and share a class; texts of fewer words have themselves as their one
+    shingle. Texts are read whole, repeated rows share a class, an empty table gives an empty table.
+    """
+    marks = materialize(shingled(docs, words), "shingles")
+    nodes = marks.groupBy("g").agg(F.min(F.struct("fp", "keys")).alias("m")).select("g", "m.*")
+    keyed = nodes.select(F.posexplode("keys").alias("t", "key"), "fp", F.col("g").alias("node"))
+    maybe = materialize(components(bucket_links(keyed, radius)), "near-candidates")
+    grouped = maybe.unionByName(maybe.select(F.col("root").alias("node"), "root").distinct())
+    source = (marks.where(F.size("keys") > 0).groupBy("g").agg(F.min(F.struct("doc_id", "h")).alias("s"))
+              .join(grouped, F.col("g") == F.col("node")).select("root", "g", "s.doc_id", "s.h"))
+    source = materialize(source, "near-sources").withColumnsRenamed({"doc_id": "s_id", "h": "s_h"})
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).dropDuplicates(["doc_id", "h"])
+    rows = rows.join(source, rows["doc_id"].eqNullSafe(source["s_id"]) & (rows["h"] == source["s_h"])).select("root", "g", "text")
+    by = ["root", "a", "b"]
+
+    def sets_of(batches):
+        for batch in slices(batches):
+            sets = [shingle_set(t, words) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("root"), batch.column("g"), pa.array(majority(sets).view(np.int64)),
+                 pa.array([x.tobytes() for x in sets], pa.binary())], ["root", "g", "fp", "items"])
+
+    def confirm(batches):
+        for group in whole_groups(batches, by):
+            g, fp = column(group, "g"), column(group, "fp").view(np.uint64)
+            items, head = group.column("items"), starts(*(column(group, k) for k in by))
+            for low, high in zip(head, [*head[1:], len(g)], strict=True):
+                sets = [np.frombuffer(x, np.uint64) for x in items.slice(low, high - low).to_pylist()]
+                pairs = np.array(confirmed(sets, fp[low:high], radius, similarity), np.int64).reshape(-1, 2) + low
+                yield pa.RecordBatch.from_arrays([pa.array(g[pairs[:, 0]]), pa.array(g[pairs[:, 1]])], ["u", "v"])
+
+    sets = materialize(rows.mapInArrow(sets_of, "root bigint, g bigint, fp bigint, items binary"), "near-sets")
+    edges = (tiled(sets, ["root"], "g", SETS).repartition(*by).sortWithinPartitions(*by, "g")
+             .mapInArrow(confirm, "u bigint, v bigint").distinct())
+    linked = materialize(components(edges).withColumnRenamed("root", "r"), "near-classes")
+    return marks.join(linked, F.col("g") == F.col("node"), "left").select("doc_id", "h", F.coalesce("r", "g").alias("root"))

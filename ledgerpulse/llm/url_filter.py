@@ -7,14 +7,15 @@ and the longest rule wins (of equally long ones the longer host, then block befo
 A rule fits its host and all subdomains if the path starts with the rule's path. Paths are expanded
 at the distinct lengths of the rules' paths, so no rule is missed. A URL that is null or has no
 ``://`` has empty host and path. Without a fitting rule the verdict is ``default``. Repeated rows are
-judged row by row; an empty table gives an empty table; other columns of ``pages`` are kept unless
-their names clash with the added ones.
+judged row by row; an empty table gives an empty table; other columns of ``pages`` are kept, whatever
+their names, but those named as the added ones.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import lower_ascii
+from ledgerpulse.llm.common import lower_ascii, packed, unpacked
+from ledgerpulse.storage import materialize
 
 PREFIX = 8
 SMALL = 10_000   # rules up to this counted number are broadcast; more are joined by a shuffle
@@ -45,7 +46,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     rules = rules.withColumn("r_digest", digest).withColumn("short", F.substring("r_digest", 1, PREFIX))
 
     host, path = url_parts(F.col(f"`{url}`"))
-    parts = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
+    parts = pages.select(packed(kept), host.alias("host"), path.alias("path"))
     labels = F.split("host", "[.]", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
                            lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -62,6 +63,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     best = (asked.join(rules, "short").where(F.col("digest") == F.col("r_digest"))
             .groupBy("host", "path")
             .agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict")), wins).alias("b")))
+    # written, so that the join deals its rows anew and can split a URL of very many pages
+    best = materialize(best, "url-rules")
     return (parts.join(best, ["host", "path"], "left")
-            .select(*[F.col(f"`{c}`") for c in kept], "host", "path", F.col("b.rule").alias("rule"),
+            .select(*unpacked(kept), "host", "path", F.col("b.rule").alias("rule"),
                     F.coalesce("b.r_verdict", F.lit(default)).alias("verdict")))

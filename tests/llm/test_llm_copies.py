@@ -92,6 +92,38 @@ def test_tiles_and_words_find_every_link(spark, monkeypatch):
     assert len({r for s in same.values() for r in s}) == len(same)
 
 
+def jaccard(a: str, b: str) -> float:
+    x, y = (set(simhash.shingle_hashes(t, 5)) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_near_duplicates_find_similar_sets_and_nothing_else(spark, monkeypatch):
+    """Recall on each band of similarity from 0.8 on, and no link below; also with tiles of a few sets."""
+    import random
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    docs, pairs = [], []
+    for k in range(400):
+        w = [word() for _ in range(rng.choice([60, 150, 400]))]
+        v = list(w)
+        for _ in range(max(1, round(len(w) * rng.choice([0.002, 0.006, 0.012, 0.018, 0.022, 0.03])))):
+            v[rng.randrange(len(v))] = word()
+        docs += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+        pairs.append((2 * k, 2 * k + 1, jaccard(docs[-2][1], docs[-1][1])))
+    crowd = [word() for _ in range(200)]
+    docs += [(2000 + k, " ".join(crowd[:k] + [word()] + crowd[k + 1:])) for k in range(60)] + [(3000, None), (3001, ""), (3002, "one two")]
+    monkeypatch.setattr(simhash, "SETS", 8)
+    root = {r["doc_id"]: r["root"] for r in simhash.near_duplicates(frame(spark, docs, "root")).collect()}
+    assert len(root) == len(docs)
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 0.95), (0.95, 1.0)):
+        band = [root[a] == root[b] for a, b, j in pairs if low <= j < high]
+        assert len(band) >= 15 and sum(band) >= 0.9 * len(band), (low, sum(band), len(band))
+    assert not any(root[a] == root[b] for a, b, j in pairs if j < 0.8)
+    assert len({root[2000 + k] for k in range(60)}) == 1 and root[3000] == root[3001] != root[3002]
+    assert len(set(root.values())) == len(docs) - 59 - 1 - sum(root[a] == root[b] for a, b, _ in pairs)
+    assert simhash.near_duplicates(empty(spark)).count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "u long, v long")
     found = {r["node"]: r["root"] for r in components.components(edges).collect()}
