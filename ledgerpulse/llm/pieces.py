@@ -7,15 +7,15 @@ the encoding is the one path of weight 0 through the lattice of pieces, found by
 """
 
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BLANK = "▁"
-CACHE = 180_000      # distinct units and piece pairs a worker remembers; no effect on results
+CACHE = 150_000      # entries of a generation of what a worker remembers; no effect on results
 NEVER = -np.inf
 State = tuple[int, int, int]
 
@@ -50,9 +50,13 @@ class Pieces:
         self.lines_part = not any("\n" in p for p in self.ids)
         line = "\n" if self.lines_part else ""
         self.unit = re.compile(f"{BLANK}*[^{BLANK}{line}]+|{BLANK}+|\n" if self.blanks_lead else r"(?s).+")
+        # what was seen lately, each with the generation before it, from which it takes over what is asked for again
         self.pairs: dict[int, bool] = {}
-        self.units: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.older_pairs: dict[int, bool] = {}
+        self.units: dict[str, bytes] = {}
+        self.older_units: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def name(self, piece: int) -> str:
         return self.names[piece] if piece < self.width else chr(piece - self.width)
@@ -75,9 +79,12 @@ class Pieces:
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= CACHE:
-                self.pairs.clear()
-            a, b = self.name(x), self.name(y)
-            known = self.pairs[key] = a[-1] + b[0] not in self.joins or self.merged(a + b) == [a, b]
+                self.older_pairs, self.pairs = self.pairs, {}
+            known = self.older_pairs.get(key)
+            if known is None:
+                a, b = self.name(x), self.name(y)
+                known = a[-1] + b[0] not in self.joins or self.merged(a + b) == [a, b]
+            self.pairs[key] = known
         return known
 
     def at(self, s: str, j: int) -> list[tuple[int, int]]:
@@ -174,13 +181,13 @@ class Pieces:
 
     def encode(self, s: str) -> np.ndarray:
         """Ids of an escaped text, or of a part of one between two breaks."""
-        units, known = self.unit.findall(s), self.units
-        if len(known) > CACHE:
-            known.clear()
+        if len(self.units) > CACHE:
+            self.older_units, self.units = self.units, {}
+        units, known, older = self.unit.findall(s), self.units, self.older_units
         for u in units:
             if u not in known:
-                known[u] = self.path(u)
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, units)), np.int32)
+                known[u] = older.get(u) or array("i", self.path(u)).tobytes()
+        return np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32)
 
     def encode_text(self, text: str) -> np.ndarray:
         """Ids of a whole text.
@@ -193,13 +200,14 @@ class Pieces:
         if (not (self.blanks_lead and self.lines_part) or text[0] in " \n" or text[-1] == " " or "  " in text
                 or " \n" in text or BLANK in text):
             return self.encode(escaped(text))
-        words, known = text.replace("\n", " \n").split(" "), self.words
-        if len(known) > CACHE:
-            known.clear()
+        if len(self.words) > CACHE:
+            self.older_words, self.words = self.words, {}
+        words, known, older = text.replace("\n", " \n").split(" "), self.words, self.older_words
         for w in words:
             if w not in known:
-                known[w] = self.path(BLANK + w) if w[0] != "\n" else self.path("\n") + (self.path(w[1:]) if w[1:] else ())
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
+                known[w] = older.get(w) or array("i", self.path(BLANK + w) if w[0] != "\n" else self.path("\n") + (
+                    self.path(w[1:]) if w[1:] else ())).tobytes()
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
 
     # --- chunks ------------------------------------------------------------------------------
 
