@@ -5,7 +5,8 @@ classes: it moves to the class that raises the likelihood of the class bigrams m
 words start from an exchange of their own, one word at a time; then all words choose at once, round after
 round, each from its own bigrams and the table of class bigrams; half of those that gain move, and when few gain,
 they move one after the other. A round counts only if the likelihood rises; if it falls, fewer words move, at last
-the one that gains most. This ends when no word gains by moving. A text's log10 probability adds class transitions, smoothed towards class frequencies, and
+the one that gains most. This ends when no word gains by moving or, with a ``least_gain``, when a round raises the log
+likelihood by less than that a token; the rule is the same for all words, each of which is rated in every round. A text's log10 probability adds class transitions, smoothed towards class frequencies, and
 word emissions with one count added to every word of a class and to one unseen word. A word that no training
 text holds has no class: it counts as in the base, and the word after it by its class frequency.
 
@@ -39,6 +40,8 @@ FILE = 4                        # packs in a file
 TURNS = 4096                    # words moved one by one in a round, once no more want to move
 BLOCK, TABLED = 256, 64         # words rated at a time; counts whose gains are tabled
 TOLERANCE = 1e-6                # gains below it are none
+LEAST_GAIN = 1e-4               # of the log likelihood a token: what the registered query takes for ``least_gain``
+FLUSHED = 500_000               # pack entries a task gathers before it sends them
 PRIOR = 20.0                    # weight of the class frequencies in a transition
 PARTS = ["n_tokens", "held", "logs", "chain", "rare", "rare_n", "before", "now"]
 ADDED = [*PARTS, "n_known", "train_tokens", "base_score", "score", "perplexity", "_row", "_k", "_c", "_id"]
@@ -265,11 +268,28 @@ class Pack:
 
     def __init__(self, p: int, blob: bytes | pa.Buffer):
         self.p = p
-        n = memoryview(blob).nbytes // 17
-        self.n = np.frombuffer(blob, np.int64, n)
-        self.word = np.frombuffer(blob, np.int32, n, 8 * n)
-        self.nbr = np.frombuffer(blob, np.int32, n, 12 * n)
-        self.side = np.frombuffer(blob, np.int8, n, 16 * n)
+        n, words, large = np.frombuffer(blob, np.int64, 3).tolist()
+        at = 24
+        parts = []
+        for kind, size in ((np.int32, words), (np.int32, words), (np.int32, n), (np.uint8, n), (np.int32, large), (np.int64, large)):
+            parts.append(np.frombuffer(blob, kind, size, at))
+            at += size * np.dtype(kind).itemsize
+        word, times, end, count, place, value = parts
+        self.word = np.repeat(word, times)
+        self.side = (end < 0).astype(np.int8)
+        self.nbr = np.where(end < 0, ~end, end)
+        self.n = count.astype(np.int64)
+        self.n[place] = value
+
+    @staticmethod
+    def bytes_of(word: np.ndarray, nbr: np.ndarray, side: np.ndarray, n: np.ndarray) -> bytes:
+        """Entries sorted by word, in about six bytes each: the words once, the side as the neighbour's sign, and
+        counts of 255 and more by themselves."""
+        head = starts(word)
+        large = np.flatnonzero(n >= 255)
+        return b"".join([np.array([len(word), len(head), len(large)], np.int64).tobytes(), word[head].astype(np.int32).tobytes(),
+                         np.diff(np.r_[head, len(word)]).astype(np.int32).tobytes(), np.where(side, ~nbr, nbr).astype(np.int32).tobytes(),
+                         np.minimum(n, 255).astype(np.uint8).tobytes(), large.astype(np.int32).tobytes(), n[large].astype(np.int64).tobytes()])
 
     def bigrams(self, label: np.ndarray, total: int) -> np.ndarray:
         right = self.side == 0
@@ -400,27 +420,41 @@ def _packs(batches):
 
 def packed(edges: DataFrame, first: np.ndarray, hubs: int, shares: int) -> DataFrame:
     """(p, blob): both ends of the bigrams (u, v, n) by pack; hubs' ones lie in ``shares`` packs below 0."""
+    def cut(u, v, n):
+        word, nbr = np.r_[u, v], np.r_[v, u]
+        side = np.repeat(np.array([0, 1], np.int8), len(u))
+        mix = ((nbr * 2 + side).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64)
+        p = np.where(word < hubs, -1 - (mix + word) % shares, np.searchsorted(first, word, "right") - 1)
+        order = np.lexsort((word, p))
+        p, *parts = (x[order] for x in (p, word, nbr, side, np.r_[n, n]))
+        head = starts(p)
+        blobs = [Pack.bytes_of(*(x[low:high] for x in parts)) for low, high in zip(head, [*head[1:], len(p)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(p[head].astype(np.int32)), pa.array(blobs, pa.binary())], ["p", "blob"])
+
     def both(batches):
+        held, size = [], 0
         for batch in batches:
-            u, v, n = (column(batch, c) for c in "uvn")
-            word, nbr = np.r_[u, v], np.r_[v, u]
-            side = np.repeat(np.array([0, 1], np.int8), len(u))
-            mix = ((nbr * 2 + side).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64)
-            p = np.where(word < hubs, -1 - (mix + word) % shares, np.searchsorted(first, word, "right") - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(word.astype(np.int32)),
-                                              pa.array(nbr.astype(np.int32)), pa.array(side), pa.array(np.r_[n, n])],
-                                             ["p", "word", "nbr", "side", "n"])
+            held.append([column(batch, c) for c in "uvn"])
+            size += 2 * batch.num_rows
+            if size > FLUSHED:
+                yield cut(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, size = [], 0
+        if size:
+            yield cut(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
     def pack(batches):
         for group in whole_groups(batches, ["p"]):
-            p, *parts = (column(group, c) for c in ("p", "n", "word", "nbr", "side"))
+            p, blobs = column(group, "p"), group.column("blob").to_pylist()
             head = starts(p)
             for low, high in zip(head, [*head[1:], len(p)], strict=True):
+                found = [Pack(0, b) for b in blobs[low:high]]
+                parts = [np.concatenate([getattr(x, c) for x in found]) for c in ("word", "nbr", "side", "n")]
+                order = np.argsort(parts[0], kind="stable")
                 yield pa.RecordBatch.from_arrays([pa.array(p[low:low + 1]), pa.array(
-                    [b"".join(x[low:high].tobytes() for x in parts)])], ["p", "blob"])
+                    [Pack.bytes_of(*(x[order] for x in parts))], pa.binary())], ["p", "blob"])
 
-    return (edges.mapInArrow(both, "p int, word int, nbr int, side tinyint, n bigint").repartition("p")
-            .sortWithinPartitions("p", "word").mapInArrow(pack, "p int, blob binary"))
+    return (edges.mapInArrow(both, "p int, blob binary").repartition("p").sortWithinPartitions("p")
+            .mapInArrow(pack, "p int, blob binary"))
 
 
 def likelihood(joint: np.ndarray) -> float:
@@ -430,8 +464,8 @@ def likelihood(joint: np.ndarray) -> float:
     return total(joint) - 2 * total(joint.sum(axis=1))
 
 
-def exchange_all(packs: Packs, label: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all words and the class bigrams after exchange rounds until no word gains by a move."""
+def exchange_all(packs: Packs, label: np.ndarray, classes: int, least_gain: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all words and the class bigrams after exchange rounds, until no word or too little is gained."""
     total, share, rounds = classes + 2, 0.5, 0
     joint, around = packs.measure(label, total)
     while True:
@@ -452,8 +486,11 @@ def exchange_all(packs: Packs, label: np.ndarray, classes: int) -> tuple[np.ndar
                 trial = label.copy()
                 trial[some] = want[some]
             next_joint, next_around = packs.measure(trial, total)
-            if placing or likelihood(next_joint) > likelihood(joint):
+            gain = likelihood(next_joint) - likelihood(joint)
+            if placing or gain > 0:
                 label, joint, around, share = trial, next_joint, next_around, min(0.5, share * 1.25)
+                if not placing and gain < least_gain * joint.sum():
+                    return label, joint
                 break
             if turns and n == 1:
                 return label, joint   # no gain beyond rounding is left
@@ -484,7 +521,7 @@ class Clusters:
     """What ``cluster`` learns: the dictionary, the other words with their numbers, classes and class bigrams."""
 
 
-def cluster(training: DataFrame, head: int, classes: int, dictionary: int) -> Clusters:
+def cluster(training: DataFrame, head: int, classes: int, dictionary: int, least_gain: float = 0.0) -> Clusters:
     """Exchange clustering of all words of ``training``. The end is word 0, dictionary words follow by frequency."""
     spark, out = training.sparkSession, Clusters()
     counts = materialize(word_counts(training), "word-counts")
@@ -544,7 +581,7 @@ def cluster(training: DataFrame, head: int, classes: int, dictionary: int) -> Cl
     label = np.full(first[-1], classes + 1, np.int8)
     label[0] = classes
     label[1:head + 1] = exchange(pairs, head, classes)[:head]
-    out.label, joint = exchange_all(packs, label, classes)
+    out.label, joint = exchange_all(packs, label, classes, least_gain)
     types = np.bincount(out.label, minlength=classes + 2)
     out.transition, out.emission = (x[..., :classes + 1] for x in tables(
         joint[:classes + 1, :classes + 1], joint.sum(axis=0)[:classes + 1], types[:classes + 1]))
@@ -556,13 +593,14 @@ def cluster(training: DataFrame, head: int, classes: int, dictionary: int) -> Cl
 
 
 def score(docs: DataFrame, training: DataFrame, head: int = HEAD, classes: int = CLASSES,
-          lookup: int = LOOKUP) -> DataFrame:
+          lookup: int = LOOKUP, least_gain: float = 0.0) -> DataFrame:
     """``docs`` (any columns, text) with n_tokens, n_known, train_tokens, base_score, score and perplexity.
 
-    ``head`` words start the clustering; scoring tasks hold the counts of ``lookup`` words.
+    ``head`` words start the clustering, which goes on while rounds gain ``least_gain`` a token; scoring tasks hold the
+    counts of ``lookup`` words.
     """
     spark = docs.sparkSession
-    learned = cluster(training, head, classes, LOOKUP)
+    learned = cluster(training, head, classes, LOOKUP, least_gain)
     lookup = min(lookup, len(learned.words))
     end = learned.transition.shape[0] - 2   # the last one stands for unseen words
     shared = spark.sparkContext.broadcast(Lexicon(learned.words[:lookup], learned.counts[:lookup]))

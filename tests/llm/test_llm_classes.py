@@ -43,6 +43,18 @@ def test_rounds_in_spark_equal_those_on_the_driver(spark, monkeypatch):
     assert all(a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-9) for a, b in zip(*scores, strict=True))
 
 
+def test_packs_come_back_as_written():
+    """Words of one and of many entries, both sides, counts around the escape."""
+    rng = np.random.default_rng(3)
+    word = np.sort(rng.integers(5, 60, 400))
+    nbr, side = rng.integers(0, 1 << 31, 400), rng.integers(0, 2, 400).astype(np.int8)
+    n = rng.choice([1, 2, 254, 255, 256, 1 << 40], 400)
+    for part in (slice(0, 400), slice(0, 1), slice(0, 0)):
+        pack = class_lm.Pack(0, class_lm.Pack.bytes_of(word[part], nbr[part], side[part], n[part]))
+        for got, want in zip((pack.word, pack.nbr, pack.side, pack.n), (word, nbr, side, n), strict=True):
+            assert (got == want[part]).all() and len(got) == len(want[part])
+
+
 def test_gains_equal_the_change_of_the_likelihood():
     rng = np.random.default_rng(3)
     for size, tabled in ((9, False), (100, True)):
