@@ -154,7 +154,7 @@ def op13_importance(spark, sf_dir):
 
 
 def _license_sql() -> str:
-    values = ", ".join(f"({k}, '{label}', string_split('{t}', ' '))"
+    values = ", ".join(f"({k}, '{label}', string_split('{t}', ' '), {license_scan.block_words(t, license_scan.THRESHOLD)})"
                        for k, (label, t) in enumerate(license_scan.TEMPLATES))
     hits, tags = [], []
     for p, label in license_scan.PHRASES:
@@ -164,21 +164,22 @@ def _license_sql() -> str:
         hits.append(hit)
         tags.append(f"CASE WHEN len({hit}) > 0 THEN ['{label}'] ELSE [] END")
     return rf"""
-WITH plain AS (
-  SELECT doc_id, row_number() OVER () AS rid, regexp_replace(
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g') AS lines FROM documents),
-doc AS (
-  SELECT doc_id, rid, list_filter(string_split(replace(lines, chr(10), ' '), ' '), lambda w: w <> '') AS words FROM plain),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 base AS (
   SELECT doc_id, rid, len(words) AS n_words, list_concat({', '.join(hits)}) AS places,
          list_concat({', '.join(tags)}) AS tags FROM doc),
 template AS (
-  SELECT k, label, list_distinct(t) AS t, len(list_distinct(t)) AS size FROM (VALUES {values}) v(k, label, t)),
-block AS (SELECT rid, string_split(unnest(string_split(lines, chr(10))), ' ') AS words FROM plain),
-met AS (
-  SELECT rid, label, len(list_intersect(t, words)) / size AS share FROM block, template
-  WHERE len(list_intersect(t, words)) >= ceil(size * {license_scan.THRESHOLD})),
+  SELECT k, label, unnest(list_distinct(t)) AS w, len(list_distinct(t)) AS size, block
+  FROM (VALUES {values}) v(k, label, t, block)),
+word AS (SELECT rid, unnest(words) AS w, unnest(range(0, len(words))) AS p FROM doc),
+held AS (
+  SELECT rid, k, label, size, count(DISTINCT w) OVER (
+    PARTITION BY rid, k ORDER BY p RANGE BETWEEN CURRENT ROW AND (block - 1) FOLLOWING) AS n
+  FROM word JOIN template USING (w)),
+met AS (SELECT rid, label, n / size AS share FROM held WHERE n >= ceil(size * {license_scan.THRESHOLD})),
 more AS (SELECT rid, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY rid)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base,
        list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,

@@ -1,6 +1,7 @@
 """Quality classifier, language model, URL filters and license scans."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -118,7 +119,18 @@ def test_license_scan(spark):
              "Licensed under the Apache License, Version 2.0", "licensed under cc by\nnc 4 0", "mit licenses. license mit",
              "This work is licensed under the GNU General Public License, version 3.\nélan mit license é",
              "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-             "documentation files the software to deal with the software"]
+             "documentation files the software to deal with the software",
+             "# Permission is hereby granted,\n#  free of charge, to any person obtaining a copy\n# of this software and "
+             "associated documentation files\n# (the \"Software\"), to deal in the Software without restriction",
+             "/* Redistribution and use in source and binary forms,\n * with or without modification, are permitted\n"
+             " * provided that the following conditions\n * are met: */",
+             "Licensed under the Apache\nLicense, Version 2.0\n(the License);\nyou may not use this file\nexcept in "
+             "compliance with the License.\nYou may obtain a copy\nof the License at",
+             "This program is free software:\nyou can redistribute it and/or modify\nit under the terms of the GNU\n"
+             "General Public License as\npublished by the Free Software Foundation",
+             " x ".join("redistribution and use in source and binary forms with or without modification are permitted "
+                        "provided that the following conditions are met".split()),   # too far apart
+             "pad " * 4095 + "this work is licensed under a creative commons attribution 4 0 international license " + "pad " * 50]
     docs = list(enumerate(notes)) + ODD
     got = Counter(tuple(r) for r in license_scan.scan(frame(spark, docs, "labels")).collect())
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -131,14 +143,28 @@ def test_license_scan(spark):
             hits = [i for i in range(len(words)) if words[i:i + len(p)] == p]
             places += hits
             base |= {label} if hits else set()
-        for line in low(text).split("\n"):
-            own = set(word.findall(line))
-            for label, t in license_scan.TEMPLATES:
-                t = set(t.split())
-                if len(own & t) >= license_scan.needed(len(t), license_scan.THRESHOLD):
-                    more.add(label)
-                    best = max(best, round(len(own & t) / len(t), 6))
+        for label, t in license_scan.TEMPLATES:
+            block, t = license_scan.block_words(t, license_scan.THRESHOLD), set(t.split())
+            n = max((len(t.intersection(words[i:i + block])) for i in range(len(words)) if words[i] in t), default=0)
+            if n >= license_scan.needed(len(t), license_scan.THRESHOLD):
+                more.add(label)
+                best = max(best, round(n / len(t), 6))
         want[doc_id, len(words), len(places), min(places, default=None), max(places, default=None),
              ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if places else best] += 1
     assert got == want
+    labels = {r["doc_id"]: r["labels"] for r in license_scan.scan(frame(spark, docs)).collect()}
+    assert [labels[k] for k in range(7, 13)] == ["mit", "bsd", "apache,apache-2.0", "gpl", "", "cc-by-4.0"]
     assert license_scan.scan(empty(spark)).count() == 0
+
+
+def test_license_blocks_do_not_depend_on_pieces(spark):
+    rng = random.Random(3)
+    templates = [("a", "one two three four five"), ("b", "two two nine ten")]
+    docs = [(k, "\n".join(rng.choice(["one", "two", "three", "four", "five", "nine", "ten", "x", "y"])
+                          for _ in range(rng.randint(0, 120)))) for k in range(60)]
+    found = [sorted(license_scan.block_matches(frame(spark, docs), templates, 0.8, piece).collect()) for piece in (2048, 16, 7)]
+    assert found[0] == found[1] == found[2] and {r["label"] for r in found[0]} == {"a", "b"}
+    for r in found[0]:
+        t = templates[r["template"]][1]
+        block = docs[r["doc_id"]][1].split()[r["start"]:r["start"] + license_scan.block_words(t, 0.8)]
+        assert len(set(t.split()) & set(block)) / len(set(t.split())) == r["containment"]
