@@ -56,6 +56,22 @@ class Detector(ABC):
     def restore(self, arrays: dict[str, np.ndarray]) -> None:
         """Inverse of ``arrays``."""
 
+    @property
+    def in_table(self) -> bool:
+        """Whether a part of the model is a table, so that a block of rows alone cannot be scored to the end."""
+        return False
+
+    def open_block(self, x: np.ndarray, explain: bool) -> tuple[np.ndarray, np.ndarray | None, list, list]:
+        """What the arrays give for a block of rows (length, weight), and per row the places in the table to go on from."""
+        raise NotImplementedError
+
+    def finished(self, rows: DataFrame, explain: bool) -> DataFrame:
+        """(_row, score, share) from the rows of ``open_block``: _row, x, length, weight, trees, nodes."""
+        raise NotImplementedError
+
+    def load_tables(self, spark: SparkSession, path: str) -> None:
+        """Find the tables saved beside the arrays."""
+
     def save(self, spark: SparkSession, path: str) -> None:
         """Model tables: the matrices row by row, and one row that describes the model."""
         rows = [(part, i, [float(v) for v in row])
@@ -80,7 +96,8 @@ def score_all(df: DataFrame, models: dict[str, Detector], explain: bool = True,
               suffix: str = "") -> DataFrame:
     """Adds ``<prefix>_score`` and ``<prefix>_explain`` of every model, from one Python pass.
 
-    A failing model fails the job: a default score would read as a normal transaction.
+    A failing model fails the job: a default score would read as a normal transaction. If a part of a model
+    is a table, the rows are written after that pass, numbered, and finished by the model's own joins.
     """
     columns = list(dict.fromkeys(c for m in models.values() for c in m.columns))
     places = {p: [columns.index(c) for c in m.columns] for p, m in models.items()}
@@ -89,6 +106,8 @@ def score_all(df: DataFrame, models: dict[str, Detector], explain: bool = True,
         fields.append(T.StructField(f"{p}_score", T.DoubleType()))
         if explain:
             fields.append(T.StructField(f"{p}_share", T.ArrayType(T.DoubleType())))
+        if models[p].in_table:
+            fields += [T.StructField(f"{p}_{c}", T.ArrayType(T.LongType())) for c in ("trees", "nodes")]
     shipped = df.sparkSession.sparkContext.broadcast(pickle.dumps(models))
 
     @F.pandas_udf(T.StructType(fields))
@@ -98,14 +117,19 @@ def score_all(df: DataFrame, models: dict[str, Detector], explain: bool = True,
             x = block.to_numpy(dtype=float)
             out = {}
             for p, m in local.items():
-                if explain:
+                if m.in_table:
+                    out[f"{p}_score"], shares, out[f"{p}_trees"], out[f"{p}_nodes"] = m.open_block(x[:, places[p]], explain)
+                    out |= {f"{p}_share": list(shares)} if explain else {}
+                elif explain:
                     out[f"{p}_score"], shares = m.explain_block(x[:, places[p]])
                     out[f"{p}_share"] = list(shares)
                 else:
                     out[f"{p}_score"] = m.score_block(x[:, places[p]])
-            yield pd.DataFrame(out)
+            yield pd.DataFrame(out)[[f.name for f in fields]]
 
     scored = df.withColumn("_scores", run(F.struct(*inputs(df, columns, suffix))))
+    if any(m.in_table for m in models.values()):
+        scored = _finished(scored, models, explain, suffix)
     out = {}
     for p, m in models.items():
         out[f"{p}_score"] = F.col(f"_scores.{p}_score")
@@ -113,3 +137,21 @@ def score_all(df: DataFrame, models: dict[str, Detector], explain: bool = True,
             names = F.array(*[F.lit(c) for c in m.columns])
             out[f"{p}_explain"] = F.map_from_arrays(names, F.col(f"_scores.{p}_share"))
     return scored.withColumns(out).drop("_scores")
+
+
+def _finished(scored: DataFrame, models: dict[str, Detector], explain: bool, suffix: str) -> DataFrame:
+    """``scored`` with the ``_scores`` of models in tables taken to their end."""
+    scored = materialize(scored.withColumn("_row", F.monotonically_increasing_id()), "open-rows")
+    scores = {c: F.col(f"_scores.{c}") for c in scored.schema["_scores"].dataType.names}
+    out = scored
+    for p, m in models.items():
+        if not m.in_table:
+            continue
+        rows = scored.select("_row", F.array(*inputs(scored, m.columns, suffix)).alias("x"), scores[f"{p}_score"].alias("length"),
+                             *([scores[f"{p}_share"].alias("weight")] if explain else []),
+                             scores.pop(f"{p}_trees").alias("trees"), scores.pop(f"{p}_nodes").alias("nodes"))
+        ends = m.finished(rows, explain).withColumnsRenamed({"score": f"_{p}_score", "share": f"_{p}_share"})
+        out = out.join(ends, "_row")
+        scores |= {c: F.col(f"_{c}") for c in (f"{p}_score", f"{p}_share") if f"_{c}" in ends.columns}
+    return out.select(*[F.col(f"`{c}`") for c in scored.columns if c not in ("_row", "_scores")],
+                      F.struct(*[c.alias(name) for name, c in scores.items()]).alias("_scores"))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerpulse.models import forest_table
 from ledgerpulse.models.base import Detector, inputs, score_all, share
 from ledgerpulse.operators.quantiles import exact_quantiles
 from ledgerpulse.storage import materialize
@@ -16,7 +17,7 @@ from ledgerpulse.storage import materialize
 AUTO_SAMPLES = 256
 GROWN_ALONE = 65_536      # rows below a node from which on one task grows its subtree
 RANGE = 1 << 40           # hash range that sampling tickets are drawn from
-LEAF = -1
+LEAF, OPEN = -1, -2       # OPEN: the walk goes on in the table of lower nodes
 NODE = "tree int, node bigint, feature int, threshold double, n bigint"
 
 
@@ -68,13 +69,21 @@ def grow(x: np.ndarray, seed: int, tree: int, top: int, limit: int) -> list[tupl
     return nodes
 
 
-def linked(nodes: pd.DataFrame) -> np.ndarray:
-    """One tree's nodes as rows (feature, threshold, left, right, n), children by row number."""
+def linked(nodes: pd.DataFrame, held: int | None = None) -> np.ndarray:
+    """One tree's nodes as rows (feature, threshold, left, right, n), children by row number.
+
+    Splits at depth ``held`` have no children here; they are open and carry their node in place of the left child.
+    """
     nodes = nodes.sort_values("node")
     ids = nodes["node"].to_numpy()
     inner = nodes["feature"].to_numpy() >= 0
     out = np.full((len(nodes), 5), float(LEAF))
     out[:, 0], out[:, 1], out[:, 4] = nodes["feature"], nodes["threshold"], nodes["n"]
+    if held is not None:
+        opened = inner & (ids >= 1 << held)
+        out[opened] = np.column_stack([np.full(opened.sum(), [OPEN]), np.zeros(opened.sum()), ids[opened],
+                                       np.full(opened.sum(), LEAF), np.zeros(opened.sum())])
+        inner &= ~opened
     for side in (0, 1):
         out[inner, 2 + side] = np.searchsorted(ids, 2 * ids[inner] + side)
     return out
@@ -84,17 +93,21 @@ class IsolationForest(Detector):
     """Score above 0 for the ``contamination`` share that is isolated fastest.
 
     Explanation: features met on the paths, weighted by 1 / (depth + 1). The trees are shipped to the
-    scoring tasks, which hold ``max_nodes`` nodes at most; more raise an error, nothing is cut.
+    scoring tasks down to the depth at which all levels together have at most ``max_nodes`` nodes. Lower nodes stay a
+    table, and rows that get there walk on by joins; scores are the same on both ways but for rounding.
     """
 
     name = "if"
 
     def __init__(self, columns=None, n_estimators: int = 100, max_samples: int | float | str = "auto",
-                 contamination: float = 0.001, random_state: int = 42, max_nodes: int = 20_000_000):
+                 contamination: float = 0.001, random_state: int = 42, max_nodes: int = 2_000_000):
         kwargs = {} if columns is None else {"columns": columns}
         super().__init__(**kwargs, n_estimators=n_estimators, max_samples=max_samples,
                          contamination=contamination, random_state=random_state, max_nodes=max_nodes)
         self.trees: list[np.ndarray] = []
+        self.tree_ids: list[int] = []
+        self.held: int | None = None          # depth of the open nodes, None if all nodes are in the arrays
+        self.below: DataFrame | None = None   # table of the nodes below it
         self.samples = 0
         self.offset = 0.0
 
@@ -164,11 +177,12 @@ class IsolationForest(Detector):
         total = rows.count()
         self.samples = self._sample_size(total)
         nodes = materialize(self.tree_nodes(self.samples_per_tree(rows, total)), "forest-nodes")
-        size = nodes.count()
-        if size > self.params["max_nodes"]:
-            raise ValueError(f"the trees have {size} nodes; scoring tasks are set to hold {self.params['max_nodes']}")
-        table = nodes.toPandas()
-        self.trees = [linked(g) for _, g in table.groupby("tree")]
+        self.held = forest_table.held_depth(nodes, self.params["max_nodes"])
+        self.below = None if self.held is None else nodes
+        table = (nodes if self.held is None else nodes.where(F.col("node") < 2 << self.held)).toPandas()   # max_nodes at most
+        grouped = list(table.groupby("tree"))
+        self.tree_ids = [int(tree) for tree, _ in grouped]
+        self.trees = [linked(g, self.held) for _, g in grouped]
         self.offset = 0.0
         raw = materialize(score_all(rows, {"raw": self}, explain=False).select("raw_score"), "forest-scores")
         share_below = self.params["contamination"]
@@ -181,10 +195,11 @@ class IsolationForest(Detector):
         """Depth at which a tree ends."""
         return math.ceil(math.log2(max(self.samples, 2)))
 
-    def _walk(self, x: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
-        """Scores of a block; on request adds 1 / (depth + 1) to ``weight`` at every split passed."""
+    def _lengths(self, x: np.ndarray, weight: np.ndarray | None = None, opened: list | None = None) -> np.ndarray:
+        """Path lengths of a block, summed over the trees; on request adds 1 / (depth + 1) to ``weight`` at every split
+        passed, and (tree, row, node) of the walks that end in open nodes to ``opened``."""
         depth_sum, row = np.zeros(len(x)), np.arange(len(x))
-        for tree in self.trees:
+        for number, tree in enumerate(self.trees):
             feature, left, right = (tree[:, j].astype(int) for j in (0, 2, 3))
             # path length if a walk ends in this node, counted from the node on
             ends = unsuccessful_path(tree[:, 4])
@@ -199,8 +214,46 @@ class IsolationForest(Detector):
                 depth += 1
                 who = who[feature[node[who]] >= 0]
             depth_sum += ends[node]
-        usual = float(unsuccessful_path(np.array([self.samples]))[0]) * len(self.trees)
-        return (2.0 ** (-depth_sum / usual) if usual else np.ones(len(x))) + self.offset
+            if opened is not None:
+                on = np.flatnonzero(feature[node] == OPEN)
+                opened.append((np.full(len(on), self.tree_ids[number]), on, left[node[on]]))
+        return depth_sum
+
+    @property
+    def usual(self) -> float:
+        """Sum over the trees of the path length that scores one half."""
+        return float(unsuccessful_path(np.array([self.samples]))[0]) * len(self.trees)
+
+    def _walk(self, x: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+        if self.in_table:
+            raise ValueError("this forest has nodes outside its arrays; score it with score_all")
+        lengths = self._lengths(x, weight)
+        return (2.0 ** (-lengths / self.usual) if self.usual else np.ones(len(x))) + self.offset
+
+    @property
+    def in_table(self):
+        return self.held is not None
+
+    def open_block(self, x, explain):
+        """Path lengths, weights, and per row the trees and nodes in which its walk is open."""
+        weight, opened = np.zeros(x.shape) if explain else None, []
+        lengths = self._lengths(x, weight, opened)
+        tree, row, node = (np.concatenate(part).astype(np.int64) for part in zip(*opened, strict=True))
+        order = np.argsort(row, kind="stable")
+        cuts = np.searchsorted(row[order], np.arange(1, len(x)))
+        return lengths, weight, np.split(tree[order], cuts), np.split(node[order], cuts)
+
+    def finished(self, rows, explain):
+        width = len(self.columns)
+        open_rows = (rows.select("_row", "x", "trees", F.posexplode("nodes").alias("at", "node"))
+                     .select("_row", "x", F.get("trees", "at").cast("int").alias("tree"), "node"))
+        parts = forest_table.walked(open_rows, self.below, self.held, width, explain)
+        done = forest_table.summed(rows.drop("x", "trees", "nodes"), parts, explain)
+        out = [(F.pow(F.lit(2.0), -F.col("length") / self.usual) + self.offset).alias("score")]
+        if explain:
+            total = F.aggregate("weight", F.lit(0.0), lambda a, w: a + w) + 1e-8
+            out.append(F.transform("weight", lambda w: w / total).alias("share"))
+        return done.select("_row", *out)
 
     def score_block(self, x):
         return self._walk(x)
@@ -210,10 +263,26 @@ class IsolationForest(Detector):
         return self._walk(x, weight), share(weight)
 
     def arrays(self):
-        numbered = [np.column_stack([np.full(len(t), i), t]) for i, t in enumerate(self.trees)]
-        return {"trees": np.vstack(numbered), "fixed": np.array([[self.samples, self.offset]])}
+        ids = self.tree_ids or range(len(self.trees))
+        numbered = [np.column_stack([np.full(len(t), i), t]) for i, t in zip(ids, self.trees, strict=True)]
+        held = LEAF if self.held is None else self.held
+        return {"trees": np.vstack(numbered), "fixed": np.array([[self.samples, self.offset, held]])}
 
     def restore(self, arrays):
         trees = arrays["trees"]
-        self.trees = [trees[trees[:, 0] == i, 1:] for i in np.unique(trees[:, 0])]
-        self.samples, self.offset = int(arrays["fixed"][0, 0]), float(arrays["fixed"][0, 1])
+        self.tree_ids = [int(i) for i in np.unique(trees[:, 0])]
+        self.trees = [trees[trees[:, 0] == i, 1:] for i in self.tree_ids]
+        fixed = arrays["fixed"][0]
+        self.samples, self.offset = int(fixed[0]), float(fixed[1])
+        self.held = int(fixed[2]) if len(fixed) > 2 and fixed[2] >= 0 else None
+
+    def save(self, spark, path):
+        super().save(spark, path)
+        if self.in_table:
+            self.below.write.mode("overwrite").parquet(f"{path}/nodes")
+
+    def load_tables(self, spark, path):
+        self.below = spark.read.parquet(f"{path}/nodes") if self.in_table else None
+
+    def __getstate__(self):
+        return {**self.__dict__, "below": None}   # tasks walk the arrays alone

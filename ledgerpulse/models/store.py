@@ -26,6 +26,7 @@ def load_model(spark: SparkSession, path: str) -> Detector:
     for r in rows:
         parts.setdefault(r["part"], []).append(r["values"])
     model.restore({k: np.array(v) for k, v in parts.items()})
+    model.load_tables(spark, path)
     return model
 
 

@@ -105,8 +105,34 @@ def test_forest_trees_do_not_depend_on_where_they_grow(data, monkeypatch):
     for a, b in zip(alone, fit(), strict=True):
         np.testing.assert_array_equal(a, b)
     assert all(t[0, 4] == 1212 for t in alone)
-    with pytest.raises(ValueError, match="nodes"):
-        IsolationForest(COLS, n_estimators=3, max_nodes=10).fit(data)
+
+
+@pytest.mark.parametrize("held", [2, 40])
+def test_forest_below_its_arrays_is_walked_by_joins(spark, data, tmp_path, held):
+    make = lambda **more: IsolationForest(COLS, n_estimators=4, max_samples=0.3, contamination=0.01, **more).fit(data)
+    whole, cut = make(), make(max_nodes=held)
+    assert not whole.in_table and cut.in_table
+    assert sum(len(t) for t in cut.trees) <= max(held, 4) < sum(len(t) for t in whole.trees)
+    np.testing.assert_allclose(cut.offset, whole.offset, rtol=1e-12)
+    other = SelfOrganizingMap(COLS, x=2, y=2, passes=1).fit(data)
+    both = score_all(data, {"w": whole, "c": cut, "s": other}).orderBy("TransactionID").toPandas()
+    np.testing.assert_allclose(both["c_score"], both["w_score"], rtol=1e-12)
+    for a, b in zip(both["c_explain"], both["w_explain"], strict=True):
+        assert a.keys() == b.keys() and np.allclose(list(a.values()), list(b.values()), rtol=1e-12)
+    assert (both["s_score"] > 0).any()
+
+    ScoringModel(Scaler("none"), {"if": cut}).save(spark, str(tmp_path / "m"))
+    again = ScoringModel.load(spark, str(tmp_path / "m")).transform(data, explain=False).orderBy("TransactionID").toPandas()
+    np.testing.assert_allclose(again["if_score"], both["c_score"], rtol=1e-12)
+    with pytest.raises(ValueError, match="score_all"):
+        cut.score_block(np.zeros((1, 3)))
+
+
+def test_forest_in_a_table_scores_rows_that_repeat_and_an_empty_table(data):
+    forest = IsolationForest(COLS, n_estimators=3, max_nodes=6).fit(data)
+    twice = score_all(data.limit(5).union(data.limit(5)), {"f": forest}, explain=False)
+    assert twice.count() == 10 and twice.select("f_score").distinct().count() <= 5
+    assert score_all(data.where("false"), {"f": forest}).count() == 0
 
 
 def test_forest_samples_from_a_large_table(spark):
