@@ -6,35 +6,35 @@ import pandas as pd
 from ledgerpulse.schema import CAT_COLS, ENTROPY_COLS, EPS, FREQ_COLS, WINDOW_ROWS
 
 
-def _frames(values: np.ndarray, filler) -> np.ndarray:
-    """One row per value: the value (last column) and the six before it."""
-    padded = np.concatenate([np.full(WINDOW_ROWS - 1, filler, dtype=values.dtype), values])
-    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW_ROWS)
+def _frames(values: np.ndarray, filler, window: int) -> np.ndarray:
+    """One row per value: the value (last column) and those before it in its window."""
+    padded = np.concatenate([np.full(window - 1, filler, dtype=values.dtype), values])
+    return np.lib.stride_tricks.sliding_window_view(padded, window)
 
 
 CHUNK = 100_000
 
 
 def trailing_rows(seconds: np.ndarray, logs: np.ndarray, cats: list[np.ndarray],
-                  hours: np.ndarray) -> dict[str, np.ndarray]:
-    """Feature columns for every row; earlier rows given first serve as context.
+                  hours: np.ndarray, window: int = WINDOW_ROWS) -> dict[str, np.ndarray]:
+    """Feature columns for every row over its last ``window`` rows; earlier rows given first serve as context.
 
     Works through long histories in chunks that overlap by one window, to bound its arrays.
     """
     parts = []
     for start in range(0, len(seconds), CHUNK):
-        context = min(start, WINDOW_ROWS)
+        context = min(start, window)
         at = slice(start - context, start + CHUNK)
-        part = _trailing_block(seconds[at], logs[at], [c[at] for c in cats], hours[at])
+        part = _trailing_block(seconds[at], logs[at], [c[at] for c in cats], hours[at], window)
         parts.append({name: values[context:] for name, values in part.items()})
     return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
 
 
-def _trailing_block(seconds, logs, cats, hours) -> dict[str, np.ndarray]:
+def _trailing_block(seconds, logs, cats, hours, window: int) -> dict[str, np.ndarray]:
     n = len(seconds)
-    size = np.minimum(np.arange(1, n + 1), WINDOW_ROWS).astype(float)
-    present = np.arange(WINDOW_ROWS)[None, :] >= (WINDOW_ROWS - size)[:, None]
-    frame = np.where(present, _frames(logs, 0.0), 0.0)
+    size = np.minimum(np.arange(1, n + 1), window).astype(float)
+    present = np.arange(window)[None, :] >= (window - size)[:, None]
+    frame = np.where(present, _frames(logs, 0.0, window), 0.0)
     mean = frame.sum(axis=1) / size
     off = np.where(present, frame - mean[:, None], 0.0)
     std = np.sqrt((off ** 2).sum(axis=1) / size)
@@ -47,8 +47,8 @@ def _trailing_block(seconds, logs, cats, hours) -> dict[str, np.ndarray]:
     }
     for values, freq, entropy in zip(cats, FREQ_COLS, ENTROPY_COLS):
         codes = pd.factorize(values, use_na_sentinel=False)[0].astype(np.int64)
-        window = _frames(codes, -1)
-        equal = window[:, :, None] == window[:, None, :]
+        frames = _frames(codes, -1, window)
+        equal = frames[:, :, None] == frames[:, None, :]
         count = np.where(present, (equal & present[:, None, :]).sum(axis=2), 1)
         distinct = np.rint(np.where(present, 1.0 / count, 0.0).sum(axis=1))
         raw = np.maximum(np.log(size) - np.where(present, np.log(count), 0.0).sum(axis=1) / size, 0.0)

@@ -57,7 +57,7 @@ def _features(profile: str) -> str:
     return TXN + ",\n" + {"trailing": _trailing, "expanding": _expanding, "value_frame": _value_frame}[profile]()
 
 
-def _trailing() -> str:
+def _trailing(window: int = 7) -> str:
     shares = ", ".join(
         f"count(CASE WHEN b.{c} IS NOT DISTINCT FROM a.{c} THEN 1 END) / CAST(count(*) AS DOUBLE) AS {f}"
         for c, f in zip(CAT_COLS, FREQ_COLS))
@@ -68,9 +68,9 @@ def _trailing() -> str:
 logged AS (SELECT *, ln(greatest(TransactionAmount, 1e-6)) AS LogAmount, epoch_us(Time) // 1000000 AS s FROM txn),
 moved AS (SELECT *, row_number() OVER o AS rn, avg(LogAmount) OVER w AS MovingAvg,
     stddev_pop(LogAmount) OVER w AS MovingStd, s - lag(s) OVER o AS gap, {HOURS}, {entropies}
-  FROM logged {WINDOWS}),
+  FROM logged {WINDOWS.replace("6 PRECEDING", f"{window - 1} PRECEDING")}),
 shares AS (SELECT a.TransactionID, {shares} FROM moved a JOIN moved b
-  ON a.AccountNumber = b.AccountNumber AND b.rn BETWEEN a.rn - 6 AND a.rn GROUP BY a.TransactionID),
+  ON a.AccountNumber = b.AccountNumber AND b.rn BETWEEN a.rn - {window - 1} AND a.rn GROUP BY a.TransactionID),
 feat AS (SELECT moved.*, shares.* EXCLUDE (TransactionID),
     (LogAmount - MovingAvg) / (MovingStd + 1e-6) AS AmountZScore,
     CASE WHEN rn = 1 THEN 0.0 ELSE ln(greatest(gap / 3600.0, 1e-6)) END AS LogTimeDiff
@@ -355,6 +355,7 @@ ORACLES["explain_fact"] = f"WITH {FEAT.strip()}\n" + "\nUNION ALL ".join(
 # --- streams and tables -------------------------------------------------------------------
 
 ORACLES["stream_features_trailing"] = ORACLES["features_trailing"]
+ORACLES["stream_features_window"] = ORACLES["features_trailing"].replace(_trailing().strip(), _trailing(3).strip())
 ORACLES["stream_memoryless"] = ORACLES["features_value_frame"]
 ORACLES["stream_medallion"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", {n} * count(*) AS rows, count(*) AS keys FROM events" for t, n in (

@@ -46,18 +46,28 @@ class Feed:
         return read_json_files(self.spark, self.path, FILES)
 
 
-@query
-def stream_features_trailing(spark, sf_dir):
-    """Four micro-batches, the stream restarted from its checkpoint before each."""
+def _streamed(spark, sf_dir, parts: int, **options) -> DataFrame:
+    """Features of as many micro-batches, the stream restarted from its checkpoint before each."""
     feed, out, checkpoint = Feed(spark), scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
-    for part in time_parts(read_events(spark, sf_dir), 4):
+    for part in time_parts(read_events(spark, sf_dir), parts):
         feed.add(part)
-        stream = stateful_features(valid_events(parse_json(feed.stream())))
+        stream = stateful_features(valid_events(parse_json(feed.stream())), **options)
         (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(**ONCE).start().awaitTermination())
     return spark.read.parquet(out).select(ID, KEY, "Time", *ENGINEERED_COLS)
 
 
+@query
+def stream_features_trailing(spark, sf_dir):
+    return _streamed(spark, sf_dir, 4)
+
+
+@query
+def stream_features_window(spark, sf_dir):
+    """The same over each account's last three rows."""
+    return _streamed(spark, sf_dir, 2, window=3)
+
+
 def _model(spark, sf_dir) -> ScoringModel:
     df = materialize(features(read_events(spark, sf_dir), "trailing"), "engineered")
     return ScoringModel(Scaler("global_standard"), {"som": SelfOrganizingMap(**MAP)}).fit(df)

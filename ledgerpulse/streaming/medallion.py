@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerpulse.models.store import ScoringModel
 from ledgerpulse.operators import dims, facts
 from ledgerpulse.operators.features import features
-from ledgerpulse.schema import ANOMALY_THRESHOLD, CRITICAL_THRESHOLD
+from ledgerpulse.schema import ANOMALY_THRESHOLD, CRITICAL_THRESHOLD, WINDOW_ROWS
 from ledgerpulse.sources.feeds import CORRUPT, parse_json, rejected, valid_events
 from ledgerpulse.sources.tables import append_rows, overwrite_table, read_table
 from ledgerpulse.storage import owned
@@ -56,9 +56,10 @@ def medallion_sink(root: str, model: ScoringModel, prefix: str,
 
 
 def start_stateful(messages: DataFrame, root: str, checkpoint: str, model: ScoringModel, prefix: str,
-                   trigger: dict | None = None, ttl_ms: int | None = None, **options) -> StreamingQuery:
+                   trigger: dict | None = None, ttl_ms: int | None = None, window: int = WINDOW_ROWS,
+                   **options) -> StreamingQuery:
     """Messages -> features with memory across micro-batches -> tables; see ``start_quarantine`` for the rest."""
-    engineered = stateful_features(valid_events(parse_json(messages)), ttl_ms)
+    engineered = stateful_features(valid_events(parse_json(messages)), ttl_ms, window)
     return _start(engineered, medallion_sink(root, model, prefix, **options), checkpoint, trigger)
 
 

@@ -1,4 +1,4 @@
-"""Trailing features on a stream: each account's last 7 rows live in Spark's state store."""
+"""Trailing features on a stream: each account's last rows live in Spark's state store."""
 
 from collections.abc import Iterator
 
@@ -21,14 +21,17 @@ OUTPUT_SCHEMA = T.StructType(
     [*TXN_SCHEMA.fields, *[T.StructField(c, T.DoubleType()) for c in ENGINEERED_COLS]])
 
 
-def stateful_features(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """One output row per input row, with features over the account's last 7 rows.
+def stateful_features(stream: DataFrame, ttl_ms: int | None = None, window: int = WINDOW_ROWS) -> DataFrame:
+    """One output row per input row, with features over the account's last ``window`` rows.
 
     Rows of one micro-batch are ordered by (Time, TransactionID); a row that arrives in a later
     micro-batch counts as newer, and its negative gap is clamped. A function call holds one
     account's rows of one micro-batch, so the source's per-trigger limit bounds its memory.
-    With ``ttl_ms`` accounts that stay silent that long are forgotten.
+    With ``ttl_ms`` accounts that stay silent that long are forgotten. A checkpoint belongs to one window: restarted with a larger
+    one, it first has the rows that the smaller one kept.
     """
+    if window < 1:
+        raise ValueError("a window has at least one row")
     timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
 
     def advance(key, blocks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -50,9 +53,9 @@ def stateful_features(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame
             seconds = np.concatenate([np.array(kept[0], dtype=np.int64), seconds])
             logs = np.concatenate([np.array(kept[1], dtype=float), logs])
             cats = [np.concatenate([np.array(k, dtype=object), c]) for k, c in zip(kept[2:], cats)]
-        features = trailing_rows(seconds, logs, cats, seconds // 3600 % 24)
-        state.update((seconds[-WINDOW_ROWS:].tolist(), logs[-WINDOW_ROWS:].tolist(),
-                      *[[None if pd.isna(v) else v for v in c[-WINDOW_ROWS:]] for c in cats]))
+        features = trailing_rows(seconds, logs, cats, seconds // 3600 % 24, window)
+        state.update((seconds[-window:].tolist(), logs[-window:].tolist(),
+                      *[[None if pd.isna(v) else v for v in c[-window:]] for c in cats]))
         if ttl_ms:
             state.setTimeoutDuration(ttl_ms)
         # one constructor call: adding columns one by one costs more than computing them

@@ -3,6 +3,7 @@ import math
 from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,27 @@ def test_state_keeps_seven_rows(spark, txn, monkeypatch):
     assert {len(v) for v in state.get} == {7}
 
 
+@pytest.mark.parametrize("window", [1, 2, 9])
+def test_features_and_state_of_other_windows(spark, txn, monkeypatch, window):
+    seen = {}
+    monkeypatch.setattr("pyspark.sql.GroupedData.applyInPandasWithState", lambda self, fn, *a: seen.update(fn=fn))
+    amounts, cities = [float(2 ** (k % 5)) for k in range(20)], ["a", "b", "c"] * 6 + ["a", "a"]
+    rows = txn([{"TransactionAmount": a, "City": c} for a, c in zip(amounts, cities)]).toPandas()
+    stateful_features(txn([{}]), window=window)
+    state, got = State(exists=False, hasTimedOut=False), []
+    for part in (rows[:3], rows[3:11], rows[11:]):
+        got += list(seen["fn"](("A",), iter([part[:2], part[2:]]), state))
+        state.exists = True
+    got = pd.concat(got).sort_values("TransactionID").reset_index()
+    assert {len(v) for v in state.get} == {window}
+    for i, row in got.iterrows():
+        logs, held = np.log(amounts[max(0, i - window + 1):i + 1]), cities[max(0, i - window + 1):i + 1]
+        assert row["MovingAvg"] == pytest.approx(logs.mean()) and row["MovingStd"] == pytest.approx(logs.std())
+        assert row["CityFreq"] == pytest.approx(held.count(cities[i]) / len(held))
+    with pytest.raises(ValueError, match="window"):
+        stateful_features(txn([{}]), window=0)
+
+
 def test_chunks_do_not_change_anything(monkeypatch):
     rng = np.random.default_rng(0)
     args = (np.sort(rng.integers(0, 10 ** 6, 500)), rng.normal(size=500),
