@@ -14,7 +14,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerpulse.operators.slices import CARRIED, HOT_ROWS, Keyed, is_carried, slice_accounts
+from ledgerpulse.operators.slices import (HOT_ROWS, NOTHING, RANKS, ROWS, VALUES, Keyed, in_front, is_carried,
+                                          is_head, n_log_n, slice_accounts)
 from ledgerpulse.schema import (CAT_COLS, ENGINEERED_COLS, ENTROPY_COLS, EPS, FREQ_COLS,
                                 WINDOW_ROWS)
 
@@ -29,11 +30,15 @@ def features(txn: DataFrame, profile: str = "trailing", keep: list[str] | None =
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}, expected one of {PROFILES}")
     wanted = ENGINEERED_COLS if keep is None else keep
-    counted = profile != "trailing" and any(c in FREQ_COLS + ENTROPY_COLS for c in wanted)
+    totals = NOTHING
+    if profile != "trailing":
+        counted = any(c in FREQ_COLS + ENTROPY_COLS for c in wanted)
+        ranked = profile == "value_frame" and any(c in ENTROPY_COLS for c in wanted)
+        totals = RANKS if ranked else VALUES if counted else ROWS
     inputs = txn.columns
     # columns of the row alone need no look at the accounts: their unused windows are pruned
     keyed = (Keyed(txn) if set(wanted) <= ROW_COLS
-             else slice_accounts(txn, LOOK_BACK, counted, max_rows))
+             else slice_accounts(txn, LOOK_BACK, totals, max_rows))
     build = {"trailing": _trailing, "expanding": _expanding, "value_frame": _value_frame}[profile]
     return keyed.own(build(keyed, wanted)).select(*inputs, *wanted)
 
@@ -158,22 +163,21 @@ def _running_counts(keyed: Keyed, df: DataFrame, ranks: bool) -> DataFrame:
     for i, c in enumerate(CAT_COLS):
         same = keyed.window(c)
         if keyed.sliced:
-            rows = F.when(F.col("_kind") == CARRIED, F.when(is_carried(i), F.col("_n")).otherwise(0))
+            rows = F.when(in_front(), F.when(is_carried(i), F.col("_n")).otherwise(0))
             upto = same.rowsBetween(Window.unboundedPreceding, Window.currentRow)
             df = df.withColumn(f"_k{i}", F.sum(rows.otherwise(1)).over(upto))
         else:
             df = df.withColumn(f"_k{i}", F.row_number().over(same))
-        if ranks and keyed.sliced:
-            foreign = (F.col("_kind") == CARRIED) & (F.col("_cat") != i)
-            by_value = Window.partitionBy(*keyed.part).orderBy(foreign, c)
-            rank = F.dense_rank().over(by_value)
-            df = df.withColumn(f"_d{i}", F.when(F.col("_kind") != CARRIED, rank))
-        elif ranks:
+        if ranks:
             # counting first rows in (value, time) order reuses the sort of the count above
             by_value = (Window.partitionBy(*keyed.part).orderBy(c, *keyed.order)
                         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            first = F.when(F.col(f"_k{i}") == 1, 1).otherwise(0)
-            df = df.withColumn(f"_d{i}", F.sum(first).over(by_value))
+            first = F.col(f"_k{i}") == 1
+            rank = F.sum(F.when(first & ~in_front() if keyed.sliced else first, 1).otherwise(0)).over(by_value)
+            if keyed.sliced:
+                # in a slice the value's cell, before its rows, knows the rank among all values of the account
+                rank = F.when(~in_front(), F.coalesce(F.max(F.when(is_carried(i), F.col("_rank"))).over(upto), rank))
+            df = df.withColumn(f"_d{i}", rank)
     return df
 
 
@@ -181,8 +185,7 @@ def running_rows(keyed: Keyed) -> Column:
     """Rows of the account so far."""
     if not keyed.sliced:
         return F.row_number().over(keyed.window())
-    # the totals of any one category add up to all earlier rows
-    rows = (F.when(is_carried(0), F.col("_n")).when(F.col("_kind") == CARRIED, 0).otherwise(1))
+    rows = F.when(is_head(0), F.col("_n")).when(in_front(), 0).otherwise(1)
     return F.sum(rows).over(
         keyed.window().rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
@@ -217,23 +220,17 @@ def _expanding(keyed: Keyed, wanted: list[str]) -> DataFrame:
     return df
 
 
-def _n_log_n(n: Column) -> Column:
-    return F.when(n > 0, n * F.log(n)).otherwise(0.0)
-
-
 def _expanding_entropy(keyed: Keyed, df: DataFrame) -> DataFrame:
     """H = ln N - (sum of k ln k over the values) / N, with the sum built up row by row."""
     upto = keyed.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = {}
     for i in range(len(CAT_COLS)):
         k = F.col(f"_k{i}")
-        gain = _n_log_n(k) - _n_log_n(k - 1)
+        gain = n_log_n(k) - n_log_n(k - 1)
         new = F.when(k == 1, 1).otherwise(0)
         if keyed.sliced:
-            earlier = F.col("_n")
-            carried = F.col("_kind") == CARRIED
-            gain = F.when(is_carried(i), _n_log_n(earlier)).when(carried, 0.0).otherwise(gain)
-            new = (F.when(is_carried(i) & (earlier > 0), 1).when(carried, 0).otherwise(new))
+            gain = F.when(is_head(i), F.col("_w")).when(in_front(), 0.0).otherwise(gain)
+            new = F.when(is_head(i), F.col("_u")).when(in_front(), 0).otherwise(new)
         sums[f"_s{i}"] = F.sum(gain).over(upto)
         sums[f"_u{i}"] = F.sum(new).over(upto)
     df = df.withColumns(sums)
@@ -280,7 +277,7 @@ def _value_frame_entropy(keyed: Keyed, df: DataFrame, roll) -> DataFrame:
     for i, freq in enumerate(FREQ_COLS):
         p = F.col(freq)
         held = F.least(f"_k{i}", F.lit(WINDOW_ROWS)).cast("double")
-        real = F.col("_kind") != CARRIED if keyed.sliced else F.lit(True)
+        real = ~in_front() if keyed.sliced else F.lit(True)
         terms[f"_t{i}"] = F.when(real, F.try_divide(p * F.log(p), held))
     df = df.withColumns(terms)
     df = df.withColumns({f"_h{i}": F.sum(f"_t{i}").over(roll) for i in range(len(CAT_COLS))}

@@ -4,14 +4,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerpulse.functions.clean import fill_zero
-from ledgerpulse.operators.slices import HOT_ROWS, slice_accounts
+from ledgerpulse.operators.slices import HOT_ROWS, ROWS, slice_accounts
 from ledgerpulse.operators.features import running_rows
 from ledgerpulse.schema import KEY
 
 
 def rank_pct(txn: DataFrame, max_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``rank``: row number within the account by time, divided by the account's rows."""
-    keyed = slice_accounts(txn, 0, True, max_rows)
+    keyed = slice_accounts(txn, 0, ROWS, max_rows)
     rows = F.count(F.lit(1)).over(Window.partitionBy(*keyed.part))
     df = keyed.df.withColumns({"_upto": running_rows(keyed), "_rows": rows})
     if keyed.sliced:

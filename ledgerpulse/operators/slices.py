@@ -5,8 +5,10 @@ A window partitioned by account puts every row of that account in one task. Acco
 (account, slice). What a window needs from before its slice is put in front of it:
 
 * the last rows before the slice (``HALO`` copies), enough for the row frames and ``lag``;
-* per category value, how many rows came before those (``CARRIED`` totals), for running counts.
+* per category value that the slice or those copies hold, how many rows came before (``CARRIED`` cells);
+* per category, what all earlier values add up to (``HEAD``): rows, sum of n ln n, distinct values.
 
+So the rows put in front of slices grow with the (value, slice) cells that exist, not with values times slices.
 Every other account keeps one plain window; with no large account the plan has no extra step.
 """
 
@@ -16,12 +18,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerpulse.operators.prefix import running_totals
 from ledgerpulse.schema import CAT_COLS, KEY, ORDER
 from ledgerpulse.storage import materialize
 
 HOT_ROWS = 2_000_000          # rows of one account a single window task may hold
 BROADCAST_ROWS = 1_000_000    # rows of a key list that may be broadcast
-CARRIED, HALO, OWN = 0, 1, 2
+HEAD, CARRIED, HALO, OWN = 0, 1, 2, 3
+# what a profile needs of the rows before a slice: nothing, their number, counts of values, and ranks of values
+NOTHING, ROWS, VALUES, RANKS = range(4)
+EXTRA = {"_cat": "int", "_n": "long", "_w": "double", "_u": "long", "_rank": "long"}
 
 
 @dataclass
@@ -77,7 +83,7 @@ def split_hot(df: DataFrame, key: str, hot: HotKeys) -> tuple[DataFrame, DataFra
     return df.join(keys, same, "left_semi"), df.join(keys, same, "left_anti")
 
 
-def slice_accounts(txn: DataFrame, halo: int, totals: bool, max_rows: int = HOT_ROWS) -> Keyed:
+def slice_accounts(txn: DataFrame, halo: int, totals: int, max_rows: int = HOT_ROWS) -> Keyed:
     hot = hot_keys(txn, KEY, max_rows)
     if hot is None:
         return Keyed(txn)
@@ -91,10 +97,11 @@ def slice_accounts(txn: DataFrame, halo: int, totals: bool, max_rows: int = HOT_
     rows = (cold_rows.withColumns({"_slice": F.lit(-1), "_kind": F.lit(OWN)})
             .unionByName(ranged.withColumn("_kind", F.lit(OWN)))
             .unionByName(before.withColumn("_kind", F.lit(HALO))))
-    if totals:
-        rows = rows.unionByName(_totals_before(ranged, before), allowMissingColumns=True)
-    else:
-        rows = rows.withColumns({"_cat": F.lit(None).cast("int"), "_n": F.lit(None).cast("long")})
+    if totals == ROWS:
+        rows = rows.unionByName(_rows_total(ranged, before), allowMissingColumns=True)
+    elif totals:
+        rows = rows.unionByName(_totals_before(ranged, before, totals == RANKS), allowMissingColumns=True)
+    rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in EXTRA.items() if c not in rows.columns})
     # carried totals come before every row of their slice
     rows = rows.withColumn("_follows", F.col("_kind") > CARRIED)
     return Keyed(rows, [KEY, "_slice"], ["_follows", *ORDER], hot)
@@ -123,29 +130,61 @@ def _category_values(df: DataFrame) -> DataFrame:
     return df.select(KEY, "_slice", F.inline(F.array(*pairs)))
 
 
-def _totals_before(ranged: DataFrame, before: DataFrame) -> DataFrame:
-    """For each (account, slice, category value): rows of the account before the slice's halo.
+def _rows_total(ranged: DataFrame, before: DataFrame) -> DataFrame:
+    """For each (account, slice) the number of the account's rows before the slice's halo."""
+    counts = (ranged.select(KEY, "_slice", F.lit(1).alias("_here"), F.lit(0).alias("_halo"))
+              .unionByName(before.select(KEY, "_slice", F.lit(0).alias("_here"), F.lit(1).alias("_halo")))
+              .groupBy(KEY, "_slice").agg(F.sum("_here").alias("_here"), F.sum("_halo").alias("_halo")))
+    return counts.select(KEY, "_slice", F.lit(HEAD).alias("_kind"), F.lit(0).alias("_cat"),
+                         (_sum_before("_here", KEY) - F.col("_halo")).alias("_n"))
+
+
+def _sum_before(value: str, *by: str) -> Column:
+    """Sum of ``value`` over the earlier slices of the same account (and category, and value)."""
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+
+
+def n_log_n(n: Column) -> Column:
+    return F.when(n > 0, n * F.log(n)).otherwise(0.0)
+
 
-    Values met only later are listed with 0, so that ranks over the values are complete.
+def _totals_before(ranged: DataFrame, before: DataFrame, ranks: bool) -> DataFrame:
+    """Heads and cells of every slice: what came before it, less the halo rows, which are counted as rows.
+
+    A cell is a value that the slice or its halo holds, with its earlier rows. All other earlier values matter
+    only in sum: each cell adds its step of n ln n, and of distinct values, to the heads of the later slices.
     """
     cell = [KEY, "_slice", "_cat", "_value"]
-    counts = materialize(
-        _category_values(ranged).groupBy(*cell).agg(F.count(F.lit(1)).alias("_here")),
-        "slice-counts")
-    in_halo = _category_values(before).groupBy(*cell).agg(F.count(F.lit(1)).alias("_halo"))
-    slices = counts.select(F.col(KEY).alias("_key"), "_slice").distinct()
-    values = counts.select(KEY, "_cat", "_value").distinct()
-    grid = (slices.join(values, F.col("_key").eqNullSafe(F.col(KEY)))
-            .select(*cell, F.lit(0).cast("long").alias("_here")))
-    cells = (grid.unionByName(counts).withColumn("_halo", F.lit(0).cast("long"))
-             .unionByName(in_halo.withColumn("_here", F.lit(0).cast("long")))
-             .groupBy(*cell).agg(F.sum("_here").alias("_here"), F.sum("_halo").alias("_halo")))
-    earlier = (Window.partitionBy(KEY, "_cat", "_value").orderBy("_slice")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    total = F.coalesce(F.sum("_here").over(earlier), F.lit(0)) - F.col("_halo")
-    return cells.withColumn("_n", total).select(
-        KEY, "_slice", F.lit(CARRIED).alias("_kind"), "_cat", "_n",
-        *[F.when(F.col("_cat") == i, F.col("_value")).alias(c) for i, c in enumerate(CAT_COLS)])
+    one, none = F.lit(1), F.lit(0)
+    held = (_category_values(ranged).withColumns({"_here": one, "_halo": none})
+            .unionByName(_category_values(before).withColumns({"_here": none, "_halo": one}))
+            .groupBy(*cell).agg(F.sum("_here").alias("_here"), F.sum("_halo").alias("_halo")))
+    cells = materialize(held.withColumn("_prior", _sum_before("_here", KEY, "_cat", "_value")), "slice-cells")
+    prior, here, halo = F.col("_prior"), F.col("_here"), F.col("_halo")
+    steps = cells.groupBy(KEY, "_slice", "_cat").agg(
+        F.sum("_here").alias("_rows"), F.sum(n_log_n(prior + here) - n_log_n(prior)).alias("_gain"),
+        F.count_if((prior == 0) & (here > 0)).alias("_new"), F.sum("_halo").alias("_halo"),
+        F.sum(n_log_n(prior) - n_log_n(prior - halo)).alias("_back"),
+        F.count_if((halo > 0) & (prior == halo)).alias("_old"))
+    heads = steps.select(
+        KEY, "_slice", F.lit(HEAD).alias("_kind"), "_cat",
+        (_sum_before("_rows", KEY, "_cat") - F.col("_halo")).alias("_n"),
+        (_sum_before("_gain", KEY, "_cat") - F.col("_back")).alias("_w"),
+        (_sum_before("_new", KEY, "_cat") - F.col("_old")).alias("_u"))
+    if ranks:
+        values = cells.select(KEY, "_cat", "_value").distinct().withColumn("_rank", F.lit(1).cast("long"))
+        ranked = running_totals(values, [KEY, "_cat"], ["_value"], ["_rank"], "slice-values").select(
+            F.col(KEY).alias("_r_key"), F.col("_cat").alias("_r_cat"), F.col("_value").alias("_r_value"), "_rank_upto")
+        same = (F.col(KEY).eqNullSafe(F.col("_r_key")) & (F.col("_cat") == F.col("_r_cat"))
+                & F.col("_value").eqNullSafe(F.col("_r_value")))
+        cells = cells.join(ranked, same).withColumn("_rank", F.col("_rank_upto"))
+    else:
+        cells = cells.filter(prior > halo).withColumn("_rank", F.lit(None).cast("long"))
+    return cells.select(
+        KEY, "_slice", F.lit(CARRIED).alias("_kind"), "_cat", (prior - halo).alias("_n"), "_rank",
+        *[F.when(F.col("_cat") == i, F.col("_value")).alias(c) for i, c in enumerate(CAT_COLS)]).unionByName(
+        heads, allowMissingColumns=True)
 
 
 def attach(rows: DataFrame, per_key: DataFrame, key: str, how: str = "left",
@@ -168,3 +207,12 @@ def attach(rows: DataFrame, per_key: DataFrame, key: str, how: str = "left",
 
 def is_carried(category: int) -> Column:
     return (F.col("_kind") == CARRIED) & (F.col("_cat") == category)
+
+
+def is_head(category: int) -> Column:
+    return (F.col("_kind") == HEAD) & (F.col("_cat") == category)
+
+
+def in_front() -> Column:
+    """True of heads and cells, which are no rows of the account."""
+    return F.col("_kind") <= CARRIED

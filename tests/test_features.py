@@ -7,8 +7,8 @@ import pytest
 from conftest import SF_DIR, by_id
 from ledgerpulse.operators.features import PROFILES, features
 from ledgerpulse.operators.ranking import rank_pct, time_split
-from ledgerpulse.operators.slices import attach, hot_keys
-from ledgerpulse.schema import ENGINEERED_COLS, KEY
+from ledgerpulse.operators.slices import CARRIED, RANKS, attach, hot_keys, in_front, slice_accounts
+from ledgerpulse.schema import CAT_COLS, ENGINEERED_COLS, KEY
 from ledgerpulse.sources.events import read_events
 from pyspark.sql import functions as F
 
@@ -137,6 +137,21 @@ def test_sliced_accounts_equal_plain_windows(skewed, profile, max_rows):
         np.testing.assert_allclose(sliced[c].astype(float), plain[c].astype(float), rtol=0, atol=1e-12)
 
 
+def test_what_stands_before_slices_grows_with_the_cells_that_exist(txn):
+    """An account with a city for every row: one cell a row, not one for each city and slice."""
+    rows = txn([{"City": f"{k:05d}"} for k in range(600)])
+    keyed = slice_accounts(rows, 6, RANKS, max_rows=50)
+    front = keyed.df.where(in_front()).groupBy("_kind", "_cat").count().collect()
+    cells = sum(r["count"] for r in front if r["_kind"] == CARRIED and CAT_COLS[r["_cat"]] == "City")
+    slices = keyed.df.select("_slice").distinct().count()
+    assert slices > 10 and cells <= 600 + 6 * slices
+    for profile in ("expanding", "value_frame"):
+        plain = features(rows, profile).toPandas().set_index("TransactionID").sort_index()
+        sliced = features(rows, profile, max_rows=50).toPandas().set_index("TransactionID").sort_index()
+        for c in ENGINEERED_COLS:
+            np.testing.assert_allclose(sliced[c].astype(float), plain[c].astype(float), rtol=0, atol=1e-12)
+
+
 def test_rank_and_split_of_sliced_accounts(skewed):
     plain = by_id(rank_pct(skewed).select("TransactionID", "rank"))
     assert by_id(rank_pct(skewed, max_rows=50).select("TransactionID", "rank")) == plain
