@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerpulse.operators.stats import latest_row
 from ledgerpulse.schema import KEY, ORDER
 
 PROFILE_COLS = ["CardNumber", "Age", "Gender", "Bank", "CardType"]
+PLACE_COLS = ["MerchandGroup", "Country2", "City2"]
 
 
 def time_dim(spark: SparkSession, first_year: int, last_year: int | None = None) -> DataFrame:
@@ -30,21 +30,27 @@ def time_dim_of(txn: DataFrame) -> DataFrame:
     return time_dim(txn.sparkSession, first, last)
 
 
-def client_dim(silver: DataFrame) -> DataFrame:
-    """Latest profile, mean amount and usual channel per account, from one scan.
-
-    Grouping by (account, channel) first gives the channel counts, and everything else merges
-    from those partial rows.
-    """
-    newest = F.struct(*ORDER)
+def client_state(rows: DataFrame) -> DataFrame:
+    """Per (account, channel) what the client dimension needs; the states of two batches merge to that of both."""
     # the decimal part of a sum does not depend on the rows' order; what decimals cannot hold is added apart
     exact = F.expr("try_cast(TransactionAmount AS DECIMAL(28, 8))")
     rest = F.col("TransactionAmount") - F.coalesce(exact.cast("double"), F.lit(0.0))
-    parts = silver.groupBy(KEY, "Channel").agg(
+    return rows.groupBy(KEY, "Channel").agg(
         F.count(F.lit(1)).alias("n"), F.sum(exact).alias("amount"), F.sum(rest).alias("rest"),
         F.count("TransactionAmount").alias("amounts"),
-        F.max_by(F.struct(*PROFILE_COLS), newest).alias("profile"), F.max(newest).alias("newest"))
-    return (parts.groupBy(KEY)
+        F.max_by(F.struct(*PROFILE_COLS), F.struct(*ORDER)).alias("profile"), F.max(F.struct(*ORDER)).alias("newest"))
+
+
+def merge_client_states(states: DataFrame) -> DataFrame:
+    # a sum of decimals has ten digits more than its input; the state keeps 38 in all
+    amount = F.sum("amount").cast("decimal(38, 8)").alias("amount")
+    return states.groupBy(KEY, "Channel").agg(
+        F.sum("n").alias("n"), amount, F.sum("rest").alias("rest"), F.sum("amounts").alias("amounts"),
+        F.max_by("profile", "newest").alias("profile"), F.max("newest").alias("newest"))
+
+
+def client_dim_of(states: DataFrame) -> DataFrame:
+    return (states.groupBy(KEY)
             .agg(F.max_by("profile", "newest").alias("profile"),
                  F.try_divide(F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)) + F.sum("rest"),
                               F.sum("amounts")).alias("AvgTxnAmount"),
@@ -52,8 +58,31 @@ def client_dim(silver: DataFrame) -> DataFrame:
             .select(KEY, *[f"profile.{c}" for c in PROFILE_COLS], "AvgTxnAmount", "UsualChannel"))
 
 
+def client_dim(silver: DataFrame) -> DataFrame:
+    """Latest profile, mean amount and usual channel per account, from one scan.
+
+    Grouping by (account, channel) first gives the channel counts, and everything else merges
+    from those partial rows.
+    """
+    return client_dim_of(client_state(silver))
+
+
+def merchand_state(rows: DataFrame) -> DataFrame:
+    """Per merchant the newest row's group and place, with its time and id."""
+    return rows.groupBy("MerchandCode").agg(
+        F.max_by(F.struct(*PLACE_COLS), F.struct(*ORDER)).alias("place"), F.max(F.struct(*ORDER)).alias("newest"))
+
+
+def merge_merchand_states(states: DataFrame) -> DataFrame:
+    return states.groupBy("MerchandCode").agg(
+        F.max_by("place", "newest").alias("place"), F.max("newest").alias("newest"))
+
+
+def merchand_dim_of(states: DataFrame) -> DataFrame:
+    return states.select("MerchandCode", F.col("place.MerchandGroup").alias("MerchandGroup"),
+                         F.col("place.Country2").alias("Country"), F.col("place.City2").alias("City"))
+
+
 def merchand_dim(silver: DataFrame) -> DataFrame:
     """Latest group and place per merchant."""
-    latest = latest_row(silver, "MerchandCode", ["MerchandGroup", "Country2", "City2"])
-    return latest.select("MerchandCode", "MerchandGroup", F.col("Country2").alias("Country"),
-                         F.col("City2").alias("City"))
+    return merchand_dim_of(merchand_state(silver))

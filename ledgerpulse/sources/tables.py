@@ -8,6 +8,7 @@ from ledgerpulse.schema import TABLES
 from ledgerpulse.storage import delete_folder
 
 BATCH = "batch_id"
+INSIDE = "_batches"      # file that names the batches of a compacted folder; readers of Parquet pass over it
 OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -93,7 +94,11 @@ def compact_day(spark: SparkSession, root: str, table: str, day: str, batch_id:
         if not old or old == [batch_id]:
             return
         rows = read_table(spark, root, table).where(F.col("date") == F.lit(day).cast("date"))
+        inside = sorted({c for b in old for c in merged_batches(spark, root, table, day, b) or {b}})
         rows.drop("date", BATCH).repartition(max(1, len(old) // 8)).write.mode("overwrite").parquet(hidden)
+        note = fs.create(path(f"{hidden}/{INSIDE}"), True)
+        note.write(bytearray(" ".join(map(str, inside)), "ascii"))
+        note.close()
     for b in old:
         delete_folder(spark, f"{folder}/{BATCH}={b}", table_path(root, table))
     fs.rename(path(hidden), path(f"{folder}/{BATCH}={batch_id}"))
@@ -106,6 +111,20 @@ def compact_day(spark: SparkSession, root: str, table: str, day: str, batch_id:
         spark.catalog.refreshTable(name)
 
 
+def merged_batches(spark: SparkSession, root: str, table: str, day: str, batch_id: int) -> set[int]:
+    """The batches a compacted folder was made of; empty for the folder of a batch."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{table_path(root, table)}/date={day}/{BATCH}={batch_id}/{INSIDE}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if batch_id >= 0 or not fs.exists(path):
+        return set()
+    stream = fs.open(path)
+    try:
+        return set(map(int, jvm.org.apache.commons.io.IOUtils.toString(stream, "US-ASCII").split()))
+    finally:
+        stream.close()
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     schema, daily = TABLES[table]
     if daily:

@@ -13,6 +13,7 @@ from ledgerpulse.schema import ANOMALY_THRESHOLD, CRITICAL_THRESHOLD, WINDOW_ROW
 from ledgerpulse.sources.feeds import CORRUPT, parse_json, rejected, valid_events
 from ledgerpulse.sources.tables import append_rows, overwrite_table, read_table
 from ledgerpulse.storage import owned
+from ledgerpulse.streaming import dim_refresh
 from ledgerpulse.streaming.stateful import stateful_features
 
 BATCH_TABLES = ["bronze.transactions", "silver.features", "gold.TransactionFact", "gold.ExplainFact"]
@@ -83,10 +84,11 @@ def _start(stream: DataFrame, sink, checkpoint: str, trigger: dict | None) -> St
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def refresh_dims(spark: SparkSession, root: str, bootstrap: bool = False, catalog: str | None = None) -> None:
-    """Rebuild the client and merchant dimensions from silver; ``bootstrap`` also the calendar."""
-    silver = read_table(spark, root, "silver.features")
+def refresh_dims(spark: SparkSession, root: str, bootstrap: bool = False, catalog: str | None = None) -> dict:
+    """Bring the client and merchant dimensions up to date with silver; ``bootstrap`` also writes the calendar.
+
+    Only batches written since the last refresh are read (``dim_refresh``).
+    """
     if bootstrap:
-        overwrite_table(dims.time_dim_of(silver), root, "gold.TimeDim", catalog)
-    overwrite_table(dims.client_dim(silver), root, "gold.ClientDim", catalog)
-    overwrite_table(dims.merchand_dim(silver), root, "gold.MerchandDim", catalog)
+        overwrite_table(dims.time_dim_of(read_table(spark, root, "silver.features")), root, "gold.TimeDim", catalog)
+    return dim_refresh.refresh(spark, root, catalog)
