@@ -18,7 +18,7 @@ from ledgerpulse.schema import FEATURE_COLS
 from ledgerpulse.sources.events import read_events
 from ledgerpulse.storage import materialize, scratch_path
 
-GRID = (5, 2)          # ten prototypes, one per embedding label
+CELLS = (5, 2)          # ten prototypes, one per embedding label
 SIGMA = 0.8
 WIDTH = 64
 SAMPLE_COLS = [f"e{i}" for i in range(WIDTH)]
@@ -52,14 +52,14 @@ def samples(spark, sf_dir) -> DataFrame:
 def label_means(rows: DataFrame) -> np.ndarray:
     """One prototype per label, in label order."""
     means = rows.groupBy("label").agg(*[F.avg(c).alias(c) for c in SAMPLE_COLS]).orderBy("label")
-    book = means.limit(GRID[0] * GRID[1] + 1).toPandas()[SAMPLE_COLS].to_numpy()
-    if len(book) != GRID[0] * GRID[1]:
-        raise ValueError(f"expected {GRID[0] * GRID[1]} labels")
+    book = means.limit(CELLS[0] * CELLS[1] + 1).toPandas()[SAMPLE_COLS].to_numpy()
+    if len(book) != CELLS[0] * CELLS[1]:
+        raise ValueError(f"expected {CELLS[0] * CELLS[1]} labels")
     return book
 
 
 def _fixed_map(rows: DataFrame) -> SelfOrganizingMap:
-    model = SelfOrganizingMap(SAMPLE_COLS, x=GRID[0], y=GRID[1], sigma=SIGMA)
+    model = SelfOrganizingMap(SAMPLE_COLS, x=CELLS[0], y=CELLS[1], sigma=SIGMA)
     model.codebook = label_means(rows)
     return model
 
@@ -79,7 +79,7 @@ def som_explain(spark, sf_dir):
 @query
 def som_epoch(spark, sf_dir):
     rows = samples(spark, sf_dir)
-    after = som_pass(rows, SAMPLE_COLS, label_means(rows), neighbourhood(*GRID, SIGMA))
+    after = som_pass(rows, SAMPLE_COLS, label_means(rows), neighbourhood(*CELLS, SIGMA))
     return spark.createDataFrame(
         [(u, j, float(v)) for u, row in enumerate(after) for j, v in enumerate(row)],
         "unit int, position int, weight double")
