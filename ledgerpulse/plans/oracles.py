@@ -365,6 +365,29 @@ ORACLES["stream_resume"] = """WITH span AS (SELECT min(epoch_us(ts)) AS a, max(e
 parts AS (SELECT ts, CAST(floor((epoch_us(ts) - a) * 3 / (b - a + 1)) AS BIGINT) AS batch_id FROM events, span)
 SELECT batch_id, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM parts GROUP BY 1"""
 ORACLES["dim_overwrite"] = ORACLES["client_dim"]
+_inputs = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0)" for c in FEATURE_COLS)
+_names = ", ".join(f"'{c}'" for c in FEATURE_COLS)
+_engineered = ", ".join(f"'{c}'" for c in ENGINEERED_COLS), ", ".join(f"CAST({c} AS DOUBLE)" for c in ENGINEERED_COLS)
+ORACLES["stream_medallion_values"] = f"""WITH {FEAT.strip()},
+span AS (SELECT min(epoch_us(Time)) AS a, max(epoch_us(Time)) AS b FROM feat),
+parts AS (SELECT TransactionID, CAST(floor((epoch_us(Time) - a) * 2 / (b - a + 1)) AS BIGINT) AS batch_id FROM feat, span),
+inputs AS (SELECT TransactionID, unnest(range({len(FEATURE_COLS)})) AS j, unnest([{_names}]) AS name, unnest([{_inputs}]) AS x
+  FROM feat),
+book AS (SELECT u, j, CASE WHEN j = 0 THEN 20.0 + 6 * u ELSE ((7 * u + 3 * j) % 11) / 4.0 END AS w
+  FROM range(9) a(u), range({len(FEATURE_COLS)}) b(j)),
+dist AS (SELECT TransactionID, u, sqrt(sum((x - w) * (x - w))) AS d FROM inputs JOIN book USING (j) GROUP BY 1, 2),
+bmu AS (SELECT TransactionID, u, d FROM (SELECT *, row_number() OVER (PARTITION BY TransactionID ORDER BY d, u) AS rn
+  FROM dist) WHERE rn = 1),
+dev AS (SELECT TransactionID, name, abs(x - w) AS e FROM bmu JOIN inputs USING (TransactionID) JOIN book USING (u, j)),
+held AS (
+  SELECT 'bronze.transactions' AS "table", TransactionID, 'TransactionAmount' AS name, CAST(TransactionAmount AS DOUBLE) AS value
+  FROM feat
+  UNION ALL SELECT 'silver.features', TransactionID, unnest([{_engineered[0]}]), unnest([{_engineered[1]}]) FROM feat
+  UNION ALL SELECT unnest(['silver.features', 'gold.TransactionFact']), TransactionID, 'modelscore', d FROM bmu
+  UNION ALL SELECT 'gold.TransactionFact', TransactionID, unnest(['IsAnomaly', 'IsCritical']),
+    unnest([CAST(d > 3.5 AS DOUBLE), CAST(d > 5.25 AS DOUBLE)]) FROM bmu
+  UNION ALL SELECT 'gold.ExplainFact', TransactionID, name, e / (sum(e) OVER (PARTITION BY TransactionID) + 1e-8) FROM dev)
+SELECT "table", batch_id, TransactionID, name, {r6("value")} FROM held JOIN parts USING (TransactionID)"""
 
 # --- map of the embeddings: prototypes are the label means, grid of 5 x 2 -----------------
 
@@ -434,3 +457,4 @@ ORACLES["table_schemas"] = "\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", (SELECT {TABLE_ROWS[t]} FROM events) AS rows, CAST({i} AS INT) AS position, "
     f"'{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS type"
     for t, (schema, _) in TABLES.items() for i, f in enumerate(schema))
+ORACLES["table_catalog"] = ORACLES["table_schemas"]

@@ -1,7 +1,9 @@
 """Registered queries that run streams and lakehouse tables to completion."""
 
+import uuid
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +14,10 @@ from ledgerpulse.operators.features import epoch_micros, features
 from ledgerpulse.operators.scale import Scaler
 from ledgerpulse.plans.model_queries import MAP
 from ledgerpulse.plans.queries import ID, _messages, query
-from ledgerpulse.schema import ENGINEERED_COLS, KEY, TABLES
+from ledgerpulse.schema import ENGINEERED_COLS, FEATURE_COLS, KEY, TABLES
 from ledgerpulse.sources.events import read_events
 from ledgerpulse.sources.feeds import parse_json, read_json_files, valid_events
-from ledgerpulse.sources.tables import read_table
+from ledgerpulse.sources.tables import compact_day, create_tables, read_table
 from ledgerpulse.storage import materialize, scratch_path
 from ledgerpulse.streaming import medallion
 from ledgerpulse.streaming.stateful import stateful_features
@@ -73,9 +75,17 @@ def _model(spark, sf_dir) -> ScoringModel:
     return ScoringModel(Scaler("global_standard"), {"som": SelfOrganizingMap(**MAP)}).fit(df)
 
 
-def _run(spark, sf_dir, parts: int) -> str:
+def rule_model() -> ScoringModel:
+    """A map of 3 x 3 given by a rule: unit u is 20 + 6 u years old, feature j of it is ((7 u + 3 j) mod 11) / 4."""
+    u, j = np.arange(9)[:, None], np.arange(len(FEATURE_COLS))[None, :]
+    som = SelfOrganizingMap(FEATURE_COLS, x=3, y=3)
+    som.codebook = np.where(j == 0, 20.0 + 6 * u, (7 * u + 3 * j) % 11 / 4.0)
+    return ScoringModel(Scaler("none"), {"som": som})
+
+
+def _run(spark, sf_dir, parts: int, model: ScoringModel | None = None) -> str:
     feed, root, checkpoint = Feed(spark), scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
-    model = _model(spark, sf_dir)
+    model = model or _model(spark, sf_dir)
     for part in time_parts(read_events(spark, sf_dir), parts):
         feed.add(part)
         medallion.start_stateful(feed.stream(), root, checkpoint, model, "som", ONCE).awaitTermination()
@@ -94,6 +104,22 @@ def stream_medallion(spark, sf_dir):
     return reduce(DataFrame.unionByName, [_count(spark, root, t) for t in medallion.BATCH_TABLES])
 
 
+@query
+def stream_medallion_values(spark, sf_dir):
+    """Every number the four tables hold after two micro-batches that a map given by a rule has scored."""
+    root = _run(spark, sf_dir, 2, rule_model())
+    held = {"bronze.transactions": ["TransactionAmount"], "silver.features": [*ENGINEERED_COLS, "modelscore"],
+            "gold.TransactionFact": ["modelscore", "IsAnomaly", "IsCritical"]}
+    found = []
+    for table, columns in held.items():
+        pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+        found.append(read_table(spark, root, table).select(F.lit(table).alias("table"), "batch_id", ID, F.inline(pairs)))
+    explained = read_table(spark, root, "gold.ExplainFact").select(
+        F.lit("gold.ExplainFact").alias("table"), "batch_id", ID, F.col("FeatureName").alias("name"),
+        F.col("FeatureValue").alias("value"))
+    return reduce(DataFrame.unionByName, [*found, explained])
+
+
 @query
 def stream_memoryless(spark, sf_dir):
     """Silver rows of one micro-batch that holds all messages, with features within it."""
@@ -136,6 +162,34 @@ def table_schemas(spark, sf_dir):
     return reduce(DataFrame.unionByName, found)
 
 
+@query
+def table_catalog(spark, sf_dir):
+    """The same read from the catalog, after a load in two batches through it and the compaction of every day."""
+    root, prefix = scratch_path(spark, "lake"), f"t{uuid.uuid4().hex}_"
+    names = dict(zip(TABLES, create_tables(spark, root, prefix), strict=True))
+    model = rule_model()
+    try:
+        for i, part in enumerate(time_parts(features(read_events(spark, sf_dir), "trailing"), 2)):
+            medallion.write_batch(part, i, root, model, "som", catalog=prefix)
+        medallion.refresh_dims(spark, root, bootstrap=True, catalog=prefix)
+        facts_table = "gold.TransactionFact"
+        for day in [r[0] for r in spark.table(names[facts_table]).select("date").distinct().collect()]:   # days only
+            compact_day(spark, root, facts_table, str(day), catalog=prefix)
+        found = []
+        for table, name in names.items():
+            listed = [c for c in spark.catalog.listColumns(name) if not c.isPartition]
+            columns = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c.name).alias("column"),
+                                         F.lit(c.dataType).alias("type")) for i, c in enumerate(listed)])
+            found.append(spark.table(name).agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit(table).alias("table"), "rows", F.inline(columns)))
+        return materialize(reduce(DataFrame.unionByName, found), "catalog-tables")
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE {name}")
+        for layer in dict.fromkeys(t.split(".")[0] for t in TABLES):
+            spark.sql(f"DROP DATABASE {prefix}{layer}")
+
+
 @query
 def dim_overwrite(spark, sf_dir):
     """The client dimension after two refreshes: replaced, not doubled."""
