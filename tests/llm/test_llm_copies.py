@@ -138,7 +138,9 @@ def test_decontamination(spark):
         half = len(words) // 2
         docs.append((2000 + k, "Some words before it. " + " ".join(words[half:] + words[:half]) + " and after."))
         docs.append((3000 + k, " ".join(words[:len(words) // 4])))
-    bench = spark.createDataFrame([*items, (98, "too short"), (99, None)], "item_id bigint, text string")
+    items += [(98, "Not Found. Anywhere?"), (97, "some words"), (96, "before"), (95, "words before it some"), (94, "some words")]
+    docs.append((4000, "before it, some words! Before some words before"))
+    bench = spark.createDataFrame([*items, (99, None), (93, " ... ")], "item_id bigint, text string")
     got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in
            decontaminate.contaminated(frame(spark, docs + ODD, "h"), bench).collect()}
 
@@ -165,12 +167,12 @@ def test_decontamination(spark):
     want = {}
     for doc_id, text in docs:
         for item, t in items:
-            if len(words(t)) >= decontaminate.SEED:
-                share = tiling(words(text), words(t)) / len(words(t))
-                if share >= decontaminate.COVERAGE:
-                    want[doc_id, item] = share
+            share = tiling(words(text), words(t), min(decontaminate.SEED, len(words(t)))) / len(words(t))
+            if share >= decontaminate.COVERAGE:
+                want[doc_id, item] = share
     assert got == want
-    assert all((2000 + k, item) in got for k, (item, _) in enumerate(items))
+    assert all((2000 + k, item) in got for k, (item, t) in enumerate(items) if len(words(t)) >= decontaminate.SEED)
+    assert (4000, 96) in got and (4000, 97) in got and (4000, 95) not in got
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
     assert decontaminate.contaminated(frame(spark, docs), bench.where("false")).count() == 0
 
