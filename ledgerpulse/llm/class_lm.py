@@ -3,9 +3,9 @@
 Word and bigram counts cover every training text, and every word of them is exchanged between ``CLASSES``
 classes: it moves to the class that raises the likelihood of the class bigrams most. The ``head`` most frequent
 words start from an exchange of their own, one word at a time; then all words choose at once, round after
-round, each from its own bigrams and the table of class bigrams; half of those that gain move, and when few gain,
-they move one after the other. A round counts only if the likelihood rises; if it falls, fewer words move, at last
-the one that gains most. This ends when no word gains by moving or, with a ``least_gain``, when a round raises the log
+round, each from its own bigrams and the table of class bigrams; those that gain most, ``TURNS`` of them, move one after the other, and half
+of the others that gain (in the first round all) at once. A round counts only if the likelihood rises; if it falls, fewer words
+move, at last the one that gains most. This ends when no word gains by moving or, with a ``least_gain``, when a round raises the log
 likelihood by less than that a token; the rule is the same for all words, each of which is rated in every round. A text's log10 probability adds class transitions, smoothed towards class frequencies, and
 word emissions with one count added to every word of a class and to one unseen word. A word that no training
 text holds has no class: it counts as in the base, and the word after it by its class frequency.
@@ -37,8 +37,9 @@ END = b""                       # words are never empty
 FLUSH, TOKENS = 300_000, 1_000_000
 PACK, HUBS, LOCAL = 200_000, 5_000, 3_000_000
 FILE = 4                        # packs in a file
-TURNS = 4096                    # words moved one by one in a round, once no more want to move
+TURNS = 4096                    # words moved one by one in a round
 BLOCK, TABLED = 256, 64         # words rated at a time; counts whose gains are tabled
+KIND = np.random.default_rng(42).integers(1, 1 << 63, 512).astype(np.uint64) | np.uint64(1)   # marks by class and side
 TOLERANCE = 1e-6                # gains below it are none
 LEAST_GAIN = 1e-4               # of the log likelihood a token: what the registered query takes for ``least_gain``
 FLUSHED = 500_000               # pack entries a task gathers before it sends them
@@ -120,8 +121,35 @@ def chained(rows: list[list[bytes]], symbol: np.ndarray, end: int) -> tuple[np.n
     return row, before, now
 
 
-def bigrams(docs: DataFrame, lexicon) -> DataFrame:
-    """(u, v, n) of adjacent words over all texts: 0 is the end, words of the lexicon count from 1, others are keys."""
+def edges_packed(u: np.ndarray, v: np.ndarray, n: np.ndarray) -> bytes:
+    """Bigrams as bytes: each run of one ``u`` once, ``v`` in four bytes if in the lexicon, counts of 255 and more by themselves."""
+    head, rare, large = starts(u), v < 0, np.flatnonzero(n >= 255)
+    return b"".join(x.tobytes() for x in (
+        np.array([len(u), len(head), rare.sum(), len(large)], np.int64), u[head], v[rare], n[large].astype(np.int64),
+        np.diff(np.r_[head, len(u)]).astype(np.int32), v[~rare].astype(np.int32), large.astype(np.int32),
+        np.minimum(n, 255).astype(np.uint8), np.packbits(rare)))
+
+
+def edges_unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``edges_packed`` was given."""
+    size, runs, keys, more = np.frombuffer(blob, np.int64, 4).tolist()
+    at, parts = 32, []
+    for kind, k in ((np.int64, runs), (np.int64, keys), (np.int64, more), (np.int32, runs), (np.int32, size - keys),
+                    (np.int32, more), (np.uint8, size)):
+        parts.append(np.frombuffer(blob, kind, k, at))
+        at += k * np.dtype(kind).itemsize
+    u, far, value, times, near, large, count = parts
+    rare = np.unpackbits(np.frombuffer(blob, np.uint8, offset=at), count=size).astype(bool)
+    v, n = np.empty(size, np.int64), count.astype(np.int64)
+    v[rare], v[~rare], n[large] = far, near, value
+    return np.repeat(u, times), v, n
+
+
+def bigrams(docs: DataFrame, lexicon, parts: int) -> DataFrame:
+    """(u, v, n) of adjacent words over all texts: 0 is the end, words of the lexicon count from 1, others are keys.
+
+    Tasks send their bigrams as blobs to ``parts`` parts dealt by a hash of both words, each of which adds up its own.
+    """
     def count(batches):
         lex: Lexicon = lexicon.value
         local, keys, held, size = {}, [0], [], 0
@@ -129,8 +157,15 @@ def bigrams(docs: DataFrame, lexicon) -> DataFrame:
         def out():
             pair, n = np.unique(np.concatenate(held), return_counts=True)
             key = np.array(keys, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(key[pair >> 32]), pa.array(key[pair & 0xFFFFFFFF]), pa.array(n)],
-                                              ["u", "v", "n"])
+            u, v = key[pair >> 32], key[pair & 0xFFFFFFFF]
+            mix = (u.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ v.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+            p = ((mix >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+            order = np.argsort(p, kind="stable")     # words stay together
+            p, u, v, n = (x[order] for x in (p, u, v, n))
+            head = starts(p)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(p[head].astype(np.int32)), pa.array([edges_packed(u[i:j], v[i:j], n[i:j]) for i, j in zip(
+                    head, [*head[1:], len(p)], strict=True)], pa.binary())], ["p", "blob"])
 
         for batch in slices(batches):
             rows = [words_of(t) for t in texts(batch)]
@@ -148,8 +183,18 @@ def bigrams(docs: DataFrame, lexicon) -> DataFrame:
         if held:
             yield out()
 
-    return (docs.select("text").mapInArrow(count, "u bigint, v bigint, n bigint").groupBy("u", "v")
-            .agg(F.sum("n").alias("n")))
+    def add(batches):
+        for group in whole_groups(batches, ["p"]):
+            p, blobs = column(group, "p"), group.column("blob").to_pylist()
+            head = starts(p)
+            for low, high in zip(head, [*head[1:], len(p)], strict=True):
+                found = zip(*map(edges_unpacked, blobs[low:high]), strict=True)
+                rows = pa.table([pa.array(np.concatenate(x)) for x in found], names=["u", "v", "n"])
+                rows = rows.group_by(["u", "v"], use_threads=False).aggregate([("n", "sum")])
+                yield from rows.select(["u", "v", "n_sum"]).rename_columns(["u", "v", "n"]).to_batches(max_chunksize=FLUSH)
+
+    return (docs.select("text").mapInArrow(count, "p int, blob binary").repartition("p").sortWithinPartitions("p")
+            .mapInArrow(add, "u bigint, v bigint, n bigint"))
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -212,8 +257,14 @@ def _grown(x: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def small_steps(joint: np.ndarray) -> list[np.ndarray]:
-    """What up to ``TABLED`` more bigrams add to each cell, for either side."""
-    return [_grown(table[None], np.arange(TABLED + 1)[:, None, None]) for table in (joint.T, joint)]
+    """What -``TABLED`` to ``TABLED`` more bigrams add to each cell, for either side, and to each class's sum."""
+    more = np.arange(1, TABLED + 1)[:, None, None]
+
+    def steps(x):
+        fewer = np.maximum(x[None] - more, 0)      # cells never lose more than they hold
+        return np.concatenate([-_grown(fewer, more)[::-1], np.zeros((1, *x.shape)), _grown(x[None], more)])
+
+    return [steps(joint.T), steps(joint), steps(joint.sum(axis=1)[None])[:, 0]]
 
 
 def gains(sums: np.ndarray, own: np.ndarray, label: np.ndarray, joint: np.ndarray,
@@ -227,30 +278,49 @@ def gains(sums: np.ndarray, own: np.ndarray, label: np.ndarray, joint: np.ndarra
     use = sums[:, 0].sum(axis=1) + own
     at = np.arange(words)
     gain = np.zeros((words, total))
+
+    def small(n):
+        return n <= TABLED if steps else np.zeros(len(n), bool)
+
+    def filled(out, few, tabled, direct):
+        """``out`` by ``tabled`` of the places of small counts and by ``direct`` of the others."""
+        for k, f in ((np.flatnonzero(few), tabled), (np.flatnonzero(~few), direct)):
+            if len(k):
+                out[k] = f(k)
+        return out
+
     for side, table in ((0, joint.T), (1, joint)):     # table[c]: bigrams of c with each class on the word's side
         mine, other = sums[:, side], sums[:, 1 - side]
         i, c = np.nonzero(mine)
         if not len(i):
             continue
         x, a = mine[i, c], label[i]
-        if steps:
-            g = steps[side][np.minimum(x, TABLED), c]
-            big = np.flatnonzero(x > TABLED)
-            g[big] = _grown(table[c[big]], x[big, None])
+        few, step = small(x), steps[side] if steps else None
+        if few.all():
+            g = step[x + TABLED, c]
         else:
-            g = _grown(table[c], x[:, None])
-        g[np.arange(len(i)), a] = _grown(table[c, a] - x, x)
-        k = np.flatnonzero(c == a)                     # bigrams with the class the word has left
-        g[k] = _grown(table[c[k]] - other[i[k]], x[k, None])
+            g = filled(np.empty((len(i), total)), few, lambda k: step[x[k] + TABLED, c[k]], lambda k: _grown(table[c[k]], x[k, None]))
+        g[np.arange(len(i)), a] = filled(np.empty(len(i)), few, lambda k: -step[TABLED - x[k], c[k], a[k]],
+                                         lambda k: _grown(table[c[k], a[k]] - x[k], x[k]))
+        m = np.flatnonzero(c == a)                     # bigrams with the class the word has left
+        y, z, d = x[m], other[i[m]], c[m]
+        g[m] = filled(np.empty((len(m), total)), small(y) & small(z.max(axis=1)) if len(m) else np.zeros(0, bool),
+                      lambda k: step[y[k, None] - z[k] + TABLED, d[k, None], np.arange(total)]
+                      - step[TABLED - z[k], d[k, None], np.arange(total)],
+                      lambda k: _grown(table[d[k]] - z[k], y[k, None]))
         g[np.arange(len(i)), c] = 0.0                  # of a class with itself: below
         head = starts(i)
         gain[i[head]] += np.add.reduceat(g, head, axis=0)
     both = sums[:, 0] + sums[:, 1] + own[:, None]
-    corner = np.repeat(np.diag(joint)[None], words, axis=0)
-    corner[at, label] -= both[at, label]
-    weight = np.repeat(joint.sum(axis=1)[None], words, axis=0)
-    weight[at, label] -= use
-    return gain + _grown(corner, both) - 2 * _grown(weight, use[:, None])
+    i, c = np.nonzero(both)
+    x = both[i, c]
+    gain[i, c] += filled(np.empty(len(i)), small(x) & (c != label[i]), lambda k: steps[0][x[k] + TABLED, c[k], c[k]],
+                         lambda k: _grown(joint[c[k], c[k]] - x[k] * (c[k] == label[i[k]]), x[k]))
+    weight = joint.sum(axis=1)
+    grown = filled(np.empty((words, total)), small(use), lambda k: steps[2][use[k] + TABLED],
+                   lambda k: _grown(weight[None], use[k, None]))
+    grown[at, label] = _grown(weight[label] - use, use)
+    return gain - 2 * grown
 
 
 def choose(sums: np.ndarray, own: np.ndarray, label: np.ndarray, joint: np.ndarray,
@@ -301,23 +371,45 @@ class Pack:
         return np.bincount((self.word[other].astype(np.int64) * 2 + self.side[other]) * total + label[self.nbr[other]],
                            self.n[other], hubs * 2 * total).astype(np.int64)
 
-    def wanted(self, label: np.ndarray, joint: np.ndarray, classes: int, first: int, last: int):
-        """Wanted class of the words from ``first`` to before ``last``, and those that gain by it as (gain, word, own, sums)."""
-        total, out, found, steps = len(joint), label[first:last].copy(), [], small_steps(joint)
-        for low in range(first, last, BLOCK):
-            high = min(low + BLOCK, last)
-            a, b = np.searchsorted(self.word, (low, high))
-            word, nbr, side, n = (x[a:b] for x in (self.word, self.nbr, self.side, self.n))
-            word = word.astype(np.int64) - low
-            self_ = nbr == word + low
-            own = np.bincount(word[self_ & (side == 0)], n[self_ & (side == 0)], high - low).astype(np.int64)
-            sums = np.bincount((word[~self_] * 2 + side[~self_]) * total + label[nbr[~self_]], n[~self_],
-                               (high - low) * 2 * total).astype(np.int64).reshape(-1, 2, total)
-            want, gain = choose(sums, own, label[low:high].astype(np.int64), joint, classes, steps)
-            out[low - first:high - first] = want
-            k = np.flatnonzero(gain)
-            found.append((gain[k], low + k, own[k], sums[k]))
-        return out, found
+    def wanted(self, label: np.ndarray, joint: np.ndarray, classes: int, first: int, last: int, most: int, steps: list):
+        """Wanted class of the words from ``first`` to before ``last``, and those that gain by it as (gain, word, own, sums).
+
+        Words of equal class and equal sums, as most rare ones are, gain the same: one of each kind is rated.
+        """
+        total = len(joint)
+        near = np.where(self.word == self.nbr, 2 * total, self.side * total + label[self.nbr])
+        mark = KIND[near] * self.n.astype(np.uint64)
+        head = starts(self.word)
+        kind = KIND[-1 - label[first:last].astype(np.int64)]
+        if len(head):
+            kind[self.word[head] - first] += np.add.reduceat(mark, head)
+        _, rated, same = np.unique(kind, return_index=True, return_inverse=True)
+        order = np.argsort(rated)
+        rated, same = rated[order], np.argsort(order)[same]
+        want, gain = label[first + rated], np.zeros(len(rated))
+        number, n = self.word - first, self.n
+        if len(rated) < len(kind):
+            place = np.full(len(kind), -1)
+            place[rated] = np.arange(len(rated))
+            number = place[number]                # of the entry's word, -1 if another word stands for it
+            at = np.flatnonzero(number >= 0)
+            number, near, n = number[at], near[at], n[at]
+        own, sums = np.zeros(len(rated), np.int64), []
+        for low in range(0, len(rated), BLOCK):
+            high = min(low + BLOCK, len(rated))
+            a, b = np.searchsorted(number, (low, high))
+            table = np.bincount((number[a:b] - low) * (2 * total + 1) + near[a:b], n[a:b],
+                                (high - low) * (2 * total + 1)).astype(np.int64).reshape(-1, 2 * total + 1)
+            # a bigram of a word with itself has an entry on either side
+            own[low:high] = table[:, -1] // 2
+            sums.append(table[:, :-1].reshape(-1, 2, total))
+            want[low:high], gain[low:high] = choose(sums[-1], own[low:high], label[first + rated[low:high]].astype(np.int64),
+                                                    joint, classes, steps)
+        k = np.flatnonzero(gain[same])
+        k = k[np.lexsort((k, -gain[same[k]]))[:most]]
+        r = same[k]
+        picked = np.array([sums[x // BLOCK][x % BLOCK] for x in r.tolist()], np.int64).reshape(-1, 2, total)
+        return want[same], (gain[r], first + k, own[r], picked)
 
 
 class Packs:
@@ -359,7 +451,7 @@ class Packs:
     def wanted(self, label: np.ndarray, joint: np.ndarray, hub_sums: np.ndarray, classes: int):
         """Class every word wants, and of the words that gain most by it (gain, word, own, sums)."""
         out, first, total, most = label.copy(), self.first, len(joint), max(1, TURNS // (len(self.first) - 1 or 1))
-        own, hubs = self.own[1:], hub_sums[1:]
+        own, hubs, steps = self.own[1:], hub_sums[1:], small_steps(joint)
         out[1:self.hubs], gain = choose(hubs, own, label[1:self.hubs].astype(np.int64), joint, classes)
         k = np.flatnonzero(gain)
         found = [_most([(gain[k], k + 1, own[k], hubs[k])], TURNS)]
@@ -367,16 +459,16 @@ class Packs:
             for pack in self.local:
                 if pack.p >= 0:
                     low, high = first[pack.p], first[pack.p + 1]
-                    out[low:high], rows = pack.wanted(label, joint, classes, low, high)
-                    found.append(_most(rows, most))
+                    out[low:high], rows = pack.wanted(label, joint, classes, low, high, most, steps)
+                    found.append(rows)
         else:
-            shared = self.spark.sparkContext.broadcast((label, joint, first))
+            shared = self.spark.sparkContext.broadcast((label, joint, first, steps))
 
             def apply(batches):
-                label, joint, first = shared.value
+                label, joint, first, steps = shared.value
                 for pack in _packs(batches):
-                    want, rows = pack.wanted(label, joint, classes, int(first[pack.p]), int(first[pack.p + 1]))
-                    blobs = [x.tobytes() for x in _most(rows, most)] if rows else [b""] * 4
+                    want, rows = pack.wanted(label, joint, classes, int(first[pack.p]), int(first[pack.p + 1]), most, steps)
+                    blobs = [x.tobytes() for x in rows]
                     yield pa.RecordBatch.from_arrays([pa.array([pack.p]), pa.array([want.tobytes()]),
                                                       *(pa.array([x]) for x in blobs)], ["p", "want", "gain", "word", "own", "sums"])
 
@@ -466,7 +558,7 @@ def likelihood(joint: np.ndarray) -> float:
 
 def exchange_all(packs: Packs, label: np.ndarray, classes: int, least_gain: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all words and the class bigrams after exchange rounds, until no word or too little is gained."""
-    total, share, rounds = classes + 2, 0.5, 0
+    total, share, rounds = classes + 2, 1.0, 0
     joint, around = packs.measure(label, total)
     while True:
         want, most = packs.wanted(label, joint, around, classes)
@@ -474,28 +566,29 @@ def exchange_all(packs: Packs, label: np.ndarray, classes: int, least_gain: floa
         if not len(movers):
             return label, joint
         placing = bool((label > classes).any())
-        turns = len(movers) <= 2 * len(most[0])   # then they move one by one
+        rest = movers[~np.isin(movers, most[1])]
         n = len(most[0])
         while True:
             rounds += 1
-            if turns and not placing:
-                trial = in_turn([x[:n] for x in most], label, joint, classes)
+            if placing:
+                trial = want
             else:
-                mix = (movers + rounds * 7919).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                some = movers if placing else movers[(mix >> np.uint64(11)).astype(np.float64) < share * 2.0 ** 53]
-                trial = label.copy()
+                trial = in_turn([x[:n] for x in most], label, joint, classes)
+                mix = (rest + rounds * 7919).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                some = rest[(mix >> np.uint64(11)).astype(np.float64) < share * 2.0 ** 53]
                 trial[some] = want[some]
             next_joint, next_around = packs.measure(trial, total)
             gain = likelihood(next_joint) - likelihood(joint)
             if placing or gain > 0:
-                label, joint, around, share = trial, next_joint, next_around, min(0.5, share * 1.25)
+                label, joint, around = trial, next_joint, next_around
+                share = 1.0 if placing else min(0.5, share * 1.25)
                 if not placing and gain < least_gain * joint.sum():
                     return label, joint
                 break
-            if turns and n == 1:
+            if n == 1 and not len(some):
                 return label, joint   # no gain beyond rounding is left
             n, share = max(1, n // 4), share / 2
-            turns = turns or share * len(movers) < 1
+            rest = rest if share * len(rest) >= 1 else rest[:0]
 
 
 def tables(joint: np.ndarray, tokens: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -556,7 +649,7 @@ def cluster(training: DataFrame, head: int, classes: int, dictionary: int, least
     out.rare = materialize(rare.withColumn("key", key_column(F.col("word"))).join(ids, "key")
                            .select("word", "c", "id"), "rare-words")
 
-    edges = materialize(bigrams(training, lexicon), "bigrams")
+    edges = materialize(bigrams(training, lexicon, int(max(100, -(-out.tokens // TOKENS)))), "bigrams")
 
     def numbered(df, c):
         return df.where(F.col(c) >= 0).unionByName(

@@ -73,3 +73,37 @@ def test_gains_equal_the_change_of_the_likelihood():
                 moved[w] = b
                 change = class_lm.likelihood(table(moved)) - class_lm.likelihood(table(label))
                 assert math.isclose(gain[w, b] - gain[w, label[w]], change, rel_tol=1e-6, abs_tol=1e-4)
+
+
+def test_equal_words_are_rated_once(monkeypatch):
+    """A thousand words, each between the same two words: one rating tells what all of them want and gain."""
+    words, total = 1000, 5
+    word = np.repeat(np.arange(10, 10 + words), 2)
+    nbr, side = np.tile([3, 4], words), np.tile(np.array([0, 1], np.int8), words)
+    label = np.r_[np.zeros(3, np.int8), np.int8(1), np.int8(2), np.zeros(5 + words, np.int8)]
+    joint = np.full((total, total), 5000)
+    joint[1, 1] += 90_000
+    rated, choose = [], class_lm.choose
+    monkeypatch.setattr(class_lm, "choose", lambda sums, *more: rated.append(len(sums)) or choose(sums, *more))
+    pack = class_lm.Pack(0, class_lm.Pack.bytes_of(word, nbr, side, np.ones(2 * words, np.int64)))
+    want, (gain, found, own, sums) = pack.wanted(label, joint, 3, 10, 10 + words, 7, class_lm.small_steps(joint))
+    assert sum(rated) == 1 and len(set(want)) == 1 and len(want) == words
+    alone, more = choose(sums[:1], own[:1], np.zeros(1, np.int64), joint, 3)
+    assert (want == alone[0]).all() and np.allclose(gain, more[0]) and len(gain) == (7 if more[0] else 0)
+    assert (found == 10 + np.arange(len(found))).all()
+
+
+def test_bigrams_as_blobs_add_up(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "TOKENS", 300)
+    docs = frame(spark, invented(60) + ODD)
+    texts = [class_lm.words_of(r["text"] or "") for r in docs.collect()]
+    words = sorted({w for t in texts for w in t})[::2]
+    number = {w: k + 1 for k, w in enumerate(words)} | {b"": 0}
+    want = {}
+    for t in texts:
+        row = [number[w] if w in number else class_lm.key_of(w) for w in [b"", *t, b""]]
+        for pair in zip(row, row[1:], strict=False):
+            want[pair] = want.get(pair, 0) + 1
+    lexicon = spark.sparkContext.broadcast(class_lm.Lexicon(words, np.ones(len(words), np.int64)))
+    got = class_lm.bigrams(docs, lexicon, 7).collect()
+    assert len(got) == len(want) and {(r["u"], r["v"]): r["n"] for r in got} == want
