@@ -9,7 +9,8 @@ by numpy; Spark compares the names of all blocks in two rounds:
    symbols after ``PRUNE`` rounds of naming in any other one. A large symbol that does reveals a repeat: all its words go. A
    small one that does not rules out every window that surely holds it, that is, all the words its being there depends on.
 2. The windows left that cover a word not yet removed are asked for by a 128-bit hash of their words, which
-   verifies them one by one.
+   verifies them one by one. The windows and the words removed so far go along as two bits a word, so that the last pass over
+   the texts hashes words and windows but names no symbols again.
 
 A question is a symbol's name, the smallest id that has it in the block and whether another one has, once for each
 block, so a passage of millions of documents is one entry of each block. Names are grouped by ranges of the hash and answered by one bit.
@@ -40,7 +41,7 @@ BLOCK = 8 << 20            # bytes of text in a block; a longer text is a block
 BUCKET = 64 << 20          # bytes of text for each bucket
 FAR = 1 << 40              # beyond every word
 NO_ID = -(1 << 63)
-SMALL, LARGE, WINDOWS = 0, 1, 2     # kinds of questions
+SMALL, LARGE, WINDOWS, STATE = 0, 1, 2, 3     # kinds of questions; what a block found so far goes along with them
 MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -138,17 +139,20 @@ def _merged(docs: pa.Table) -> tuple[np.ndarray, list[list[bytes]]]:
 
 
 class Block:
-    """The parse of a block of documents, its questions, and what the answers remove."""
+    """The parse of a block of documents, its questions, and what the answers remove. A block with a ``state``, that of
+    its windows, needs no parse."""
 
-    def __init__(self, docs: pa.Table, window: int, answers: dict[int, np.ndarray] | None = None):
+    def __init__(self, docs: pa.Table, window: int, answers: dict[int, np.ndarray] | None = None, state: bytes | None = None):
         self.window, self.answers = window, answers or {}
         self.id, self.words = _merged(docs)
         self.first = np.cumsum([0, *map(len, self.words)])
         size = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(size)), size)
+        self.state = state
         code = b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(self.words)))
         self.name = np.frombuffer(code, np.uint64).reshape(-1, 2).T.copy()
-        self.parse()
+        if state is None:
+            self.parse()
 
     def parse(self) -> None:
         """Sets ``small``, the symbols after ``PRUNE`` rounds, and ``large``, all of ``window`` words or more."""
@@ -190,6 +194,11 @@ class Block:
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Windows that may repeat and cover a word that the large symbols leave, and the words these remove."""
         n, k = len(self.doc), self.window
+        if self.state is not None:
+            if not n:
+                return np.zeros(0, np.int64), np.zeros(0, bool)
+            bits = np.unpackbits(np.frombuffer(self.state, np.uint8).reshape(2, -1), axis=1, count=n).astype(bool)
+            return np.flatnonzero(bits[0]), bits[1]
         x, z = self.large, self.small
         hit = self.earlier(LARGE, x.a, x.b, x.doc)
         gone, alone = covered(n, x.s[hit], x.e[hit]), ~self.shared()
@@ -200,6 +209,12 @@ class Block:
         at = np.flatnonzero(~out & (np.arange(n) <= last))
         return at[removed[at + k] - removed[at] < k], gone
 
+    def stated(self, at: np.ndarray, gone: np.ndarray) -> bytes:
+        """What ``windows`` found, one bit a word for either part."""
+        bits = np.zeros((2, len(gone)), bool)
+        bits[0, at], bits[1] = True, gone
+        return np.packbits(bits, axis=1).tobytes()
+
     def window_names(self, at: np.ndarray) -> list[np.ndarray]:
         out = []
         for x, step in zip(self.name, (MIX[0], MIX[3]), strict=True):
@@ -264,7 +279,7 @@ def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 def answered(questions: DataFrame) -> DataFrame:
     """(block, kind, bucket, n, bits): of every name of a question whether it occurs with a smaller id elsewhere, of a
-    small symbol with any two ids."""
+    small symbol with any two ids. States come back as they are."""
     by = ["kind", "bucket"]
 
     def answer(batches):
@@ -273,6 +288,10 @@ def answered(questions: DataFrame) -> DataFrame:
             block, blobs = column(group, "block"), group.column("blob").to_pylist()
             head = starts(kind, bucket)
             for low, high in zip(head, [*head[1:], len(kind)], strict=True):
+                if kind[low] == STATE:
+                    yield from group.slice(low, high - low).select(["block", *by]).append_column(
+                        "n", pa.array(np.zeros(high - low, np.int64))).append_column("bits", pa.array(blobs[low:high], pa.binary())).to_batches()
+                    continue
                 parts = [unpacked(x) for x in blobs[low:high]]
                 a, b, least, several = (np.concatenate(x) for x in zip(*parts, strict=True))
                 order = np.lexsort((least, b, a))
@@ -294,12 +313,16 @@ def answered(questions: DataFrame) -> DataFrame:
         answer, "block bigint, kind int, bucket bigint, n bigint, bits binary")
 
 
-def _read(answers: pa.Table) -> dict[int, np.ndarray]:
-    """Answers of a block by kind, in the order of its names."""
+def _read(answers: pa.Table) -> tuple[dict[int, np.ndarray], bytes | None]:
+    """Answers of a block by kind, in the order of its names, and its state."""
     out: dict[int, list] = {}
+    state = None
     for r in answers.sort_by([("kind", "ascending"), ("bucket", "ascending")]).to_pylist():
+        if r["kind"] == STATE:
+            state = r["bits"]
+            continue
         out.setdefault(r["kind"], []).append(np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["n"]).astype(bool))
-    return {k: np.concatenate(v) for k, v in out.items()}
+    return {k: np.concatenate(v) for k, v in out.items()}, state
 
 
 def blocks(docs: DataFrame, size: int) -> DataFrame:
@@ -353,12 +376,13 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     def ask_windows(texts: pa.Table, answers: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return rows(0, [])
-        own = Block(texts, window, _read(answers))
-        at, _ = own.windows()
-        return rows(texts.column("block")[0].as_py(), list(own.questions(WINDOWS, *own.window_names(at), own.doc[at], buckets)))
+        number, own = texts.column("block")[0].as_py(), Block(texts, window, *_read(answers))
+        at, gone = own.windows()
+        return rows(number, [*own.questions(WINDOWS, *own.window_names(at), own.doc[at], buckets),
+                             (((number >> 32) + number) % buckets, STATE, own.stated(at, gone))])
 
     def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        own = Block(texts, window, _read(answers))
+        own = Block(texts, window, *_read(answers))
         gone = own.removed()
         edge = np.flatnonzero(np.diff(np.r_[0, gone, 0]))
         low, high = edge[::2], edge[1::2]
@@ -383,5 +407,5 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
 
     first = materialize(answered(table.groupBy("block").applyInArrow(ask_symbols, out_schema)), "symbol-answers")
     second = materialize(answered(with_answers(first).applyInArrow(ask_windows, out_schema)), "window-answers")
-    return with_answers(first.unionByName(second)).applyInArrow(
+    return with_answers(second).applyInArrow(
         cut, "doc_id bigint, n_words bigint, n_removed bigint, removed string, text string")

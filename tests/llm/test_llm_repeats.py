@@ -83,6 +83,18 @@ def test_equal_windows_survive_any_surroundings():
         assert gone.sum() == [n for *_, n, _ in brute_windows([(0, " ".join(a)), (1, " ".join(b))], 13)][1]
 
 
+def test_last_pass_names_no_symbols_again(monkeypatch):
+    import pyarrow as pa
+    for docs in (passages(3) + ODD, [(1, None), (2, "")], [(1, "a b " * 20), (2, "a b " * 20)]):
+        docs = pa.table({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.string())})
+        block = recompress.Block(docs, 13)
+        state, want = block.stated(*block.windows()), block.removed()
+        with monkeypatch.context() as m:
+            m.setattr(recompress.Block, "parse", lambda self: 1 / 0)
+            again = recompress.Block(docs, 13, None, state)
+            assert (again.windows()[0] == block.windows()[0]).all() and (again.removed() == want).all()
+
+
 def test_questions_come_back_as_packed():
     rng = np.random.default_rng(1)
     a, b = (rng.integers(0, 1 << 63, 50).astype(np.uint64) for _ in range(2))
