@@ -10,42 +10,51 @@ likelihood by less than that a token; the rule is the same for all words, each o
 word emissions with one count added to every word of a class and to one unseen word. A word that no training
 text holds has no class: it counts as in the base, and the word after it by its class frequency.
 
-Bigrams lie in packs of about ``PACK`` entries, each word's in one pack; words of more than a ``HUBS``-th of all
-tokens are spread over packs and their sums added up. Of every word the driver and the tasks hold one byte, its
-class, and the ``LOOKUP`` most frequent words; all other words are numbered and scored by joins. Packs of up to
-``LOCAL`` entries in all are exchanged on the driver by the same functions.
+Texts are read once, into chunks of numbered words, bucketed so that the numbers of their words meet them without a
+shuffle. Words and bigrams travel as blobs. Bigrams lie in packs of about ``PACK`` entries, each word's in one pack; words of more
+than a ``HUBS``-th of all tokens are spread over packs and their sums added up. A pass over the packs counts the class bigrams
+and rates all words by what these were expected to be. Of every word the driver and the tasks hold one byte, its class; the
+``LOOKUP`` most frequent words are numbered on the driver, all others part by part. Packs of up to ``LOCAL`` entries in all are
+exchanged on the driver by the same functions.
 
 Null and empty texts consist of the end alone; texts of any length are read whole. Rows are scored one by
 one, also repeated ones. Without training texts every count is zero. An empty table gives an empty table;
 other columns are kept unless their names clash with the added ones.
 """
 
-from collections import Counter
-from itertools import repeat
+import uuid
+import zlib
+from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerpulse.llm.common import column, slices, starts, texts, whole_groups
+from ledgerpulse.llm.common import column, packed as kept_of, slices, starts, texts, unpacked, whole_groups
 from ledgerpulse.storage import materialize, scratch_path
 
 HEAD, CLASSES, LOOKUP = 1024, 48, 200_000
 END = b""                       # words are never empty
-FLUSH, TOKENS = 300_000, 1_000_000
+FLUSH, TOKENS = 300_000, 1_000_000      # TOKENS: also of a chunk
 PACK, HUBS, LOCAL = 200_000, 5_000, 3_000_000
 FILE = 4                        # packs in a file
 TURNS = 4096                    # words moved one by one in a round
+SHARE = 0.5                     # of the other words that gain, at most so many move at once
 BLOCK, TABLED = 256, 64         # words rated at a time; counts whose gains are tabled
 KIND = np.random.default_rng(42).integers(1, 1 << 63, 512).astype(np.uint64) | np.uint64(1)   # marks by class and side
 TOLERANCE = 1e-6                # gains below it are none
 LEAST_GAIN = 1e-4               # of the log likelihood a token: what the registered query takes for ``least_gain``
-FLUSHED = 500_000               # pack entries a task gathers before it sends them
+VOCABULARY = 200_000            # words of chunks, repeats included, for each part that counts words
+BUCKET = 16 << 20               # bytes of text for each bucket of chunks
+BINS = 16 * 64                  # counts in steps of a sixteenth of a doubling
+NEAR, OWN, SIZE = 0, 1, 2       # what a pass over the packs counts at the start
 PRIOR = 20.0                    # weight of the class frequencies in a transition
-PARTS = ["n_tokens", "held", "logs", "chain", "rare", "rare_n", "before", "now"]
-ADDED = [*PARTS, "n_known", "train_tokens", "base_score", "score", "perplexity", "_row", "_k", "_c", "_id"]
+ADDED = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
 
 
 def words_of(text: str) -> list[bytes]:
@@ -53,51 +62,150 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` all texts, one after the other, and how many each has; a null has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text.fill_null("")))
+    words, size = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    full = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0    # blanks at an end leave an empty word there
+    return words.filter(pa.array(full)), np.bincount(np.repeat(np.arange(len(size)), size)[full], minlength=len(size))
+
+
 def key_of(word: bytes) -> int:
     """Negative number of a word outside the dictionary."""
     return (xxhash.xxh64_intdigest(word, 42) | 1 << 63) - (1 << 64)
 
 
-def key_column(word: Column) -> Column:
-    return F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63)))
+def symbols_packed(x: np.ndarray) -> bytes:
+    """Small numbers, most of them below 65,535, as low and high bytes apart; the others by themselves."""
+    near = np.minimum(x, 0xFFFF).astype(np.uint16)
+    return b"".join(y.tobytes() for y in (np.array([len(x)], np.int64), x[near == 0xFFFF].astype(np.int32),
+                                          (near & 0xFF).astype(np.uint8), (near >> 8).astype(np.uint8)))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over all texts, the end of a text as the empty word."""
-    def count(batches):
-        seen: Counter = Counter()
+def symbols_unpacked(blob: bytes) -> np.ndarray:
+    size = int(np.frombuffer(blob, np.int64, 1)[0])
+    planes = np.frombuffer(blob, np.uint8, 2 * size, len(blob) - 2 * size).reshape(2, size)
+    out = planes[0] | planes[1].astype(np.int64) << 8
+    out[out == 0xFFFF] = np.frombuffer(blob[8:len(blob) - 2 * size], np.int32)
+    return out
+
+
+def chunks(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Texts as numbers, in a table bucketed by chunk, and its number of buckets. ``rows``: kept, text, learn, scored.
+
+    A chunk is about ``TOKENS`` tokens of whole texts, in which words are numbered by their training count. ``words`` are
+    joined by blanks, in the order of their checksums, and ``n`` holds their training counts in that order.
+    """
+    spark = rows.sparkSession
+
+    def read(batches):
+        number, held, tokens = TaskContext.get().partitionId() << 32, [], 0
 
         def out():
+            words, kept, size, learn, scored = zip(*held, strict=True)
+            coded, kept = pa.concat_arrays(words).dictionary_encode(), pa.concat_arrays(kept)
+            at, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
+            size, learn, scored = (np.concatenate(x) for x in (size, learn, scored))
+            n = np.bincount(at[np.repeat(learn, size)], minlength=len(words))
+            order = np.argsort(np.fromiter(map(zlib.crc32, words), np.int64, len(words)), kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order[np.argsort(-n[order], kind="stable")]] = np.arange(len(words))
             return pa.RecordBatch.from_arrays(
-                [pa.array([w.decode() for w in seen], pa.string()), pa.array(seen.values(), pa.int64())], ["word", "c"])
+                [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept),
+                 pa.array([symbols_packed(rank[at])]), *(pa.array([x.tobytes()]) for x in (size, learn, scored)),
+                 pa.array([int(learn.sum())]), pa.array([b" ".join([words[i] for i in order.tolist()])]), pa.array([n[order].tobytes()])],
+                ["chunk", "kept", "tokens", "size", "learn", "scored", "ends", "words", "n"])
 
         for batch in slices(batches):
-            for text in texts(batch):
-                seen.update(words_of(text))
-            seen[END] += batch.num_rows
-            if len(seen) > FLUSH:
+            words, size = split_words(batch.column("text"))
+            held.append((words, batch.column("kept"), size, column(batch, "learn"), column(batch, "scored")))
+            tokens += len(words)
+            if tokens > TOKENS:
                 yield out()
-                seen = Counter()
-        if seen:
+                held, tokens, number = [], 0, number + 1
+        if held:
             yield out()
 
-    return (docs.select("text").mapInArrow(count, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c")))
+    kind = rows.schema["kept"].dataType.simpleString()
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    return bucketed(rows.mapInArrow(read, f"chunk bigint, kept array<{kind}>, tokens binary, size binary, learn binary, "
+                                          "scored binary, ends bigint, words binary, n binary"), buckets), buckets
+
+
+def bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` in files bucketed by chunk in the shared folder; the catalog keeps no trace of it."""
+    spark, name = df.sparkSession, f"ledgerpulse_chunks_{uuid.uuid4().hex}"
+    (df.write.option("compression", "zstd").bucketBy(buckets, "chunk").sortBy("chunk")
+     .option("path", scratch_path(spark, "chunks")).saveAsTable(name))
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")      # of an external table the files stay
+    return out
 
 
-def bound(counts: DataFrame, most: int) -> Column:
-    """Whether a word's count is above the lowest one that no more than ``most`` words reach.
+def word_parts(table: DataFrame) -> DataFrame:
+    """Words of all chunks and their training counts ``c``, in parts dealt by the words' checksums.
 
-    A histogram in steps of a sixteenth of a doubling picks the bound.
+    A part also holds, for each ``chunk`` that has words of it, their number ``size`` and places ``at`` in the part.
     """
-    step = F.floor(F.log2("c") * 16).cast("int")
-    bins = counts.groupBy(step.alias("b")).agg(F.count("*").alias("n")).orderBy(F.desc("b")).collect()
-    low, total = None, 0
-    for b in bins:
-        total += b["n"]
-        if total > most:
-            break
-        low = b["b"]
-    return F.lit(False) if low is None else step >= low
+    entries = table.agg(F.coalesce(F.sum(F.octet_length("n")), F.lit(0)).alias("n")).first()["n"] // 8
+    parts = max(1, -(-entries // VOCABULARY))
+
+    def deal(batches):
+        for batch in batches:
+            for chunk, words, n in zip(*(batch.column(c).to_pylist() for c in ("chunk", "words", "n")), strict=True):
+                words, n = words.split(b" ") if words else [], np.frombuffer(n, np.int64)
+                p = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) * parts >> 32
+                head = starts(p)
+                cut = list(zip(head.tolist(), [*head[1:].tolist(), len(p)], strict=False))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(p[head].astype(np.int32)), pa.array(np.full(len(head), chunk, np.int64)),
+                     pa.array([b" ".join(words[i:j]) for i, j in cut], pa.binary()),
+                     pa.array([n[i:j].tobytes() for i, j in cut], pa.binary())], ["p", "chunk", "words", "n"])
+
+    def add(batches):
+        for group in whole_groups(batches, ["p"]):
+            p, chunk = column(group, "p"), column(group, "chunk")
+            words, n = group.column("words").to_pylist(), group.column("n").to_pylist()
+            head = starts(p)
+            for low, high in zip(head, [*head[1:], len(p)], strict=True):
+                number: defaultdict = defaultdict()
+                number.default_factory = number.__len__
+                size = [len(x) // 8 for x in n[low:high]]
+                at = np.fromiter(chain.from_iterable(map(number.__getitem__, x.split(b" ")) for x in words[low:high]), np.int64, sum(size))
+                c = np.zeros(len(number), np.int64)
+                np.add.at(c, at, np.frombuffer(b"".join(n[low:high]), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(p[low:low + 1]), pa.array([b" ".join(number)]), *(pa.array([x.tobytes()]) for x in (
+                        c, chunk[low:high], np.array(size, np.int64), at.astype(np.int32)))], ["p", "words", "c", "chunk", "size", "at"])
+
+    return (table.select("chunk", "words", "n").mapInArrow(deal, "p int, chunk bigint, words binary, n binary")
+            .repartition("p").sortWithinPartitions("p")
+            .mapInArrow(add, "p int, words binary, c binary, chunk binary, size binary, at binary"))
+
+
+def steps_of(c: np.ndarray) -> np.ndarray:
+    """Which sixteenth of a doubling a count lies in; -1 for none."""
+    return np.where(c > 0, np.floor(np.log2(np.maximum(c, 1)) * 16), -1).astype(np.int64)
+
+
+def rows_of(table: DataFrame, names: list[str], fn, schema: str) -> DataFrame:
+    """``fn`` of the named columns of each row; int64 blobs come as arrays."""
+    def apply(batches):
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                yield from fn(*row)
+    return table.select(*names).mapInArrow(apply, schema)
+
+
+def numbered(left: pa.Table, right: pa.Table) -> tuple:
+    """Of a chunk: word numbers (-1: of no training text) of its tokens, their counts, sizes of the texts and the flags."""
+    n, blob, *rest = (left.column(c)[0].as_py() for c in ("n", "tokens", "size", "learn", "scored"))
+    right = right.sort_by("p")
+    number, c = (np.frombuffer(b"".join(right.column(x).to_pylist()), kind) for x, kind in (("id", np.int32), ("c", np.int64)))
+    order = np.argsort(-np.frombuffer(n, np.int64), kind="stable")
+    return (symbols_unpacked(blob), number[order].astype(np.int64), c[order], np.frombuffer(rest[0], np.int64),
+            np.frombuffer(rest[1], bool), np.frombuffer(rest[2], bool))
 
 
 class Lexicon:
@@ -107,15 +215,10 @@ class Lexicon:
         self.index = {w: k for k, w in enumerate(words)}
         self.count = np.append(counts, 0).astype(np.int64)   # the last entry stands for words not held here
 
-    def read(self, rows: list[list[bytes]]) -> np.ndarray:
-        """Index of every word of the rows, one after the other; -1 for words not held."""
-        return np.fromiter((k for r in rows for k in map(self.index.get, r, repeat(-1))), np.int64, sum(map(len, rows)))
-
 
-def chained(rows: list[list[bytes]], symbol: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, previous and current symbol of every token; each text starts after an end and closes with one."""
-    size = np.fromiter(map(len, rows), np.int64, len(rows))
-    row = np.repeat(np.arange(len(rows)), size + 1)
+def chained(size: np.ndarray, symbol: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, previous and current symbol of every token of texts of ``size`` words; each starts after an end and closes with one."""
+    row = np.repeat(np.arange(len(size)), size + 1)
     now = np.insert(symbol, np.cumsum(size), end)
     before = np.r_[end, now[:-1]]
     return row, before, now
@@ -174,7 +277,7 @@ def bigrams(docs: DataFrame, lexicon, parts: int) -> DataFrame:
                 k = lex.index.get(w)
                 keys.append(key_of(w) if k is None else k + 1)
             symbol = np.fromiter((k for r in rows for k in map(local.__getitem__, r)), np.int64, sum(map(len, rows)))
-            _, before, now = chained(rows, symbol, 0)
+            _, before, now = chained(np.fromiter(map(len, rows), np.int64, len(rows)), symbol, 0)
             held.append(before << 32 | now)
             size += len(now)
             if size > TOKENS or len(keys) > FLUSH:
@@ -371,8 +474,20 @@ class Pack:
         return np.bincount((self.word[other].astype(np.int64) * 2 + self.side[other]) * total + label[self.nbr[other]],
                            self.n[other], hubs * 2 * total).astype(np.int64)
 
+    def drift(self, label: np.ndarray, want: np.ndarray, first: int, moves: np.ndarray, total: int) -> np.ndarray:
+        """What the class bigrams change by if the words flagged in ``moves`` move and their neighbours stay."""
+        at = np.flatnonzero(moves[self.word - first])
+        word, side, n = self.word[at], self.side[at], self.n[at]
+        c = label[self.nbr[at]].astype(np.int64)
+        both, cells = word == self.nbr[at], total * total
+        out = np.zeros(cells, np.int64)
+        for k, sign in ((label[word].astype(np.int64), -1), (want[word - first].astype(np.int64), 1)):
+            out += sign * np.bincount(np.where(both, k * (total + 1), np.where(side, c * total + k, k * total + c)),
+                                      n * ~(both & (side > 0)), cells).astype(np.int64)
+        return out
+
     def wanted(self, label: np.ndarray, joint: np.ndarray, classes: int, first: int, last: int, most: int, steps: list):
-        """Wanted class of the words from ``first`` to before ``last``, and those that gain by it as (gain, word, own, sums).
+        """Wanted class of the words from ``first`` to before ``last``, and those that gain most by it as (gain, word, own, sums).
 
         Words of equal class and equal sums, as most rare ones are, gain the same: one of each kind is rated.
         """
@@ -419,67 +534,75 @@ class Packs:
         self.spark, self.table, self.first, self.hubs, self.own = spark, table, first, hubs, own
         self.local = [Pack(r["p"], bytes(r["blob"])) for r in table.orderBy("p").collect()] if local else None
 
-    def measure(self, label: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-        """Class bigrams, and the classes around each hub."""
-        hubs, cells = self.hubs, total * total
+    def measure(self, label: np.ndarray, classes: int) -> np.ndarray:
+        """Class bigrams alone."""
+        return self._passed(label, None, classes, 0.0, 0)[2]
+
+    def wanted(self, label: np.ndarray, guess: np.ndarray, classes: int, share: float, turn: int):
+        """One pass: class every word wants if ``guess`` are the class bigrams, of the words that gain most by it (gain, word,
+        own, sums), the class bigrams themselves, and what they change by if the words of ``sampled`` that want to move do."""
+        return self._passed(label, guess, classes, share, turn)
 
-        def add(packs, label):
-            out = np.zeros(cells + hubs * 2 * total, np.int64)
+    def _passed(self, label: np.ndarray, guess: np.ndarray | None, classes: int, share: float, turn: int):
+        first, hubs, total, most = self.first, self.hubs, classes + 2, max(1, TURNS // (len(self.first) - 1 or 1))
+        steps, cells = None if guess is None else small_steps(guess), total * total
+
+        def rate(packs, label, guess, first, steps):
+            """Per pack (p, want, gain, word, own, sums); at the end what all of them add up to."""
+            out = np.zeros(2 * cells + hubs * 2 * total, np.int64)
             for pack in packs:
                 out[:cells] += pack.bigrams(label, total)
                 if pack.p < 0:
-                    out[cells:] += pack.shared(label, total, hubs)
-            return out
-
+                    out[2 * cells:] += pack.shared(label, total, hubs)
+                if pack.p < 0 or guess is None:
+                    continue
+                low, high = int(first[pack.p]), int(first[pack.p + 1])
+                want, rows = pack.wanted(label, guess, classes, low, high, most, steps)
+                moves = (want != label[low:high]) & sampled(np.arange(low, high), share, turn)
+                moves[rows[1] - low] = False
+                out[cells:2 * cells] += pack.drift(label, want, low, moves, total)
+                yield pack.p, want, *rows
+            yield -1, out
+
+        out, found, sums = label.copy(), [], np.zeros(2 * cells + hubs * 2 * total, np.int64)
         if self.local is not None:
-            out = add(self.local, label)
+            for p, want, *rows in rate(self.local, label, guess, first, steps):
+                if rows:
+                    out[first[p]:first[p + 1]] = want
+                    found.append(rows)
+                else:
+                    sums += want
         else:
-            shared = self.spark.sparkContext.broadcast(label)
+            shared = self.spark.sparkContext.broadcast((label, guess, first, steps))
+            names = ["gain", "word", "own", "sums"]
 
             def apply(batches):
-                out = add(_packs(batches), shared.value)
-                at = np.flatnonzero(out)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["at", "n"])
-
-            found = (self.table.mapInArrow(apply, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
-                     .toPandas())   # at most HUBS words' and the class bigrams
-            out = np.zeros(cells + hubs * 2 * total, np.int64)
-            out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+                for p, want, *rows in rate(_packs(batches), *shared.value):
+                    at = np.flatnonzero(want) if not rows else None
+                    blobs = [want, *rows] if rows else [want[at], np.zeros(0), at, *[np.zeros(0, np.int64)] * 2]
+                    yield pa.RecordBatch.from_arrays([pa.array([p]), *(pa.array([x.tobytes()]) for x in blobs)], ["p", "want", *names])
+
+            rows = self.table.mapInArrow(apply, "p bigint, want binary, " + ", ".join(f"{c} binary" for c in names))
+            for r in rows.collect():   # one byte for each word, the sums of about TURNS words, and of each task the class bigrams
+                gain, word, own, around = (np.frombuffer(bytes(r[c]), np.float64 if c == "gain" else np.int64) for c in names)
+                if r["p"] < 0:
+                    sums[word] += np.frombuffer(bytes(r["want"]), np.int64)
+                else:
+                    out[first[r["p"]]:first[r["p"] + 1]] = np.frombuffer(bytes(r["want"]), np.int8)
+                    found.append((gain, word, own, around.reshape(-1, 2, total)))
             shared.destroy()
-        return out[:cells].reshape(total, total), out[cells:].reshape(hubs, 2, total)
-
-    def wanted(self, label: np.ndarray, joint: np.ndarray, hub_sums: np.ndarray, classes: int):
-        """Class every word wants, and of the words that gain most by it (gain, word, own, sums)."""
-        out, first, total, most = label.copy(), self.first, len(joint), max(1, TURNS // (len(self.first) - 1 or 1))
-        own, hubs, steps = self.own[1:], hub_sums[1:], small_steps(joint)
-        out[1:self.hubs], gain = choose(hubs, own, label[1:self.hubs].astype(np.int64), joint, classes)
+        joint, drift = sums[:2 * cells].reshape(2, total, total)
+        around, own = sums[2 * cells:].reshape(hubs, 2, total)[1:], self.own[1:]
+        out[1:hubs], gain = choose(around, own, label[1:hubs].astype(np.int64), joint, classes)
         k = np.flatnonzero(gain)
-        found = [_most([(gain[k], k + 1, own[k], hubs[k])], TURNS)]
-        if self.local is not None:
-            for pack in self.local:
-                if pack.p >= 0:
-                    low, high = first[pack.p], first[pack.p + 1]
-                    out[low:high], rows = pack.wanted(label, joint, classes, low, high, most, steps)
-                    found.append(rows)
-        else:
-            shared = self.spark.sparkContext.broadcast((label, joint, first, steps))
+        found.append((gain[k], k + 1, own[k], around[k]))
+        return out, _most(found, TURNS), joint, drift
 
-            def apply(batches):
-                label, joint, first, steps = shared.value
-                for pack in _packs(batches):
-                    want, rows = pack.wanted(label, joint, classes, int(first[pack.p]), int(first[pack.p + 1]), most, steps)
-                    blobs = [x.tobytes() for x in rows]
-                    yield pa.RecordBatch.from_arrays([pa.array([pack.p]), pa.array([want.tobytes()]),
-                                                      *(pa.array([x]) for x in blobs)], ["p", "want", "gain", "word", "own", "sums"])
-
-            rows = self.table.where("p >= 0").mapInArrow(
-                apply, "p bigint, want binary, gain binary, word binary, own binary, sums binary")
-            for r in rows.collect():   # one byte for each word, and the sums of about TURNS words
-                out[first[r["p"]]:first[r["p"] + 1]] = np.frombuffer(bytes(r["want"]), np.int8)
-                found.append((np.frombuffer(bytes(r["gain"])), *(np.frombuffer(bytes(r[c]), np.int64) for c in ("word", "own")),
-                              np.frombuffer(bytes(r["sums"]), np.int64).reshape(-1, 2, total)))
-            shared.destroy()
-        return out, _most(found, TURNS)
+
+def sampled(word: np.ndarray, share: float, turn: int) -> np.ndarray:
+    """About ``share`` of the words, others in each turn."""
+    mix = (word + turn * 7919).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mix >> np.uint64(11)).astype(np.float64) < share * 2.0 ** 53
 
 
 def _most(rows: list[tuple], most: int) -> tuple:
@@ -489,8 +612,8 @@ def _most(rows: list[tuple], most: int) -> tuple:
     return gain[at], word[at], own[at], sums[at]
 
 
-def in_turn(rows: tuple, label: np.ndarray, joint: np.ndarray, classes: int) -> np.ndarray:
-    """Labels after the words of ``rows`` moved one by one, each by the class bigrams that those before it left."""
+def in_turn(rows: tuple, label: np.ndarray, joint: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and class bigrams after the words of ``rows`` moved one by one, each by the class bigrams that those before it left."""
     label, joint = label.copy(), joint.copy()
     for _, word, own, sums in zip(*rows, strict=True):
         a = label[word]
@@ -501,7 +624,7 @@ def in_turn(rows: tuple, label: np.ndarray, joint: np.ndarray, classes: int) ->
                 joint[:, k] += sign * sums[1]
                 joint[k, k] += sign * own
             label[word] = want[0]
-    return label
+    return label, joint
 
 
 def _packs(batches):
@@ -510,29 +633,33 @@ def _packs(batches):
             yield Pack(p, blob.as_buffer())
 
 
-def packed(edges: DataFrame, first: np.ndarray, hubs: int, shares: int) -> DataFrame:
-    """(p, blob): both ends of the bigrams (u, v, n) by pack; hubs' ones lie in ``shares`` packs below 0."""
-    def cut(u, v, n):
-        word, nbr = np.r_[u, v], np.r_[v, u]
-        side = np.repeat(np.array([0, 1], np.int8), len(u))
-        mix = ((nbr * 2 + side).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64)
-        p = np.where(word < hubs, -1 - (mix + word) % shares, np.searchsorted(first, word, "right") - 1)
-        order = np.lexsort((word, p))
-        p, *parts = (x[order] for x in (p, word, nbr, side, np.r_[n, n]))
-        head = starts(p)
-        blobs = [Pack.bytes_of(*(x[low:high] for x in parts)) for low, high in zip(head, [*head[1:], len(p)], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(p[head].astype(np.int32)), pa.array(blobs, pa.binary())], ["p", "blob"])
+def packed(table: DataFrame, ids: DataFrame, first: np.ndarray, hubs: int, shares: int) -> DataFrame:
+    """(p, blob): both ends of the training texts' bigrams by pack; hubs' ones lie in ``shares`` packs below 0."""
+    shared = table.sparkSession.sparkContext.broadcast(first)
 
-    def both(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append([column(batch, c) for c in "uvn"])
-            size += 2 * batch.num_rows
-            if size > FLUSHED:
-                yield cut(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                held, size = [], 0
-        if size:
-            yield cut(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    def cut(word, nbr, side, n):
+        p = np.searchsorted(shared.value, word, "right") - 1
+        few = np.searchsorted(word, hubs)          # words are sorted
+        mix = ((nbr[:few] * 2 + side).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64)
+        p[:few] = -1 - (mix + word[:few]) % shares
+        order = np.r_[np.argsort(p[:few], kind="stable"), np.arange(few, len(p))]
+        p, word, nbr, n = (x[order] for x in (p, word, nbr, n))
+        head = starts(p)
+        sides = np.full(len(p), side, np.int8)
+        blobs = [Pack.bytes_of(word[i:j], nbr[i:j], sides[i:j], n[i:j]) for i, j in zip(head, [*head[1:], len(p)], strict=False)]
+        return pa.Table.from_arrays([pa.array(p[head].astype(np.int32)), pa.array(blobs, pa.binary())], ["p", "blob"])
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        at, number, _, size, learn, _ = numbered(left, right)
+        _, before, now = chained(size[learn], number[at[np.repeat(learn, size)]], 0)
+        out = []
+        pair, n = np.unique(before << 32 | now, return_counts=True)
+        out.append(cut(pair >> 32, pair & 0xFFFFFFFF, 0, n))
+        pair = pair >> 32 | (pair & 0xFFFFFFFF) << 32
+        order = np.argsort(pair)
+        pair, n = pair[order], n[order]
+        out.append(cut(pair >> 32, pair & 0xFFFFFFFF, 1, n))
+        return pa.concat_tables(out)
 
     def pack(batches):
         for group in whole_groups(batches, ["p"]):
@@ -540,13 +667,22 @@ def packed(edges: DataFrame, first: np.ndarray, hubs: int, shares: int) -> DataF
             head = starts(p)
             for low, high in zip(head, [*head[1:], len(p)], strict=True):
                 found = [Pack(0, b) for b in blobs[low:high]]
-                parts = [np.concatenate([getattr(x, c) for x in found]) for c in ("word", "nbr", "side", "n")]
-                order = np.argsort(parts[0], kind="stable")
-                yield pa.RecordBatch.from_arrays([pa.array(p[low:low + 1]), pa.array(
-                    [Pack.bytes_of(*(x[order] for x in parts))], pa.binary())], ["p", "blob"])
+                word, nbr, side, n = (np.concatenate([getattr(x, c) for x in found]) for c in ("word", "nbr", "side", "n"))
+                key = word.astype(np.int64) << 32 | nbr.astype(np.int64) << 1 | side
+                order = np.argsort(key)
+                key = key[order]
+                new = starts(key)
+                key = key[new]
+                yield pa.RecordBatch.from_arrays([pa.array(p[low:low + 1]), pa.array([Pack.bytes_of(
+                    key >> 32, key >> 1 & 0x7FFFFFFF, (key & 1).astype(np.int8), np.add.reduceat(n[order], new))], pa.binary())], ["p", "blob"])
 
-    return (edges.mapInArrow(both, "p int, blob binary").repartition("p").sortWithinPartitions("p")
-            .mapInArrow(pack, "p int, blob binary"))
+    sent = chunked(table, ["chunk", "n", "tokens", "size", "learn", "scored"], ids, send, "p int, blob binary")
+    return sent.repartition("p").sortWithinPartitions("p").mapInArrow(pack, "p int, blob binary")
+
+
+def chunked(table: DataFrame, names: list[str], ids: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn`` of each chunk and the numbers of its words; both lie in equal buckets, so nothing is shuffled."""
+    return table.select(*names).groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(fn, schema)
 
 
 def likelihood(joint: np.ndarray) -> float:
@@ -557,38 +693,50 @@ def likelihood(joint: np.ndarray) -> float:
 
 
 def exchange_all(packs: Packs, label: np.ndarray, classes: int, least_gain: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all words and the class bigrams after exchange rounds, until no word or too little is gained."""
-    total, share, rounds = classes + 2, 1.0, 0
-    joint, around = packs.measure(label, total)
+    """Classes of all words and the class bigrams after exchange rounds, until no word or too little is gained.
+
+    A pass counts the class bigrams of a trial and rates all words by what they were expected to be, so a round takes one pass. An
+    expectation that is far off costs gain, never the count: a trial stands only if the likelihood as counted has risen.
+    """
+    share, turn, last = SHARE, 0, None
+    guess = packs.measure(label, classes)
     while True:
-        want, most = packs.wanted(label, joint, around, classes)
-        movers = np.flatnonzero(want != label)
-        if not len(movers):
-            return label, joint
-        placing = bool((label > classes).any())
-        rest = movers[~np.isin(movers, most[1])]
-        n = len(most[0])
-        while True:
-            rounds += 1
-            if placing:
-                trial = want
+        turn += 1
+        want, most, joint, drift = packs.wanted(label, guess, classes, share, turn)
+        if (label > classes).any():      # all words without a class take one at once
+            if not (want != label).any():
+                return label, joint
+            label, guess = want, packs.measure(want, classes)
+            continue
+        if last is not None:
+            gain = likelihood(joint) - likelihood(last[1])
+            if gain > 0:
+                if gain < least_gain * joint.sum():
+                    return label, joint
+                share = min(SHARE, share * 1.25)
             else:
-                trial = in_turn([x[:n] for x in most], label, joint, classes)
-                mix = (rest + rounds * 7919).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                some = rest[(mix >> np.uint64(11)).astype(np.float64) < share * 2.0 ** 53]
-                trial[some] = want[some]
-            next_joint, next_around = packs.measure(trial, total)
-            gain = likelihood(next_joint) - likelihood(joint)
-            if placing or gain > 0:
-                label, joint, around = trial, next_joint, next_around
-                share = 1.0 if placing else min(0.5, share * 1.25)
-                if not placing and gain < least_gain * joint.sum():
+                label, joint, want, most, drift, rated, exact = last
+                if n == 1 and not len(some):
+                    if exact:
+                        return label, joint      # no gain beyond rounding is left
+                    guess, last = joint, None
+                    continue
+                n, drift, share = max(1, n // 4), drift // 2, share / 2
+        if last is None or gain > 0:
+            n, rated = len(most[0]), turn
+            exact = (guess == joint).all()
+            last = label, joint, want, most, drift, rated, exact
+            movers = np.flatnonzero(want != label)
+            if not len(movers):
+                if exact:
                     return label, joint
-                break
-            if n == 1 and not len(some):
-                return label, joint   # no gain beyond rounding is left
-            n, share = max(1, n // 4), share / 2
-            rest = rest if share * len(rest) >= 1 else rest[:0]
+                guess, last = joint, None
+                continue
+            rest = movers[~np.isin(movers, most[1])]
+        some = rest[sampled(rest, share, rated)] if share * len(rest) >= 1 else rest[:0]
+        label, guess = in_turn([x[:n] for x in most], label, joint, classes)
+        label[some] = want[some]
+        guess = np.maximum(guess + drift, 0)
 
 
 def tables(joint: np.ndarray, tokens: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -611,67 +759,93 @@ class ClassModel:
 
 
 class Clusters:
-    """What ``cluster`` learns: the dictionary, the other words with their numbers, classes and class bigrams."""
+    """What ``cluster`` learns: classes and class bigrams, and the chunks of the texts with the numbers of their words."""
 
 
 def cluster(training: DataFrame, head: int, classes: int, dictionary: int, least_gain: float = 0.0) -> Clusters:
     """Exchange clustering of all words of ``training``. The end is word 0, dictionary words follow by frequency."""
-    spark, out = training.sparkSession, Clusters()
-    counts = materialize(word_counts(training), "word-counts")
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
-                      F.coalesce(F.sum(F.when(F.col("word") == "", F.col("c"))), F.lit(0)).alias("ends")).first()
-    out.tokens, out.types, out.ends = sums["n"], sums["v"], sums["ends"]
-    words = counts.where("word <> ''")
-    frequent = bound(words, dictionary)
-    frame = words.where(frequent).toPandas().sort_values(["c", "word"], ascending=[False, True])
-    out.words, out.counts = [w.encode() for w in frame["word"]], frame["c"].to_numpy(np.int64)
-    known = len(out.words)
-    lexicon = spark.sparkContext.broadcast(Lexicon(out.words, out.counts))
-    hubs = 1 + int((out.counts > max(out.tokens // HUBS, PACK // 4)).sum())
-
-    # packs: known words by their share of the bigrams, others by key
-    load = np.cumsum(2 * out.counts[hubs - 1:]) // PACK
+    return learn(training.select(kept_of([]), "text", F.lit(True).alias("learn"), F.lit(False).alias("scored")),
+                 head, classes, dictionary, least_gain)
+
+
+def learn(rows: DataFrame, head: int, classes: int, dictionary: int, least_gain: float) -> Clusters:
+    """``cluster`` of the rows (kept, text, learn, scored) flagged ``learn``; texts of all rows are numbered."""
+    spark, out = rows.sparkSession, Clusters()
+    out.chunks, buckets = chunks(rows)
+    parts = materialize(word_parts(out.chunks), "word-counts")
+
+    def count(p, c):
+        c = np.frombuffer(c, np.int64)
+        bins = np.bincount(steps_of(c[c > 0]), minlength=BINS)
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([x]) for x in (
+            int(c.sum()), int((c > 0).sum()), bins.tobytes()))], ["p", "tokens", "types", "bins"])
+
+    found = rows_of(parts, ["p", "c"], count, "p int, tokens bigint, types bigint, bins binary").collect()
+    out.ends = out.chunks.agg(F.coalesce(F.sum("ends"), F.lit(0)).alias("n")).first()["n"]
+    out.tokens = sum(r["tokens"] for r in found) + out.ends
+    out.types = sum(r["types"] for r in found) + (out.ends > 0)
+    # the lowest count that no more than ``dictionary`` words reach
+    reach = np.cumsum(sum((np.frombuffer(r["bins"], np.int64) for r in found), np.zeros(BINS, np.int64))[::-1])[::-1]
+    low = int(np.argmax(np.r_[reach, 0] <= dictionary))
+
+    def frequent(p, words, c):
+        at = np.flatnonzero(steps_of(np.frombuffer(c, np.int64)) >= low)
+        words = words.split(b" ")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), p, np.int32)), pa.array(at), pa.array([words[k] for k in at.tolist()], pa.binary()),
+             pa.array(np.frombuffer(c, np.int64)[at])], ["p", "at", "word", "c"])
+
+    frame = rows_of(parts, ["p", "words", "c"], frequent, "p int, at bigint, word binary, c bigint").toPandas()
+    frame = frame.assign(word=frame["word"].map(bytes)).sort_values(["c", "word"], ascending=[False, True])
+    counts = frame["c"].to_numpy(np.int64)
+    known = len(counts)
+    hubs = 1 + int((counts > max(out.tokens // HUBS, PACK // 4)).sum())
+
+    # numbers: known words by frequency, the others part by part
+    part, place, number = frame["p"].to_numpy(np.int64), frame["at"].to_numpy(np.int64), np.arange(1, known + 1)
+    order = np.lexsort((place, part))
+    part, place, number = part[order], place[order], number[order]
+    rare = np.zeros(max([r["p"] for r in found], default=0) + 1, np.int64)
+    for r in found:
+        rare[r["p"]] = r["types"]
+    rare -= np.bincount(part, minlength=len(rare))
+    shared = spark.sparkContext.broadcast((known + 1 + np.cumsum(rare) - rare, part, place, number))
+
+    def identify(p, c, chunk, size, at):
+        offset, part, place, number = shared.value
+        c, chunk, size, at = (np.frombuffer(x, kind) for x, kind in ((c, np.int64), (chunk, np.int64), (size, np.int64), (at, np.int32)))
+        ids = np.full(len(c), -1, np.int32)
+        few = slice(*np.searchsorted(part, [p, p + 1]))
+        others = c > 0
+        others[place[few]] = False
+        ids[others] = offset[p] + np.arange(others.sum())
+        ids[place[few]] = number[few]
+        cut = np.cumsum(size)[:-1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(chunk), pa.array(np.full(len(chunk), p, np.int32)),
+             *(pa.array([y.tobytes() for y in np.split(x[at], cut)], pa.binary()) for x in (ids, c))], ["chunk", "p", "id", "c"])
+
+    out.ids = bucketed(rows_of(parts, ["p", "c", "chunk", "size", "at"], identify, "chunk bigint, p int, id binary, c binary")
+                       .repartition(buckets, "chunk"), buckets)
+
+    # packs by their share of the bigrams
+    load = np.cumsum(2 * counts[hubs - 1:]) // PACK
     head_of = hubs + starts(load) if len(load) else np.zeros(0, np.int64)
-    rare = words.where(~frequent)
-    rare_tokens = out.tokens - out.ends - int(out.counts.sum())
-    rare_packs = max(1, -(-2 * rare_tokens // PACK))
-    keys = (rare.select(key_column(F.col("word")).alias("key")).distinct()
-            .withColumn("p", F.pmod("key", F.lit(rare_packs)).cast("int"))
-            .withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("key"))))
-    keys = materialize(keys, "word-keys")
-    size = np.zeros(rare_packs, np.int64)
-    for r in keys.groupBy("p").agg(F.count("*").alias("n")).collect():
-        size[r["p"]] = r["n"]
-    offset = known + 1 + np.cumsum(size) - size
-    first = np.r_[head_of, offset, known + 1 + size.sum()].astype(np.int64)
-    offsets = spark.createDataFrame([(p, int(o)) for p, o in enumerate(offset)], "p int, o bigint")
-    ids = keys.join(F.broadcast(offsets), "p").select("key", (F.col("o") + F.col("k") - 1).alias("id"))   # one row a pack
-    out.rare = materialize(rare.withColumn("key", key_column(F.col("word"))).join(ids, "key")
-                           .select("word", "c", "id"), "rare-words")
-
-    edges = materialize(bigrams(training, lexicon, int(max(100, -(-out.tokens // TOKENS)))), "bigrams")
-
-    def numbered(df, c):
-        return df.where(F.col(c) >= 0).unionByName(
-            df.where(F.col(c) < 0).join(ids.withColumnRenamed("key", c), c).drop(c).withColumnRenamed("id", c))
-
-    head = min(head, known)
-    own = np.zeros(hubs, np.int64)
-    for r in edges.where(f"u = v AND u BETWEEN 0 AND {hubs - 1}").collect():
-        own[r["u"]] = r["n"]
-    hub_tokens = out.ends + int(out.counts[:hubs - 1].sum())
-    table, path = packed(numbered(numbered(edges, "u"), "v"), first, hubs, max(1, -(-2 * hub_tokens // PACK))), scratch_path(spark, "packs")
+    rare_packs = max(1, -(-2 * (out.tokens - out.ends - int(counts.sum())) // PACK))
+    words = known + 1 + int(rare.sum())
+    first = np.r_[head_of, np.unique(known + 1 + np.arange(rare_packs) * int(rare.sum()) // rare_packs), words].astype(np.int64)
+    hub_tokens = out.ends + int(counts[:hubs - 1].sum())
+    path = scratch_path(spark, "packs")
+    table = packed(out.chunks, out.ids, first, hubs, max(1, -(-2 * hub_tokens // PACK)))
     table.write.option("maxRecordsPerFile", FILE).parquet(path)   # a task reads few files, so few packs, at a time
     table = spark.read.schema(table.schema).parquet(path)
-    packs = Packs(spark, table, first, hubs, own, 2 * edges.count() <= LOCAL)
 
     # start: the head words by themselves, the end in a class of its own, all others in none
-    symbol = lambda c: F.when(F.col(c).between(1, head), F.col(c) - 1).when(F.col(c) == 0, head + 1).otherwise(head)
-    near = edges.groupBy(symbol("u").alias("u"), symbol("v").alias("v")).agg(F.sum("n").alias("n")).toPandas()
-    pairs = np.zeros((head + 2, head + 2))
-    pairs[near["u"].to_numpy(np.int64), near["v"].to_numpy(np.int64)] = near["n"].to_numpy()
+    head = min(head, known)
+    own, pairs, size = started(table, head, hubs)
+    packs = Packs(spark, table, first, hubs, own, size <= LOCAL)
     classes = min(classes, max(head, 1))
-    label = np.full(first[-1], classes + 1, np.int8)
+    label = np.full(words, classes + 1, np.int8)
     label[0] = classes
     label[1:head + 1] = exchange(pairs, head, classes)[:head]
     out.label, joint = exchange_all(packs, label, classes, least_gain)
@@ -685,105 +859,70 @@ def cluster(training: DataFrame, head: int, classes: int, dictionary: int, least
     return out
 
 
-def score(docs: DataFrame, training: DataFrame, head: int = HEAD, classes: int = CLASSES,
+def started(table: DataFrame, head: int, hubs: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Bigrams of each hub with itself, bigrams of the head (then all others as one, then the end), and the number of entries."""
+    width = head + 2
+
+    def count(batches):
+        near, own, size = np.zeros(width * width, np.int64), np.zeros(hubs, np.int64), 0
+        for pack in _packs(batches):
+            size += len(pack.n)
+            right = pack.side == 0
+            u, v, n = pack.word[right], pack.nbr[right], pack.n[right]
+            if pack.p < 0:
+                np.add.at(own, u[u == v], n[u == v])
+            u, v = (np.where(x > head, head, np.where(x == 0, head + 1, x - 1)).astype(np.int64) for x in (u, v))
+            np.add.at(near, u * width + v, n)
+        for what, x in ((NEAR, near), (OWN, own), (SIZE, np.array([size]))):
+            at = np.flatnonzero(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), what, np.int32)), pa.array(at), pa.array(x[at])], ["what", "at", "n"])
+
+    found = table.mapInArrow(count, "what int, at bigint, n bigint").groupBy("what", "at").agg(F.sum("n").alias("n")).toPandas()
+    out = []
+    for what, size in ((NEAR, width * width), (OWN, hubs), (SIZE, 1)):
+        x, rows = np.zeros(size, np.int64), found[found["what"] == what]
+        x[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+        out.append(x)
+    return out[1], out[0].reshape(width, width).astype(np.float64), int(out[2][0])
+
+
+def score(docs: DataFrame, training: DataFrame | Column, head: int = HEAD, classes: int = CLASSES,
           lookup: int = LOOKUP, least_gain: float = 0.0) -> DataFrame:
     """``docs`` (any columns, text) with n_tokens, n_known, train_tokens, base_score, score and perplexity.
 
-    ``head`` words start the clustering, which goes on while rounds gain ``least_gain`` a token; scoring tasks hold the
-    counts of ``lookup`` words.
+    ``training`` is a table of texts, or a condition on the rows of ``docs``, which are then read once. ``head`` words start the
+    clustering, which goes on while rounds gain ``least_gain`` a token. ``lookup`` has no effect any more: the counts of
+    words come with the texts.
     """
     spark = docs.sparkSession
-    learned = cluster(training, head, classes, LOOKUP, least_gain)
-    lookup = min(lookup, len(learned.words))
-    end = learned.transition.shape[0] - 2   # the last one stands for unseen words
-    shared = spark.sparkContext.broadcast(Lexicon(learned.words[:lookup], learned.counts[:lookup]))
-    model = spark.sparkContext.broadcast((np.append(learned.label[1:lookup + 1], 0).astype(np.int64), learned.transition,
-                                          learned.emission, learned.ends))
-    every = spark.sparkContext.broadcast(learned.label)   # one byte for each word
-    others = learned.rare
-    if lookup < len(learned.words):
-        others = others.unionByName(spark.createDataFrame(
-            [(w.decode(), int(c), k + 1) for k, (w, c) in enumerate(zip(learned.words, learned.counts, strict=True))
-             if k >= lookup], "word string, c bigint, id bigint"))
     keep = [c for c in docs.columns if c != "text" and c not in ADDED]
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-
-    def read(batches):
-        lx, (label, transition, emission, ends) = shared.value, model.value
-        gain = np.log10(lx.count + 1.0) - emission[label]
-        logs = np.log10(lx.count + 1.0)
-        for batch in slices(batches):
-            rows = [words_of(t) for t in texts(batch)]
-            at = lx.read(rows)
-            size = np.fromiter(map(len, rows), np.int64, len(rows))
-            word_row = np.repeat(np.arange(len(rows)), size)
-            first = np.r_[0, np.cumsum(size)]
-            ref, rare, times = label[at], [], []
-            missing = np.flatnonzero(at < 0)
-            cut = np.searchsorted(missing, first)
-            for k, r in enumerate(rows):
-                places: dict[bytes, int] = {}
-                count: Counter = Counter()
-                for j in missing[cut[k]:cut[k + 1]].tolist():
-                    w = r[j - first[k]]
-                    ref[j] = -1 - places.setdefault(w, len(places))
-                    count[w] += 1
-                rare.append([w.decode() for w in places])
-                times.append([count[w] for w in places])
-            row, a, b = chained(rows, ref, end)
-            open_ = (a < 0) | (b < 0)
-            chain = np.bincount(row[~open_], transition[a[~open_], b[~open_]], len(rows))
-            chain = chain + np.bincount(word_row, gain[at] * (at >= 0), len(rows)) + np.log10(ends + 1.0) - emission[end]
-            held = np.bincount(word_row, at >= 0, len(rows)) + (ends > 0)
-            sums = np.bincount(word_row, logs[at] * (at >= 0), len(rows)) + np.log10(ends + 1.0)
-            part = np.searchsorted(row[open_], np.arange(len(rows) + 1))
-            steps = [pa.ListArray.from_arrays(pa.array(part, pa.int32()), pa.array(x[open_], pa.int32())) for x in (a, b)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(size + 1), pa.array(held.astype(np.int64)), pa.array(sums),
-                 pa.array(chain), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64())), *steps],
-                [*keep, *PARTS])
-
-    local = materialize(docs.select(*[F.col(f"`{c}`") for c in keep], "text").mapInArrow(
-        read, kinds + "n_tokens bigint, held bigint, logs double, chain double, rare array<string>, rare_n array<bigint>, "
-                      "before array<int>, now array<int>").withColumn("_row", F.monotonically_increasing_id()), "class-scores")
-    found = (local.select("_row", F.posexplode("rare").alias("_k", "word")).join(others, "word").groupBy("_row")
-             .agg(F.collect_list(F.struct("_k", "c", "id")).alias("f"))
-             .select("_row", F.col("f._k").alias("_k"), F.col("f.c").alias("_c"), F.col("f.id").alias("_id")))
-
-    def finish(batches):
-        _, transition, emission, _ = model.value
-        for batch in slices(batches, 1024):
-            def flat(name, batch=batch):
-                lists = batch.column(name)
-                return (lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                        lists.flatten())
-
-            n_rows = batch.num_rows
-            size, words = flat("rare")
-            first = np.cumsum(size) - size
-            label, c = np.full(len(words), end + 1, np.int64), np.zeros(len(words))
-            seen, place = flat("_k")
-            place = np.repeat(first, seen) + place.to_numpy(zero_copy_only=False).astype(np.int64)
-            c[place] = flat("_c")[1].to_numpy(zero_copy_only=False)
-            label[place] = every.value[flat("_id")[1].to_numpy(zero_copy_only=False).astype(np.int64)]
-            times = flat("rare_n")[1].to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(n_rows), size)
-            more = np.bincount(row, times * np.log10(c + 1), n_rows)
-            steps, a = flat("before")
-            step_row = np.repeat(np.arange(n_rows), steps)
-            classes_of = lambda x: np.where(x < 0, label[np.where(x < 0, first[step_row] - 1 - x, 0)] if len(label) else 0, x)
-            a, b = (classes_of(x.to_numpy(zero_copy_only=False).astype(np.int64)) for x in (a, flat("now")[1]))
-            chain = (column(batch, "chain") + np.bincount(row, times * (np.log10(c + 1) - emission[label]), n_rows)
-                     + np.bincount(step_row, transition[a, b], n_rows))
-            held = column(batch, "held") + np.bincount(row, times * (c > 0), n_rows)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in keep), batch.column("n_tokens"), pa.array(held.astype(np.int64)),
-                 pa.array(column(batch, "logs") + more), pa.array(chain)], [*keep, "n_tokens", "n_known", "logs", "score"])
-
-    done = local.join(found, "_row", "left").select(*[F.col(f"`{c}`") for c in keep], *PARTS, "_k", "_c", "_id")
-    return (done.mapInArrow(finish, kinds + "n_tokens bigint, n_known bigint, logs double, score double")
-            .select(*[F.col(f"`{c}`") for c in keep], "n_tokens", "n_known",
-                    F.lit(learned.tokens).cast("bigint").alias("train_tokens"),
-                    (F.col("logs") - F.col("n_tokens") * float(np.log10(learned.tokens + learned.types + 1))).alias("base_score"),
-                    "score")
+    flag = F.coalesce(training, F.lit(False)) if isinstance(training, Column) else F.lit(False)
+    rows = docs.select(kept_of(keep), "text", flag.alias("learn"), F.lit(True).alias("scored"))
+    if not isinstance(training, Column):
+        rows = rows.unionByName(training.select(F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"), "text",
+                                                F.lit(True).alias("learn"), F.lit(False).alias("scored")))
+    learned = learn(rows, head, classes, LOOKUP, least_gain)
+    end, base = learned.transition.shape[0] - 2, float(np.log10(learned.tokens + learned.types + 1))   # the last class stands for unseen words
+    model = spark.sparkContext.broadcast((learned.label, learned.transition, learned.emission, learned.ends))   # one byte for each word
+
+    def rate(left: pa.Table, right: pa.Table) -> pa.Table:
+        label, transition, emission, ends = model.value
+        at, number, c, size, _, scored = numbered(left, right)
+        kept = left.column("kept").combine_chunks().flatten().filter(pa.array(scored))
+        at, size = at[np.repeat(scored, size)], size[scored]
+        kind = np.where(number < 0, end + 1, label[number]).astype(np.int64)
+        logs, rows = np.log10(c + 1.0), len(size)
+        row, a, b = chained(size, kind[at], end)
+        word_row = np.repeat(np.arange(rows), size)
+        total = np.bincount(word_row, logs[at], rows) + np.log10(ends + 1.0)
+        steps = (np.bincount(row, transition[a, b], rows) + np.bincount(word_row, (logs - emission[kind])[at], rows)
+                 + np.log10(ends + 1.0) - emission[end])
+        held = np.bincount(word_row, c[at] > 0, rows).astype(np.int64) + (ends > 0)
+        return pa.Table.from_arrays([kept, pa.array(size + 1), pa.array(held), pa.array(total - (size + 1) * base), pa.array(steps)],
+                                    ["kept", "n_tokens", "n_known", "base_score", "score"])
+
+    done = chunked(learned.chunks, ["chunk", "kept", "n", "tokens", "size", "learn", "scored"], learned.ids, rate,
+                   f"kept {rows.schema['kept'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base_score double, score double")
+    return (done.select(*unpacked(keep), "n_tokens", "n_known", F.lit(learned.tokens).cast("bigint").alias("train_tokens"),
+                        "base_score", "score")
             .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))))

@@ -3,7 +3,9 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 from llm_fixtures import ODD, frame, invented
+from pyspark.sql import functions as F
 
 from ledgerpulse.llm import class_lm
 
@@ -107,3 +109,40 @@ def test_bigrams_as_blobs_add_up(spark, monkeypatch):
     lexicon = spark.sparkContext.broadcast(class_lm.Lexicon(words, np.ones(len(words), np.int64)))
     got = class_lm.bigrams(docs, lexicon, 7).collect()
     assert len(got) == len(want) and {(r["u"], r["v"]): r["n"] for r in got} == want
+
+
+def test_texts_are_read_once_in_many_chunks(spark, monkeypatch):
+    """A condition on the rows trains like a table of those rows; words and blanks of odd texts are split alike."""
+    monkeypatch.setattr(class_lm, "TOKENS", 300)
+    docs = frame(spark, invented(30) + ODD)
+    condition = F.coalesce("doc_id", F.lit(0)) % 3 != 1
+    a, b = (sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["base_score"], r["score"])
+                   for r in class_lm.score(docs, training, head=10, classes=4).collect())
+            for training in (condition, docs.where(condition)))
+    assert len(a) == docs.count()
+    assert all(x[:3] == y[:3] and np.allclose(x[3:], y[3:], rtol=1e-9) for x, y in zip(a, b, strict=True))
+    odd = ["  A\x1cb \x0b\x0cC\r\n", "", " ", None, "É x\x85Y \x1fz\t", "one"]
+    words, size = class_lm.split_words(pa.array(odd, pa.string()))
+    want = [class_lm.words_of(t or "") for t in odd]
+    assert words.cast(pa.binary()).to_pylist() == [w for t in want for w in t] and size.tolist() == [len(t) for t in want]
+    for x in (np.array([0, 255, 256, 65534, 65535, 65536, 1 << 30]), np.zeros(0, np.int64)):
+        assert (class_lm.symbols_unpacked(class_lm.symbols_packed(x)) == x).all()
+
+
+def test_drift_is_the_change_of_the_class_bigrams():
+    """Of one word that moves, with bigrams on either side and with itself; a round so needs no pass to count alone."""
+    word, nbr = np.full(5, 7), np.array([3, 4, 7, 3, 7])
+    pack = class_lm.Pack(0, class_lm.Pack.bytes_of(word, nbr, np.array([0, 0, 0, 1, 1], np.int8), np.array([5, 1, 2, 300, 2])))
+    before = np.array([0, 0, 0, 1, 2, 0, 0, 0], np.int8)
+    after = before.copy()
+    after[7] = 2
+
+    def counted(label):
+        out = np.zeros((3, 3), np.int64)
+        for u, v, n in ((7, 3, 5), (7, 4, 1), (7, 7, 2), (3, 7, 300)):
+            out[label[u], label[v]] += n
+        return out
+
+    drift = pack.drift(before, after[7:8], 7, np.array([True]), 3)
+    assert (drift.reshape(3, 3) == counted(after) - counted(before)).all()
+    assert not pack.drift(before, after[7:8], 7, np.array([False]), 3).any()
