@@ -180,6 +180,81 @@ def test_autoencoder_is_one_model_on_any_number_of_tasks(data, monkeypatch):
     np.testing.assert_allclose(many.losses, one.losses, rtol=1e-6)
 
 
+def plain_training(m, x, ids, spark, batch_size, epochs):
+    """The same training step by step, by the plain rules; (weights, moments, steps) after the last epoch."""
+    ids = spark.createDataFrame([(i,) for i in ids], "id string")
+    hashes = ids.select(*[F.xxhash64("id", F.lit(42), F.lit(e)).alias(f"e{e}") for e in range(epochs)],
+                        F.pmod(F.xxhash64("id", F.lit(42)), F.lit(10_000)).alias("share")).toPandas()
+    net, train = m.network, (hashes["share"] >= 1000).to_numpy()
+    batches = -(-train.sum() // batch_size)
+    w, t = net.start(42), 0
+    a, b, losses = np.zeros_like(w), np.zeros_like(w), []
+    for e in range(epochs + 1):
+        losses.append(((net.forward(w, x[~train])[-1] - x[~train]) ** 2).mean())
+        for batch in range(batches) if e < epochs else ():
+            t += 1
+            part = x[train & (hashes[f"e{e}"] % batches == batch).to_numpy()]
+            if len(part):
+                seen, layers, g = net.forward(w, part), net.layers(w), []
+                d = 2 * (seen[-1] - part) / x.shape[1] / len(part)
+                for i in reversed(range(len(layers))):
+                    g = [(seen[i].T @ d).ravel(), d.sum(axis=0), *g]
+                    d = (d @ layers[i][0].T) * (seen[i] > 0)
+                g = np.concatenate(g)
+                a, b = 0.9 * a + 0.1 * g, 0.999 * b + 0.001 * g * g
+                w = w - 0.01 * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t) * a / (np.sqrt(b) + 1e-7)
+    return w, losses
+
+
+@pytest.mark.parametrize("held", [autoencoder.HELD_BYTES, 3000])
+def test_autoencoder_takes_the_steps_of_plain_training(spark, data, monkeypatch, held):
+    """In one task, with its rows in memory and in files that are split by batch; every job of the fit is counted."""
+    ids = [f"{i:05d}" for i in range(data.count())]
+    m = Autoencoder(COLS, latent=2, epochs=3, lr=0.01, batch_size=32)
+    want, losses = plain_training(m, matrix(data), ids, spark, 32, 3)
+    monkeypatch.setattr(autoencoder, "HELD_BYTES", held)
+    jobs, run = [], Autoencoder._alone
+    monkeypatch.setattr(Autoencoder, "_alone", lambda *args: jobs.append(args[3]) or run(*args))
+    m.fit(data)
+    np.testing.assert_allclose(m.losses, losses, rtol=1e-6)
+    np.testing.assert_allclose(m.weights, want, rtol=1e-6, atol=1e-9)
+    assert jobs == [range(0, 4)]
+
+
+def test_autoencoder_rows_beyond_a_tasks_rows_need_no_exchange(data, monkeypatch):
+    """Batches of few rows are no work for several tasks, however many rows there are; a second for each batch was lost so."""
+    monkeypatch.setattr(autoencoder, "TASK_ROWS", 100)
+    monkeypatch.setattr(Autoencoder, "_together", None)
+    assert len(Autoencoder(COLS, latent=2, epochs=2, batch_size=8).fit(data).losses) == 3
+
+
+def test_autoencoder_of_large_batches_on_several_tasks(data, monkeypatch):
+    make = lambda: Autoencoder(COLS, latent=2, epochs=2, lr=0.01, batch_size=400).fit(data)
+    one = make()
+    monkeypatch.setattr(autoencoder, "TASK_ROWS", 100)
+    monkeypatch.setattr(Autoencoder, "_alone", None)
+    many = make()
+    np.testing.assert_allclose(many.weights, one.weights, rtol=1e-6, atol=1e-9)
+    np.testing.assert_allclose(many.losses, one.losses, rtol=1e-6)
+
+
+def test_autoencoder_stops_after_the_same_passes(data, monkeypatch):
+    """A job runs only passes that are sure to be needed."""
+    asked, run = [], Autoencoder._alone
+    monkeypatch.setattr(Autoencoder, "_alone", lambda *args: asked.extend(args[3]) or run(*args))
+    monkeypatch.setattr(autoencoder, "PATIENCE", 2)
+    m = Autoencoder(COLS, latent=2, epochs=60, lr=0.5, batch_size=32).fit(data)
+    best = int(np.argmin(m.losses[1:])) + 1
+    assert asked == list(range(len(m.losses))) and best + 3 == len(m.losses) < 61
+
+
+def test_hashes_go_on_as_in_spark(spark):
+    ids = spark.createDataFrame([(None,), ("",), ("a",), ("0017",)], "id string")
+    for value in (0, 7, 2 ** 31 - 1, -5):
+        r = ids.select(F.xxhash64("id", F.lit(3)).alias("a"), F.xxhash64("id", F.lit(3), F.lit(value)).alias("b")).toPandas()
+        assert (autoencoder.hashed_on(r["a"].to_numpy(), value) == r["b"].to_numpy()).all()
+
+
 def test_autoencoder_without_held_out_rows_keeps_what_it_learned(data):
     m = Autoencoder(COLS, latent=2, epochs=4, lr=0.01, validation_split=0.0).fit(data)
     start = m.network.start(42)
