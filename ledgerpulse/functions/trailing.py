@@ -6,13 +6,13 @@ import pandas as pd
 from ledgerpulse.schema import CAT_COLS, ENTROPY_COLS, EPS, FREQ_COLS, WINDOW_ROWS
 
 
-def _frames(values: np.ndarray, filler, window: int) -> np.ndarray:
-    """One row per value: the value (last column) and those before it in its window."""
-    padded = np.concatenate([np.full(window - 1, filler, dtype=values.dtype), values])
-    return np.lib.stride_tricks.sliding_window_view(padded, window)
+def _frames(values: np.ndarray, filler, places: np.ndarray) -> np.ndarray:
+    """One row per value of the last axis: the value (last column) and those before it in its window."""
+    before = np.full((*values.shape[:-1], places.shape[1] - 1), filler, dtype=values.dtype)
+    return np.concatenate([before, values], axis=-1)[..., places]
 
 
-CHUNK = 100_000
+CHUNK = 20_000
 
 
 def trailing_rows(seconds: np.ndarray, logs: np.ndarray, cats: list[np.ndarray],
@@ -31,10 +31,10 @@ def trailing_rows(seconds: np.ndarray, logs: np.ndarray, cats: list[np.ndarray],
 
 
 def _trailing_block(seconds, logs, cats, hours, window: int) -> dict[str, np.ndarray]:
-    n = len(seconds)
+    n, places = len(seconds), np.arange(len(seconds))[:, None] + np.arange(window)
     size = np.minimum(np.arange(1, n + 1), window).astype(float)
     present = np.arange(window)[None, :] >= (window - size)[:, None]
-    frame = np.where(present, _frames(logs, 0.0, window), 0.0)
+    frame = np.where(present, _frames(logs, 0.0, places), 0.0)
     mean = frame.sum(axis=1) / size
     off = np.where(present, frame - mean[:, None], 0.0)
     std = np.sqrt((off ** 2).sum(axis=1) / size)
@@ -45,15 +45,16 @@ def _trailing_block(seconds, logs, cats, hours, window: int) -> dict[str, np.nda
         "MovingStd": std, "LogTimeDiff": np.where(np.arange(n) == 0, 0.0, np.log(gap)),
         "HourSin": np.sin(angle), "HourCos": np.cos(angle),
     }
-    for values, freq, entropy in zip(cats, FREQ_COLS, ENTROPY_COLS):
-        codes = pd.factorize(values, use_na_sentinel=False)[0].astype(np.int64)
-        frames = _frames(codes, -1, window)
-        equal = frames[:, :, None] == frames[:, None, :]
-        count = np.where(present, (equal & present[:, None, :]).sum(axis=2), 1)
-        distinct = np.rint(np.where(present, 1.0 / count, 0.0).sum(axis=1))
-        raw = np.maximum(np.log(size) - np.where(present, np.log(count), 0.0).sum(axis=1) / size, 0.0)
-        out[freq] = count[:, -1] / size
-        out[entropy] = np.where(distinct > 1, raw / np.log(np.maximum(distinct, 2)), 0.0)
+    # all categories at once: most accounts have few rows, so the number of array calls counts
+    codes = pd.factorize(np.concatenate(cats), use_na_sentinel=False)[0].astype(np.int64).reshape(len(cats), n)
+    frames = _frames(codes, -1, places)
+    equal = frames[..., :, None] == frames[..., None, :]
+    count = np.where(present, (equal & present[:, None, :]).sum(axis=-1), 1)
+    distinct = np.rint(np.where(present, 1.0 / count, 0.0).sum(axis=-1))
+    raw = np.maximum(np.log(size) - np.where(present, np.log(count), 0.0).sum(axis=-1) / size, 0.0)
+    share = count[..., -1] / size
+    entropies = np.where(distinct > 1, raw / np.log(np.maximum(distinct, 2)), 0.0)
+    out |= dict(zip(FREQ_COLS, share)) | dict(zip(ENTROPY_COLS, entropies))
     return out
 
 

@@ -126,6 +126,20 @@ def test_chunks_do_not_change_anything(monkeypatch):
         np.testing.assert_allclose(values, whole[name], atol=1e-12)
 
 
+def test_an_accounts_categories_are_counted_at_once(monkeypatch):
+    """Array calls, not rows, are what an account with few rows costs; the counts stay apart by category."""
+    calls, factorize = [], pd.factorize
+    monkeypatch.setattr(trailing.pd, "factorize", lambda *a, **b: calls.append(a) or factorize(*a, **b))
+    cats = [np.array(c, dtype=object) for c in (["a", "b", "a"], [None, "a", None], ["a", "a", "a"], ["x", "y", "z"], ["b"] * 3,
+                                                [None] * 3)]
+    got = trailing.trailing_rows(np.arange(3), np.zeros(3), cats, np.zeros(3), 2)
+    assert len(calls) == 1
+    for name, want in zip(trailing.FREQ_COLS, ([1, .5, .5], [1, .5, .5], [1, 1, 1], [1, .5, .5], [1, 1, 1], [1, 1, 1])):
+        np.testing.assert_allclose(got[name], want)
+    for name, want in zip(trailing.ENTROPY_COLS, ([0, 1, 1], [0, 1, 1], [0, 0, 0], [0, 1, 1], [0, 0, 0], [0, 0, 0])):
+        np.testing.assert_allclose(got[name], want, atol=1e-12)
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     df = features(read_events(spark, SF_DIR), "trailing")
