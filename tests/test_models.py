@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -315,6 +317,39 @@ def test_grid_records_failures_and_goes_on(spark, data, monkeypatch):
     assert experiments.runs_frame(spark, runs).count() == 5
 
 
+def test_grid_prepares_its_scalings_at_the_same_time(data, monkeypatch):
+    monkeypatch.setattr(experiments, "FEATURE_COLS", COLS)
+    monkeypatch.setattr(experiments, "PIPELINES", {"Standalone/SOM": (SelfOrganizingMap, False)})
+    both = threading.Barrier(2)
+    monkeypatch.setattr(experiments, "scale_pair", lambda method, *parts: both.wait(60) is None or parts)
+    runs = experiments.experiment_grid(data, data, ["none", "global_minmax"], {
+        SelfOrganizingMap: {"x": 2, "y": 2, "passes": 1}, Autoencoder: {"epochs": 0, "latent": 2}})
+    assert [r["Scaling"] for r in runs] == [experiments.METHODS[m] for m in ("none", "global_minmax")]
+    assert all(r["error"] is None for r in runs)
+
+
+def test_detectors_of_a_bundle_fit_at_the_same_time(data):
+    both = threading.Barrier(2)
+
+    class Waiting(SelfOrganizingMap):
+        def fit(self, *args, **kwargs):
+            both.wait(60)
+            return super().fit(*args, **kwargs)
+
+    make = lambda kind: {f"s{n}": kind(COLS, x=n, y=1, passes=2) for n in (2, 3)}
+    together, alone = make(Waiting), make(SelfOrganizingMap)
+    ScoringModel(Scaler("none"), together).fit(data)
+    for name, model in alone.items():
+        np.testing.assert_allclose(together[name].codebook, model.fit(data).codebook)
+
+    class Failing(SelfOrganizingMap):
+        def fit(self, *args, **kwargs):
+            raise ValueError("no fit")
+
+    with pytest.raises(ValueError, match="no fit"):
+        ScoringModel(Scaler("none"), {"a": SelfOrganizingMap(COLS, x=2, y=1, passes=1), "b": Failing(COLS)}).fit(data)
+
+
 def test_sweep_is_seeded_and_picks_the_best(data):
     args = dict(detector=SelfOrganizingMap, train=data, target="score_mean", direction="minimize",
                 trials=2, columns=COLS, fixed={"passes": 1})
